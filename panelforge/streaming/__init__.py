@@ -1,0 +1,10 @@
+"""Streaming: intentionally empty.
+
+The reference is a set of batch scripts: no stream source, watermark,
+windowed aggregation over event time, state store or late-data handling
+exists in it (SURVEY 2.12).  Every operator in this package is a batch
+DataFrame transformation; the ones that are stateless per row (cleaning,
+labels, calendar flags) can be applied unchanged to a ``readStream``
+DataFrame inside ``foreachBatch``, which is how a user would run them
+incrementally.  No streaming-specific operator is built.
+"""
