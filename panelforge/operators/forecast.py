@@ -300,6 +300,9 @@ def apply_model(context: DataFrame, model: Callable[[pd.DataFrame, pd.DataFrame]
     if future is None:
         future = context.limit(0).drop(cols.target)
     fut = future.join(groups, cols.id)
+    # Both sides may come from one plan: fresh attributes keep the cogroup unambiguous.
+    ctx = ctx.select(*[F.col(c).alias(c) for c in ctx.columns])
+    fut = fut.select(*[F.col(c).alias(c) for c in fut.columns])
 
     def run(ctx_pdf: pd.DataFrame, fut_pdf: pd.DataFrame) -> pd.DataFrame:
         return model(ctx_pdf.drop(columns=["_batch"]), fut_pdf.drop(columns=["_batch"]))

@@ -245,7 +245,7 @@ am_res AS (SELECT c.id, quantile_cont(c.y - w.m, [0.1, 0.5, 0.9]) AS q
            FROM b2_ctx c JOIN am_wm w ON w.id = c.id AND w.dw = isodow(c.timestamp)
            WHERE c.y IS NOT NULL GROUP BY c.id),
 am_grid AS (SELECT id, CAST(T + CAST(k AS INTEGER) AS DATE) AS timestamp FROM am_last, range(1, 8) r(k))""") + f"""
-SELECT g.id, g.timestamp, 'y' AS target_name, {_q('w.m', 'r.q')}
+SELECT g.id, g.timestamp, 'y' AS target_name, {_q('w.m', 'r.q', 6)}
 FROM am_grid g LEFT JOIN am_wm w ON w.id = g.id AND w.dw = isodow(g.timestamp)
 LEFT JOIN am_res r ON r.id = g.id"""
 
