@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.aggs import first_valid, last_valid
 from ..functions.exprs import UNKNOWN_LABEL, format_ticker, pack_order_key
+from ..session import ensure_checkpoint_dir
 from .clean import any_not_null
 
 STEP_INTERVALS = {"day": "INTERVAL 1 DAY", "week": "INTERVAL 7 DAYS", "hour": "INTERVAL 1 HOUR"}
@@ -98,19 +99,40 @@ def calendar_days(lo: Column, hi: Column, step: str = "day", name: str = "timest
 
 
 def widen(df: DataFrame, entity: str, time: str, fields: Sequence[str], order: str | Column,
-          label: str, label_order: str | Column, prefix_entity: bool | None = None,
-          max_entities: int = 5000, id_value: object = 1) -> DataFrame:
+          label: str, prefix_entity: bool | None = None, max_entities: int = 5000,
+          id_value: object = 1, round_digits: int | None = None) -> DataFrame:
     """Long panel -> dense wide daily panel.
 
-    1. label per entity (A1) -> column names (collected: one row per output
-       column group, bounded by ``max_entities``; beyond it the wide form is
-       the wrong tool and the long form must be used).
-    2. ``groupBy(time).pivot(entity, values)`` with ``first_valid`` per field:
-       Spark aggregates on (time, entity) first, then spreads the values.
-    3. calendar from the first to the last date holding any value (Q2),
-       left-joined to the pivot, so inner all-null dates come back as nulls.
+    1. one hash aggregation on (entity, day): the first valid value of every
+       field (A2), map-side combined; the result (long, narrow) is
+       checkpointed to the shared folder.
+    2. label per entity = last valid label in (time, order) (A1) -> names.
+       The label table is collected: one row per output column group,
+       bounded by ``max_entities`` (beyond it keep the panel long).
+    3. every entity gets the calendar from the first to the last date holding
+       any value (Q2); per day the cells become one array sorted by entity
+       position; checkpointed (days x entities, the size of the output).
+    4. one SQL projection spreads the array into ``<label>_<field>`` columns
+       in entity-major order; missing values give NULL (J6).
+
+    The wide projection sits on a checkpoint leaf, so neither the optimizer
+    nor AQE's per-stage re-planning walks thousands of columns through the
+    aggregations and joins below it; the shuffles carry narrow rows only.
     """
-    labels = last_label(df, entity, label, label_order)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+
+    def val(f: str) -> Column:
+        return F.round(F.col(f), round_digits) if round_digits is not None else F.col(f)
+
+    clean = df.where(F.col(entity).isNotNull() & F.col(time).isNotNull())
+    # Numeric fields only: a fixed-width buffer keeps this on HashAggregate
+    # (a string value in the buffer would force the sort-based path).
+    firsts = (clean.groupBy(entity, time)
+              .agg(*[first_valid(f, order).alias(f) for f in fields])
+              .checkpoint(eager=True))
+    # Labels: a narrow aggregation (entity, label, order key) on its own.
+    labels = last_label(clean, entity, label, time_order_key(time, order))
     rows = labels.orderBy(entity).limit(max_entities + 1).collect()
     if len(rows) > max_entities:
         raise ValueError(f"more than {max_entities} entities: keep the panel long or select entities")
@@ -119,19 +141,29 @@ def widen(df: DataFrame, entity: str, time: str, fields: Sequence[str], order: s
                 (str(int(r[entity])) if float(r[entity]).is_integer() else str(r[entity])) for r in rows]
     names, _ = wide_names(list(zip(ent_text, [r["label"] for r in rows])), fields, prefix_entity)
 
-    clean = df.where(F.col(entity).isNotNull() & F.col(time).isNotNull())
-    pivoted = (clean.groupBy(time).pivot(entity, values)
-               .agg(*[first_valid(f, order).alias(f) for f in fields]))
-    if len(fields) == 1:
-        src = [str(v) for v in values]
-    else:
-        src = [f"{v}_{f}" for v in values for f in fields]
-    active = clean.where(any_not_null(fields))
-    bounds = active.agg(F.min(time).alias("lo"), F.max(time).alias("hi"))
-    grid = bounds.select(calendar_days(F.col("lo"), F.col("hi"), name=time))
-    dense = grid.join(pivoted, time, "left")
-    return dense.select(F.lit(id_value).alias("id"), time,
-                        *[F.col(f"`{s}`").alias(n) for s, n in zip(src, names)])
+    ent_type = df.schema[entity].dataType.simpleString()
+    # Bounded by max_entities (checked above): safe to broadcast.
+    positions = spark.createDataFrame([(v, p) for p, v in enumerate(values)], f"`{entity}` {ent_type}, _p int")
+    # Every (entity, day) cell of the calendar: per-entity explode, no cross
+    # join.  Sorting each day's cells by position gives a dense array, so
+    # every output column is an O(1) array index (map lookups scan keys).
+    bounds = firsts.where(any_not_null(fields)).agg(F.min(time).alias("lo"), F.max(time).alias("hi"))
+    grid = positions.select(entity, "_p", calendar_days(bounds.select("lo").scalar(),
+                                                        bounds.select("hi").scalar(), name=time))
+    cells = grid.join(firsts, [entity, time], "left")
+    dense = (cells.groupBy(time)
+             .agg(F.array_sort(F.collect_list(
+                 F.struct(F.col("_p"), F.struct(*[val(f).alias(f) for f in fields]).alias("v")))).alias("_a"))
+             .checkpoint(eager=True))
+    # SQL text for the wide projection: building thousands of Column objects
+    # through py4j costs minutes, parsing the same expressions costs seconds.
+    spread = [f"_a[{p}].v.{_quote(f)} AS {_quote(names[p * len(fields) + j])}"
+              for p in range(len(values)) for j, f in enumerate(fields)]
+    return dense.withColumn("id", F.lit(id_value)).selectExpr("id", _quote(time), *spread)
+
+
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 # ----------------------------------------------------------------------- densify

@@ -31,11 +31,11 @@ def long_panel(raw: DataFrame, order_col: str = "ord", on_error: str = "null") -
 
 
 def wide_panel(long_df: DataFrame, fields: Sequence[str] = clean.PANEL_FIELDS, order_col: str = "ord",
-               prefix_entity: bool | None = None, max_entities: int = 5000) -> DataFrame:
+               prefix_entity: bool | None = None, max_entities: int = 5000,
+               round_digits: int | None = None) -> DataFrame:
     """First-valid pivot, entity-major columns, dense daily calendar."""
     return panel.widen(long_df, "permco", "timestamp", list(fields), order=order_col, label="ticker",
-                       label_order=panel.time_order_key("timestamp", order_col),
-                       prefix_entity=prefix_entity, max_entities=max_entities)
+                       prefix_entity=prefix_entity, max_entities=max_entities, round_digits=round_digits)
 
 
 def prepare_panel(raw: DataFrame, split: SplitSpec = SplitSpec(), out_dir: str | None = None,

@@ -51,7 +51,7 @@ def q_first_valid_long(spark, sf):
 
 
 def q_panel_wide(spark, sf):
-    return round_doubles(wide_panel(_b1_long(spark, sf), prefix_entity=True), 6)
+    return wide_panel(_b1_long(spark, sf), prefix_entity=True, round_digits=6)
 
 
 def q_dup_and_null_checks(spark, sf):
