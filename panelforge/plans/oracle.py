@@ -73,9 +73,14 @@ b3_ctx AS (SELECT * FROM b3 WHERE timestamp BETWEEN DATE '1995-01-01' AND DATE '
 LEVELS = "[0.1, 0.5, 0.9]"
 
 
+def _r(expr: str, digits: int = 4) -> str:
+    """Rounding with the tie nudge the Spark side uses (see ``stable_round``)."""
+    return f"round(({expr}) + {0.5 * 10.0 ** -(digits + 3)!r}, {digits})"
+
+
 def _q(p: str, q: str = "q", digits: int = 4) -> str:
-    return (f"round({p}, {digits}) AS predictions, round({p} + {q}[1], {digits}) AS q10, "
-            f"round({p} + {q}[2], {digits}) AS q50, round({p} + {q}[3], {digits}) AS q90")
+    return (f"{_r(p, digits)} AS predictions, {_r(f'{p} + {q}[1]', digits)} AS q10, "
+            f"{_r(f'{p} + {q}[2]', digits)} AS q50, {_r(f'{p} + {q}[3]', digits)} AS q90")
 
 
 def _with(*parts: str) -> str:
@@ -229,14 +234,14 @@ cut AS (SELECT id, min(timestamp) AS c FROM hist GROUP BY id),
 fc AS (SELECT m.* FROM comb m JOIN cut USING (id) WHERE m.target_name = 'y' AND m.timestamp >= cut.c),
 models AS (SELECT * FROM (VALUES ('no_covariates'), ('with_covariates'),
                                  ('with_covariates_cross_learning')) v(model))""") + """
-SELECT h.id, h.timestamp, 'history' AS series, round(h.y, 4) AS value,
+SELECT h.id, h.timestamp, 'history' AS series, """ + _r("h.y") + """ AS value,
        CAST(NULL AS DOUBLE) AS lower, CAST(NULL AS DOUBLE) AS upper, m.model
 FROM hist h, models m
 UNION ALL
-SELECT t.id, t.timestamp, 'truth', round(t.y, 4), NULL, NULL, f.model
+SELECT t.id, t.timestamp, 'truth', """ + _r("t.y") + """, NULL, NULL, f.model
 FROM b2_test t JOIN (SELECT DISTINCT id, timestamp, model FROM fc) f USING (id, timestamp)
 UNION ALL
-SELECT id, timestamp, 'forecast', round(p, 4), round(p + q[1], 4), round(p + q[3], 4), model FROM fc"""
+SELECT id, timestamp, 'forecast', """ + _r("p") + ", " + _r("p + q[1]") + ", " + _r("p + q[3]") + """, model FROM fc"""
 
 FC_APPLY_MODEL = _with(B2, """
 am_last AS (SELECT id, max(timestamp) AS T FROM b2_ctx GROUP BY id),

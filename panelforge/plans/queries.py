@@ -47,7 +47,7 @@ def q_last_label(spark, sf):
 def q_first_valid_long(spark, sf):
     df = _b1_long(spark, sf)
     out = panel.first_valid_long(df, ["permco", "timestamp"], clean.PANEL_FIELDS, "ord")
-    return round_doubles(out, 6)
+    return round_doubles(out, 6, stable=True)
 
 
 def q_panel_wide(spark, sf):
@@ -101,17 +101,17 @@ def _fc_ols(ctx, test, batch_size=None):
 
 def q_fc_seasonal_naive(spark, sf):
     ctx, _ = _b2_parts(spark, sf)
-    return round_doubles(_fc_seasonal(ctx), 4)
+    return round_doubles(_fc_seasonal(ctx), 4, stable=True)
 
 
 def q_fc_covariate_ols(spark, sf):
     ctx, test = _b2_parts(spark, sf)
-    return round_doubles(_fc_ols(ctx, test), 4)
+    return round_doubles(_fc_ols(ctx, test), 4, stable=True)
 
 
 def q_fc_pooled_ols(spark, sf):
     ctx, test = _b2_parts(spark, sf)
-    return round_doubles(_fc_ols(ctx, test, batch_size=100), 4)
+    return round_doubles(_fc_ols(ctx, test, batch_size=100), 4, stable=True)
 
 
 def _combined(spark, sf):
@@ -123,7 +123,7 @@ def _combined(spark, sf):
 
 
 def q_fc_combined(spark, sf):
-    return round_doubles(_combined(spark, sf)[0], 4)
+    return round_doubles(_combined(spark, sf)[0], 4, stable=True)
 
 
 def q_score_by_model(spark, sf):
@@ -148,7 +148,7 @@ def q_plot_frame(spark, sf):
         f = plot_frame(ctx, comb.where(F.col("model") == m), test, COLS, history_length=14)
         f = f.withColumn("model", F.lit(m))
         frames = f if frames is None else frames.unionByName(f)
-    return round_doubles(frames, 4)
+    return round_doubles(frames, 4, stable=True)
 
 
 def q_fc_apply_model(spark, sf):
@@ -158,8 +158,7 @@ def q_fc_apply_model(spark, sf):
                       batch_size=100)
     out = out.select(*[F.nanvl(F.col(c), F.lit(None).cast("double")).alias(c)
                        if c in ("predictions", "q10", "q50", "q90") else F.col(c) for c in out.columns])
-    # Weekday means and median residuals end in an exact 5 at the 5th decimal: round at 6.
-    return round_doubles(out, 6)
+    return round_doubles(out, 6, stable=True)
 
 
 # ---------------------------------------------------------- B3 (orders x customer)
@@ -187,7 +186,7 @@ def q_profile(spark, sf):
 
 def _b3_fc(spark, sf, method):
     ctx = panel.select_window(_b3_dense(spark, sf), B.B3_WINDOWS["context"])
-    return round_doubles(forecast_univariate(ctx, method, B.B3_HORIZON, COLS), 4)
+    return round_doubles(forecast_univariate(ctx, method, B.B3_HORIZON, COLS), 4, stable=True)
 
 
 def q_fc_naive(spark, sf):
