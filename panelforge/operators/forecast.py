@@ -30,6 +30,19 @@ from pyspark.sql import types as T
 from ..functions.exprs import add_steps, day_index
 from .index import batch_groups
 
+
+def _ship_by_value() -> None:
+    """Pickle this package's functions by value inside Python UDFs.
+
+    Executors then need no copy of the package on their path; only numpy and
+    pandas, which PySpark's Arrow path requires anyway.
+    """
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__.split(".")[0]])
+
 DEFAULT_LEVELS = (0.1, 0.5, 0.9)
 
 
@@ -224,6 +237,7 @@ def _ols_params_solve(df: DataFrame, unit: str, y: str, xs: Sequence[str]) -> Da
                 out[f"_b{j}"] = betas[:, j]
             yield pd.DataFrame(out)
 
+    _ship_by_value()
     params = stats.mapInPandas(solve, schema)
     return params.select(unit, *[F.nanvl(F.col(c), F.lit(None).cast("double")).alias(c)
                                  for c in ["_a"] + [f"_b{j}" for j in range(k)]])
@@ -307,6 +321,8 @@ def apply_model(context: DataFrame, model: Callable[[pd.DataFrame, pd.DataFrame]
     def run(ctx_pdf: pd.DataFrame, fut_pdf: pd.DataFrame) -> pd.DataFrame:
         return model(ctx_pdf.drop(columns=["_batch"]), fut_pdf.drop(columns=["_batch"]))
 
+    _ship_by_value()
+
     return ctx.groupBy("_batch").cogroup(fut.groupBy("_batch")).applyInPandas(run, schema)
 
 
@@ -316,29 +332,37 @@ def weekday_mean_model(horizon: int, levels: Sequence[float] = DEFAULT_LEVELS,
 
     Point at ``T + k`` = mean of the valued context days sharing its weekday;
     quantiles add the linear-interpolated percentiles of ``y - weekday mean``.
+    Vectorised over all series of the batch (no per-row Python).
     """
     i, t, y = cols.id, cols.time, cols.target
     name = target_name or y
+    qcols = [qname(q) for q in levels]
+    levels = list(levels)
 
     def model(ctx: pd.DataFrame, _fut: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for sid, g in ctx.groupby(i, sort=True):
-            g = g.copy()
-            g[t] = pd.to_datetime(g[t])
-            last = g[t].max()
-            v = g.dropna(subset=[y])
-            wd = v[t].dt.dayofweek
-            means = v.groupby(wd)[y].mean()
-            resid = (v[y] - wd.map(means)).to_numpy()
-            offs = np.percentile(resid, [q * 100 for q in levels]) if len(resid) else [np.nan] * len(levels)
-            for k in range(1, horizon + 1):
-                d = last + pd.Timedelta(days=k)
-                p = means.get(d.dayofweek, np.nan)
-                row = {i: sid, t: d.date(), "target_name": name, "predictions": p}
-                for q, o in zip(levels, offs):
-                    row[qname(q)] = p + o
-                out.append(row)
-        return pd.DataFrame(out, columns=[i, t, "target_name", "predictions", *[qname(q) for q in levels]])
+        if ctx.empty:
+            return pd.DataFrame(columns=[i, t, "target_name", "predictions", *qcols])
+        ts = pd.to_datetime(ctx[t])
+        last = ts.groupby(ctx[i]).max()
+        valued = ctx[y].notna()
+        v = pd.DataFrame({"id": ctx[i][valued].to_numpy(), "dow": ts[valued].dt.dayofweek.to_numpy(),
+                          "y": ctx[y][valued].to_numpy()})
+        means = v.groupby(["id", "dow"])["y"].mean().rename("m")
+        v = v.join(means, on=["id", "dow"])
+        v["e"] = v["y"] - v["m"]
+        offs = v.groupby("id")["e"].quantile(levels).unstack()
+        steps = np.arange(1, horizon + 1)
+        grid = pd.DataFrame({"id": np.repeat(last.index.to_numpy(), horizon),
+                             "d": np.repeat(last.to_numpy(), horizon)
+                             + pd.to_timedelta(np.tile(steps, len(last)), unit="D")})
+        grid["dow"] = grid["d"].dt.dayofweek
+        grid = grid.join(means, on=["id", "dow"]).join(offs, on="id")
+        out = pd.DataFrame({i: grid["id"].to_numpy(), t: grid["d"].dt.date.to_numpy(),
+                            "target_name": name, "predictions": grid["m"].to_numpy()})
+        for q, c in zip(levels, qcols):
+            col = grid[q] if q in grid.columns else np.nan
+            out[c] = grid["m"].to_numpy() + np.asarray(col, dtype=float)
+        return out
 
     return model
 

@@ -75,8 +75,12 @@ def q_csv_roundtrip(spark, sf):
 # ------------------------------------------------------------------- B2 (events)
 
 
-def _b2_dense(spark, sf):
-    return panel.densify(B.event_series(spark, sf), ["id"], "timestamp", ["y", "x", "z"])
+def _b2_dense(spark, sf, materialize: bool = True):
+    """Dense daily event panel.  Every forecast branch (context, test, future,
+    residuals) reads it, so it is computed once and checkpointed to the shared
+    folder instead of re-scanning the raw events per branch."""
+    dense = panel.densify(B.event_series(spark, sf), ["id"], "timestamp", ["y", "x", "z"])
+    return dense.checkpoint(eager=True) if materialize else dense
 
 
 def _b2_parts(spark, sf):
@@ -87,7 +91,7 @@ def _b2_parts(spark, sf):
 
 
 def q_panel_densified(spark, sf):
-    return _b2_dense(spark, sf)
+    return _b2_dense(spark, sf, materialize=False)
 
 
 def _fc_seasonal(ctx):
@@ -164,8 +168,9 @@ def q_fc_apply_model(spark, sf):
 # ---------------------------------------------------------- B3 (orders x customer)
 
 
-def _b3_dense(spark, sf):
-    return panel.densify(B.nation_series(spark, sf), ["id"], "timestamp", ["y"])
+def _b3_dense(spark, sf, materialize: bool = False):
+    dense = panel.densify(B.nation_series(spark, sf), ["id"], "timestamp", ["y"])
+    return dense.checkpoint(eager=True) if materialize else dense
 
 
 def q_panel_splits(spark, sf):
@@ -185,7 +190,7 @@ def q_profile(spark, sf):
 
 
 def _b3_fc(spark, sf, method):
-    ctx = panel.select_window(_b3_dense(spark, sf), B.B3_WINDOWS["context"])
+    ctx = panel.select_window(_b3_dense(spark, sf, materialize=True), B.B3_WINDOWS["context"])
     return round_doubles(forecast_univariate(ctx, method, B.B3_HORIZON, COLS), 4, stable=True)
 
 
@@ -245,7 +250,7 @@ def q_macro_asof(spark, sf):
         "seasonal_adjustment": "Not Seasonally Adjusted", "frequency": "Monthly",
         "source": "orders table"}])
     obs = macro_series(monthly, catalog, "monthly").select("series_id", "available", "value")
-    dense = _b3_dense(spark, sf)
+    dense = _b3_dense(spark, sf, materialize=True)
     span = dense.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"))
     daily = panel.asof_fill(obs, "series_id", "available", "value",
                             span.select("lo").scalar(), span.select("hi").scalar())
