@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN_LABEL = "unknown"
@@ -76,3 +76,22 @@ def pack_order_key(parts: Sequence[tuple[str | Column, int]]) -> Column:
 def concat_name(*parts: str | Column, sep: str = "_") -> Column:
     """F-string style concatenation of name parts."""
     return F.concat_ws(sep, *[col(p) for p in parts])
+
+
+def order_key(df: DataFrame, parts: Sequence[Column]) -> Column:
+    """One ordering key from non-negative integer columns (most significant first).
+
+    One small ``max`` pass sizes the parts: when they fit in 63 bits the key
+    is a bit-packed ``bigint`` (cheap compares, fixed-width aggregation
+    buffers); otherwise it falls back to ``decimal(38,0)`` digits.
+    """
+    maxes = df.agg(*[F.max(p).alias(f"_m{i}") for i, p in enumerate(parts)]).first()
+    highs = [max(int(maxes[i] or 0), 0) for i in range(len(parts))]
+    bits = [max(h.bit_length(), 1) for h in highs]
+    if sum(bits) <= 63:
+        key = None
+        for p, b in zip(parts, bits):
+            term = p.cast("bigint")
+            key = term if key is None else F.shiftleft(key, b) + term
+        return key
+    return pack_order_key([(p, max(len(str(h)), 1)) for p, h in zip(parts, highs)])

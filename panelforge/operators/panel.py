@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.aggs import first_valid, last_valid
-from ..functions.exprs import UNKNOWN_LABEL, format_ticker, pack_order_key
+from ..functions.exprs import UNKNOWN_LABEL, col as order_col, format_ticker
 from ..session import ensure_checkpoint_dir
 from .clean import any_not_null
 
@@ -30,13 +30,6 @@ def entity_keys(df: DataFrame, key: str) -> DataFrame:
     return df.where(F.col(key).isNotNull()).select(key).distinct().orderBy(key)
 
 
-def time_order_key(time_col: str | Column, ord_col: str | Column, ord_digits: int = 31) -> Column:
-    """(time, input order) packed into one decimal key: days since 0001-01-01, then ``ord``."""
-    t = F.col(time_col) if isinstance(time_col, str) else time_col
-    days = F.datediff(F.to_date(t), F.lit("0001-01-01").cast("date"))
-    return pack_order_key([(days, 7), (ord_col, ord_digits)])
-
-
 # ------------------------------------------------------------------------- labels
 
 
@@ -44,8 +37,10 @@ def last_label(df: DataFrame, entity: str, label: str, order: str | Column,
                default: str = UNKNOWN_LABEL, out: str = "label") -> DataFrame:
     """A1 + X3 + J4: last non-null label per entity in ``order``; blank/missing -> default.
 
-    One hash aggregation keyed by entity (partial ``max_by`` map-side, so a
-    hot entity costs one buffer per task).
+    One aggregation keyed by entity with a map-side partial step, so a hot
+    entity costs one buffer per task.  A string value makes it sort-based;
+    it reads only (entity, label, order), so that sort is narrow.
+    ``order`` may be a struct such as ``(time, input order)``.
     """
     return (df.where(F.col(entity).isNotNull())
             .groupBy(entity)
@@ -103,15 +98,14 @@ def widen(df: DataFrame, entity: str, time: str, fields: Sequence[str], order: s
           id_value: object = 1, round_digits: int | None = None) -> DataFrame:
     """Long panel -> dense wide daily panel.
 
-    1. one hash aggregation on (entity, day): the first valid value of every
-       field (A2), map-side combined; the result (long, narrow) is
-       checkpointed to the shared folder.
-    2. label per entity = last valid label in (time, order) (A1) -> names.
+    1. label per entity = last valid label in (time, order) (A1) -> names.
        The label table is collected: one row per output column group,
        bounded by ``max_entities`` (beyond it keep the panel long).
+    2. one hash aggregation on (entity, day): the first valid value of every
+       field (A2), map-side combined.
     3. every entity gets the calendar from the first to the last date holding
-       any value (Q2); per day the cells become one array sorted by entity
-       position; checkpointed (days x entities, the size of the output).
+       any value (Q2); per day the cells become one flat array in output
+       order; checkpointed (days x entities x fields, the size of the output).
     4. one SQL projection spreads the array into ``<label>_<field>`` columns
        in entity-major order; missing values give NULL (J6).
 
@@ -126,13 +120,8 @@ def widen(df: DataFrame, entity: str, time: str, fields: Sequence[str], order: s
         return F.round(F.col(f), round_digits) if round_digits is not None else F.col(f)
 
     clean = df.where(F.col(entity).isNotNull() & F.col(time).isNotNull())
-    # Numeric fields only: a fixed-width buffer keeps this on HashAggregate
-    # (a string value in the buffer would force the sort-based path).
-    firsts = (clean.groupBy(entity, time)
-              .agg(*[first_valid(f, order).alias(f) for f in fields])
-              .checkpoint(eager=True))
-    # Labels: a narrow aggregation (entity, label, order key) on its own.
-    labels = last_label(clean, entity, label, time_order_key(time, order))
+    # Labels: a narrow aggregation (entity, label, order) on its own.
+    labels = last_label(clean, entity, label, F.struct(F.col(time), order_col(order)))
     rows = labels.orderBy(entity).limit(max_entities + 1).collect()
     if len(rows) > max_entities:
         raise ValueError(f"more than {max_entities} entities: keep the panel long or select entities")
@@ -141,24 +130,30 @@ def widen(df: DataFrame, entity: str, time: str, fields: Sequence[str], order: s
                 (str(int(r[entity])) if float(r[entity]).is_integer() else str(r[entity])) for r in rows]
     names, _ = wide_names(list(zip(ent_text, [r["label"] for r in rows])), fields, prefix_entity)
 
+    # Numeric fields only: a fixed-width buffer keeps this on HashAggregate
+    # (a string value in the buffer would force the sort-based path).
+    firsts = clean.groupBy(entity, time).agg(*[first_valid(f, order).alias(f) for f in fields])
+    # Q2: first and last date holding any value (two scalars).
+    lo, hi = clean.where(any_not_null(fields)).agg(F.min(time), F.max(time)).first()
+
     ent_type = df.schema[entity].dataType.simpleString()
     # Bounded by max_entities (checked above): safe to broadcast.
     positions = spark.createDataFrame([(v, p) for p, v in enumerate(values)], f"`{entity}` {ent_type}, _p int")
     # Every (entity, day) cell of the calendar: per-entity explode, no cross
-    # join.  Sorting each day's cells by position gives a dense array, so
-    # every output column is an O(1) array index (map lookups scan keys).
-    bounds = firsts.where(any_not_null(fields)).agg(F.min(time).alias("lo"), F.max(time).alias("hi"))
-    grid = positions.select(entity, "_p", calendar_days(bounds.select("lo").scalar(),
-                                                        bounds.select("hi").scalar(), name=time))
+    # join.  Each day's cells, sorted by position and flattened, give one
+    # dense array<double> in output order, so every output column is a single
+    # O(1) array index.  Checkpointed: days x entities x fields, the size of
+    # the output itself.
+    grid = positions.select(entity, "_p", calendar_days(F.lit(lo), F.lit(hi), name=time))
     cells = grid.join(firsts, [entity, time], "left")
+    cell = F.array(*[val(f) for f in fields])
     dense = (cells.groupBy(time)
-             .agg(F.array_sort(F.collect_list(
-                 F.struct(F.col("_p"), F.struct(*[val(f).alias(f) for f in fields]).alias("v")))).alias("_a"))
+             .agg(F.array_sort(F.collect_list(F.struct(F.col("_p"), cell.alias("v")))).alias("_s"))
+             .select(time, F.flatten(F.transform("_s", lambda x: x["v"])).alias("_a"))
              .checkpoint(eager=True))
     # SQL text for the wide projection: building thousands of Column objects
     # through py4j costs minutes, parsing the same expressions costs seconds.
-    spread = [f"_a[{p}].v.{_quote(f)} AS {_quote(names[p * len(fields) + j])}"
-              for p in range(len(values)) for j, f in enumerate(fields)]
+    spread = [f"_a[{k}] AS {_quote(n)}" for k, n in enumerate(names)]
     return dense.withColumn("id", F.lit(id_value)).selectExpr("id", _quote(time), *spread)
 
 

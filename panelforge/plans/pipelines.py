@@ -18,7 +18,7 @@ from ..operators.forecast import Columns, forecast_ols, forecast_univariate, fut
 from ..operators.score import combine, score, score_long
 from ..sources.calendars import holiday_calendar
 from ..sources.files import write_table
-from .specs import DEFAULT_VARIANTS, ForecastSpec, SplitSpec
+from .specs import DEFAULT_VARIANTS, ForecastSpec, QuerySpec, SplitSpec
 
 
 def long_panel(raw: DataFrame, order_col: str = "ord", on_error: str = "null") -> DataFrame:
@@ -38,6 +38,31 @@ def wide_panel(long_df: DataFrame, fields: Sequence[str] = clean.PANEL_FIELDS, o
                        prefix_entity=prefix_entity, max_entities=max_entities, round_digits=round_digits)
 
 
+def forecast_input(df: DataFrame, cols: Columns = Columns(), covariates: Sequence[str] = (),
+                   id_as_string: bool = True) -> DataFrame:
+    """P7/P9/P11 (M6): ``id`` as text, time parsed, target plus chosen covariates."""
+    idc = F.col(cols.id).cast("string") if id_as_string else F.col(cols.id)
+    t = F.col(cols.time)
+    return df.select(idc.alias(cols.id), F.coalesce(t.try_cast("date"), F.to_date(t)).alias(cols.time)
+                     if isinstance(df.schema[cols.time].dataType, T.StringType) else t.alias(cols.time),
+                     cols.target, *covariates)
+
+
+def query_panel(long_df: DataFrame, spec: QuerySpec, fields: Sequence[str] = clean.PANEL_FIELDS,
+                order_col: str = "ord", prefix_entity: bool | None = None) -> DataFrame:
+    """Wide panel of the spec's target and covariate tickers only.
+
+    Entities are selected by their label (last valid ticker), so the IN-list
+    filter runs on the long rows before the pivot.
+    """
+    wanted = [spec.target, *spec.covariates]
+    labels = panel.last_label(long_df, "permco", "ticker", F.struct("timestamp", order_col))
+    keep = labels.where(F.col("label").isin(wanted)).select("permco")
+    chosen = long_df.join(F.broadcast(keep), "permco", "left_semi")
+    return wide_panel(chosen, fields=[f for f in fields if not spec.variables or f in spec.variables],
+                      order_col=order_col, prefix_entity=prefix_entity)
+
+
 def prepare_panel(raw: DataFrame, split: SplitSpec = SplitSpec(), out_dir: str | None = None,
                   formats: Sequence[str] = ("parquet", "csv"), prefix_entity: bool | None = None,
                   order_col: str = "ord") -> DataFrame:

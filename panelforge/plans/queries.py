@@ -41,7 +41,7 @@ def q_entity_keys(spark, sf):
 
 def q_last_label(spark, sf):
     df = _b1_long(spark, sf)
-    return panel.last_label(df, "permco", "ticker", panel.time_order_key("timestamp", "ord"))
+    return panel.last_label(df, "permco", "ticker", F.struct("timestamp", "ord"))
 
 
 def q_first_valid_long(spark, sf):

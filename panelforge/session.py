@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Checkpoint files of DataFrames that went out of scope are removed.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

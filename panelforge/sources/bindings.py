@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import pack_order_key
+from ..functions.exprs import order_key
 from .files import read_table
 
 # Fixed values of the bindings (they define the fixtures, see FIXTURES.md).
@@ -41,6 +41,9 @@ def security_panel_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem", [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"])
+    # Input order stand-in: (order key, line number) then part key; packed
+    # into a bigint when the observed maxima allow it.
+    ord_key = order_key(li, [F.col("l_orderkey") * 8 + F.col("l_linenumber"), F.col("l_partkey")])
     base = li.select(
         F.when(F.col("l_returnflag") != "R", F.concat("l_returnflag", "l_linestatus")).alias("ticker"),
         F.col("l_suppkey").alias("permco"),
@@ -50,8 +53,7 @@ def security_panel_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.nullif(F.col("l_discount"), F.lit(0.0)).alias("dlyret"),
         F.col("l_quantity").alias("dlyvol"),
         F.col("l_tax").alias("shrout"),
-        pack_order_key([(F.col("l_orderkey").cast("decimal(20,0)") * 8 + F.col("l_linenumber"), 20),
-                        ("l_partkey", 11)]).alias("ord"),
+        ord_key.alias("ord"),
     )
     # One row per calendar day: size is bounded by the date span, not by rows.
     market = base.groupBy("_day").agg(F.avg("dlyret").alias("sprtrn"))

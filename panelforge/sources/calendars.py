@@ -132,49 +132,64 @@ def easter_sunday(year: Column) -> Column:
     return F.make_date(y, div(s, 31), s % 31 + 1)
 
 
-def rule_matches(rule: Rule, d: Column) -> Column:
-    """True on the date(s) the rule itself falls on (before any observed shift)."""
-    yr = F.year(d)
+# Helper columns per day, for the day itself and its neighbours (observed
+# shifts look one day back and one day ahead).
+OFFSETS = {"p": -1, "c": 0, "n": 1}
+
+
+def _helpers(time: str) -> list[Column]:
+    out = []
+    for tag, off in OFFSETS.items():
+        d = F.date_add(F.col(time), off)
+        out += [F.year(d).alias(f"_y{tag}"), F.month(d).alias(f"_m{tag}"),
+                F.dayofmonth(d).alias(f"_d{tag}"), iso_weekday(d).alias(f"_w{tag}"),
+                (F.month(F.date_add(d, 7)) != F.month(d)).alias(f"_l{tag}"),
+                F.datediff(d, easter_sunday(F.year(d))).alias(f"_e{tag}"),
+                d.alias(f"_t{tag}")]
+    return out
+
+
+def rule_matches(rule: Rule, tag: str = "c") -> Column:
+    """True on the date(s) the rule itself falls on, for the helper set ``tag``."""
+    y, m, d, w = (F.col(f"_{k}{tag}") for k in "ymdw")
     if rule.kind == "date":
-        return d == F.lit(rule.date).cast("date")
+        return F.col(f"_t{tag}") == F.lit(rule.date).cast("date")
     if rule.kind == "fixed":
-        cond = (F.month(d) == rule.month) & (F.dayofmonth(d) == rule.day)
+        cond = (m == rule.month) & (d == rule.day)
     elif rule.kind == "nth":
-        cond = ((F.month(d) == rule.month) & (iso_weekday(d) == rule.weekday)
-                & (F.ceil(F.dayofmonth(d) / 7) == rule.nth))
+        cond = (m == rule.month) & (w == rule.weekday) & (d.between(7 * rule.nth - 6, 7 * rule.nth))
     elif rule.kind == "last":
-        cond = ((F.month(d) == rule.month) & (iso_weekday(d) == rule.weekday)
-                & (F.month(F.date_add(d, 7)) != rule.month))
+        cond = (m == rule.month) & (w == rule.weekday) & F.col(f"_l{tag}")
     elif rule.kind == "after_first_monday":
-        cond = ((F.month(d) == rule.month) & (iso_weekday(d) == rule.weekday)
-                & F.dayofmonth(d).between(2, 8))
+        cond = (m == rule.month) & (w == rule.weekday) & d.between(2, 8)
     elif rule.kind == "easter":
-        cond = d == F.date_add(easter_sunday(yr), rule.offset)
+        cond = F.col(f"_e{tag}") == rule.offset
     else:
         raise ValueError(f"unknown rule kind {rule.kind!r}")
-    cond = cond & yr.between(rule.first_year, rule.last_year)
+    cond = cond & y.between(rule.first_year, rule.last_year)
     if rule.every > 1:
-        cond = cond & (yr % rule.every == 0)
+        cond = cond & (y % rule.every == 0)
     return cond
 
 
-def rule_name(rule: Rule, d: Column) -> Column:
+def rule_name(rule: Rule) -> Column:
     """The rule's name on its own date, ``<name> (observed)`` on the shifted date, else NULL."""
-    own = rule_matches(rule, d)
+    own = rule_matches(rule, "c")
+    wd = F.col("_wc")
     if not rule.weekend_kept:
-        own = own & (iso_weekday(d) <= FRI)
+        own = own & (wd <= FRI)
     out = F.when(own, F.lit(rule.name))
     if rule.observed in ("both", "sun_only"):
-        shifted = (iso_weekday(d) == MON) & rule_matches(rule, F.date_sub(d, 1))
+        shifted = (wd == MON) & rule_matches(rule, "p")
         if rule.observed == "both":
-            shifted = shifted | ((iso_weekday(d) == FRI) & rule_matches(rule, F.date_add(d, 1)))
+            shifted = shifted | ((wd == FRI) & rule_matches(rule, "n"))
         out = F.coalesce(out, F.when(shifted, F.lit(rule.name + OBSERVED_SUFFIX)))
     return out
 
 
-def calendar_column(rules: Sequence[Rule], d: Column) -> Column:
-    """All names of one calendar on day ``d`` joined with ``'; '`` (NULL when none)."""
-    return F.nullif(F.concat_ws("; ", *[rule_name(r, d) for r in rules]), F.lit(""))
+def calendar_column(rules: Sequence[Rule]) -> Column:
+    """All names of one calendar on a day joined with ``'; '`` (NULL when none)."""
+    return F.nullif(F.concat_ws("; ", *[rule_name(r) for r in rules]), F.lit(""))
 
 
 def holiday_calendar(start: Column | str, end: Column | str, calendars: dict | None = None,
@@ -192,8 +207,8 @@ def holiday_calendar(start: Column | str, end: Column | str, calendars: dict | N
         from pyspark.sql import SparkSession
         spark = SparkSession.getActiveSession()
     days = spark.range(1).select(F.explode(F.sequence(lo, hi)).alias(time))
-    d = F.col(time)
-    out = days.select(time, *[calendar_column(rules, d).alias(name) for name, rules in cals.items()])
+    out = (days.select(time, *_helpers(time))
+           .select(time, *[calendar_column(rules).alias(name) for name, rules in cals.items()]))
     if keep_empty:
         return out
     any_name = None

@@ -200,3 +200,49 @@ def test_wide_panel_matches_pandas_bruteforce(spark):
 def test_rank_window_is_partitioned_in_forecasts(spark):
     plan = _plan(QUERIES["fc_trend"](spark, SF001))
     assert "Window" in plan and "hashpartitioning(id" in plan
+
+
+def test_split_per_key_windows(spark):
+    df = spark.createDataFrame([(1, D(2024, 1, d)) for d in range(1, 11)] + [(2, D(2024, 1, d)) for d in range(1, 11)],
+                               "id long, timestamp date")
+    bounds = spark.createDataFrame(
+        [(1, "context", D(2024, 1, 1), D(2024, 1, 5)), (1, "test", D(2024, 1, 6), D(2024, 1, 10)),
+         (2, "context", D(2024, 1, 1), D(2024, 1, 8)), (2, "test", D(2024, 1, 9), D(2024, 1, 10))],
+        "id long, split string, start date, end date")
+    got = panel.split_per_key(df, bounds, ["id"]).groupBy("id", "split").count().collect()
+    assert {(r["id"], r["split"]): r["count"] for r in got} == {
+        (1, "context"): 5, (1, "test"): 5, (2, "context"): 8, (2, "test"): 2}
+
+
+def test_query_panel_selects_entities_by_label(spark):
+    from panelforge.plans.pipelines import long_panel, query_panel
+    from panelforge.plans.specs import QuerySpec
+    long_df = long_panel(B.security_panel_raw(spark, SF001))
+    wide = query_panel(long_df, QuerySpec(target="AF", variables=("dlyret",)), prefix_entity=True)
+    cols = [c for c in wide.columns if c not in ("id", "timestamp")]
+    assert cols and all(c.endswith("_AF_dlyret") for c in cols)
+
+
+def test_forecast_input_casts_id_to_text(spark):
+    from panelforge.plans.pipelines import forecast_input
+    df = spark.createDataFrame([(1, "2024-01-02", 3.0)], "id int, timestamp string, y double")
+    out = forecast_input(df)
+    assert dict(out.dtypes) == {"id": "string", "timestamp": "date", "y": "double"}
+
+
+def test_macro_catalog_filters_by_frequency(spark):
+    from panelforge.sources.registry import macro_series, series_catalog
+    cat = series_catalog(spark, [
+        {"name": "A", "id": "A1", "units": "u", "seasonal_adjustment": "n", "frequency": "Monthly", "source": "s"},
+        {"name": "B", "id": "B1", "units": "u", "seasonal_adjustment": "n", "frequency": "Daily", "source": "s"}])
+    obs = spark.createDataFrame([("A1", 1.0), ("B1", 2.0)], "series_id string, value double")
+    assert [r["series_id"] for r in macro_series(obs, cat, "monthly").collect()] == ["A1"]
+
+
+def test_asof_fill_respects_availability_lag(spark):
+    obs = spark.createDataFrame([("S", D(2024, 1, 1), 1.0), ("S", D(2024, 1, 4), 2.0)],
+                                "series_id string, t date, value double")
+    out = panel.asof_fill(obs, "series_id", "t", "value", F.lit(D(2024, 1, 1)), F.lit(D(2024, 1, 6)),
+                          lag_days=1)
+    got = {r["timestamp"]: r["value"] for r in out.collect()}
+    assert got[D(2024, 1, 1)] is None and got[D(2024, 1, 2)] == 1.0 and got[D(2024, 1, 5)] == 2.0
