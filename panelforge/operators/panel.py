@@ -168,21 +168,23 @@ def densify(df: DataFrame, keys: Sequence[str], time: str, fields: Sequence[str]
             bounds: str = "global", step: str = "day") -> DataFrame:
     """Re-index every series onto the full calendar.
 
-    ``bounds="global"``: one span for all series, from the first to the last
-    time holding a value (two scalar sub-queries, no cross join).
-    ``bounds="entity"``: each series spans its own first..last valued time.
-    The grid is generated per key with ``explode(sequence(..))`` and
-    left-joined to the observations on (keys, time).
+    One aggregation per key gives the keys and each key's first / last time
+    holding a value.  ``bounds="global"``: one span for all keys (two
+    scalars reduced from that per-key table); ``bounds="entity"``: each key
+    spans its own valued times.  The grid is generated per key with
+    ``explode(sequence(..))`` (no cross join) and left-joined to the
+    observations on (keys, time).  ``df`` is read by the per-key aggregation
+    and by the join: materialize an expensive input first.
     """
-    active = df.where(any_not_null(fields)) if fields else df
+    t = F.col(time)
+    valued = any_not_null(fields) if fields else F.lit(True)
+    per_key = df.groupBy(*keys).agg(F.min(F.when(valued, t)).alias("_lo"), F.max(F.when(valued, t)).alias("_hi"))
     if bounds == "global":
-        b = active.agg(F.min(time).alias("lo"), F.max(time).alias("hi"))
-        ids = df.select(*keys).distinct()
-        grid = ids.select(*keys, calendar_days(b.select("lo").scalar(), b.select("hi").scalar(),
-                                               step, time))
+        # Two scalars, fetched once (scalar sub-queries would recompute the input per bound).
+        lo, hi = per_key.agg(F.min("_lo"), F.max("_hi")).first()
+        grid = per_key.select(*keys, calendar_days(F.lit(lo), F.lit(hi), step, time))
     elif bounds == "entity":
-        b = active.groupBy(*keys).agg(F.min(time).alias("_lo"), F.max(time).alias("_hi"))
-        grid = b.select(*keys, calendar_days(F.col("_lo"), F.col("_hi"), step, time))
+        grid = per_key.select(*keys, calendar_days(F.col("_lo"), F.col("_hi"), step, time))
     else:
         raise ValueError("bounds must be 'global' or 'entity'")
     return grid.join(df, [*keys, time], "left")

@@ -79,7 +79,8 @@ def _b2_dense(spark, sf, materialize: bool = True):
     """Dense daily event panel.  Every forecast branch (context, test, future,
     residuals) reads it, so it is computed once and checkpointed to the shared
     folder instead of re-scanning the raw events per branch."""
-    dense = panel.densify(B.event_series(spark, sf), ["id"], "timestamp", ["y", "x", "z"])
+    obs = B.event_series(spark, sf).checkpoint(eager=True)
+    dense = panel.densify(obs, ["id"], "timestamp", ["y", "x", "z"])
     return dense.checkpoint(eager=True) if materialize else dense
 
 
@@ -169,7 +170,9 @@ def q_fc_apply_model(spark, sf):
 
 
 def _b3_dense(spark, sf, materialize: bool = False):
-    dense = panel.densify(B.nation_series(spark, sf), ["id"], "timestamp", ["y"])
+    # The observed daily series is materialized once: densify reads it twice.
+    obs = B.nation_series(spark, sf).checkpoint(eager=True)
+    dense = panel.densify(obs, ["id"], "timestamp", ["y"])
     return dense.checkpoint(eager=True) if materialize else dense
 
 

@@ -1,8 +1,8 @@
 """Holiday calendars as a source.
 
 The reference asks a per-row holiday library for three calendars.  Here a
-calendar is a day grid (``explode(sequence(start, end))``) and every rule is
-a date predicate, so the whole calendar is one projection inside codegen:
+calendar is a day grid (``explode(sequence(start, end))``) equi-joined with a
+small rules table on match keys:
 
 fixed        month/day                          (H1)
 nth / last   n-th or last weekday of a month    (H2)
@@ -132,87 +132,91 @@ def easter_sunday(year: Column) -> Column:
     return F.make_date(y, div(s, 31), s % 31 + 1)
 
 
-# Helper columns per day, for the day itself and its neighbours (observed
-# shifts look one day back and one day ahead).
-OFFSETS = {"p": -1, "c": 0, "n": 1}
+# --------------------------------------------------------------------------
+# Rules as data.  Every rule has one match key (e.g. ``N:11-4-4`` = 4th
+# Thursday of November); every day emits the keys it satisfies for itself
+# ("c") and, when an observed shift can land on it, for the day before
+# ("p", Mondays) or after ("n", Fridays).  An equi-join with the broadcast
+# rules table (fixed, small) finds the holidays; year ranges, weekend and
+# observed policies are plain filters.  No per-rule expression is compiled.
 
+RULES_SCHEMA = ("cal string, ord int, name string, key string, first_year int, last_year int, "
+                "every int, observed string, kept boolean")
 
-def _helpers(time: str) -> list[Column]:
-    out = []
-    for tag, off in OFFSETS.items():
-        d = F.date_add(F.col(time), off)
-        out += [F.year(d).alias(f"_y{tag}"), F.month(d).alias(f"_m{tag}"),
-                F.dayofmonth(d).alias(f"_d{tag}"), iso_weekday(d).alias(f"_w{tag}"),
-                (F.month(F.date_add(d, 7)) != F.month(d)).alias(f"_l{tag}"),
-                F.datediff(d, easter_sunday(F.year(d))).alias(f"_e{tag}"),
-                d.alias(f"_t{tag}")]
-    return out
 
-
-def rule_matches(rule: Rule, tag: str = "c") -> Column:
-    """True on the date(s) the rule itself falls on, for the helper set ``tag``."""
-    y, m, d, w = (F.col(f"_{k}{tag}") for k in "ymdw")
-    if rule.kind == "date":
-        return F.col(f"_t{tag}") == F.lit(rule.date).cast("date")
+def rule_key(rule: Rule) -> str:
     if rule.kind == "fixed":
-        cond = (m == rule.month) & (d == rule.day)
-    elif rule.kind == "nth":
-        cond = (m == rule.month) & (w == rule.weekday) & (d.between(7 * rule.nth - 6, 7 * rule.nth))
-    elif rule.kind == "last":
-        cond = (m == rule.month) & (w == rule.weekday) & F.col(f"_l{tag}")
-    elif rule.kind == "after_first_monday":
-        cond = (m == rule.month) & (w == rule.weekday) & d.between(2, 8)
-    elif rule.kind == "easter":
-        cond = F.col(f"_e{tag}") == rule.offset
-    else:
-        raise ValueError(f"unknown rule kind {rule.kind!r}")
-    cond = cond & y.between(rule.first_year, rule.last_year)
-    if rule.every > 1:
-        cond = cond & (y % rule.every == 0)
-    return cond
-
-
-def rule_name(rule: Rule) -> Column:
-    """The rule's name on its own date, ``<name> (observed)`` on the shifted date, else NULL."""
-    own = rule_matches(rule, "c")
-    wd = F.col("_wc")
-    if not rule.weekend_kept:
-        own = own & (wd <= FRI)
-    out = F.when(own, F.lit(rule.name))
-    if rule.observed in ("both", "sun_only"):
-        shifted = (wd == MON) & rule_matches(rule, "p")
-        if rule.observed == "both":
-            shifted = shifted | ((wd == FRI) & rule_matches(rule, "n"))
-        out = F.coalesce(out, F.when(shifted, F.lit(rule.name + OBSERVED_SUFFIX)))
-    return out
-
-
-def calendar_column(rules: Sequence[Rule]) -> Column:
-    """All names of one calendar on a day joined with ``'; '`` (NULL when none)."""
-    return F.nullif(F.concat_ws("; ", *[rule_name(r) for r in rules]), F.lit(""))
+        return f"F:{rule.month}-{rule.day}"
+    if rule.kind == "nth":
+        return f"N:{rule.month}-{rule.weekday}-{rule.nth}"
+    if rule.kind == "last":
+        return f"L:{rule.month}-{rule.weekday}"
+    if rule.kind == "after_first_monday":
+        return f"A:{rule.month}-{rule.weekday}"
+    if rule.kind == "easter":
+        return f"E:{rule.offset}"
+    if rule.kind == "date":
+        return f"D:{rule.date}"
+    raise ValueError(f"unknown rule kind {rule.kind!r}")
+
+
+def rules_frame(spark, calendars: dict | None = None) -> DataFrame:
+    """One row per rule (calendar, position, name, match key, policies)."""
+    rows = [(cal, i, r.name, rule_key(r), r.first_year, r.last_year, r.every, r.observed, r.weekend_kept)
+            for cal, rules in (calendars or CALENDARS).items() for i, r in enumerate(rules)]
+    return spark.createDataFrame(rows, RULES_SCHEMA)
+
+
+def _day_keys(d: Column, tag: str) -> Column:
+    """Structs (tag, year, key) for every rule shape date ``d`` satisfies."""
+    y, m, dd, w = F.year(d), F.month(d), F.dayofmonth(d), iso_weekday(d)
+    last_week = F.month(F.date_add(d, 7)) != m
+
+    def k(*parts) -> Column:
+        return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
+
+    keys = [k("F:", m, "-", dd), k("N:", m, "-", w, "-", F.ceil(dd / 7).cast("int")),
+            F.when(last_week, k("L:", m, "-", w)), F.when(dd.between(2, 8), k("A:", m, "-", w)),
+            k("E:", F.datediff(d, easter_sunday(y))), k("D:", d.cast("string"))]
+    return F.array(*[F.struct(F.lit(tag).alias("tag"), y.alias("year"), key.alias("key")) for key in keys])
 
 
 def holiday_calendar(start: Column | str, end: Column | str, calendars: dict | None = None,
-                     time: str = "timestamp", spark=None, keep_empty: bool = False) -> DataFrame:
+                     time: str = "timestamp", spark=None) -> DataFrame:
     """One row per date that is a holiday in at least one calendar.
 
-    ``start``/``end`` are date columns of a one-row frame source (e.g. scalar
-    sub-queries over the data) or literal strings.  The day grid is bounded
-    by the span, so the result can be broadcast.
+    ``start``/``end`` are literal dates or columns (e.g. scalar sub-queries
+    over the data).  The day grid is bounded by the span; the result holds a
+    few rows per year and can be broadcast.
     """
     cals = calendars or CALENDARS
-    lo = F.lit(start).cast("date") if isinstance(start, str) else start
-    hi = F.lit(end).cast("date") if isinstance(end, str) else end
     if spark is None:
         from pyspark.sql import SparkSession
         spark = SparkSession.getActiveSession()
+    lo = F.lit(start).cast("date") if isinstance(start, str) else start
+    hi = F.lit(end).cast("date") if isinstance(end, str) else end
     days = spark.range(1).select(F.explode(F.sequence(lo, hi)).alias(time))
-    out = (days.select(time, *_helpers(time))
-           .select(time, *[calendar_column(rules).alias(name) for name, rules in cals.items()]))
-    if keep_empty:
-        return out
-    any_name = None
-    for name in cals:
-        c = F.col(name).isNotNull()
-        any_name = c if any_name is None else any_name | c
-    return out.where(any_name)
+    t = F.col(time)
+    wd = iso_weekday(t)
+    keys = F.concat(_day_keys(t, "c"),
+                    F.when(wd == MON, _day_keys(F.date_sub(t, 1), "p")).otherwise(F.array()),
+                    F.when(wd == FRI, _day_keys(F.date_add(t, 1), "n")).otherwise(F.array()))
+    cand = days.select(time, wd.alias("_w"), F.explode(keys).alias("k")).where(F.col("k.key").isNotNull())
+    rules = rules_frame(spark, cals)
+    hit = cand.join(F.broadcast(rules), cand["k.key"] == rules["key"])
+    yr = F.col("k.year")
+    in_years = yr.between(F.col("first_year"), F.col("last_year")) & (yr % F.col("every") == 0)
+    tag = F.col("k.tag")
+    named = (hit.where(in_years)
+             .select(time, "cal", "ord",
+                     F.when((tag == "c") & (F.col("kept") | (F.col("_w") <= FRI)), F.col("name"))
+                     .when((tag == "p") & F.col("observed").isin("both", "sun_only"),
+                           F.concat(F.col("name"), F.lit(OBSERVED_SUFFIX)))
+                     .when((tag == "n") & (F.col("observed") == "both"),
+                           F.concat(F.col("name"), F.lit(OBSERVED_SUFFIX))).alias("label"))
+             .where(F.col("label").isNotNull()))
+    per_cal = (named.groupBy(time, "cal")
+               .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "label"))),
+                                             lambda x: x["label"]), "; ").alias("names")))
+    return per_cal.groupBy(time).agg(*[F.max(F.when(F.col("cal") == c, F.col("names"))).alias(c)
+                                       for c in cals])
