@@ -95,3 +95,15 @@ def order_key(df: DataFrame, parts: Sequence[Column]) -> Column:
             key = term if key is None else F.shiftleft(key, b) + term
         return key
     return pack_order_key([(p, max(len(str(h)), 1)) for p, h in zip(parts, highs)])
+
+
+def stable_round(c: str | Column, digits: int) -> Column:
+    """Round after a nudge of half a unit three digits further down.
+
+    Terminating decimals (means of cent values, medians, day averages) often
+    sit exactly on a rounding tie, and two engines that add in a different
+    order land on either side of it.  The nudge moves the tie off the
+    decimal lattice, so equal values round equally; the result stays within
+    one unit of the last digit.
+    """
+    return F.round(col(c) + F.lit(0.5 * 10.0 ** -(digits + 3)), digits)

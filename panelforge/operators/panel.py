@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.aggs import first_valid, last_valid
-from ..functions.exprs import UNKNOWN_LABEL, col as order_col, format_ticker
+from ..functions.exprs import UNKNOWN_LABEL, col as order_col, format_ticker, stable_round
 from ..session import ensure_checkpoint_dir
 from .clean import any_not_null
 
@@ -117,7 +117,7 @@ def widen(df: DataFrame, entity: str, time: str, fields: Sequence[str], order: s
     ensure_checkpoint_dir(spark)
 
     def val(f: str) -> Column:
-        return F.round(F.col(f), round_digits) if round_digits is not None else F.col(f)
+        return stable_round(f, round_digits) if round_digits is not None else F.col(f)
 
     clean = df.where(F.col(entity).isNotNull() & F.col(time).isNotNull())
     # Labels: a narrow aggregation (entity, label, order) on its own.

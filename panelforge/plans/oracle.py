@@ -8,6 +8,13 @@ holiday construction instead of per-day predicates).
 
 from __future__ import annotations
 
+
+
+def _r(expr: str, digits: int = 4) -> str:
+    """Rounding with the tie nudge the Spark side uses (see ``stable_round``)."""
+    return f"round(({expr}) + {0.5 * 10.0 ** -(digits + 3)!r}, {digits})"
+
+
 # ------------------------------------------------------------------ bindings
 
 B1 = """
@@ -73,11 +80,6 @@ b3_ctx AS (SELECT * FROM b3 WHERE timestamp BETWEEN DATE '1995-01-01' AND DATE '
 LEVELS = "[0.1, 0.5, 0.9]"
 
 
-def _r(expr: str, digits: int = 4) -> str:
-    """Rounding with the tie nudge the Spark side uses (see ``stable_round``)."""
-    return f"round(({expr}) + {0.5 * 10.0 ** -(digits + 3)!r}, {digits})"
-
-
 def _q(p: str, q: str = "q", digits: int = 4) -> str:
     return (f"{_r(p, digits)} AS predictions, {_r(f'{p} + {q}[1]', digits)} AS q10, "
             f"{_r(f'{p} + {q}[2]', digits)} AS q50, {_r(f'{p} + {q}[3]', digits)} AS q90")
@@ -94,12 +96,12 @@ ENTITY_KEYS = "SELECT DISTINCT l_suppkey AS permco FROM lineitem WHERE l_suppkey
 LAST_LABEL = _with(B1, B1_LABEL) + "\nSELECT permco, label FROM b1_label"
 
 FIRST_VALID_LONG = _with(B1, B1_FIRST) + "\nSELECT permco, day AS timestamp, " + ", ".join(
-    f"round({f}, 6) AS {f}" for f in FIELDS) + " FROM b1_first"
+    f"{_r(f, 6)} AS {f}" for f in FIELDS) + " FROM b1_first"
 
 _B1_ENT = _with(
     B1, B1_LABEL, B1_FIRST,
     "b1_ent AS (SELECT CAST(f.permco AS VARCHAR) || '_' || l.label AS ent, f.day, "
-    + ", ".join(f"round(f.{x}, 6) AS {x}" for x in FIELDS)
+    + ", ".join(f"{_r('f.' + x, 6)} AS {x}" for x in FIELDS)
     + " FROM b1_first f JOIN b1_label l USING (permco))") + "\nSELECT * FROM b1_ent"
 
 PANEL_WIDE = _with(
@@ -126,7 +128,7 @@ SELECT CAST(sum(r) AS BIGINT) AS n_rows, CAST(sum(nk) AS BIGINT) AS n_null_keys,
 FROM per"""
 
 CSV_ROUNDTRIP = _with(B1) + "\nSELECT ticker, permco, dlycaldt, " + ", ".join(
-    f"round({f}, 6) AS {f}" for f in ["dlyprc", "dlycap", "dlyret", "dlyvol", "shrout", "sprtrn"]) + " FROM b1"
+    f"{_r(f, 6)} AS {f}" for f in ["dlyprc", "dlycap", "dlyret", "dlyvol", "shrout", "sprtrn"]) + " FROM b1"
 
 # --------------------------------------------------------------- B2 queries
 
@@ -202,16 +204,16 @@ sc AS (
 
 SCORE_BY_MODEL = _with(*_COMB, SCORED) + """
 SELECT model, n,
-       round(CASE WHEN bad > 0 THEN NULL ELSE mse END, 6) AS MSE,
-       round(CASE WHEN bad > 0 THEN NULL ELSE mae END, 6) AS MAE,
-       round(CASE WHEN bad > 0 THEN NULL ELSE sqrt(mse) END, 6) AS RMSE,
-       round(mape, 6) AS MAPE,
-       round(CASE WHEN bad > 0 THEN NULL ELSE 1 - sse / nullif(sst, 0) END, 6) AS R2
+       """ + _r("CASE WHEN bad > 0 THEN NULL ELSE mse END", 6) + """ AS MSE,
+       """ + _r("CASE WHEN bad > 0 THEN NULL ELSE mae END", 6) + """ AS MAE,
+       """ + _r("CASE WHEN bad > 0 THEN NULL ELSE sqrt(mse) END", 6) + """ AS RMSE,
+       """ + _r("mape", 6) + """ AS MAPE,
+       """ + _r("CASE WHEN bad > 0 THEN NULL ELSE 1 - sse / nullif(sst, 0) END", 6) + """ AS R2
 FROM sc"""
 
 SCORE_BY_MODEL_SKIP = _with(*_COMB, SCORED) + """
-SELECT model, n, n_valid, round(mse, 6) AS MSE, round(mae, 6) AS MAE, round(sqrt(mse), 6) AS RMSE,
-       round(mape, 6) AS MAPE, round(1 - sse / nullif(sst, 0), 6) AS R2
+SELECT model, n, n_valid, """ + _r("mse", 6) + " AS MSE, " + _r("mae", 6) + " AS MAE, " + _r("sqrt(mse)", 6) \
+    + " AS RMSE, " + _r("mape", 6) + " AS MAPE, " + _r("1 - sse / nullif(sst, 0)", 6) + """ AS R2
 FROM sc"""
 
 SCORE_LONG = _with(*_COMB, SCORED, """
@@ -223,7 +225,7 @@ SELECT model,
        mape AS MAPE,
        CASE WHEN bad > 0 THEN NULL ELSE 1 - sse / nullif(sst, 0) END AS R2
 FROM sc)""") + """
-SELECT model, metric, round(value, 6) AS value
+SELECT model, metric, """ + _r("value", 6) + """ AS value
 FROM wide UNPIVOT INCLUDE NULLS (value FOR metric IN (MSE, MAE, RMSE, MAPE, R2))"""
 
 PLOT_FRAME = _with(*_COMB, """

@@ -17,6 +17,7 @@ from ..operators import clean, panel
 from ..operators.forecast import Columns, forecast_ols, forecast_univariate, future_frame
 from ..operators.score import combine, score, score_long
 from ..sources.calendars import holiday_calendar
+from ..functions.exprs import stable_round
 from ..sources.files import write_table
 from .specs import DEFAULT_VARIANTS, ForecastSpec, QuerySpec, SplitSpec
 
@@ -119,19 +120,8 @@ def build_holidays(start: str | Column, end: str | Column, out_dir: str | None =
     return us, nyse
 
 
-def stable_round(c: Column, digits: int) -> Column:
-    """Round after a nudge of half a unit three digits further down.
-
-    Terminating decimals (means of cent values, medians) often sit exactly on
-    a rounding tie, and two engines that add in a different order land on
-    either side of it.  The nudge moves the tie off the decimal lattice, so
-    equal values round equally; the output stays within 10^-digits.
-    """
-    return F.round(c + F.lit(0.5 * 10.0 ** -(digits + 3)), digits)
-
-
-def round_doubles(df: DataFrame, digits: int = 6, stable: bool = False) -> DataFrame:
-    """Round every double column (comparison-friendly output)."""
+def round_doubles(df: DataFrame, digits: int = 6, stable: bool = True) -> DataFrame:
+    """Round every double column (comparison-friendly output; tie-stable by default)."""
     rnd = (lambda c: stable_round(c, digits)) if stable else (lambda c: F.round(c, digits))
     return df.select(*[rnd(F.col(f"`{f.name}`")).alias(f.name)
                        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f"`{f.name}`")
