@@ -127,3 +127,16 @@ def test_score_inner_join_drops_unmatched(spark):
     truth = spark.createDataFrame([(1, D(2024, 1, 1), 2.0)], "id long, timestamp date, y double")
     r = score(pred, truth).first()
     assert r["n"] == 1 and r["MSE"] == pytest.approx(1.0)
+
+
+def test_scalar_helpers(spark):
+    from panelforge.functions.aggs import adjusted_r2
+    from panelforge.functions.exprs import concat_name, format_entity, format_ticker
+    df = spark.createDataFrame([(17.0, " MSFT ", 0.5, 10), (17.5, None, 0.5, 3)],
+                               "p double, t string, r2 double, n long")
+    rows = df.select(format_entity("p").alias("e"), format_ticker("t").alias("t"),
+                     concat_name(format_entity("p"), format_ticker("t"), F.lit("dlyret")).alias("c"),
+                     adjusted_r2("r2", "n", 2).alias("a")).collect()
+    assert rows[0]["e"] == "17" and rows[0]["t"] == "MSFT" and rows[0]["c"] == "17_MSFT_dlyret"
+    assert rows[0]["a"] == pytest.approx(1 - 0.5 * 9 / 7)
+    assert rows[1]["e"] == "17.5" and rows[1]["t"] == "unknown" and rows[1]["a"] is None
