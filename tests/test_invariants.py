@@ -246,3 +246,16 @@ def test_asof_fill_respects_availability_lag(spark):
                           lag_days=1)
     got = {r["timestamp"]: r["value"] for r in out.collect()}
     assert got[D(2024, 1, 1)] is None and got[D(2024, 1, 2)] == 1.0 and got[D(2024, 1, 5)] == 2.0
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, D(2020, 1, 1) + dt.timedelta(days=d), float(rng.normal()))
+            for i in range(3) for d in range(400)]
+    ctx = spark.createDataFrame(rows, "id long, timestamp date, y double")
+    exact = {(r["id"], r["timestamp"]): r for r in forecast_univariate(ctx, "mean", 2).collect()}
+    approx = forecast_univariate(ctx, "mean", 2, quantile_method="approx").collect()
+    for r in approx:
+        e = exact[(r["id"], r["timestamp"])]
+        assert r["predictions"] == pytest.approx(e["predictions"])
+        assert abs(r["q90"] - e["q90"]) < 0.05 and abs(r["q10"] - e["q10"]) < 0.05
