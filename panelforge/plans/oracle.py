@@ -267,6 +267,17 @@ tagged AS (
 
 PANEL_SPLITS = _with(B3, SPLITS) + "\nSELECT id, timestamp, y, split FROM tagged"
 
+PANEL_SPLITS_PER_KEY = _with(B3, """
+span AS (SELECT id, min(timestamp) AS lo, max(timestamp) AS hi FROM b3 WHERE y IS NOT NULL GROUP BY id),
+cuts AS (SELECT id, lo, hi,
+                CAST(lo + CAST(floor((hi - lo) * 0.7) AS INTEGER) AS DATE) AS c_end,
+                CAST(lo + CAST(floor((hi - lo) * 0.85) AS INTEGER) AS DATE) AS v_end FROM span),
+wins AS (
+  SELECT id, 'context' AS split, lo AS s, c_end AS e FROM cuts
+  UNION ALL SELECT id, 'validation', CAST(c_end + 1 AS DATE), v_end FROM cuts
+  UNION ALL SELECT id, 'test', CAST(v_end + 1 AS DATE), hi FROM cuts)""") + """
+SELECT b.id, b.timestamp, b.y, w.split FROM b3 b JOIN wins w ON b.id = w.id AND b.timestamp BETWEEN w.s AND w.e"""
+
 SPLIT_COUNTS = _with(B3, SPLITS) + """
 SELECT split, count(*) AS n_rows, count(DISTINCT id) AS n_ids, min(timestamp) AS min_ts,
        max(timestamp) AS max_ts, count(y) AS n_valued, round(sum(y), 2) AS sum_y
@@ -469,6 +480,7 @@ ORACLE: dict[str, str] = {
     "csv_roundtrip": CSV_ROUNDTRIP,
     "panel_densified": PANEL_DENSIFIED,
     "panel_splits": PANEL_SPLITS,
+    "panel_splits_per_key": PANEL_SPLITS_PER_KEY,
     "split_counts": SPLIT_COUNTS,
     "profile": PROFILE,
     "fc_naive": FC_NAIVE,

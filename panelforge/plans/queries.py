@@ -180,6 +180,27 @@ def q_panel_splits(spark, sf):
     return panel.split_windows(_b3_dense(spark, sf), B.B3_WINDOWS, "timestamp")
 
 
+def q_panel_splits_per_key(spark, sf):
+    """T10 ``partition_by``: windows per series from its own valued span
+    (first 70 % context, next 15 % validation, rest test), applied by an
+    equi-join on the key plus a range condition."""
+    dense = _b3_dense(spark, sf)
+    span = (dense.where(F.col("y").isNotNull()).groupBy("id")
+            .agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")))
+    n = F.datediff("hi", "lo")
+    c_end = F.date_add("lo", F.floor(n * 0.7).cast("int"))
+    v_end = F.date_add("lo", F.floor(n * 0.85).cast("int"))
+
+    def win(name, start, end):
+        return F.struct(F.lit(name).alias("split"), start.alias("start"), end.alias("end"))
+
+    bounds = span.select("id", F.explode(F.array(
+        win("context", F.col("lo"), c_end),
+        win("validation", F.date_add(c_end, 1), v_end),
+        win("test", F.date_add(v_end, 1), F.col("hi")))).alias("w")).select("id", "w.*")
+    return panel.split_per_key(dense, bounds, ["id"])
+
+
 def q_split_counts(spark, sf):
     tagged = q_panel_splits(spark, sf)
     return tagged.groupBy("split").agg(
@@ -276,6 +297,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_roundtrip": q_csv_roundtrip,
     "panel_densified": q_panel_densified,
     "panel_splits": q_panel_splits,
+    "panel_splits_per_key": q_panel_splits_per_key,
     "split_counts": q_split_counts,
     "profile": q_profile,
     "fc_naive": q_fc_naive,
