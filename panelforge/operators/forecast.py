@@ -67,10 +67,12 @@ class Columns:
 
 
 def time_grid(last: DataFrame, horizon: int, cols: Columns = Columns(), step: str = "day",
-              last_col: str = "_T") -> DataFrame:
-    """T5: ``id, _k, timestamp`` for steps 1..horizon after each series' last time."""
-    return (last.select(cols.id, last_col, F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("_k"))
-            .select(cols.id, "_k", add_steps(last_col, "_k", step).alias(cols.time)))
+              last_col: str = "_T", keep: Sequence[str] = ()) -> DataFrame:
+    """T5: ``id, _k, timestamp`` (+ ``keep`` columns carried along) for steps
+    1..horizon after each series' last time: a generator, no join."""
+    return (last.select(cols.id, last_col, *keep,
+                        F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("_k"))
+            .select(cols.id, "_k", add_steps(last_col, "_k", step).alias(cols.time), *keep))
 
 
 def future_frame(test: DataFrame, horizon: int, cols: Columns = Columns()) -> DataFrame:
@@ -129,9 +131,8 @@ def forecast_univariate(context: DataFrame, method: str, horizon: int, cols: Col
         season_vals = (win.where(F.datediff(F.col("_T"), F.col(t)) < m)
                        .select(i, (F.lit(m) - F.datediff(F.col("_T"), F.col(t))).alias("_pos"),
                                F.col(y).alias("predictions")))
-        grid = time_grid(fit, horizon, cols, step).withColumn("_pos", (F.col("_k") - 1) % m + 1)
-        pts = (grid.join(season_vals, [i, "_pos"], "left")
-               .join(fit.select(i, "_off"), i, "left"))
+        grid = time_grid(fit, horizon, cols, step, keep=["_off"]).withColumn("_pos", (F.col("_k") - 1) % m + 1)
+        pts = grid.join(season_vals, [i, "_pos"], "left")
         return _assemble(pts, cols, levels, name)
 
     # Every method below skips missing targets but keeps the series' last time
@@ -144,14 +145,14 @@ def forecast_univariate(context: DataFrame, method: str, horizon: int, cols: Col
         win = ctx.select(i, t, y, (F.col(y) - prev_y).alias("_e"))
         fit = win.groupBy(i).agg(F.max(t).alias("_T"), F.max_by(y, F.when(valued, F.col(t))).alias("_p"),
                                  _quantile_offsets(F.col("_e"), levels, quantile_method).alias("_off"))
-        pts = time_grid(fit, horizon, cols, step).join(fit.select(i, "_p", "_off"), i)
+        pts = time_grid(fit, horizon, cols, step, keep=["_p", "_off"])
         return _assemble(pts.withColumn("predictions", F.col("_p")), cols, levels, name)
 
     if method == "mean":
         win = ctx.select(i, t, y, (F.col(y) - F.avg(y).over(part)).alias("_e"))
         fit = win.groupBy(i).agg(F.max(t).alias("_T"), F.avg(y).alias("_p"),
                                  _quantile_offsets(F.col("_e"), levels, quantile_method).alias("_off"))
-        pts = time_grid(fit, horizon, cols, step).join(fit.select(i, "_p", "_off"), i)
+        pts = time_grid(fit, horizon, cols, step, keep=["_p", "_off"])
         return _assemble(pts.withColumn("predictions", F.col("_p")), cols, levels, name)
 
     if method == "drift":
@@ -165,7 +166,7 @@ def forecast_univariate(context: DataFrame, method: str, horizon: int, cols: Col
         fit = win.groupBy(i).agg(F.max(t).alias("_T"), F.max_by(y, F.when(valued, F.col(t))).alias("_ly"),
                                  F.max("_x").alias("_lx"), F.max("_b").alias("_b"),
                                  _quantile_offsets(e, levels, quantile_method).alias("_off"))
-        pts = time_grid(fit, horizon, cols, step).join(fit.select(i, "_ly", "_lx", "_b", "_off"), i)
+        pts = time_grid(fit, horizon, cols, step, keep=["_ly", "_lx", "_b", "_off"])
         pts = pts.withColumn("predictions", F.col("_ly") + F.col("_b") * (day_index(t) - F.col("_lx")))
         return _assemble(pts, cols, levels, name)
 
@@ -176,7 +177,7 @@ def forecast_univariate(context: DataFrame, method: str, horizon: int, cols: Col
         e = F.col(y) - (F.col("_a") + F.col("_b") * F.col("_x"))
         fit = win.groupBy(i).agg(F.max(t).alias("_T"), F.max("_a").alias("_a"), F.max("_b").alias("_b"),
                                  _quantile_offsets(e, levels, quantile_method).alias("_off"))
-        pts = time_grid(fit, horizon, cols, step).join(fit.select(i, "_a", "_b", "_off"), i)
+        pts = time_grid(fit, horizon, cols, step, keep=["_a", "_b", "_off"])
         pts = pts.withColumn("predictions", F.col("_a") + F.col("_b") * day_index(t))
         return _assemble(pts, cols, levels, name)
 
@@ -292,7 +293,8 @@ def forecast_ols(context: DataFrame, future: DataFrame, covariates: Sequence[str
     resid = (ctx.join(params, unit)
              .select(unit, (F.col(y) - _linear(xs)).alias("_e")))
     offs = resid.groupBy(unit).agg(_quantile_offsets(F.col("_e"), levels, quantile_method).alias("_off"))
-    pts = (fut.join(params, unit, "left").join(offs, unit, "left")
+    fitted = params.join(offs, unit, "left")
+    pts = (fut.join(fitted, unit, "left")
            .select(i, t, _linear(xs).alias("predictions"), "_off"))
     return _assemble(pts, cols, levels, name)
 
