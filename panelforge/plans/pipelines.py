@@ -59,7 +59,9 @@ def query_panel(long_df: DataFrame, spec: QuerySpec, fields: Sequence[str] = cle
     wanted = [spec.target, *spec.covariates]
     labels = panel.last_label(long_df, "permco", "ticker", F.struct("timestamp", order_col))
     keep = labels.where(F.col("label").isin(wanted)).select("permco")
-    chosen = long_df.join(F.broadcast(keep), "permco", "left_semi")
+    # No broadcast hint: the number of matching entities is not bounded here;
+    # AQE broadcasts it after measuring when it is small.
+    chosen = long_df.join(keep, "permco", "left_semi")
     return wide_panel(chosen, fields=[f for f in fields if not spec.variables or f in spec.variables],
                       order_col=order_col, prefix_entity=prefix_entity)
 

@@ -259,3 +259,12 @@ def test_approx_quantiles_close_to_exact(spark):
         e = exact[(r["id"], r["timestamp"])]
         assert r["predictions"] == pytest.approx(e["predictions"])
         assert abs(r["q90"] - e["q90"]) < 0.05 and abs(r["q10"] - e["q10"]) < 0.05
+
+
+def test_densify_hourly_steps(spark):
+    rows = [(1, dt.datetime(2024, 1, 1, 0), 1.0), (1, dt.datetime(2024, 1, 1, 5), 2.0),
+            (2, dt.datetime(2024, 1, 1, 2), 3.0)]
+    df = spark.createDataFrame(rows, "id long, timestamp timestamp_ntz, y double")
+    dense = panel.densify(df, ["id"], "timestamp", ["y"], step="hour")
+    assert dense.count() == 2 * 6
+    assert dense.where("id = 2 AND y IS NOT NULL").count() == 1
