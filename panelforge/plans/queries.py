@@ -148,6 +148,8 @@ def q_score_long(spark, sf):
 
 def q_plot_frame(spark, sf):
     comb, ctx, test = _combined(spark, sf)
+    # Every model's frame reads the forecasts: compute the variants once.
+    comb = comb.checkpoint(eager=True)
     frames = None
     for m in ("no_covariates", "with_covariates", "with_covariates_cross_learning"):
         f = plot_frame(ctx, comb.where(F.col("model") == m), test, COLS, history_length=14)
