@@ -214,8 +214,12 @@ def holiday_calendar(start: Column | str, end: Column | str, calendars: dict | N
                      .when((tag == "n") & (F.col("observed") == "both"),
                            F.concat(F.col("name"), F.lit(OBSERVED_SUFFIX))).alias("label"))
              .where(F.col("label").isNotNull()))
-    per_cal = (named.groupBy(time, "cal")
-               .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "label"))),
-                                             lambda x: x["label"]), "; ").alias("names")))
-    return per_cal.groupBy(time).agg(*[F.max(F.when(F.col("cal") == c, F.col("names"))).alias(c)
-                                       for c in cals])
+    # One aggregation per day (a handful of names); the calendars are split
+    # out of the sorted list with array functions, in rule order.
+    per_day = named.groupBy(time).agg(F.array_sort(F.collect_list(F.struct("cal", "ord", "label"))).alias("_l"))
+
+    def names(c: str) -> Column:
+        picked = F.transform(F.filter("_l", lambda x: x["cal"] == c), lambda x: x["label"])
+        return F.nullif(F.array_join(picked, "; "), F.lit("")).alias(c)
+
+    return per_day.select(time, *[names(c) for c in cals])
