@@ -44,6 +44,13 @@ def day_index(c: str | Column) -> Column:
     return F.datediff(col(c), F.lit("1970-01-01").cast("date")).cast("double")
 
 
+def time_index(c: str | Column, step: str = "day") -> Column:
+    """Regressor for trends in units of the series step: days (day / week) or hours."""
+    if step == "hour":
+        return day_index(c) * 24 + F.hour(col(c)).cast("double")
+    return day_index(c)
+
+
 def add_steps(ts: str | Column, k: str | Column, step: str = "day") -> Column:
     """Move a time column forward by ``k`` steps (day / week / hour)."""
     t, n = col(ts), col(k)

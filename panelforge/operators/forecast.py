@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exprs import add_steps, day_index
+from ..functions.exprs import add_steps, time_index
 from .index import batch_groups
 
 
@@ -119,7 +119,7 @@ def forecast_univariate(context: DataFrame, method: str, horizon: int, cols: Col
     part = Window.partitionBy(i)
     ordered = part.orderBy(t)
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    tx = day_index(t)
+    tx = time_index(t, step)
 
     if method == "seasonal_naive":
         m = season
@@ -167,7 +167,7 @@ def forecast_univariate(context: DataFrame, method: str, horizon: int, cols: Col
                                  F.max("_x").alias("_lx"), F.max("_b").alias("_b"),
                                  _quantile_offsets(e, levels, quantile_method).alias("_off"))
         pts = time_grid(fit, horizon, cols, step, keep=["_ly", "_lx", "_b", "_off"])
-        pts = pts.withColumn("predictions", F.col("_ly") + F.col("_b") * (day_index(t) - F.col("_lx")))
+        pts = pts.withColumn("predictions", F.col("_ly") + F.col("_b") * (time_index(t, step) - F.col("_lx")))
         return _assemble(pts, cols, levels, name)
 
     if method == "trend":
@@ -178,7 +178,7 @@ def forecast_univariate(context: DataFrame, method: str, horizon: int, cols: Col
         fit = win.groupBy(i).agg(F.max(t).alias("_T"), F.max("_a").alias("_a"), F.max("_b").alias("_b"),
                                  _quantile_offsets(e, levels, quantile_method).alias("_off"))
         pts = time_grid(fit, horizon, cols, step, keep=["_a", "_b", "_off"])
-        pts = pts.withColumn("predictions", F.col("_a") + F.col("_b") * day_index(t))
+        pts = pts.withColumn("predictions", F.col("_a") + F.col("_b") * time_index(t, step))
         return _assemble(pts, cols, levels, name)
 
     raise ValueError(f"unknown method {method!r}")

@@ -268,3 +268,13 @@ def test_densify_hourly_steps(spark):
     dense = panel.densify(df, ["id"], "timestamp", ["y"], step="hour")
     assert dense.count() == 2 * 6
     assert dense.where("id = 2 AND y IS NOT NULL").count() == 1
+
+
+def test_hourly_trend_and_drift(spark):
+    start = dt.datetime(2024, 1, 1, 20)
+    rows = [(1, start + dt.timedelta(hours=h), 3.0 * h + 1) for h in range(12)]
+    ctx = spark.createDataFrame(rows, "id long, timestamp timestamp_ntz, y double")
+    for method in ("trend", "drift"):
+        out = forecast_univariate(ctx, method, 3, step="hour").orderBy("timestamp").collect()
+        assert [r["timestamp"] for r in out] == [start + dt.timedelta(hours=h) for h in (12, 13, 14)]
+        assert [r["predictions"] for r in out] == pytest.approx([37.0, 40.0, 43.0]), method
