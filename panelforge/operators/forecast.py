@@ -128,9 +128,9 @@ def forecast_univariate(context: DataFrame, method: str, horizon: int, cols: Col
                          (F.col(y) - F.lag(y, m).over(ordered)).alias("_e"))
         fit = win.groupBy(i).agg(F.max("_T").alias("_T"),
                                  _quantile_offsets(F.col("_e"), levels, quantile_method).alias("_off"))
-        season_vals = (win.where(F.datediff(F.col("_T"), F.col(t)) < m)
-                       .select(i, (F.lit(m) - F.datediff(F.col("_T"), F.col(t))).alias("_pos"),
-                               F.col(y).alias("predictions")))
+        back = (time_index("_T", step) - time_index(t, step)).cast("int")  # steps before the origin
+        season_vals = (win.where(back < m)
+                       .select(i, (F.lit(m) - back).alias("_pos"), F.col(y).alias("predictions")))
         grid = time_grid(fit, horizon, cols, step, keep=["_off"]).withColumn("_pos", (F.col("_k") - 1) % m + 1)
         pts = grid.join(season_vals, [i, "_pos"], "left")
         return _assemble(pts, cols, levels, name)

@@ -278,3 +278,11 @@ def test_hourly_trend_and_drift(spark):
         out = forecast_univariate(ctx, method, 3, step="hour").orderBy("timestamp").collect()
         assert [r["timestamp"] for r in out] == [start + dt.timedelta(hours=h) for h in (12, 13, 14)]
         assert [r["predictions"] for r in out] == pytest.approx([37.0, 40.0, 43.0]), method
+
+
+def test_seasonal_naive_hourly(spark):
+    start = dt.datetime(2024, 1, 1, 0)
+    rows = [(1, start + dt.timedelta(hours=h), float(h % 24)) for h in range(72)]
+    ctx = spark.createDataFrame(rows, "id long, timestamp timestamp_ntz, y double")
+    out = forecast_univariate(ctx, "seasonal_naive", 26, season=24, step="hour").orderBy("timestamp").collect()
+    assert [r["predictions"] for r in out] == [float(h % 24) for h in range(26)]
