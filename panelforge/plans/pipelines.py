@@ -44,9 +44,9 @@ def forecast_input(df: DataFrame, cols: Columns = Columns(), covariates: Sequenc
     """P7/P9/P11 (M6): ``id`` as text, time parsed, target plus chosen covariates."""
     idc = F.col(cols.id).cast("string") if id_as_string else F.col(cols.id)
     t = F.col(cols.time)
-    return df.select(idc.alias(cols.id), F.coalesce(t.try_cast("date"), F.to_date(t)).alias(cols.time)
-                     if isinstance(df.schema[cols.time].dataType, T.StringType) else t.alias(cols.time),
-                     cols.target, *covariates)
+    if isinstance(df.schema[cols.time].dataType, T.StringType):
+        t = t.try_cast("date")
+    return df.select(idc.alias(cols.id), t.alias(cols.time), cols.target, *covariates)
 
 
 def query_panel(long_df: DataFrame, spec: QuerySpec, fields: Sequence[str] = clean.PANEL_FIELDS,
