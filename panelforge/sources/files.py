@@ -53,6 +53,24 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
     return df
 
 
+def with_input_order(df: DataFrame, out: str = "ord") -> DataFrame:
+    """Q5/Q6: an ordering key that follows the rows' position in the input files.
+
+    Must be applied directly on a file scan.  ``(file path, split start,
+    increasing id)``: rows of one split are read in file order, and splits
+    and files are ordered by start offset and path (sorted file names, as a
+    sorted glob would give).  The key is a struct, so ``min_by`` /
+    ``max_by`` over it plan a sort-based aggregation; derive a numeric key
+    from business columns when one exists.
+    """
+    from pyspark.sql import functions as F
+
+    key = F.struct(F.col("_metadata.file_path").alias("file"),
+                   F.col("_metadata.file_block_start").alias("block"),
+                   F.monotonically_increasing_id().alias("row"))
+    return df.select("*", key.alias(out))
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: Sequence[str] | None = None, header: bool = True) -> None:
     """Write Parquet or CSV; the writer creates the folder."""

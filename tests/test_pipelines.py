@@ -64,3 +64,19 @@ def test_csv_extra_na_tokens(spark):
     rows = sorted(back.collect(), key=lambda r: str(r["v"]))
     assert [r["ticker"] for r in rows] == ["A", None, None]
     assert sorted([r["v"] for r in rows], key=str) == ["1.5", "2", None]
+
+
+def test_input_order_follows_the_file(spark):
+    from panelforge.operators import panel
+    from panelforge.sources.files import with_input_order
+    path = scratch_path(spark, "input_order")
+    rows = [(1, "2024-01-02", None, "AAA"), (1, "2024-01-02", 0.5, "BBB"), (1, "2024-01-02", 0.7, None),
+            (2, "2024-01-03", 0.1, "CCC")]
+    spark.createDataFrame(rows, "permco long, timestamp string, dlyret double, ticker string") \
+        .coalesce(1).write.option("header", True).csv(path)
+    df = with_input_order(read_csv(spark, path, schema="permco long, timestamp string, dlyret double, ticker string"))
+    first = panel.first_valid_long(df, ["permco", "timestamp"], ["dlyret"], "ord")
+    got = {r["permco"]: r["dlyret"] for r in first.collect()}
+    assert got == {1: 0.5, 2: 0.1}
+    labels = {r["permco"]: r["label"] for r in panel.last_label(df, "permco", "ticker", "ord").collect()}
+    assert labels == {1: "BBB", 2: "CCC"}
