@@ -25,8 +25,10 @@ from .specs import DEFAULT_VARIANTS, ForecastSpec, QuerySpec, SplitSpec
 def long_panel(raw: DataFrame, order_col: str = "ord", on_error: str = "null") -> DataFrame:
     """Normalise headers, require and project columns, parse dates, drop null keys."""
     df = clean.normalise_headers(raw)
-    extra = [order_col] if order_col in df.columns else []
-    df = clean.to_long_panel(df, extra=extra)
+    if order_col not in df.columns:
+        raise KeyError(f"no input-order column {order_col!r}: first-valid and last-label need one "
+                       "(use sources.files.with_input_order on the file scan, or a business key)")
+    df = clean.to_long_panel(df, extra=[order_col])
     df = clean.parse_time(df, "timestamp", on_error=on_error)
     return clean.drop_null_keys(df, ["permco", "timestamp"])
 
