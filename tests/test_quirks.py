@@ -140,3 +140,17 @@ def test_scalar_helpers(spark):
     assert rows[0]["e"] == "17" and rows[0]["t"] == "MSFT" and rows[0]["c"] == "17_MSFT_dlyret"
     assert rows[0]["a"] == pytest.approx(1 - 0.5 * 9 / 7)
     assert rows[1]["e"] == "17.5" and rows[1]["t"] == "unknown" and rows[1]["a"] is None
+
+
+def test_order_key_bigint_and_decimal_fallback(spark):
+    from panelforge.functions.exprs import order_key
+    small = spark.createDataFrame([(1, 2), (1, 3), (2, 0)], "a long, b long")
+    k = order_key(small, [F.col("a"), F.col("b")])
+    out = small.select("a", "b", k.alias("k"))
+    assert dict(out.dtypes)["k"] == "bigint"
+    assert [(r["a"], r["b"]) for r in out.orderBy("k").collect()] == [(1, 2), (1, 3), (2, 0)]
+    big = spark.createDataFrame([(2 ** 40, 2 ** 30), (2 ** 40, 2 ** 30 + 1), (2 ** 40 + 1, 0)], "a long, b long")
+    k = order_key(big, [F.col("a"), F.col("b")])
+    out = big.select("a", "b", k.alias("k"))
+    assert dict(out.dtypes)["k"].startswith("decimal")
+    assert [(r["a"], r["b"]) for r in out.orderBy("k").collect()] == sorted((r["a"], r["b"]) for r in big.collect())
