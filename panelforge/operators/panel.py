@@ -98,9 +98,10 @@ def widen(df: DataFrame, entity: str, time: str, fields: Sequence[str], order: s
           id_value: object = 1, round_digits: int | None = None) -> DataFrame:
     """Long panel -> dense wide daily panel.
 
-    1. label per entity = last valid label in (time, order) (A1) -> names.
-       The label table is collected: one row per output column group,
-       bounded by ``max_entities`` (beyond it keep the panel long).
+    1. one aggregation per entity: label = last valid label in (time, order)
+       (A1) -> names, plus first / last valued day (Q2 calendar bounds).
+       The table is collected: one row per output column group, bounded by
+       ``max_entities`` (beyond it keep the panel long).
     2. one hash aggregation on (entity, day): the first valid value of every
        field (A2), map-side combined.
     3. every entity gets the calendar from the first to the last date holding
@@ -120,11 +121,19 @@ def widen(df: DataFrame, entity: str, time: str, fields: Sequence[str], order: s
         return stable_round(f, round_digits) if round_digits is not None else F.col(f)
 
     clean = df.where(F.col(entity).isNotNull() & F.col(time).isNotNull())
-    # Labels: a narrow aggregation (entity, label, order) on its own.
-    labels = last_label(clean, entity, label, F.struct(F.col(time), order_col(order)))
-    rows = labels.orderBy(entity).limit(max_entities + 1).collect()
+    # One pass per entity: its label (A1) and its first / last valued day
+    # (Q2); the global calendar bounds are reduced from these rows.
+    valued_t = F.when(any_not_null(fields), F.col(time))
+    summary = (clean.groupBy(entity)
+               .agg(last_valid(label, F.struct(F.col(time), order_col(order))).alias("_raw"),
+                    F.min(valued_t).alias("_lo"), F.max(valued_t).alias("_hi"))
+               .select(entity, format_ticker("_raw").alias("label"), "_lo", "_hi"))
+    rows = summary.orderBy(entity).limit(max_entities + 1).collect()
     if len(rows) > max_entities:
         raise ValueError(f"more than {max_entities} entities: keep the panel long or select entities")
+    los = [r["_lo"] for r in rows if r["_lo"] is not None]
+    his = [r["_hi"] for r in rows if r["_hi"] is not None]
+    lo, hi = (min(los), max(his)) if los else (None, None)
     values = [r[entity] for r in rows]
     ent_text = [r[entity] if isinstance(r[entity], str) else
                 (str(int(r[entity])) if float(r[entity]).is_integer() else str(r[entity])) for r in rows]
@@ -133,8 +142,6 @@ def widen(df: DataFrame, entity: str, time: str, fields: Sequence[str], order: s
     # Numeric fields only: a fixed-width buffer keeps this on HashAggregate
     # (a string value in the buffer would force the sort-based path).
     firsts = clean.groupBy(entity, time).agg(*[first_valid(f, order).alias(f) for f in fields])
-    # Q2: first and last date holding any value (two scalars).
-    lo, hi = clean.where(any_not_null(fields)).agg(F.min(time), F.max(time)).first()
 
     ent_type = df.schema[entity].dataType.simpleString()
     # Bounded by max_entities (checked above): safe to broadcast.
