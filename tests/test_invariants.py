@@ -286,3 +286,17 @@ def test_seasonal_naive_hourly(spark):
     ctx = spark.createDataFrame(rows, "id long, timestamp timestamp_ntz, y double")
     out = forecast_univariate(ctx, "seasonal_naive", 26, season=24, step="hour").orderBy("timestamp").collect()
     assert [r["predictions"] for r in out] == [float(h % 24) for h in range(26)]
+
+
+def test_registry_filters_reach_the_parquet_scan(spark):
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        plan = _plan(QUERIES["registry_load"](spark, SF001))
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
+    scan = next(line for line in plan.splitlines() if "orders.parquet" in line)
+    pushed = scan.split("PushedFilters:")[1].split("ReadSchema:")[0]
+    assert "In(o_orderpriority" in pushed and "GreaterThanOrEqual(o_orderdate" in pushed
+    schema = scan.split("ReadSchema:")[1]
+    assert "o_orderpriority" in schema and "o_comment" not in schema
