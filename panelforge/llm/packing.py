@@ -34,7 +34,7 @@ from .scratch import written
 from .ship import ship
 from .tokens import UnitTokenizer, with_end
 
-UNIT, DEPTH, STEPS = 16, 3, 400
+UNIT, DEPTH, STEPS = 8, 3, 400
 
 
 def patterns(groups: np.ndarray, capacity: int) -> list[tuple[int, ...]]:

@@ -28,7 +28,7 @@ BITS = 6
 RULES = {
     "mean_word": ("word_chars", "n_words", 1000, 5, 100, True),
     "symbols": ("n_symbols", "word_chars", 10000, 5, 200, False),
-    "dup_lines": ("n_dup_lines", "n_lines", 10000, 5, 3000, False),
+    "dup_lines": ("n_dup_lines", "n_lines", 10000, 5, 3400, False),
     "repeats": ("n_repeat_words", "n_words", 10000, 5, 2000, False),
 }
 MIN_GROUP = 200

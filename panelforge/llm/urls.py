@@ -93,13 +93,13 @@ def judge_urls(pages: DataFrame, url: str = "url", rules=RULES, keep: tuple[str,
     spark.catalog.dropTempView("__url_counts")
     trained = counts.filter("label IS NOT NULL").select("label").distinct().count() == 2
     own = [c for c in keep if c not in ("host", "path", "rule", "verdict", "score")]
+    if not trained:
+        return parts.select(*own, "host", "path", "rule", F.coalesce("__label", F.lit("allow")).alias("verdict"),
+                            F.lit(None).cast("long").alias("score"))
     scored = (exploded.join(F.broadcast(model), F.col("__gram") == F.col("gram"))
               .groupBy("__row", *own, "host", "path", "rule", "__label")
               .agg(F.sum("llr").alias("__sum"), F.count("*").alias("__n"))
               .withColumn("score", F.expr("CAST(floor(__sum / __n) AS bigint)")))
-    if not trained:
-        return scored.select(*own, "host", "path", "rule", F.coalesce("__label", F.lit("allow")).alias("verdict"),
-                             F.lit(None).cast("long").alias("score"))
     scored = written(scored.withColumn("__bin", F.expr(f"greatest(-{CLIP}, least({CLIP}, CAST(floor(score / {BIN}) AS int)))")), "url-scores")
     cut = cut_point(scored)
     method = F.when(F.col("__bin") >= cut, "allow").otherwise("block")
