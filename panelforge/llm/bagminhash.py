@@ -16,9 +16,11 @@ equal to the texts' weighted Jaccard similarity; a text costs about
 ``BANDS`` bands of ``M / BANDS`` components: a pair of similarity 0.8 shares a band
 with probability 1 - 5e-8.  Pairs are not listed by bucket.  First, each text is
 checked against one leader (the smallest node of its buckets, the one it shares most
-bands with), which resolves groups of copies of any size in linear work.  Only
-bucket-mates that are then still in different classes are checked pairwise.  A check
-compares whole multisets exactly.  Classes are the connected components of the pairs
+bands with), which resolves groups of copies of any size in linear work.  Then
+bucket-mates that are still in different classes become a pair if the shingles that
+each shares with any other such text could suffice, and at least ``AGREE`` of the ``M`` signature bytes agree (at similarity 0.8 fewer do with
+probability 3e-6), once each, in the first band they share.  A check compares whole
+multisets exactly.  Classes are the connected components of the pairs
 at or over the threshold.  Equal texts are one node from the start.
 
 Shuffles: hot texts are pre-aggregated by md5; joins on buckets, leaders and md5 are
@@ -42,7 +44,7 @@ from .components import components
 from .scratch import written
 from .ship import ship
 
-M, BANDS, WIDTH = 128, 32, 5
+M, BANDS, WIDTH, AGREE = 128, 32, 5, 82
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
@@ -124,13 +126,16 @@ def _features(batches):
             n = hi - lo
             h, row = shingles(data, offs)
             size = np.bincount(row, minlength=n)
-            keys = bands(signatures(*weights(h, row), n))
+            won = signatures(*weights(h, row), n)
+            keys = bands(won)
+            low = won.astype(np.uint8).view(np.int64)  # M bytes a row, a band is half of a long
             has = size > 0
             at = np.concatenate(([0], np.cumsum(np.where(has, BANDS, 0)))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(lo, n), batch.column(1).slice(lo, n), pa.array(size, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(at), pa.array(keys[has].ravel().view(np.int64)))],
-                names=["key", "md5", "size", "bands"])
+                 pa.ListArray.from_arrays(pa.array(at), pa.array(keys[has].ravel().view(np.int64))),
+                 pa.FixedSizeListArray.from_arrays(pa.array(low.ravel()), M // 8).cast(pa.list_(pa.int64()))],
+                names=["key", "md5", "size", "bands", "low"])
 
 
 def _multisets(batches):
@@ -145,6 +150,19 @@ def _multisets(batches):
                                              names=["node", "items"])
 
 
+def _alike() -> str:
+    """SQL: enough signature bytes of x and y agree, and no band before this bucket's does."""
+    ones = "72340172838076673L"  # 0x0101010101010101
+    terms, earlier = [], []
+    for i in range(M // 8):
+        v = f"(x.low[{i}] ^ y.low[{i}])"
+        half = f"({v} | shiftrightunsigned({v}, 4))"
+        quarter = f"({half} | shiftrightunsigned({half}, 2))"
+        terms.append(f"bit_count(({quarter} | shiftrightunsigned({quarter}, 1)) & {ones})")
+        earlier += [f"WHEN {v} & 4294967295L = 0 THEN {2 * i}", f"WHEN shiftrightunsigned({v}, 32) = 0 THEN {2 * i + 1}"]
+    return f"{' + '.join(terms)} <= {M - AGREE} AND (CASE {' '.join(earlier)} END) = x.band"
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b) at or over num / den, exactly."""
     one = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
@@ -164,13 +182,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", nu
     t = F.coalesce(F.col(text), F.lit(""))
     source = docs.select(F.col(key).alias("key"), F.md5(F.encode(t, "UTF-8")).alias("md5"), t.alias("text"))
     kind = source.schema["key"].dataType.simpleString()
-    feats = written(source.mapInArrow(_features, f"key {kind}, md5 string, size long, bands array<long>"), "bag-bands")
+    feats = written(source.mapInArrow(_features, f"key {kind}, md5 string, size long, bands array<long>, low array<long>"), "bag-bands")
     nodes = written(feats.groupBy("md5").agg(F.min("key").alias("rep"), F.count("*").alias("n_copies"), F.first("size").alias("size"),
-                                             F.first("bands").alias("bands"))
+                                             F.first("bands").alias("bands"), F.first("low").alias("low"))
                     .withColumn("node", F.monotonically_increasing_id()), "bag-nodes")
-    sized = nodes.select("node", "size")
     # Buckets of two and more texts.
-    buckets = nodes.select("node", "size", F.explode("bands").alias("bucket"))
+    buckets = nodes.select("node", "size", F.posexplode("bands").alias("band", "bucket"))
     leaders = buckets.groupBy("bucket").agg(F.min("node").alias("leader"), F.min_by("size", "node").alias("leader_size"), F.count("*").alias("n")).filter("n > 1")
     shared = written(buckets.join(leaders.drop("n"), "bucket"), "bag-buckets")
     fits = f"{den} * least(size, leader_size) >= {num} * greatest(size, leader_size)"
@@ -186,14 +203,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", nu
     links = written(_verified(first, sets, num, den), "bag-links")
     labels = components(links)
     # Bucket-mates that are still apart.
-    of = shared.select("bucket", "node", "size").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    of = shared.select("bucket", "band", "node", "size").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     of = written(of, "bag-labelled")
     open_buckets = of.groupBy("bucket").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).filter("least <> most").select("bucket")
-    rest = of.join(open_buckets, "bucket", "left_semi")
-    x = rest.select("bucket", F.col("node").alias("a"), F.col("size").alias("sa"), F.col("comp").alias("ca"))
-    y = rest.select("bucket", F.col("node").alias("b"), F.col("size").alias("sb"), F.col("comp").alias("cb"))
-    more = (x.join(y, "bucket").filter(f"a < b AND ca <> cb AND {den} * least(sa, sb) >= {num} * greatest(sa, sb)")
-            .select("a", "b").distinct().join(first, ["a", "b"], "left_anti"))
+    rest = written(of.join(open_buckets, "bucket", "left_semi"), "bag-open")
+    # Shingles that no other of these texts has: the most a text can share is the others.
+    alone = (sets.join(rest.select("node").distinct(), "node", "left_semi").select("node", F.explode("items").alias("item"))
+             .groupBy("item").agg(F.min("node").alias("node"), F.count("*").alias("n")).filter("n = 1")
+             .groupBy("node").agg(F.count("*").alias("alone")))
+    rest = rest.join(nodes.select("node", "low"), "node").join(alone, "node", "left")
+    rest = written(rest.select("bucket", F.struct("band", "node", "size", "comp", "low", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("most")).alias("x")), "bag-open")
+    more = (rest.alias("l").join(rest.select("bucket", F.col("x").alias("y")).alias("r"), "bucket")
+            .filter(f"x.node < y.node AND x.comp <> y.comp AND {den} * least(x.size, y.size) >= {num} * greatest(x.size, y.size) "
+                    f"AND {num + den} * least(x.most, y.most) >= {num} * (x.size + y.size) AND {_alike()}")
+            .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).join(first, ["a", "b"], "left_anti"))
     more = written(_verified(written(more, "bag-more"), sets, num, den), "bag-links")
     if more.limit(1).count():
         labels = components(links.union(more))

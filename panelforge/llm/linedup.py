@@ -12,7 +12,7 @@ frequent first (by hash), then those by ascending count.  Two sets can only be
 similar if their first n - ceil(num/den n) + 1 words meet, so these are joined on the
 word; a row stays a candidate if the sizes fit, if the places of the word leave enough
 words behind it, and if the sets' 64-bit masks differ in few enough bits (each differing
-bit is a word they do not share).  Candidates are verified on whole sets.
+bit is a word they do not share; longer lines have a second, wider mask).  Candidates are verified on whole sets.
 
 Large groups of similar lines: every node is first checked against the earliest node
 filed under each of its prefix words; only nodes that no such leader removes go on to
@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bloom import may_be_in
@@ -38,6 +38,12 @@ from .scratch import written
 from .ship import ship
 
 MIN_WORDS, RANKED, HOLD = 5, 50_000, 3_000_000
+#: Bits of the second mask, which lines of more than NARROW words have.
+WIDE, NARROW = 512, 30
+#: Sizes and places from here on are not told apart in the word table: such rows skip the filters, not the check.
+LONG = 32_767
+#: Up to this many node ids (8 bytes each) are broadcast.
+BROADCAST_ROWS = 1_000_000
 
 
 def line_sets(data: np.ndarray, offs: np.ndarray):
@@ -93,17 +99,21 @@ def heavy_words(docs: DataFrame, text: str, limit: int = RANKED) -> tuple[np.nda
     return h[order], n[order]
 
 
-def _need(x: str, y: str, num: int, den: int) -> str:
-    """Shared words that sets of sizes x and y need."""
-    return f"(({num} * ({x} + {y}) + {num + den - 1}) div {num + den})"
+def _candidates(num: int, den: int, a: str, b: str) -> str:
+    na, nb, pa_, pb = f"shiftright({a}.np, 16)", f"shiftright({b}.np, 16)", f"({a}.np & 65535)", f"({b}.np & 65535)"
+    both = f"({na} + {nb})"
+    return (f"(greatest({na}, {nb}) >= {LONG} OR ({num + den} * ({both} - bit_count({a}.mask ^ {b}.mask)) >= {2 * num} * {both} "
+            f"AND {den} * least({na}, {nb}) >= {num} * greatest({na}, {nb}) "
+            f"AND {num + den} * least({na} - {pa_}, {nb} - {pb}) >= {num} * {both}))")
 
 
-def _candidates(num: int, den: int, a: str, b: str) -> str:
-    na, nb, pa_, pb = f"{a}.n", f"{b}.n", f"{a}.pos", f"{b}.pos"
-    need = _need(na, nb, num, den)
-    return (f"{den} * least({na}, {nb}) >= {num} * greatest({na}, {nb}) "
-            f"AND least({na} - {pa_}, {nb} - {pb}) >= {need} "
-            f"AND {na} + {nb} - bit_count({a}.mask ^ {b}.mask) >= 2 * {need}")
+def _wide(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs that the wide masks of long lines allow."""
+    own = sets.select("id", "n", "wide")
+    bits = " + ".join(f"bit_count(x.wide[{i}] ^ y.wide[{i}])" for i in range(WIDE // 64))
+    return (pairs.join(own.select(F.col("id").alias("a"), F.struct("n", "wide").alias("x")), "a")
+            .join(own.select(F.col("id").alias("b"), F.struct("n", "wide").alias("y")), "b")
+            .filter(f"x.wide IS NULL OR y.wide IS NULL OR {num + den} * (x.n + y.n - ({bits})) >= {2 * num} * (x.n + y.n)").select("a", "b"))
 
 
 def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int = 4, den: int = 5,
@@ -133,6 +143,13 @@ def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", nu
                 if len(rank_h):
                     i = np.minimum(np.searchsorted(rank_h, h), len(rank_h) - 1)
                     count = np.where(rank_h[i] == h, rank_n[i], 0)
+                wide = np.zeros(len(ok) * (WIDE // 64), np.uint64)
+                bit = (h >> np.uint64(6)) & np.uint64(WIDE - 1)
+                rank = np.repeat(np.arange(len(ok)), size) * (WIDE // 64) + (bit >> np.uint64(6)).astype(np.int64)
+                np.bitwise_or.at(wide, rank, np.uint64(1) << (bit & np.uint64(63)))
+                has = size > NARROW
+                wat = np.concatenate(([0], np.cumsum(np.where(has, WIDE // 64, 0)))).astype(np.int32)
+                wide = pa.ListArray.from_arrays(pa.array(wat), pa.array(wide.reshape(len(ok), -1)[has].ravel().view(np.int64)), mask=pa.array(~has))
                 order = np.lexsort((h, count, line))
                 short = (h[order] >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 prefix = size - (-(-num * size // den)) + 1
@@ -141,29 +158,38 @@ def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", nu
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(lo + row[ok])), batch.column(1).take(pa.array(lo + row[ok])), pa.array(no[ok], pa.int32()),
                      pa.array(set_hash.view(np.int64)), pa.array(size, pa.int32()), pa.array(mask.view(np.int64)),
-                     pa.ListArray.from_arrays(pa.array(cut), pa.array(short[take]))],
-                    names=["key", "th", "no", "set_hash", "n", "mask", "prefix"])
+                     wide, pa.ListArray.from_arrays(pa.array(cut), pa.array(short[take]))],
+                    names=["key", "th", "no", "set_hash", "n", "mask", "wide", "prefix"])
 
-    every = written(source.mapInArrow(lines, f"key {kind}, th long, no int, set_hash long, n int, mask long, prefix array<int>"), "lines")
+    every = written(source.mapInArrow(lines, f"key {kind}, th long, no int, set_hash long, n int, mask long, wide array<long>, prefix array<int>"), "lines")
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     sets = (every.groupBy("set_hash").agg(F.min(F.struct("key", "th", "no")).alias("at"), F.first("n").alias("n"),
-                                          F.first("mask").alias("mask"), F.first("prefix").alias("prefix"))
-            .select("at.key", "at.th", "at.no", "n", "mask", "prefix"))
+                                          F.first("mask").alias("mask"), F.first("wide").alias("wide"), F.first("prefix").alias("prefix"))
+            .select("at.key", "at.th", "at.no", "n", "mask", "wide", "prefix"))
     # Range-sorted, so that ids ascend with the lines' order.
-    sets = written(written(sets, "line-sets").repartitionByRange(parts, "key", "th", "no").sortWithinPartitions("key", "th", "no")
+    sets = written(sets.repartitionByRange(parts, "key", "th", "no").sortWithinPartitions("key", "th", "no")
                    .withColumn("id", F.monotonically_increasing_id()), "line-nodes")
-    postings = sets.select("id", "n", "mask", F.posexplode("prefix").alias("pos", "word")).repartition(parts, "word")
-    leaders = postings.groupBy("word").agg(F.min("id").alias("lid"), F.min_by("n", "id").alias("ln"), F.min_by("pos", "id").alias("lpos"),
-                                           F.min_by("mask", "id").alias("lmask"), F.count("*").alias("k")).filter("k > 1").drop("k")
-    filed = written(postings.join(leaders, "word"), "line-postings")
-    led = filed.select(F.struct("n", "pos", "mask").alias("x"), F.struct(F.col("ln").alias("n"), F.col("lpos").alias("pos"), F.col("lmask").alias("mask")).alias("y"),
+    # Filed by word: only words of two and more nodes, each row with the word's earliest node.  A word of this table is
+    # rare in proportion to the corpus, as the frequent ones come last in a node's order.
+    postings = sets.select("id", F.posexplode("prefix").alias("pos", "word"), "n", "mask")
+    postings = postings.select("word", "id", F.expr(f"least(n, {LONG}) * 65536 + least(pos, {LONG})").alias("np"), "mask")
+    in_word = Window.partitionBy("word").orderBy("id")
+    filed = written(postings.withColumns({"lid": F.first("id").over(in_word), "lnp": F.first("np").over(in_word),
+                                          "lmask": F.first("mask").over(in_word), "next": F.lead("id").over(in_word)})
+                    .filter("lid <> id OR next IS NOT NULL").drop("next"), "line-postings")
+    led = filed.select(F.struct("np", "mask").alias("x"), F.struct(F.col("lnp").alias("np"), F.col("lmask").alias("mask")).alias("y"),
                        F.col("id").alias("a"), F.col("lid").alias("b"))
     first = written(led.filter("a <> b AND " + _candidates(num, den, "x", "y")).select("a", "b").distinct(), "line-pairs")
+    first = written(_wide(first, sets, num, den), "line-pairs")
     gone = written(_verified(first, sets, source, num, den).select("a").distinct(), "line-gone")
-    x = filed.join(gone.withColumnRenamed("a", "id"), "id", "left_anti").select("word", F.col("id").alias("a"), "lid", F.struct("n", "pos", "mask").alias("x"))
-    y = filed.select("word", F.col("id").alias("b"), F.struct("n", "pos", "mask").alias("y"))
-    rest = (x.join(y, "word").filter("b < a AND b <> lid AND " + _candidates(num, den, "x", "y")).select("a", "b").distinct())
-    gone = gone.union(_verified(written(rest, "line-pairs"), sets, source, num, den).select("a").distinct())
+    # Both sides read one exchange; the removed nodes are sent to all only if few enough.
+    by_word = filed.select("word", "id", "lid", "np", "mask").repartition(parts, "word")
+    few = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
+    x = by_word.join(few.withColumnRenamed("a", "id"), "id", "left_anti").select("word", F.struct("id", "lid", "np", "mask").alias("x"))
+    y = by_word.select("word", F.struct("id", "lid", "np", "mask").alias("y"))
+    rest = (x.join(y, "word").filter("y.id < x.id AND y.id <> x.lid AND x.lid = y.lid AND " + _candidates(num, den, "x", "y"))
+            .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
+    gone = gone.union(_verified(written(_wide(written(rest, "line-pairs"), sets, num, den), "line-pairs"), sets, source, num, den).select("a").distinct())
     kept = sets.select("id", "key", "th", "no").join(gone.withColumnRenamed("a", "id"), "id", "left_anti")
     removed = every.select("key", "th", "no").alias("e").join(
         kept.alias("k"), F.expr("e.key <=> k.key AND e.th = k.th AND e.no = k.no"), "left_anti")

@@ -3,12 +3,21 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 
 from panelforge.session import scratch_path
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of finished steps; what a first pass finalises, a second one frees."""
+    for pause in (0.2, 0.1):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(pause)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
@@ -17,10 +26,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     nothing refers to any more are released first.
     """
     spark = df.sparkSession
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    release(spark)
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
