@@ -12,7 +12,6 @@ sources    reading and writing tables, test-data bindings, dataset registry,
 functions  column expressions and aggregate expressions
 operators  DataFrame -> DataFrame operators (clean, panel, forecast, score, ...)
 plans      specs, end-to-end pipelines and the registered queries
-streaming  (the reference has no streaming; see its module docstring)
 """
 
 __version__ = "0.1.0"

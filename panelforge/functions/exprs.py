@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 UNKNOWN_LABEL = "unknown"
@@ -45,7 +45,9 @@ def day_index(c: str | Column) -> Column:
 
 
 def time_index(c: str | Column, step: str = "day") -> Column:
-    """Regressor for trends in units of the series step: days (day / week) or hours."""
+    """Position in units of the series step: days, weeks or hours."""
+    if step == "week":
+        return day_index(c) / 7
     if step == "hour":
         return day_index(c) * 24 + F.hour(col(c)).cast("double")
     return day_index(c)
@@ -64,20 +66,27 @@ def add_steps(ts: str | Column, k: str | Column, step: str = "day") -> Column:
 
 
 def pack_order_key(parts: Sequence[tuple[str | Column, int]]) -> Column:
-    """Pack several non-negative integer columns into one ``decimal(38,0)`` key.
+    """Pack integer columns of declared widths into one ``decimal(38,0)`` key.
 
     ``parts`` is a list of ``(column, digits)``; earlier parts are more
-    significant.  A single decimal ordering keeps ``min_by`` / ``max_by`` on
-    HashAggregate (a struct ordering falls back to SortAggregate).
+    significant.  The packing is fixed by the declaration, so type and plan
+    do not depend on the data and no pass over it is needed.  A decimal
+    ordering keeps ``min_by`` / ``max_by`` on HashAggregate (a struct
+    ordering falls back to SortAggregate).  NULL sorts before every value;
+    a negative part or one of too many digits raises.
     """
     total = sum(d for _, d in parts)
     if total > 38:
         raise ValueError(f"order key needs {total} digits; decimal(38,0) holds 38")
     key = None
     for c, digits in parts:
-        term = col(c).cast("decimal(38,0)")
-        key = term if key is None else key * F.lit(str(10 ** digits)).cast("decimal(38,0)") + term
-    return key.cast("decimal(38,0)")
+        x = col(c).cast("decimal(38,0)")
+        limit = F.lit(str(10 ** digits - 1)).cast("decimal(38,0)")
+        fits = x.isNull() | ((x >= 0) & (x < limit))
+        term = F.when(fits, F.coalesce(x + 1, F.lit(0))).otherwise(
+            F.raise_error(F.concat(F.lit(f"order key part outside 0..10^{digits}-2: "), x.cast("string")))).cast("decimal(38,0)")
+        key = term if key is None else (key * F.lit(str(10 ** digits)).cast("decimal(38,0)") + term).cast("decimal(38,0)")
+    return key
 
 
 def concat_name(*parts: str | Column, sep: str = "_") -> Column:
@@ -85,25 +94,6 @@ def concat_name(*parts: str | Column, sep: str = "_") -> Column:
     return F.concat_ws(sep, *[col(p) for p in parts])
 
 
-def order_key(df: DataFrame, parts: Sequence[Column]) -> Column:
-    """One ordering key from non-negative integer columns (most significant first).
-
-    One small ``max`` pass sizes the parts: when they fit in 63 bits the key
-    is a bit-packed ``bigint`` (cheap compares, fixed-width aggregation
-    buffers); otherwise it falls back to ``decimal(38,0)`` digits.
-    """
-    maxes = df.agg(*[F.max(p).alias(f"_m{i}") for i, p in enumerate(parts)]).first()
-    highs = [max(int(maxes[i] or 0), 0) for i in range(len(parts))]
-    bits = [max(h.bit_length(), 1) for h in highs]
-    if sum(bits) <= 63:
-        key = None
-        for p, b in zip(parts, bits):
-            term = p.cast("bigint")
-            key = term if key is None else F.shiftleft(key, b) + term
-        return key
-    return pack_order_key([(p, max(len(str(h)), 1)) for p, h in zip(parts, highs)])
-
-
 def stable_round(c: str | Column, digits: int) -> Column:
     """Round after a nudge of half a unit three digits further down.
 

@@ -109,13 +109,13 @@ def check_counts(df: DataFrame, keys: Sequence[str], time_col: str = "timestamp"
 
 def validate_panel(df: DataFrame, keys: Sequence[str], time_col: str = "timestamp",
                    raw_time_col: str | None = None, allow_duplicates: bool = True) -> dict:
-    """Run ``check_counts`` and raise with the counts, as the reference does."""
+    """Run ``check_counts`` and raise with the counts."""
     row = check_counts(df, keys, time_col, raw_time_col).first()
     out = row.asDict()
     if out["n_bad_timestamps"]:
-        raise ValueError(f"Found {out['n_bad_timestamps']} rows with invalid timestamps.")
+        raise ValueError(f"{out['n_bad_timestamps']} of {out['n_rows']} rows have no readable date in {raw_time_col or time_col}")
     if not allow_duplicates and out["n_duplicate_keys"]:
-        raise ValueError(f"Found {out['n_duplicate_keys']} duplicate keys.")
+        raise ValueError(f"{out['n_duplicate_keys']} rows repeat an earlier key")
     return out
 
 

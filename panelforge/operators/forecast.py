@@ -126,9 +126,13 @@ def forecast_univariate(context: DataFrame, method: str, horizon: int, cols: Col
         # T is the last time of the series, valued or not (dense calendar).
         win = ctx.select(i, t, y, F.max(t).over(part).alias("_T"),
                          (F.col(y) - F.lag(y, m).over(ordered)).alias("_e"))
-        fit = win.groupBy(i).agg(F.max("_T").alias("_T"),
+        fit = win.groupBy(i).agg(F.max("_T").alias("_T"), F.min(t).alias("_t0"), F.count(F.lit(1)).alias("_n"),
                                  _quantile_offsets(F.col("_e"), levels, quantile_method).alias("_off"))
-        back = (time_index("_T", step) - time_index(t, step)).cast("int")  # steps before the origin
+        # Lags are by row: a gap or a repeated time would shift them.
+        gap = F.raise_error(F.concat(F.lit("series is not dense (use densify): "), F.col(i).cast("string")))
+        dense = F.round(time_index("_T", step) - time_index("_t0", step)) + 1 == F.col("_n")
+        fit = fit.where(F.when(dense, True).otherwise(gap.cast("boolean"))).drop("_t0", "_n")
+        back = F.round(time_index("_T", step) - time_index(t, step)).cast("int")  # steps before the origin
         season_vals = (win.where(back < m)
                        .select(i, (F.lit(m) - back).alias("_pos"), F.col(y).alias("predictions")))
         grid = time_grid(fit, horizon, cols, step, keep=["_off"]).withColumn("_pos", (F.col("_k") - 1) % m + 1)
@@ -197,7 +201,8 @@ def _ols_params_closed(df: DataFrame, unit: str, y: str, xs: Sequence[str]) -> D
         F.var_pop(x).alias("vx"), F.var_pop(z).alias("vz"), F.covar_pop(x, z).alias("cxz"),
         F.covar_pop(x, y).alias("cxy"), F.covar_pop(z, y).alias("czy"),
         F.avg(x).alias("mx"), F.avg(z).alias("mz"), F.avg(y).alias("my"))
-    det = F.nullif(F.round(F.col("vx") * F.col("vz") - F.col("cxz") * F.col("cxz"), 9), F.lit(0.0))
+    # Singular in relation to the covariates' own scales.
+    det = F.expr("CASE WHEN vx * vz - cxz * cxz > 1e-10 * vx * vz THEN vx * vz - cxz * cxz END")
     b0 = (F.col("cxy") * F.col("vz") - F.col("czy") * F.col("cxz")) / det
     b1 = (F.col("czy") * F.col("vx") - F.col("cxy") * F.col("cxz")) / det
     return g.select(unit, b0.alias("_b0"), b1.alias("_b1"), "mx", "mz", "my").select(
@@ -206,37 +211,35 @@ def _ols_params_closed(df: DataFrame, unit: str, y: str, xs: Sequence[str]) -> D
 
 
 def _ols_params_solve(df: DataFrame, unit: str, y: str, xs: Sequence[str]) -> DataFrame:
-    """k > 2: sufficient statistics per unit in Catalyst, k x k solve per unit row in pandas."""
+    """k > 2: centred statistics per unit in Catalyst, correlation matrices solved a batch at a time in numpy."""
     k = len(xs)
-    aggs = [F.count(F.lit(1)).cast("double").alias("n"), F.sum(y).alias("sy")]
-    aggs += [F.sum(x).alias(f"s{j}") for j, x in enumerate(xs)]
-    aggs += [F.sum(F.col(x) * F.col(y)).alias(f"sy{j}") for j, x in enumerate(xs)]
-    aggs += [F.sum(F.col(xs[a]) * F.col(xs[b])).alias(f"s{a}_{b}") for a in range(k) for b in range(a, k)]
+    aggs = [F.avg(c).alias(f"m{j}") for j, c in enumerate([*xs, y])]
+    aggs += [F.stddev_pop(c).alias(f"d{j}") for j, c in enumerate(xs)]
+    aggs += [F.covar_pop(xs[a], ([*xs, y])[b]).alias(f"c{a}_{b}") for a in range(k) for b in range(a + 1, k + 1)]
     stats = df.groupBy(unit).agg(*aggs)
     unit_type = stats.schema[unit].dataType.simpleString()
     schema = f"`{unit}` {unit_type}, _a double, " + ", ".join(f"_b{j} double" for j in range(k))
 
     def solve(batches):
         for pdf in batches:
-            out = {unit: pdf[unit].to_numpy(), "_a": np.full(len(pdf), np.nan)}
-            betas = np.full((len(pdf), k), np.nan)
-            for r in range(len(pdf)):
-                row = pdf.iloc[r]
-                xtx = np.empty((k + 1, k + 1))
-                xtx[0, 0] = row["n"]
+            get = lambda c: pdf[c].to_numpy(dtype=float)
+            sd = np.stack([get(f"d{j}") for j in range(k)], 1)
+            corr = np.ones((len(pdf), k, k))
+            right = np.empty((len(pdf), k))
+            with np.errstate(all="ignore"):
                 for a in range(k):
-                    xtx[0, a + 1] = xtx[a + 1, 0] = row[f"s{a}"]
-                    for b in range(a, k):
-                        xtx[a + 1, b + 1] = xtx[b + 1, a + 1] = row[f"s{a}_{b}"]
-                xty = np.array([row["sy"]] + [row[f"sy{j}"] for j in range(k)])
-                if not np.all(np.isfinite(xtx)) or np.linalg.matrix_rank(xtx) < k + 1:
-                    continue
-                sol = np.linalg.solve(xtx, xty)
-                out["_a"][r] = sol[0]
-                betas[r] = sol[1:]
-            for j in range(k):
-                out[f"_b{j}"] = betas[:, j]
-            yield pd.DataFrame(out)
+                    right[:, a] = get(f"c{a}_{k}") / sd[:, a]
+                    for b in range(a + 1, k):
+                        corr[:, a, b] = corr[:, b, a] = get(f"c{a}_{b}") / (sd[:, a] * sd[:, b])
+            ok = np.isfinite(corr).all((1, 2)) & np.isfinite(right).all(1)
+            if ok.any():
+                ok[ok] = np.linalg.eigvalsh(corr[ok])[:, 0] > 1e-10
+            beta = np.full((len(pdf), k), np.nan)
+            if ok.any():
+                beta[ok] = np.linalg.solve(corr[ok], right[ok][..., None])[..., 0] / sd[ok]
+            mean = np.stack([get(f"m{j}") for j in range(k)], 1)
+            out = {unit: pdf[unit].to_numpy(), "_a": get(f"m{k}") - (beta * mean).sum(1)}
+            yield pd.DataFrame(out | {f"_b{j}": beta[:, j] for j in range(k)})
 
     _ship_by_value()
     params = stats.mapInPandas(solve, schema)
@@ -265,7 +268,7 @@ def _linear(xs: Sequence[str]) -> Column:
 def forecast_ols(context: DataFrame, future: DataFrame, covariates: Sequence[str] | None = None,
                  cols: Columns = Columns(), levels: Sequence[float] = DEFAULT_LEVELS,
                  batch_size: int | None = None, quantile_method: str = "exact",
-                 target_name: str | None = None) -> DataFrame:
+                 target_name: str | None = None, horizon: int | None = None) -> DataFrame:
     """T2/J7 (per series) and T3 (``batch_size``: pooled per batch of sorted series).
 
     Covariates default to the columns present in both frames (known-future
@@ -282,6 +285,10 @@ def forecast_ols(context: DataFrame, future: DataFrame, covariates: Sequence[str
         raise ValueError("no covariates shared by context and future frames")
     ctx = context.select(i, t, y, *xs).where(F.col(i).isNotNull())
     fut = future.select(i, t, *xs).where(F.col(i).isNotNull())
+    if horizon is not None:  # every series that has future rows must have them for the whole horizon
+        steps = F.count(F.lit(1)).over(Window.partitionBy(i))
+        short = F.raise_error(F.concat(F.lit(f"fewer than {horizon} future rows for series "), F.col(i).cast("string")))
+        fut = fut.withColumn("_n", steps).where(F.when(F.col("_n") < horizon, short.cast("boolean")).otherwise(True)).drop("_n")
     if batch_size:
         groups = batch_groups(ctx, i, batch_size, out="_unit")
         ctx = ctx.join(groups, i)

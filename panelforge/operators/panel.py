@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.aggs import first_valid, last_valid
-from ..functions.exprs import UNKNOWN_LABEL, col as order_col, format_ticker, stable_round
+from ..functions.exprs import UNKNOWN_LABEL, col as order_col, format_ticker
 from ..session import ensure_checkpoint_dir
 from .clean import any_not_null
 
@@ -94,14 +94,16 @@ def calendar_days(lo: Column, hi: Column, step: str = "day", name: str = "timest
 
 
 def widen(df: DataFrame, entity: str, time: str, fields: Sequence[str], order: str | Column,
-          label: str, prefix_entity: bool | None = None, max_entities: int = 5000,
-          id_value: object = 1, round_digits: int | None = None) -> DataFrame:
+          label: str, prefix_entity: bool | None = None, entities: Sequence | None = None,
+          id_value: object = 1) -> DataFrame:
     """Long panel -> dense wide daily panel.
 
     1. one aggregation per entity: label = last valid label in (time, order)
        (A1) -> names, plus first / last valued day (Q2 calendar bounds).
-       The table is collected: one row per output column group, bounded by
-       ``max_entities`` (beyond it keep the panel long).
+       The table is collected: one row per output column group, as the
+       columns of a wide frame are named in its plan.  ``entities`` is the
+       caller's list; for a whole panel use ``dense_long``, which has the
+       same cells and no such table.
     2. one hash aggregation on (entity, day): the first valid value of every
        field (A2), map-side combined.
     3. every entity gets the calendar from the first to the last date holding
@@ -117,9 +119,8 @@ def widen(df: DataFrame, entity: str, time: str, fields: Sequence[str], order: s
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
 
-    def val(f: str) -> Column:
-        return stable_round(f, round_digits) if round_digits is not None else F.col(f)
-
+    if entities is not None:
+        df = df.where(F.col(entity).isin(list(entities)))
     clean = df.where(F.col(entity).isNotNull() & F.col(time).isNotNull())
     # One pass per entity: its label (A1) and its first / last valued day
     # (Q2); the global calendar bounds are reduced from these rows.
@@ -128,15 +129,12 @@ def widen(df: DataFrame, entity: str, time: str, fields: Sequence[str], order: s
                .agg(last_valid(label, F.struct(F.col(time), order_col(order))).alias("_raw"),
                     F.min(valued_t).alias("_lo"), F.max(valued_t).alias("_hi"))
                .select(entity, format_ticker("_raw").alias("label"), "_lo", "_hi"))
-    rows = summary.orderBy(entity).limit(max_entities + 1).collect()
-    if len(rows) > max_entities:
-        raise ValueError(f"more than {max_entities} entities: keep the panel long or select entities")
+    rows = summary.orderBy(entity).collect()
     los = [r["_lo"] for r in rows if r["_lo"] is not None]
     his = [r["_hi"] for r in rows if r["_hi"] is not None]
     lo, hi = (min(los), max(his)) if los else (None, None)
     values = [r[entity] for r in rows]
-    ent_text = [r[entity] if isinstance(r[entity], str) else
-                (str(int(r[entity])) if float(r[entity]).is_integer() else str(r[entity])) for r in rows]
+    ent_text = [str(int(v)) if isinstance(v, float) and v.is_integer() else str(v) for v in values]
     names, _ = wide_names(list(zip(ent_text, [r["label"] for r in rows])), fields, prefix_entity)
 
     # Numeric fields only: a fixed-width buffer keeps this on HashAggregate
@@ -144,23 +142,25 @@ def widen(df: DataFrame, entity: str, time: str, fields: Sequence[str], order: s
     firsts = clean.groupBy(entity, time).agg(*[first_valid(f, order).alias(f) for f in fields])
 
     ent_type = df.schema[entity].dataType.simpleString()
-    # Bounded by max_entities (checked above): safe to broadcast.
+    # One row per output column group, already in the plan's column list.
     positions = spark.createDataFrame([(v, p) for p, v in enumerate(values)], f"`{entity}` {ent_type}, _p int")
+    time_type = df.schema[time].dataType
     # Every (entity, day) cell of the calendar: per-entity explode, no cross
     # join.  Each day's cells, sorted by position and flattened, give one
     # dense array<double> in output order, so every output column is a single
     # O(1) array index.  Checkpointed: days x entities x fields, the size of
     # the output itself.
-    grid = positions.select(entity, "_p", calendar_days(F.lit(lo), F.lit(hi), name=time))
+    grid = positions.select(entity, "_p", calendar_days(F.lit(lo).cast(time_type), F.lit(hi).cast(time_type), name=time))
     cells = grid.join(firsts, [entity, time], "left")
-    cell = F.array(*[val(f) for f in fields])
+    # A struct keeps each field's own type.
+    cell = F.struct(*fields)
     dense = (cells.groupBy(time)
              .agg(F.array_sort(F.collect_list(F.struct(F.col("_p"), cell.alias("v")))).alias("_s"))
-             .select(time, F.flatten(F.transform("_s", lambda x: x["v"])).alias("_a"))
+             .select(time, F.transform("_s", lambda x: x["v"]).alias("_a"))
              .checkpoint(eager=True))
     # SQL text for the wide projection: building thousands of Column objects
     # through py4j costs minutes, parsing the same expressions costs seconds.
-    spread = [f"_a[{k}] AS {_quote(n)}" for k, n in enumerate(names)]
+    spread = [f"_a[{k // len(fields)}].{_quote(fields[k % len(fields)])} AS {_quote(n)}" for k, n in enumerate(names)]
     return dense.withColumn("id", F.lit(id_value)).selectExpr("id", _quote(time), *spread)
 
 
@@ -168,6 +168,21 @@ def _quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def dense_long(df: DataFrame, entity: str, time: str, fields: Sequence[str], order: str | Column,
+               label: str) -> DataFrame:
+    """R1/A3/J5/J6 for any number of entities: the wide panel's cells, one row per entity and day.
+
+    First valid values per (entity, day), the calendar from the first to the
+    last day that holds any value, and the entity's label; nothing but the two
+    calendar bounds comes to the driver.
+    """
+    keyed = df.where(F.col(entity).isNotNull() & F.col(time).isNotNull())
+    firsts = first_valid_long(keyed, [entity, time], fields, order)
+    labels = last_label(keyed, entity, label, F.struct(F.col(time), order_col(order)))
+    return (densify(firsts, [entity], time, fields).join(labels, entity, "left")
+            .select(entity, "label", time, *fields))
+
+
 # ----------------------------------------------------------------------- densify
 
 
@@ -184,12 +199,15 @@ def densify(df: DataFrame, keys: Sequence[str], time: str, fields: Sequence[str]
     and by the join: materialize an expensive input first.
     """
     t = F.col(time)
+    for k in keys:  # a NULL key is no series
+        df = df.where(F.col(k).isNotNull())
+    kind = df.schema[time].dataType
     valued = any_not_null(fields) if fields else F.lit(True)
     per_key = df.groupBy(*keys).agg(F.min(F.when(valued, t)).alias("_lo"), F.max(F.when(valued, t)).alias("_hi"))
     if bounds == "global":
         # Two scalars, fetched once (scalar sub-queries would recompute the input per bound).
         lo, hi = per_key.agg(F.min("_lo"), F.max("_hi")).first()
-        grid = per_key.select(*keys, calendar_days(F.lit(lo), F.lit(hi), step, time))
+        grid = per_key.select(*keys, calendar_days(F.lit(lo).cast(kind), F.lit(hi).cast(kind), step, time))
     elif bounds == "entity":
         grid = per_key.select(*keys, calendar_days(F.col("_lo"), F.col("_hi"), step, time))
     else:

@@ -8,6 +8,7 @@ holiday construction instead of per-day predicates).
 
 from __future__ import annotations
 
+from ..sources.bindings import SELECTED_ENTITIES
 
 
 def _r(expr: str, digits: int = 4) -> str:
@@ -98,21 +99,22 @@ LAST_LABEL = _with(B1, B1_LABEL) + "\nSELECT permco, label FROM b1_label"
 FIRST_VALID_LONG = _with(B1, B1_FIRST) + "\nSELECT permco, day AS timestamp, " + ", ".join(
     f"{_r(f, 6)} AS {f}" for f in FIELDS) + " FROM b1_first"
 
-_B1_ENT = _with(
-    B1, B1_LABEL, B1_FIRST,
-    "b1_ent AS (SELECT CAST(f.permco AS VARCHAR) || '_' || l.label AS ent, f.day, "
-    + ", ".join(f"{_r('f.' + x, 6)} AS {x}" for x in FIELDS)
-    + " FROM b1_first f JOIN b1_label l USING (permco))") + "\nSELECT * FROM b1_ent"
-
-PANEL_WIDE = _with(
-    B1,
-    "b1_bounds AS (SELECT min(day) AS lo, max(day) AS hi FROM b1 WHERE permco IS NOT NULL AND ("
-    + " OR ".join(f"{x} IS NOT NULL" for x in FIELDS) + "))",
-    "b1_cal AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS timestamp "
-    "FROM b1_bounds)",
-) + ("\nSELECT 1 AS id, c.timestamp, p.* EXCLUDE (day) FROM b1_cal c LEFT JOIN (PIVOT (" + _B1_ENT
-     + ") ON ent USING " + ", ".join(f"max({x}) AS {x}" for x in FIELDS)
-     + " GROUP BY day) p ON p.day = c.timestamp")
+def _dense(where: str) -> str:
+    """First valid values on the calendar of the entities in ``where``."""
+    return _with(
+        B1, B1_LABEL, B1_FIRST,
+        f"b1_in AS (SELECT * FROM b1_first WHERE {where})",
+        "b1_bounds AS (SELECT min(day) AS lo, max(day) AS hi FROM b1_in WHERE " + " OR ".join(f"{x} IS NOT NULL" for x in FIELDS) + ")",
+        "b1_grid AS (SELECT permco, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day "
+        "FROM (SELECT DISTINCT permco FROM b1_in), b1_bounds)",
+        "b1_dense AS (SELECT g.permco, l.label, g.day AS timestamp, " + ", ".join(f"{_r('f.' + x, 6)} AS {x}" for x in FIELDS)
+        + " FROM b1_grid g LEFT JOIN b1_in f USING (permco, day) LEFT JOIN b1_label l USING (permco))")
+
+
+PANEL_DENSE_LONG = _dense("true") + "\nSELECT * FROM b1_dense"
+
+PANEL_WIDE_SELECTED = _dense(f"permco IN ({', '.join(map(str, SELECTED_ENTITIES))})") + "\n" + "\nUNION ALL ".join(
+    f"SELECT timestamp, CAST(permco AS VARCHAR) || '_' || label || '_{x}' AS column_name, {x} AS value FROM b1_dense" for x in FIELDS)
 
 DUP_AND_NULL_CHECKS = _with(B1, """
 per AS (
@@ -149,17 +151,16 @@ sn AS (SELECT g.id, g.timestamp, 'y' AS target_name, c.y AS p, s.q
 
 
 def _ols(prefix: str, unit: str, unit_src: str) -> str:
-    """k=2 least squares per ``unit`` (closed form on population (co)variances)."""
+    """k=2 least squares per ``unit`` by residuals: z on x, y on x, then one residual on the other."""
     return f"""
 {prefix}_cc AS (SELECT {unit_src} FROM b2_ctx c {'' if unit == 'id' else 'JOIN grp g USING (id)'}
                WHERE c.y IS NOT NULL AND c.x IS NOT NULL AND c.z IS NOT NULL),
-{prefix}_st AS (SELECT u, var_pop(x) AS vx, var_pop(z) AS vz, covar_pop(x, z) AS cxz,
-                covar_pop(x, y) AS cxy, covar_pop(z, y) AS czy, avg(x) AS mx, avg(z) AS mz, avg(y) AS my
-               FROM {prefix}_cc GROUP BY u),
-{prefix}_pr AS (SELECT u, b0, b1, my - b0 * mx - b1 * mz AS a FROM (
-                SELECT *, (cxy * vz - czy * cxz) / nullif(round(vx * vz - cxz * cxz, 9), 0) AS b0,
-                          (czy * vx - cxy * cxz) / nullif(round(vx * vz - cxz * cxz, 9), 0) AS b1
-                FROM {prefix}_st)),
+{prefix}_s1 AS (SELECT u, regr_slope(z, x) AS zx, regr_intercept(z, x) AS zi, regr_slope(y, x) AS yx, regr_intercept(y, x) AS yi,
+                var_pop(x) AS vx, var_pop(z) AS vz FROM {prefix}_cc GROUP BY u),
+{prefix}_s2 AS (SELECT c.u, regr_slope(c.y - (s.yi + s.yx * c.x), c.z - (s.zi + s.zx * c.x)) AS b1,
+                var_pop(c.z - (s.zi + s.zx * c.x)) AS vr FROM {prefix}_cc c JOIN {prefix}_s1 s USING (u) GROUP BY c.u),
+{prefix}_pr AS (SELECT u, yx - b1 * zx AS b0, b1, yi - b1 * zi AS a FROM {prefix}_s1 JOIN {prefix}_s2 USING (u)
+                WHERE vx > 0 AND vr > 1e-10 * vz),
 {prefix}_all AS (SELECT c.*, {'c.id' if unit == 'id' else 'g.g'} AS u FROM b2_ctx c
                  {'' if unit == 'id' else 'JOIN grp g USING (id)'}),
 {prefix}_res AS (SELECT a.u, quantile_cont(a.y - (p.a + p.b0 * a.x + p.b1 * a.z), [0.1, 0.5, 0.9]) AS q
@@ -475,7 +476,8 @@ ORACLE: dict[str, str] = {
     "entity_keys": ENTITY_KEYS,
     "last_label": LAST_LABEL,
     "first_valid_long": FIRST_VALID_LONG,
-    "panel_wide": PANEL_WIDE,
+    "panel_dense_long": PANEL_DENSE_LONG,
+    "panel_wide_selected": PANEL_WIDE_SELECTED,
     "dup_and_null_checks": DUP_AND_NULL_CHECKS,
     "csv_roundtrip": CSV_ROUNDTRIP,
     "panel_densified": PANEL_DENSIFIED,

@@ -34,11 +34,10 @@ def long_panel(raw: DataFrame, order_col: str = "ord", on_error: str = "null") -
 
 
 def wide_panel(long_df: DataFrame, fields: Sequence[str] = clean.PANEL_FIELDS, order_col: str = "ord",
-               prefix_entity: bool | None = None, max_entities: int = 5000,
-               round_digits: int | None = None) -> DataFrame:
+               prefix_entity: bool | None = None, entities: Sequence | None = None) -> DataFrame:
     """First-valid pivot, entity-major columns, dense daily calendar."""
     return panel.widen(long_df, "permco", "timestamp", list(fields), order=order_col, label="ticker",
-                       prefix_entity=prefix_entity, max_entities=max_entities, round_digits=round_digits)
+                       prefix_entity=prefix_entity, entities=entities)
 
 
 def forecast_input(df: DataFrame, cols: Columns = Columns(), covariates: Sequence[str] = (),
@@ -70,8 +69,15 @@ def query_panel(long_df: DataFrame, spec: QuerySpec, fields: Sequence[str] = cle
 
 def prepare_panel(raw: DataFrame, split: SplitSpec = SplitSpec(), out_dir: str | None = None,
                   formats: Sequence[str] = ("parquet", "csv"), prefix_entity: bool | None = None,
-                  order_col: str = "ord") -> DataFrame:
-    """Entry 1: returns the tagged wide panel; writes every split in one job per format."""
+                  order_col: str = "ord", validate: bool = True) -> DataFrame:
+    """Entry 1: returns the tagged wide panel; writes every split in one job per format.
+
+    Unreadable dates raise with their count before anything is built;
+    ``validate=False`` drops such rows instead.
+    """
+    if validate:
+        named = clean.require_columns(clean.normalise_headers(raw), clean.RAW_PANEL_COLUMNS)
+        clean.validate_panel(named, ["permco", "dlycaldt"], "dlycaldt", raw_time_col="dlycaldt")
     wide = wide_panel(long_panel(raw, order_col), order_col=order_col, prefix_entity=prefix_entity)
     tagged = panel.split_windows(wide, split.windows, "timestamp", split.all_name)
     if out_dir:
@@ -87,7 +93,7 @@ def run_variant(spec: ForecastSpec, context: DataFrame, future: DataFrame | None
             raise ValueError(f"{spec.name}: covariate methods need known-future rows")
         return forecast_ols(context, future, spec.covariates, cols, spec.levels,
                             batch_size=spec.batch_size if spec.method == "pooled_ols" else None,
-                            quantile_method=spec.quantile_method)
+                            quantile_method=spec.quantile_method, horizon=spec.horizon)
     return forecast_univariate(context, spec.method, spec.horizon, cols, spec.levels, spec.season,
                                spec.step, spec.quantile_method)
 

@@ -51,7 +51,20 @@ def q_first_valid_long(spark, sf):
 
 
 def q_panel_wide(spark, sf):
-    return wide_panel(_b1_long(spark, sf), prefix_entity=True, round_digits=6)
+    return wide_panel(round_doubles(_b1_long(spark, sf), 6), prefix_entity=True)
+
+
+def q_panel_dense_long(spark, sf):
+    """The wide panel's cells for every entity, long."""
+    dense = panel.dense_long(_b1_long(spark, sf), "permco", "timestamp", clean.PANEL_FIELDS, "ord", "ticker")
+    return round_doubles(dense, 6)
+
+
+def q_panel_wide_selected(spark, sf):
+    """The wide panel of a caller's entity list, melted so that names and order have a fixed schema."""
+    wide = wide_panel(round_doubles(_b1_long(spark, sf), 6), prefix_entity=True, entities=B.SELECTED_ENTITIES)
+    values = [c for c in wide.columns if c not in ("id", "timestamp")]
+    return panel.melt(wide.drop("id"), ["timestamp"], values, "column_name", "value")
 
 
 def q_dup_and_null_checks(spark, sf):
@@ -295,6 +308,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "last_label": q_last_label,
     "first_valid_long": q_first_valid_long,
     "panel_wide": q_panel_wide,
+    "panel_dense_long": q_panel_dense_long,
+    "panel_wide_selected": q_panel_wide_selected,
     "dup_and_null_checks": q_dup_and_null_checks,
     "csv_roundtrip": q_csv_roundtrip,
     "panel_densified": q_panel_densified,

@@ -9,6 +9,7 @@ absent, which happens in local test sessions.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -52,7 +53,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return path
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not path:
-        # Local runs (tests) only: a cluster always names a shared folder.
+        master = sc.master or ""
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir is unset on {master}: name a folder that all executors share")
+        # Local runs (tests) only.
         path = tempfile.mkdtemp(prefix="panelforge-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path

@@ -13,11 +13,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import order_key
+from ..functions.exprs import pack_order_key
 from .files import read_table
 
 # Fixed values of the bindings (they define the fixtures, see FIXTURES.md).
-B1_FIELDS = ["dlyprc", "dlyret", "dlycap", "dlyvol", "shrout", "sprtrn"]
+SELECTED_ENTITIES = [1, 2, 3, 5, 8]
 B2_CONTEXT_END = "2024-01-23"
 B2_TEST_START, B2_TEST_END = "2024-01-24", "2024-01-30"
 B2_HORIZON = 7
@@ -41,9 +41,8 @@ def security_panel_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem", [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"])
-    # Input order stand-in: (order key, line number) then part key; packed
-    # into a bigint when the observed maxima allow it.
-    ord_key = order_key(li, [F.col("l_orderkey") * 8 + F.col("l_linenumber"), F.col("l_partkey")])
+    # Input order stand-in: order key, line number, part key.
+    ord_key = pack_order_key([("l_orderkey", 16), ("l_linenumber", 6), ("l_partkey", 16)])
     base = li.select(
         F.when(F.col("l_returnflag") != "R", F.concat("l_returnflag", "l_linestatus")).alias("ticker"),
         F.col("l_suppkey").alias("permco"),

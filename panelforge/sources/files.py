@@ -37,6 +37,11 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
     """
     reader = spark.read.option("header", header).option("sep", sep).option("mode", "FAILFAST")
     tokens = list(na_tokens)
+    # With more tokens a typed column is read as text, mapped, then cast (a malformed value still fails the read).
+    target = None
+    if schema is not None and tokens[1:]:
+        target = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+        schema = T.StructType([T.StructField(f.name, T.StringType()) for f in target.fields])
     reader = reader.option("nullValue", tokens[0] if tokens else "")
     if schema is not None:
         reader = reader.schema(schema)
@@ -50,6 +55,8 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
             F.when(F.col(f"`{f.name}`").isin(extra), F.lit(None)).otherwise(F.col(f"`{f.name}`")).alias(f.name)
             if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
             for f in df.schema.fields])
+    if target is not None:
+        df = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in target.fields])
     return df
 
 

@@ -70,6 +70,11 @@ def load(spark: SparkSession, sf_dir: str, spec: DatasetSpec | str, columns: Seq
     for c in (s.keyvar, s.datevar):
         if c not in cols:
             cols.append(c)
+    asked = list(cols)
+    joined = {c for h in s.headers for c in h.columns}  # a later header may join on an earlier one's column
+    for c in (*s.filters, *(filters or {}), *(h.left_key for h in s.headers)):  # read, but not returned unless asked for
+        if c not in cols and c not in joined:
+            cols.append(c)
     df = read_table(spark, sf_dir, s.table, cols)
     lo, hi = start or s.start, end or s.end
     if s.date_kind == "date":
@@ -83,7 +88,7 @@ def load(spark: SparkSession, sf_dir: str, spec: DatasetSpec | str, columns: Seq
     for h in s.headers:
         hdr = read_table(spark, sf_dir, h.table, [h.right_key, *h.columns])
         df = df.join(hdr, df[h.left_key] == hdr[h.right_key], "left").drop(hdr[h.right_key])
-    return df
+    return df.drop(*[c for c in cols if c not in asked]) if columns else df
 
 
 # --------------------------------------------------------------- macro catalog

@@ -166,35 +166,32 @@ def test_window_free_group_numbering(spark):
     assert "Scan ExistingRDD" in plan and "hashpartitioning(_pid" in plan
 
 
-def test_wide_panel_matches_pandas_bruteforce(spark):
-    """The reference's own semantics, in pandas, on the small fixture."""
-    raw = B.security_panel_raw(spark, SF001).toPandas()
-    raw["timestamp"] = pd.to_datetime(raw["dlycaldt"]).dt.date
-    raw = raw.sort_values("ord", kind="mergesort")
+def test_wide_panel_matches_one_plain_pass(spark):
+    """Per field the earliest value of a day, per entity the latest label, from one pass in input order."""
     fields = ["dlyprc", "dlyret", "dlycap", "dlyvol", "shrout", "sprtrn"]
-
-    def first_valid(s):
-        s = s.dropna()
-        return s.iloc[0] if len(s) else np.nan
-
-    firsts = raw.groupby(["timestamp", "permco"])[fields].agg(first_valid)
-    srt = raw.sort_values(["permco", "timestamp", "ord"], kind="mergesort")
-    last = srt.groupby("permco")["ticker"].last()
-    label = {k: ("unknown" if (v is None or pd.isna(v) or not str(v).strip()) else str(v).strip())
-             for k, v in last.items()}
-    wide = QUERIES["panel_wide"](spark, SF001).toPandas().set_index("timestamp")
-    active = firsts.dropna(how="all")
-    dates = active.index.get_level_values(0)
-    assert wide.index.min() == min(dates) and wide.index.max() == max(dates)
-    assert len(wide) == (max(dates) - min(dates)).days + 1
-    for (day, permco), row in active.iterrows():
+    value, label, valued_days = {}, {}, set()
+    for r in sorted(B.security_panel_raw(spark, SF001).collect(), key=lambda r: r["ord"]):
+        day = dt.date.fromisoformat(r["dlycaldt"])
         for f in fields:
-            got = wide.loc[day, f"{permco}_{label[permco]}_{f}"]
-            want = row[f]
-            if pd.isna(want):
-                assert pd.isna(got)
-            else:
-                assert got == pytest.approx(round(float(want), 6), abs=1e-9)
+            if r[f] is not None:
+                value.setdefault((day, r["permco"], f), r[f])
+                valued_days.add(day)
+        if r["ticker"] is not None and label.get(r["permco"], (day,))[0] <= day:
+            label[r["permco"]] = (day, r["ticker"].strip() or "unknown")
+    wide = {r["timestamp"]: r for r in QUERIES["panel_wide"](spark, SF001).collect()}
+    first, last = min(valued_days), max(valued_days)
+    assert sorted(wide) == [first + dt.timedelta(n) for n in range((last - first).days + 1)]
+    n_cells = 0
+    for day, row in wide.items():
+        for name, got in row.asDict().items():
+            if name in ("id", "timestamp"):
+                continue
+            entity, text, field = name.split("_")
+            assert text == label.get(int(entity), (None, "unknown"))[1]
+            want = value.get((day, int(entity), field))
+            n_cells += want is not None
+            assert (got is None) == (want is None) and (want is None or got == pytest.approx(round(float(want), 6), abs=1e-6))
+    assert n_cells == len(value)
 
 
 def test_rank_window_is_partitioned_in_forecasts(spark):

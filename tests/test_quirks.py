@@ -72,7 +72,7 @@ def test_bad_timestamps_are_counted_and_raise(spark):
                                "permco long, dlycaldt string")
     c = clean.check_counts(df, ["permco", "dlycaldt"], raw_time_col="dlycaldt").first()
     assert c["n_bad_timestamps"] == 1 and c["n_duplicate_keys"] == 1 and c["n_rows"] == 4
-    with pytest.raises(ValueError, match="Found 1 rows with invalid timestamps"):
+    with pytest.raises(ValueError, match="1 of 4 rows have no readable date"):
         clean.validate_panel(df, ["permco", "dlycaldt"], raw_time_col="dlycaldt")
     with pytest.raises(Exception, match="invalid timestamp"):
         clean.parse_time(df.withColumnRenamed("dlycaldt", "timestamp"), on_error="raise").collect()
@@ -142,15 +142,16 @@ def test_scalar_helpers(spark):
     assert rows[1]["e"] == "17.5" and rows[1]["t"] == "unknown" and rows[1]["a"] is None
 
 
-def test_order_key_bigint_and_decimal_fallback(spark):
-    from panelforge.functions.exprs import order_key
-    small = spark.createDataFrame([(1, 2), (1, 3), (2, 0)], "a long, b long")
-    k = order_key(small, [F.col("a"), F.col("b")])
-    out = small.select("a", "b", k.alias("k"))
-    assert dict(out.dtypes)["k"] == "bigint"
-    assert [(r["a"], r["b"]) for r in out.orderBy("k").collect()] == [(1, 2), (1, 3), (2, 0)]
-    big = spark.createDataFrame([(2 ** 40, 2 ** 30), (2 ** 40, 2 ** 30 + 1), (2 ** 40 + 1, 0)], "a long, b long")
-    k = order_key(big, [F.col("a"), F.col("b")])
-    out = big.select("a", "b", k.alias("k"))
-    assert dict(out.dtypes)["k"].startswith("decimal")
-    assert [(r["a"], r["b"]) for r in out.orderBy("k").collect()] == sorted((r["a"], r["b"]) for r in big.collect())
+def test_order_key_is_fixed_width_and_keeps_nulls(spark):
+    from panelforge.functions.aggs import first_valid
+    from panelforge.functions.exprs import pack_order_key
+    key = pack_order_key([("a", 12), ("b", 10)])
+    for rows in ([(1, 2), (1, 3), (2, 0)], [(2 ** 39, 2 ** 30), (2 ** 39, 2 ** 30 + 1), (2 ** 39 + 1, 0)]):
+        df = spark.createDataFrame(rows, "a long, b long").select("a", "b", key.alias("k"))
+        assert dict(df.dtypes)["k"] == "decimal(38,0)"
+        assert [(r["a"], r["b"]) for r in df.orderBy("k").collect()] == sorted(rows)
+    part_null = spark.createDataFrame([(1, None, 7.0), (2, 1, 8.0)], "a long, b long, v double")
+    assert part_null.withColumn("ord", key).groupBy().agg(first_valid("v", "ord").alias("v")).first()["v"] == 7.0
+    with pytest.raises(Exception, match="order key part"):
+        spark.createDataFrame([(-1, 1)], "a long, b long").select(key).collect()
+
