@@ -36,6 +36,8 @@ from .ship import ship
 
 STATES, SYMBOLS, CLASSES, KNOWN = 8, 32_768, 256, 200_000
 SEGMENT, ITERATIONS, SAMPLE, SAMPLE_ITERATIONS = 128, 3, 400, 12
+#: Tokens of the overall symbol frequencies that each state counts beside its own.
+SMOOTHING = 1000.0
 END = np.uint64(0x5E6D0F7EAD10C0DE)
 END_CLASS = CLASSES
 N_SYMBOLS = SYMBOLS + CLASSES + 1
@@ -168,7 +170,7 @@ class Model:
     def of_counts(start, moves, emit, prior: np.ndarray) -> Model:
         start = (start + 0.1) / (start + 0.1).sum()
         moves = moves + 0.1
-        emit = emit + 20.0 * prior[:, None]
+        emit = emit + SMOOTHING * prior[:, None]
         return Model(start, moves / moves.sum(1, keepdims=True), emit / emit.sum(0))
 
 
