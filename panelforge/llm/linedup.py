@@ -7,8 +7,9 @@ document, has Jaccard similarity of at least num / den; shorter lines stay.
 
 Method (prefix, positional and length filters).  Lines of equal sets are one node,
 standing at its first line; later lines of the set are removed with no join.  A
-node's words are sorted by rarity: words that are not among the ``RANKED`` most
-frequent first (by hash), then those by ascending count.  Two sets can only be
+node's words are sorted by rarity: by the logarithm of their count over the whole corpus, kept in a
+sketch of ``2**SKETCH`` counters (words that share a counter count together), then by hash.  The sketch only orders
+words, so it never changes the result.  Two sets can only be
 similar if their first n - ceil(num/den n) + 1 words meet, so these are joined on the
 word; a row stays a candidate if the sizes fit, if the places of the word leave enough
 words behind it, and if the sets' 64-bit masks differ in few enough bits (each differing
@@ -34,18 +35,30 @@ from pyspark.sql import functions as F
 
 from .bloom import may_be_in
 from .bytewords import FOLD, NOT_SPACE, hashes, mix, pieces, spans
-from .scratch import written
+from .scratch import discard, written
 from .ship import ship
 
-MIN_WORDS, RANKED, HOLD = 5, 50_000, 3_000_000
+MIN_WORDS, SKETCH, BLOCK = 5, 22, 16
 #: Bits of the second mask, which lines of more than NARROW words have.
-WIDE, NARROW = 512, 30
+WIDE, NARROW = 512, 60
 #: Sizes and places from here on are not told apart in the word table: such rows skip the filters, not the check.
 LONG = 32_767
 #: Up to this many node ids (8 bytes each) are broadcast.
 BROADCAST_ROWS = 1_000_000
 
 
+def sorted_by(line: np.ndarray, n_lines: int, h: np.ndarray, rank: np.ndarray | None = None) -> np.ndarray:
+    """Indices in the order of line, then rank (below 256), then hash: one sort of packed keys, if these tell all apart."""
+    bits = np.uint64(max(1, int(n_lines).bit_length()))
+    key = line.astype(np.uint64) << (np.uint64(64) - bits)
+    key |= h >> bits if rank is None else (rank.astype(np.uint64) << (np.uint64(56) - bits)) | (h >> (np.uint64(8) + bits))
+    order = np.argsort(key)
+    k, x = key[order], h[order]
+    if ((k[1:] == k[:-1]) & (x[1:] != x[:-1])).any():
+        return np.lexsort((h, line) if rank is None else (h, rank, line))
+    return order
+
+
 def line_sets(data: np.ndarray, offs: np.ndarray):
     """Distinct words of every line: (word hash, line) sorted by line, and of each line its row, number and words."""
     nl = np.flatnonzero(data == 10)
@@ -59,7 +72,7 @@ def line_sets(data: np.ndarray, offs: np.ndarray):
     # Empty lines may begin where the next does: a word belongs to the last that begins at or before it.
     line = np.searchsorted(begins, starts, side="right") - 1
     n_words = np.bincount(line, minlength=len(begins))
-    order = np.lexsort((h, line))
+    order = sorted_by(line, len(begins), h)
     h, line = h[order], line[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
@@ -67,36 +80,34 @@ def line_sets(data: np.ndarray, offs: np.ndarray):
     return h[new], line[new], line_row, np.arange(len(begins)) - first[line_row], n_words
 
 
-def heavy_words(docs: DataFrame, text: str, limit: int = RANKED) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, count), sorted by hash, of at most ``limit`` words: those that are frequent in some task's rows.
+def word_ranks(docs: DataFrame, text: str) -> np.ndarray:
+    """For every counter of the sketch (a word's is the top ``SKETCH`` bits of its hash), eight times the log2 of its count.
 
-    Any word whose share of the corpus is over 1 / limit has at least that share in some task, so none is missed.
-    The counts only order words, which never changes the result.
+    Counts cover all rows; a task leaves out counters that it met once, which are as good as new to the order.  The
+    sketch has a fixed size; it comes to the driver as ranks, a byte a counter.
     """
-    def run(batches):
-        held, total = [], 0
+    def count(batches):
+        total = np.zeros(1 << SKETCH, np.int64)
         for batch in batches:
             for _, _, data, offs in pieces(batch.column(0)):
                 s, e, _ = spans(data, offs, NOT_SPACE)
                 u, n = np.unique(hashes(FOLD[data], s, e), return_counts=True)
-                total += len(s)
-                held.append((u, n))
-                if sum(len(x[0]) for x in held) > HOLD:
-                    held = [joined(held)]
-        if held:
-            u, n = joined(held)
-            keep = n >= max(2, total / limit)
-            yield pa.RecordBatch.from_arrays([pa.array(u[keep].view(np.int64)), pa.array(n[keep])], names=["h", "n"])
-
-    def joined(held):
-        u, at = np.unique(np.concatenate([x[0] for x in held]), return_inverse=True)
-        return u, np.bincount(at, np.concatenate([x[1] for x in held]), len(u)).astype(np.int64)
-
-    top = (docs.select(text).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "h").limit(limit).toPandas())
-    h, n = top["h"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
-    order = np.argsort(h)
-    return h[order], n[order]
+                np.add.at(total, (u >> np.uint64(64 - SKETCH)).astype(np.int64), n)
+        at = np.flatnonzero(total > 1)
+        if len(at):
+            yield pa.RecordBatch.from_arrays([pa.array(at >> BLOCK, pa.int32()), pa.array(at & ((1 << BLOCK) - 1), pa.int32()), pa.array(total[at])],
+                                             names=["block", "at", "n"])
+
+    def ranks(part: pa.Table) -> pa.Table:
+        out = np.zeros(1 << BLOCK, np.uint8)
+        out[part["at"].to_numpy()] = np.minimum(255, 8 * np.log2(part["n"].to_numpy())).astype(np.uint8)
+        return pa.table({"block": part["block"][:1], "ranks": pa.array([out.tobytes()], pa.binary())})
+
+    counts = docs.select(text).mapInArrow(count, "block int, at int, n long").groupBy("block", "at").agg(F.sum("n").alias("n"))
+    table = np.zeros((1 << (SKETCH - BLOCK), 1 << BLOCK), np.uint8)
+    for row in counts.groupBy("block").applyInArrow(ranks, "block int, ranks binary").collect():
+        table[row["block"]] = np.frombuffer(row["ranks"], np.uint8)
+    return table.ravel()
 
 
 def _candidates(num: int, den: int, a: str, b: str) -> str:
@@ -122,7 +133,7 @@ def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", nu
     ship()
     source = docs.filter(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
     kind = source.schema["key"].dataType.simpleString()
-    rank_h, rank_n = heavy_words(source, "text")
+    rank_of = word_ranks(source, "text")
 
     def lines(batches):
         for batch in batches:
@@ -139,18 +150,14 @@ def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", nu
                 with np.errstate(over="ignore"):
                     set_hash = mix(np.add.reduceat(mix(h + np.uint64(1)), at) + size.astype(np.uint64))
                 mask = np.bitwise_or.reduceat(np.uint64(1) << (h & np.uint64(63)), at)
-                count = np.zeros(len(h), np.int64)
-                if len(rank_h):
-                    i = np.minimum(np.searchsorted(rank_h, h), len(rank_h) - 1)
-                    count = np.where(rank_h[i] == h, rank_n[i], 0)
-                wide = np.zeros(len(ok) * (WIDE // 64), np.uint64)
-                bit = (h >> np.uint64(6)) & np.uint64(WIDE - 1)
-                rank = np.repeat(np.arange(len(ok)), size) * (WIDE // 64) + (bit >> np.uint64(6)).astype(np.int64)
-                np.bitwise_or.at(wide, rank, np.uint64(1) << (bit & np.uint64(63)))
                 has = size > NARROW
+                long = np.repeat(has, size)
+                wide = np.zeros((int(has.sum()), WIDE), bool)
+                wide[np.repeat(np.arange(len(wide)), size[has]), ((h[long] >> np.uint64(6)) & np.uint64(WIDE - 1)).astype(np.int64)] = True
                 wat = np.concatenate(([0], np.cumsum(np.where(has, WIDE // 64, 0)))).astype(np.int32)
-                wide = pa.ListArray.from_arrays(pa.array(wat), pa.array(wide.reshape(len(ok), -1)[has].ravel().view(np.int64)), mask=pa.array(~has))
-                order = np.lexsort((h, count, line))
+                wide = pa.ListArray.from_arrays(pa.array(wat), pa.array(np.packbits(wide, axis=1, bitorder="little").ravel().view(np.int64)),
+                                                mask=pa.array(~has))
+                order = sorted_by(line, len(ok), h, rank_of[(h >> np.uint64(64 - SKETCH)).astype(np.int64)])
                 short = (h[order] >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 prefix = size - (-(-num * size // den)) + 1
                 take = np.arange(len(h)) - np.repeat(at, size) < np.repeat(prefix, size)
@@ -161,35 +168,40 @@ def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", nu
                      wide, pa.ListArray.from_arrays(pa.array(cut), pa.array(short[take]))],
                     names=["key", "th", "no", "set_hash", "n", "mask", "wide", "prefix"])
 
-    every = written(source.mapInArrow(lines, f"key {kind}, th long, no int, set_hash long, n int, mask long, wide array<long>, prefix array<int>"), "lines")
+    whole = written(source.mapInArrow(lines, f"key {kind}, th long, no int, set_hash long, n int, mask long, wide array<long>, prefix array<int>"), "lines")
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    sets = (every.groupBy("set_hash").agg(F.min(F.struct("key", "th", "no")).alias("at"), F.first("n").alias("n"),
+    sets = (whole.groupBy("set_hash").agg(F.min(F.struct("key", "th", "no")).alias("at"), F.first("n").alias("n"),
                                           F.first("mask").alias("mask"), F.first("wide").alias("wide"), F.first("prefix").alias("prefix"))
             .select("at.key", "at.th", "at.no", "n", "mask", "wide", "prefix"))
     # Range-sorted, so that ids ascend with the lines' order.
     sets = written(sets.repartitionByRange(parts, "key", "th", "no").sortWithinPartitions("key", "th", "no")
                    .withColumn("id", F.monotonically_increasing_id()), "line-nodes")
-    # Filed by word: only words of two and more nodes, each row with the word's earliest node.  A word of this table is
-    # rare in proportion to the corpus, as the frequent ones come last in a node's order.
+    every = written(whole.select("key", "th", "no"), "line-places")
+    discard(whole)
+    # Filed by word.  A word of this table is rare in proportion to the corpus, as the frequent ones come last in a
+    # node's order.  Each row gets the word's earliest node, if it may be similar; on to the join of all others go
+    # the rows that are not the word's earliest, where there are two of them.
     postings = sets.select("id", F.posexplode("prefix").alias("pos", "word"), "n", "mask")
-    postings = postings.select("word", "id", F.expr(f"least(n, {LONG}) * 65536 + least(pos, {LONG})").alias("np"), "mask")
+    postings = postings.select("word", "id", F.struct(F.expr(f"least(n, {LONG}) * 65536 + least(pos, {LONG})").alias("np"), "mask").alias("x"))
     in_word = Window.partitionBy("word").orderBy("id")
-    filed = written(postings.withColumns({"lid": F.first("id").over(in_word), "lnp": F.first("np").over(in_word),
-                                          "lmask": F.first("mask").over(in_word), "next": F.lead("id").over(in_word)})
-                    .filter("lid <> id OR next IS NOT NULL").drop("next"), "line-postings")
-    led = filed.select(F.struct("np", "mask").alias("x"), F.struct(F.col("lnp").alias("np"), F.col("lmask").alias("mask")).alias("y"),
-                       F.col("id").alias("a"), F.col("lid").alias("b"))
-    first = written(led.filter("a <> b AND " + _candidates(num, den, "x", "y")).select("a", "b").distinct(), "line-pairs")
+    filed = (postings.withColumns({"lid": F.first("id").over(in_word), "y": F.first("x").over(in_word),
+                                   "place": F.row_number().over(in_word), "next": F.lead("id").over(in_word)})
+             .select("word", "id", "x.np", "x.mask", F.expr(f"CASE WHEN id <> lid AND {_candidates(num, den, 'x', 'y')} THEN lid END").alias("lid"),
+                     F.expr("place > 2 OR (place = 2 AND next IS NOT NULL)").alias("more")))
+    filed = written(filed.filter("lid IS NOT NULL OR more"), "line-postings")
+    first = written(filed.filter("lid IS NOT NULL").select(F.col("id").alias("a"), F.col("lid").alias("b")).distinct(), "line-pairs")
     first = written(_wide(first, sets, num, den), "line-pairs")
     gone = written(_verified(first, sets, source, num, den).select("a").distinct(), "line-gone")
     # Both sides read one exchange; the removed nodes are sent to all only if few enough.
-    by_word = filed.select("word", "id", "lid", "np", "mask").repartition(parts, "word")
+    by_word = filed.filter("more").select("word", "id", "np", "mask").repartition(parts, "word")
     few = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
-    x = by_word.join(few.withColumnRenamed("a", "id"), "id", "left_anti").select("word", F.struct("id", "lid", "np", "mask").alias("x"))
-    y = by_word.select("word", F.struct("id", "lid", "np", "mask").alias("y"))
-    rest = (x.join(y, "word").filter("y.id < x.id AND y.id <> x.lid AND x.lid = y.lid AND " + _candidates(num, den, "x", "y"))
+    x = by_word.join(few.withColumnRenamed("a", "id"), "id", "left_anti").select("word", F.struct("id", "np", "mask").alias("x"))
+    y = by_word.select("word", F.struct("id", "np", "mask").alias("y"))
+    rest = (x.join(y, "word").filter("y.id < x.id AND " + _candidates(num, den, "x", "y"))
             .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
-    gone = gone.union(_verified(written(_wide(written(rest, "line-pairs"), sets, num, den), "line-pairs"), sets, source, num, den).select("a").distinct())
+    rest = written(rest, "line-pairs")
+    discard(filed)
+    gone = gone.union(_verified(written(_wide(rest, sets, num, den), "line-pairs"), sets, source, num, den).select("a").distinct())
     kept = sets.select("id", "key", "th", "no").join(gone.withColumnRenamed("a", "id"), "id", "left_anti")
     removed = every.select("key", "th", "no").alias("e").join(
         kept.alias("k"), F.expr("e.key <=> k.key AND e.th = k.th AND e.no = k.no"), "left_anti")
