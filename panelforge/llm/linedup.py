@@ -12,8 +12,9 @@ sketch of ``2**SKETCH`` counters (words that share a counter count together), th
 words, so it never changes the result.  Two sets can only be
 similar if their first n - ceil(num/den n) + 1 words meet, so these are joined on the
 word; a row stays a candidate if the sizes fit, if the places of the word leave enough
-words behind it, and if the sets' 64-bit masks differ in few enough bits (each differing
-bit is a word they do not share; longer lines have a second, wider mask).  Candidates are verified on whole sets.
+words behind it, and if the sets' masks differ in few enough bits (each differing
+bit is a word they do not share).  A mask has ``BITS`` bits for every third word hash, so that it is not full for long
+lines; lines of more than ``NARROW`` words have a second, wider mask.  Candidates are verified on whole sets.
 
 Large groups of similar lines: every node is first checked against the earliest node
 filed under each of its prefix words; only nodes that no such leader removes go on to
@@ -39,8 +40,8 @@ from .scratch import discard, written
 from .ship import ship
 
 MIN_WORDS, SKETCH, BLOCK = 5, 22, 16
-#: Bits of the second mask, which lines of more than NARROW words have.
-WIDE, NARROW = 512, 60
+#: Bits of the mask, and of the second one, which lines of more than NARROW words have.
+BITS, WIDE, NARROW = 96, 512, 120
 #: Sizes and places from here on are not told apart in the word table: such rows skip the filters, not the check.
 LONG = 32_767
 #: Up to this many node ids (8 bytes each) are broadcast.
@@ -110,21 +111,28 @@ def word_ranks(docs: DataFrame, text: str) -> np.ndarray:
     return table.ravel()
 
 
+def _n(x: str) -> str:
+    """The size in a posting's np: the mask's other 32 bits, 16 bits of size, 16 bits of place."""
+    return f"(shiftright({x}.np, 16) & 65535)"
+
+
 def _candidates(num: int, den: int, a: str, b: str) -> str:
-    na, nb, pa_, pb = f"shiftright({a}.np, 16)", f"shiftright({b}.np, 16)", f"({a}.np & 65535)", f"({b}.np & 65535)"
+    na, nb, pa_, pb = _n(a), _n(b), f"({a}.np & 65535)", f"({b}.np & 65535)"
     both = f"({na} + {nb})"
-    return (f"(greatest({na}, {nb}) >= {LONG} OR ({num + den} * ({both} - bit_count({a}.mask ^ {b}.mask)) >= {2 * num} * {both} "
-            f"AND {den} * least({na}, {nb}) >= {num} * greatest({na}, {nb}) "
-            f"AND {num + den} * least({na} - {pa_}, {nb} - {pb}) >= {num} * {both}))")
+    differ = f"(bit_count({a}.mask ^ {b}.mask) + bit_count(shiftrightunsigned({a}.np ^ {b}.np, 32)))"
+    return (f"(greatest({na}, {nb}) >= {LONG} OR ({den} * least({na}, {nb}) >= {num} * greatest({na}, {nb}) "
+            f"AND {num + den} * least({na} - {pa_}, {nb} - {pb}) >= {num} * {both} "
+            f"AND {num + den} * ({both} - {differ}) >= {2 * num} * {both}))")
 
 
 def _wide(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs that the wide masks of long lines allow."""
-    own = sets.select("id", "n", "wide")
+    """The pairs (a, b, far) that the wide masks of long lines allow; far: both are long."""
+    own = sets.filter("wide IS NOT NULL").select("id", "n", "wide")
     bits = " + ".join(f"bit_count(x.wide[{i}] ^ y.wide[{i}])" for i in range(WIDE // 64))
-    return (pairs.join(own.select(F.col("id").alias("a"), F.struct("n", "wide").alias("x")), "a")
-            .join(own.select(F.col("id").alias("b"), F.struct("n", "wide").alias("y")), "b")
-            .filter(f"x.wide IS NULL OR y.wide IS NULL OR {num + den} * (x.n + y.n - ({bits})) >= {2 * num} * (x.n + y.n)").select("a", "b"))
+    far = (pairs.filter("far").join(own.select(F.col("id").alias("a"), F.struct("n", "wide").alias("x")), "a")
+           .join(own.select(F.col("id").alias("b"), F.struct("n", "wide").alias("y")), "b")
+           .filter(f"{num + den} * (x.n + y.n - ({bits})) >= {2 * num} * (x.n + y.n)").select("a", "b"))
+    return far.union(pairs.filter("NOT far").select("a", "b"))
 
 
 def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int = 4, den: int = 5,
@@ -149,7 +157,10 @@ def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", nu
                 size = np.diff(np.append(at, len(line)))
                 with np.errstate(over="ignore"):
                     set_hash = mix(np.add.reduceat(mix(h + np.uint64(1)), at) + size.astype(np.uint64))
-                mask = np.bitwise_or.reduceat(np.uint64(1) << (h & np.uint64(63)), at)
+                bit = h % np.uint64(3 * BITS)
+                one = np.uint64(1) << (bit & np.uint64(63))
+                mask = np.bitwise_or.reduceat(np.where(bit < 64, one, np.uint64(0)), at)
+                mask2 = np.bitwise_or.reduceat(np.where((bit >= 64) & (bit < BITS), one, np.uint64(0)), at)
                 has = size > NARROW
                 long = np.repeat(has, size)
                 wide = np.zeros((int(has.sum()), WIDE), bool)
@@ -164,15 +175,15 @@ def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", nu
                 cut = np.concatenate(([0], np.cumsum(prefix))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(lo + row[ok])), batch.column(1).take(pa.array(lo + row[ok])), pa.array(no[ok], pa.int32()),
-                     pa.array(set_hash.view(np.int64)), pa.array(size, pa.int32()), pa.array(mask.view(np.int64)),
+                     pa.array(set_hash.view(np.int64)), pa.array(size, pa.int32()), pa.array(mask.view(np.int64)), pa.array(mask2.view(np.int64)),
                      wide, pa.ListArray.from_arrays(pa.array(cut), pa.array(short[take]))],
-                    names=["key", "th", "no", "set_hash", "n", "mask", "wide", "prefix"])
+                    names=["key", "th", "no", "set_hash", "n", "mask", "mask2", "wide", "prefix"])
 
-    whole = written(source.mapInArrow(lines, f"key {kind}, th long, no int, set_hash long, n int, mask long, wide array<long>, prefix array<int>"), "lines")
+    whole = written(source.mapInArrow(lines, f"key {kind}, th long, no int, set_hash long, n int, mask long, mask2 long, wide array<long>, prefix array<int>"), "lines")
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     sets = (whole.groupBy("set_hash").agg(F.min(F.struct("key", "th", "no")).alias("at"), F.first("n").alias("n"),
-                                          F.first("mask").alias("mask"), F.first("wide").alias("wide"), F.first("prefix").alias("prefix"))
-            .select("at.key", "at.th", "at.no", "n", "mask", "wide", "prefix"))
+                                          F.first("mask").alias("mask"), F.first("mask2").alias("mask2"), F.first("wide").alias("wide"), F.first("prefix").alias("prefix"))
+            .select("at.key", "at.th", "at.no", "n", "mask", "mask2", "wide", "prefix"))
     # Range-sorted, so that ids ascend with the lines' order.
     sets = written(sets.repartitionByRange(parts, "key", "th", "no").sortWithinPartitions("key", "th", "no")
                    .withColumn("id", F.monotonically_increasing_id()), "line-nodes")
@@ -181,15 +192,15 @@ def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", nu
     # Filed by word.  A word of this table is rare in proportion to the corpus, as the frequent ones come last in a
     # node's order.  Each row gets the word's earliest node, if it may be similar; on to the join of all others go
     # the rows that are not the word's earliest, where there are two of them.
-    postings = sets.select("id", F.posexplode("prefix").alias("pos", "word"), "n", "mask")
-    postings = postings.select("word", "id", F.struct(F.expr(f"least(n, {LONG}) * 65536 + least(pos, {LONG})").alias("np"), "mask").alias("x"))
+    postings = sets.select("id", F.posexplode("prefix").alias("pos", "word"), "n", "mask", "mask2")
+    postings = postings.select("word", "id", F.struct(F.expr(f"shiftleft(mask2, 32) | (least(n, {LONG}) * 65536 + least(pos, {LONG}))").alias("np"), "mask").alias("x"))
     in_word = Window.partitionBy("word").orderBy("id")
     filed = (postings.withColumns({"lid": F.first("id").over(in_word), "y": F.first("x").over(in_word),
                                    "place": F.row_number().over(in_word), "next": F.lead("id").over(in_word)})
-             .select("word", "id", "x.np", "x.mask", F.expr(f"CASE WHEN id <> lid AND {_candidates(num, den, 'x', 'y')} THEN lid END").alias("lid"),
+             .select("word", "id", "x.np", "x.mask", F.expr(f"least({_n('x')}, {_n('y')}) > {NARROW}").alias("far"), F.expr(f"CASE WHEN id <> lid AND {_candidates(num, den, 'x', 'y')} THEN lid END").alias("lid"),
                      F.expr("place > 2 OR (place = 2 AND next IS NOT NULL)").alias("more")))
     filed = written(filed.filter("lid IS NOT NULL OR more"), "line-postings")
-    first = written(filed.filter("lid IS NOT NULL").select(F.col("id").alias("a"), F.col("lid").alias("b")).distinct(), "line-pairs")
+    first = written(filed.filter("lid IS NOT NULL").select(F.col("id").alias("a"), F.col("lid").alias("b"), "far").distinct(), "line-pairs")
     first = written(_wide(first, sets, num, den), "line-pairs")
     gone = written(_verified(first, sets, source, num, den).select("a").distinct(), "line-gone")
     # Both sides read one exchange; the removed nodes are sent to all only if few enough.
@@ -198,7 +209,7 @@ def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", nu
     x = by_word.join(few.withColumnRenamed("a", "id"), "id", "left_anti").select("word", F.struct("id", "np", "mask").alias("x"))
     y = by_word.select("word", F.struct("id", "np", "mask").alias("y"))
     rest = (x.join(y, "word").filter("y.id < x.id AND " + _candidates(num, den, "x", "y"))
-            .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
+            .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.expr(f"least({_n('x')}, {_n('y')}) > {NARROW}").alias("far")).distinct())
     rest = written(rest, "line-pairs")
     discard(filed)
     gone = gone.union(_verified(written(_wide(rest, sets, num, den), "line-pairs"), sets, source, num, den).select("a").distinct())
