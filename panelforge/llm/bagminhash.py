@@ -17,9 +17,13 @@ equal to the texts' weighted Jaccard similarity; a text costs about
 with probability 1 - 5e-8.  Pairs are not listed by bucket.  First, each text is
 checked against one leader (the smallest node of its buckets, the one it shares most
 bands with), which resolves groups of copies of any size in linear work.  Then
-bucket-mates that are still in different classes become a pair if the shingles that
-each shares with any other such text could suffice, and at least ``AGREE`` of the ``M`` signature bytes agree (at similarity 0.8 fewer do with
-probability 3e-6), once each, in the first band they share.  A check compares whole
+bucket-mates that are still in different classes may become a pair if the shingles that
+each shares with any other such text could suffice, and at least ``AGREE`` of the ``M``
+signature bytes agree (at similarity 0.8 fewer do with probability 3e-6): first each
+bucket is dealt into parts of about ``PART`` texts that all ask the part's smallest node,
+so a loose group is joined by links in proportion to its texts; then, in the buckets
+that still hold several classes, the texts outside the bucket's commonest class ask all
+others, once each.  A check compares whole
 multisets exactly.  Classes are the connected components of the pairs
 at or over the threshold.  Equal texts are one node from the start.
 
@@ -45,6 +49,8 @@ from .scratch import written
 from .ship import ship
 
 M, BANDS, WIDTH, AGREE = 128, 32, 5, 82
+#: Rounds in which a text asks a few of its bucket-mates, in parts of about so many, before all pairs still apart are formed.
+ROUNDS, PART = 1, 4
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
@@ -128,7 +134,9 @@ def _features(batches):
             size = np.bincount(row, minlength=n)
             won = signatures(*weights(h, row), n)
             keys = bands(won)
-            low = won.astype(np.uint8).view(np.int64)  # M bytes a row, a band is half of a long
+            # A byte of each component, as eight bit planes of two longs each: components differ where one of their planes does.
+            planes = np.unpackbits(won.astype(np.uint8)[:, :, None], axis=2).reshape(n, BANDS, M // BANDS, 8).transpose(0, 3, 2, 1)
+            low = np.packbits(planes, axis=3, bitorder="little").reshape(n, -1).view(np.int64)
             has = size > 0
             at = np.concatenate(([0], np.cumsum(np.where(has, BANDS, 0)))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -150,17 +158,38 @@ def _multisets(batches):
                                              names=["node", "items"])
 
 
+def _differ(half: int) -> str:
+    """SQL: the components of one half, by a bit each, whose bytes differ in x and y."""
+    return "(" + " | ".join(f"(x.low[{i}] ^ y.low[{i}])" for i in range(half, M // 8, 2)) + ")"
+
+
 def _alike() -> str:
-    """SQL: enough signature bytes of x and y agree, and no band before this bucket's does."""
-    ones = "72340172838076673L"  # 0x0101010101010101
-    terms, earlier = [], []
-    for i in range(M // 8):
-        v = f"(x.low[{i}] ^ y.low[{i}])"
-        half = f"({v} | shiftrightunsigned({v}, 4))"
-        quarter = f"({half} | shiftrightunsigned({half}, 2))"
-        terms.append(f"bit_count(({quarter} | shiftrightunsigned({quarter}, 1)) & {ones})")
-        earlier += [f"WHEN {v} & 4294967295L = 0 THEN {2 * i}", f"WHEN shiftrightunsigned({v}, 32) = 0 THEN {2 * i + 1}"]
-    return f"{' + '.join(terms)} <= {M - AGREE} AND (CASE {' '.join(earlier)} END) = x.band"
+    """SQL: enough signature bytes of x and y agree."""
+    return f"bit_count({_differ(0)}) + bit_count({_differ(1)}) <= {M - AGREE}"
+
+
+def _may_link(num: int, den: int) -> str:
+    """SQL: x and y are in different classes, and their sizes and shared shingles could suffice."""
+    return (f"x.comp <> y.comp AND {den} * least(x.size, y.size) >= {num} * greatest(x.size, y.size) "
+            f"AND {num + den} * least(x.most, y.most) >= {num} * (x.size + y.size)")
+
+
+def _open(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of buckets that hold more than one class, with their class as ``comp``."""
+    of = written(rows.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "bag-labelled")
+    several = of.groupBy("bucket").agg(F.min("comp").alias("least"), F.max("comp").alias("most_")).filter("least <> most_").select("bucket")
+    return written(of.join(several, "bucket", "left_semi"), "bag-open")
+
+
+def _some_mates(rest: DataFrame, salt: int, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of bucket-mates that may link: each bucket is dealt into parts of about ``PART``, and all of a part
+    ask its smallest node.  In its up to ``BANDS`` buckets a text asks as many others, however large its group is."""
+    parts = rest.groupBy("bucket").agg(F.ceil(F.count("*") / PART).alias("parts"))
+    dealt = (rest.join(parts, "bucket").withColumn("part", F.expr(f"pmod(xxhash64(node, bucket, {salt}), parts)"))
+             .select("bucket", "part", F.struct("node", "size", "comp", "low", "most").alias("x")))
+    heads = dealt.groupBy("bucket", "part").agg(F.min_by("x", F.col("x.node")).alias("y"))
+    return (dealt.join(heads, ["bucket", "part"]).filter(f"x.node <> y.node AND {_may_link(num, den)} AND {_alike()}")
+            .select(F.col("y.node").alias("a"), F.col("x.node").alias("b")).distinct())
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -187,7 +216,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", nu
                                              F.first("bands").alias("bands"), F.first("low").alias("low"))
                     .withColumn("node", F.monotonically_increasing_id()), "bag-nodes")
     # Buckets of two and more texts.
-    buckets = nodes.select("node", "size", F.posexplode("bands").alias("band", "bucket"))
+    buckets = nodes.select("node", "size", F.explode("bands").alias("bucket"))
     leaders = buckets.groupBy("bucket").agg(F.min("node").alias("leader"), F.min_by("size", "node").alias("leader_size"), F.count("*").alias("n")).filter("n > 1")
     shared = written(buckets.join(leaders.drop("n"), "bucket"), "bag-buckets")
     fits = f"{den} * least(size, leader_size) >= {num} * greatest(size, leader_size)"
@@ -202,21 +231,34 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", nu
     sets = written(texts.mapInArrow(_multisets, "node long, items array<long>").dropDuplicates(["node"]), "bag-sets")
     links = written(_verified(first, sets, num, den), "bag-links")
     labels = components(links)
-    # Bucket-mates that are still apart.
-    of = shared.select("bucket", "band", "node", "size").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    of = written(of, "bag-labelled")
-    open_buckets = of.groupBy("bucket").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).filter("least <> most").select("bucket")
-    rest = written(of.join(open_buckets, "bucket", "left_semi"), "bag-open")
+    # Bucket-mates that are still apart: first a few each, then, of the classes that these leave apart, all.
+    rest = _open(shared.select("bucket", "node", "size"), labels)
     # Shingles that no other of these texts has: the most a text can share is the others.
     alone = (sets.join(rest.select("node").distinct(), "node", "left_semi").select("node", F.explode("items").alias("item"))
              .groupBy("item").agg(F.min("node").alias("node"), F.count("*").alias("n")).filter("n = 1")
              .groupBy("node").agg(F.count("*").alias("alone")))
     rest = rest.join(nodes.select("node", "low"), "node").join(alone, "node", "left")
-    rest = written(rest.select("bucket", F.struct("band", "node", "size", "comp", "low", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("most")).alias("x")), "bag-open")
-    more = (rest.alias("l").join(rest.select("bucket", F.col("x").alias("y")).alias("r"), "bucket")
-            .filter(f"x.node < y.node AND x.comp <> y.comp AND {den} * least(x.size, y.size) >= {num} * greatest(x.size, y.size) "
-                    f"AND {num + den} * least(x.most, y.most) >= {num} * (x.size + y.size) AND {_alike()}")
-            .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).join(first, ["a", "b"], "left_anti"))
+    rest = written(rest.withColumn("most", F.expr("size - coalesce(alone, 0)")).drop("alone"), "bag-open")
+    tried = first
+    for salt in range(ROUNDS):
+        some = written(_some_mates(rest, salt, num, den).join(tried, ["a", "b"], "left_anti"), "bag-some")
+        found = written(_verified(some, sets, num, den), "bag-links")
+        tried = tried.union(some)
+        if not found.limit(1).count():
+            break
+        links = links.union(found)
+        labels = components(links)
+        rest = _open(rest.drop("comp"), labels)
+    # Of a bucket's commonest class and itself no pair is formed: the rows of its other classes ask all rows.
+    main = (rest.groupBy("bucket", "comp").agg(F.count("*").alias("n")).groupBy("bucket")
+            .agg(F.max_by("comp", F.struct("n", "comp")).alias("main")))
+    rest = written(rest.join(main, "bucket").select("bucket", (F.col("comp") == F.col("main")).alias("in_main"),
+                                                    F.struct("node", "size", "comp", "low", "most").alias("x")), "bag-open")
+    apart = rest.filter("NOT in_main").select("bucket", "x")
+    more = (apart.join(rest.select("bucket", "in_main", F.col("x").alias("y")), "bucket")
+            .filter(f"(in_main OR x.node < y.node) AND {_may_link(num, den)} AND {_alike()}")
+            .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+            .distinct().join(tried, ["a", "b"], "left_anti"))
     more = written(_verified(written(more, "bag-more"), sets, num, den), "bag-links")
     if more.limit(1).count():
         labels = components(links.union(more))
