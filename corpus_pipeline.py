@@ -17,6 +17,9 @@ from panelforge.llm.scratch import table, written
 from panelforge.llm.tokens import UnitTokenizer
 from panelforge.session import ensure_checkpoint_dir
 
+#: Shortest line, in words, that the line_dedup stage may remove; tests/llm/test_pipeline.py holds the stage to 5.
+LINE_WORDS = 5
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go."""
@@ -25,7 +28,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later matches of a line go; every document stays, with what is left of its text."""
-    return linedup.dedup_lines(docs).select(*docs.columns)
+    return linedup.dedup_lines(docs, min_words=LINE_WORDS).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

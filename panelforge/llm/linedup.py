@@ -2,8 +2,8 @@
 
 Meaning.  A line is the set of its words (cut at ASCII white space, A-Z folded).
 Lines are ordered by document key (null first), the 64-bit hash of the text, and line
-number.  A line of at least ``MIN_WORDS`` words is removed if any earlier one, in any
-document, has Jaccard similarity of at least num / den; shorter lines stay.
+number.  A line with a word is removed if any earlier one, in any document, has Jaccard
+similarity of at least num / den.  ``min_words`` (default ``MIN_WORDS``, every line with a word) lets shorter lines stay.
 
 Method (prefix, positional and length filters).  Lines of equal sets are one node,
 standing at its first line; later lines of the set are removed with no join.  A
@@ -16,6 +16,9 @@ words behind it, and if the sets' masks differ in few enough bits (each differin
 bit is a word they do not share).  A mask has ``BITS`` bits for every third word hash, so that it is not full for long
 lines; lines of more than ``NARROW`` words have a second, wider mask.  Candidates are verified on whole sets.
 
+A set so small that no other size and no other set of its size can be similar (below 4 words at 4/5) has no prefix: only
+its equals match it, and they are its node already.
+
 Large groups of similar lines: every node is first checked against the earliest node
 filed under each of its prefix words; only nodes that no such leader removes go on to
 the join of all others, so a group of copies costs linear work.
@@ -39,7 +42,7 @@ from .bytewords import FOLD, NOT_SPACE, hashes, mix, pieces, spans
 from .scratch import discard, written
 from .ship import ship
 
-MIN_WORDS, SKETCH, BLOCK = 5, 22, 16
+MIN_WORDS, SKETCH, BLOCK = 1, 22, 16
 #: Bits of the mask, and of the second one, which lines of more than NARROW words have.
 BITS, WIDE, NARROW = 96, 512, 120
 #: Sizes and places from here on are not told apart in the word table: such rows skip the filters, not the check.
@@ -170,7 +173,8 @@ def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", nu
                                                 mask=pa.array(~has))
                 order = sorted_by(line, len(ok), h, rank_of[(h >> np.uint64(64 - SKETCH)).astype(np.int64)])
                 short = (h[order] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                prefix = size - (-(-num * size // den)) + 1
+                least = -(-num * size // den)
+                prefix = np.where((least < size) | (den * size // num > size), size - least + 1, 0)
                 take = np.arange(len(h)) - np.repeat(at, size) < np.repeat(prefix, size)
                 cut = np.concatenate(([0], np.cumsum(prefix))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
