@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from panelforge.llm import bagminhash, decontam, linedup, packing, quality
 from panelforge.llm.queries import tokenizer_path
@@ -21,24 +22,32 @@ from panelforge.session import ensure_checkpoint_dir
 LINE_WORDS = 5
 
 
+def carried(docs: DataFrame, operator: Callable[[DataFrame], DataFrame], reads: tuple[str, ...]) -> DataFrame:
+    """``operator``'s rows with all columns of ``docs``: those it does not read travel under names that no operator adds or drops."""
+    alias = {c: c if c in reads else f"carried_{i}" for i, c in enumerate(docs.columns)}
+    own = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    out = operator(docs.select(*[own(c).alias(a) for c, a in alias.items()]))
+    return out.select(*[F.col(a).alias(c) for c, a in alias.items()])
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go."""
-    return quality.quality_rules(docs).filter("kept").select(*docs.columns)
+    return carried(docs, lambda d: quality.quality_rules(d).filter("kept"), ("text", "lang", "source"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later matches of a line go; every document stays, with what is left of its text."""
-    return linedup.dedup_lines(docs, min_words=LINE_WORDS).select(*docs.columns)
+    return carried(docs, lambda d: linedup.dedup_lines(d, min_words=LINE_WORDS), ("doc_id", "text"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays."""
-    return bagminhash.one_of_each(docs).select(*docs.columns)
+    return carried(docs, bagminhash.one_of_each, ("doc_id", "text"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
-    return decontam.clean(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+    return carried(docs, lambda d: decontam.clean(d, table(spark, sf_dir, "benchmark")), ("text",))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

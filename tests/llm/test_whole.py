@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
+
+import corpus_pipeline
 from panelforge.llm import linedup
+from panelforge.llm.scratch import table
 
 from . import brute
 
+SF = "/root/testdata/sf0.001"
+
 
 def test_line_dedup_removes_short_lines(spark):
     rng = random.Random(4)
@@ -21,3 +27,16 @@ def test_line_dedup_removes_short_lines(spark):
         assert out[k].n_removed == len(gone)
         assert out[k].text == "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone)
     assert all(out[k].n_removed == 1 for k in (101, 102, 104))
+
+
+def test_stages_carry_columns_of_any_name(spark):
+    docs = table(spark, SF, "documents")
+    extra = ["n_words", "spans", "items", "kept", "n_lines", "n_removed", "word_chars", "base_failed", "key", "md5", "th", "__md5", "a.b"]
+    docs = docs.select("*", *[F.concat(F.lit(f"{c}:"), F.col("doc_id").cast("string")).alias(c) for c in extra])
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF).cache()
+        assert docs.columns == columns, name
+        rows = docs.collect()
+        assert rows and all(r[c] == f"{c}:{r['doc_id']}" for r in rows for c in extra), name
+    assert corpus_pipeline.pack(spark, docs, SF).select("doc_id").distinct().count() == len(rows)
