@@ -125,6 +125,11 @@ def bands(sig: np.ndarray, n_bands: int = BANDS) -> np.ndarray:
     return key
 
 
+def signature_bytes(won: np.ndarray) -> np.ndarray:
+    """A byte of each component: the winner's top bits, as its low ones are the component's number."""
+    return (won >> np.uint64(56)).astype(np.uint8)
+
+
 def _features(batches):
     """key, md5, text -> key, md5, number of shingles, band keys."""
     for batch in batches:
@@ -135,7 +140,7 @@ def _features(batches):
             won = signatures(*weights(h, row), n)
             keys = bands(won)
             # A byte of each component, as eight bit planes of two longs each: components differ where one of their planes does.
-            planes = np.unpackbits(won.astype(np.uint8)[:, :, None], axis=2).reshape(n, BANDS, M // BANDS, 8).transpose(0, 3, 2, 1)
+            planes = np.unpackbits(signature_bytes(won)[:, :, None], axis=2).reshape(n, BANDS, M // BANDS, 8).transpose(0, 3, 2, 1)
             low = np.packbits(planes, axis=3, bitorder="little").reshape(n, -1).view(np.int64)
             has = size > 0
             at = np.concatenate(([0], np.cumsum(np.where(has, BANDS, 0)))).astype(np.int32)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from panelforge.llm import linedup
+from panelforge.llm import bagminhash, linedup
 from panelforge.llm.scratch import table
 
 from . import brute
@@ -29,6 +30,14 @@ def test_line_dedup_removes_short_lines(spark):
     assert all(out[k].n_removed == 1 for k in (101, 102, 104))
 
 
+def test_signature_bytes_tell_unrelated_texts_apart():
+    rng = np.random.default_rng(0)
+    h = rng.integers(0, 2**63, 40 * 200).astype(np.uint64)
+    low = bagminhash.signature_bytes(bagminhash.signatures(h, np.repeat(np.arange(40), 200), np.ones(len(h), np.int64), 40))
+    agree = (low[:, None] == low[None]).mean(2)[np.triu_indices(40, 1)]
+    assert agree.mean() < 0.02 and agree.max() < 0.1
+
+
 def test_stages_carry_columns_of_any_name(spark):
     docs = table(spark, SF, "documents")
     extra = ["n_words", "spans", "items", "kept", "n_lines", "n_removed", "word_chars", "base_failed", "key", "md5", "th", "__md5", "a.b"]
