@@ -16,6 +16,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from .ship import worker_cache
+
 PIECE = 2 << 20
 _R = np.uint64(0x9E3779B97F4A7C15 | 1)
 
@@ -40,20 +42,18 @@ def mix(x: np.ndarray) -> np.ndarray:
 _TABLE = mix(np.arange(1, 257, dtype=np.uint64) * _R)
 
 
-_POWERS: list[np.ndarray] = []
-
-
 def _powers(size: int) -> list[np.ndarray]:
-    """r**i and r**-i modulo 2**64 for i < size."""
-    if _POWERS and len(_POWERS[0]) >= size:
-        return _POWERS
-    _POWERS.clear()
-    inv = np.uint64(pow(int(_R), -1, 1 << 64))
-    for base in (_R, inv):
-        p = np.full(size, base, np.uint64)
-        p[0] = 1
-        _POWERS.append(np.multiply.accumulate(p))
-    return _POWERS
+    """r**i and r**-i modulo 2**64 for i < size; kept by the process, never in a shipped function's globals."""
+    kept = worker_cache("powers")
+    if "by_size" not in kept or len(kept["by_size"][0]) < size:
+        inv = np.uint64(pow(int(_R), -1, 1 << 64))
+        powers = []
+        for base in (_R, inv):
+            p = np.full(size, base, np.uint64)
+            p[0] = 1
+            powers.append(np.multiply.accumulate(p))
+        kept["by_size"] = powers
+    return kept["by_size"]
 
 
 def pieces(column: pa.Array | pa.ChunkedArray, limit: int = PIECE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
