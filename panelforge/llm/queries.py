@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bagminhash, dac, decontam, hmm, langid, linedup, packing, quality, runs, shards, urls
+from . import bagminhash, dac, decontam, hmm, knn, langid, linedup, packing, quality, runs, shards, urls
 from .scratch import table
 from .tokens import UnitTokenizer
 
@@ -74,6 +74,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold_of(3) == 1)
+    return knn.vote(docs, table(spark, sf_dir, "labels").filter(fold_of(3) != 1), keep=["doc_id", "held_out"])
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     texts = docs.select("doc_id", runs.planted(F.col("text"), F.col("doc_id")).alias("text"))
@@ -82,4 +87,5 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language_id, op2_quality_rules, op3_sharding, op4_lm_scoring, op5_packing, op6_url_filter,
-                            op7_token_file, op8_near_duplicates, op9_decontamination, op10_line_dedup, op12_periodic_runs)}
+                            op7_token_file, op8_near_duplicates, op9_decontamination, op10_line_dedup, op11_quality_score,
+                            op12_periodic_runs)}
