@@ -87,7 +87,7 @@ def counts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
         add(of[1:][pair], 3, (kind[:-1] * 65536 + kind[1:])[pair])
         h = hashes(data, starts, ends)
         again = (h[1:] == h[:-1]) + 0
-        again[1:] += 2 * (h[2:] == h[:-2])
+        again[1:] += 2 * ((h[2:] == h[:-2]) & (of[2:] == of[:-2]))
         add(of[1:][pair], 4, (again * 1024 + (ends - starts)[1:].clip(0, 12) // 4)[pair])
     return out.reshape(n, TERMS)
 

@@ -30,7 +30,7 @@ def rows():
 
 
 def test_counts_are_those_of_each_text_alone():
-    texts = ["One two two 3", "", " \n ", "ab", "éé éé éé", "One two two 3"]
+    texts = ["One two two 3", "", " \n ", "ab", "éé éé éé", "One two two 3", "two 3 two", "two 3"]
     _, _, data, offs = next(pieces(pa.array(texts)))
     together = knn.counts(data, offs)
     for i, t in enumerate(texts):
