@@ -82,7 +82,7 @@ def counts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
         some += 3 ** k * np.where(have == 0, 0, np.where(have == ends - starts, 2, 1))
     kind = some * 32 + np.minimum(ends - starts, 15) // 3 + 8 * (shape[starts] == 1) + 16 * (shape[ends - 1] == 3)
     add(of, 2, kind)
-    if len(starts) > 2:
+    if len(starts) > 1:
         pair = of[1:] == of[:-1]
         add(of[1:][pair], 3, (kind[:-1] * 65536 + kind[1:])[pair])
         h = hashes(data, starts, ends)
