@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bagminhash, dac, decontam, hmm, knn, langid, linedup, packing, quality, runs, shards, urls
+from . import align, bagminhash, dac, decontam, hmm, knn, langid, linedup, packing, quality, runs, shards, urls
+from .pairtokens import PairTokenizer
 from .scratch import table
 from .tokens import UnitTokenizer
 
@@ -85,7 +86,12 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digest(runs.periodic_runs(texts, keep=["doc_id"]))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pair = PairTokenizer(tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+    return align.align(table(spark, sf_dir, "documents"), pair, keep=["doc_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language_id, op2_quality_rules, op3_sharding, op4_lm_scoring, op5_packing, op6_url_filter,
                             op7_token_file, op8_near_duplicates, op9_decontamination, op10_line_dedup, op11_quality_score,
-                            op12_periodic_runs)}
+                            op12_periodic_runs, op13_token_alignment)}
