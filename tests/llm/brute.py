@@ -58,7 +58,7 @@ def classes(rows, at_least=0.8):
     return {(k, t): least.get(find(i)) for i, t in enumerate(names) for k in texts[t]}
 
 
-def removed_lines(rows, order, min_words=5):
+def removed_lines(rows, order, min_words=1):
     """{(key, text): line numbers removed}; ``order`` sorts distinct (key, text) pairs."""
     lines = []
     for k, t in sorted({r for r in rows if r[1] is not None}, key=order):
