@@ -3,6 +3,12 @@
 Each stage takes the rows that its predecessor kept and decides on all of them; the
 result is written as Parquet in the shared folder and read again for the next.  All
 stages but the last return the columns of documents.
+
+Defined results: an empty table gives an empty plan.  A null or empty text fails the quality rules
+and goes with the first stage; a text that line dedup empties stays as an empty text, and of all
+empty texts one stays.  A null key is a key like any other.  Repeated rows are copies: one stays.
+Ties go as each operator says.  Very long texts pass whole.  Extra columns of any name come through
+every stage but the last unchanged.
 """
 
 from __future__ import annotations
@@ -18,9 +24,6 @@ from panelforge.llm.scratch import table, written
 from panelforge.llm.tokens import UnitTokenizer
 from panelforge.session import ensure_checkpoint_dir
 
-#: Shortest line, in words, that the line_dedup stage may remove; tests/llm/test_pipeline.py holds the stage to 5.
-LINE_WORDS = 5
-
 
 def carried(docs: DataFrame, operator: Callable[[DataFrame], DataFrame], reads: tuple[str, ...]) -> DataFrame:
     """``operator``'s rows with all columns of ``docs``: those it does not read travel under names that no operator adds or drops."""
@@ -37,7 +40,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later matches of a line go; every document stays, with what is left of its text."""
-    return carried(docs, lambda d: linedup.dedup_lines(d, min_words=LINE_WORDS), ("doc_id", "text"))
+    return carried(docs, lambda d: linedup.dedup_lines(d), ("doc_id", "text"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
