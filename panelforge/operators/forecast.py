@@ -191,13 +191,13 @@ def forecast_univariate(context: DataFrame, method: str, horizon: int, cols: Col
 # ----------------------------------------------------------- least squares
 
 
-def _ols_params_closed(df: DataFrame, unit: str, y: str, xs: Sequence[str]) -> DataFrame:
+def _ols_params_closed(df: DataFrame, unit: Sequence[str], y: str, xs: Sequence[str]) -> DataFrame:
     """k <= 2: slopes and intercept from population (co)variances, NULL when singular."""
     if len(xs) == 1:
         x = xs[0]
-        return df.groupBy(unit).agg(F.regr_intercept(y, x).alias("_a"), F.regr_slope(y, x).alias("_b0"))
+        return df.groupBy(*unit).agg(F.regr_intercept(y, x).alias("_a"), F.regr_slope(y, x).alias("_b0"))
     x, z = xs
-    g = df.groupBy(unit).agg(
+    g = df.groupBy(*unit).agg(
         F.var_pop(x).alias("vx"), F.var_pop(z).alias("vz"), F.covar_pop(x, z).alias("cxz"),
         F.covar_pop(x, y).alias("cxy"), F.covar_pop(z, y).alias("czy"),
         F.avg(x).alias("mx"), F.avg(z).alias("mz"), F.avg(y).alias("my"))
@@ -205,20 +205,19 @@ def _ols_params_closed(df: DataFrame, unit: str, y: str, xs: Sequence[str]) -> D
     det = F.expr("CASE WHEN vx * vz - cxz * cxz > 1e-10 * vx * vz THEN vx * vz - cxz * cxz END")
     b0 = (F.col("cxy") * F.col("vz") - F.col("czy") * F.col("cxz")) / det
     b1 = (F.col("czy") * F.col("vx") - F.col("cxy") * F.col("cxz")) / det
-    return g.select(unit, b0.alias("_b0"), b1.alias("_b1"), "mx", "mz", "my").select(
-        unit, (F.col("my") - F.col("_b0") * F.col("mx") - F.col("_b1") * F.col("mz")).alias("_a"),
+    return g.select(*unit, b0.alias("_b0"), b1.alias("_b1"), "mx", "mz", "my").select(
+        *unit, (F.col("my") - F.col("_b0") * F.col("mx") - F.col("_b1") * F.col("mz")).alias("_a"),
         "_b0", "_b1")
 
 
-def _ols_params_solve(df: DataFrame, unit: str, y: str, xs: Sequence[str]) -> DataFrame:
+def _ols_params_solve(df: DataFrame, unit: Sequence[str], y: str, xs: Sequence[str]) -> DataFrame:
     """k > 2: centred statistics per unit in Catalyst, correlation matrices solved a batch at a time in numpy."""
     k = len(xs)
     aggs = [F.avg(c).alias(f"m{j}") for j, c in enumerate([*xs, y])]
     aggs += [F.stddev_pop(c).alias(f"d{j}") for j, c in enumerate(xs)]
     aggs += [F.covar_pop(xs[a], ([*xs, y])[b]).alias(f"c{a}_{b}") for a in range(k) for b in range(a + 1, k + 1)]
-    stats = df.groupBy(unit).agg(*aggs)
-    unit_type = stats.schema[unit].dataType.simpleString()
-    schema = f"`{unit}` {unit_type}, _a double, " + ", ".join(f"_b{j} double" for j in range(k))
+    stats = df.groupBy(*unit).agg(*aggs)
+    schema = ", ".join(f"`{u}` {stats.schema[u].dataType.simpleString()}" for u in unit) + ", _a double, " + ", ".join(f"_b{j} double" for j in range(k))
 
     def solve(batches):
         for pdf in batches:
@@ -238,17 +237,18 @@ def _ols_params_solve(df: DataFrame, unit: str, y: str, xs: Sequence[str]) -> Da
             if ok.any():
                 beta[ok] = np.linalg.solve(corr[ok], right[ok][..., None])[..., 0] / sd[ok]
             mean = np.stack([get(f"m{j}") for j in range(k)], 1)
-            out = {unit: pdf[unit].to_numpy(), "_a": get(f"m{k}") - (beta * mean).sum(1)}
+            out = {u: pdf[u].to_numpy() for u in unit} | {"_a": get(f"m{k}") - (beta * mean).sum(1)}
             yield pd.DataFrame(out | {f"_b{j}": beta[:, j] for j in range(k)})
 
     _ship_by_value()
     params = stats.mapInPandas(solve, schema)
-    return params.select(unit, *[F.nanvl(F.col(c), F.lit(None).cast("double")).alias(c)
+    return params.select(*unit, *[F.nanvl(F.col(c), F.lit(None).cast("double")).alias(c)
                                  for c in ["_a"] + [f"_b{j}" for j in range(k)]])
 
 
-def ols_params(df: DataFrame, unit: str, y: str, xs: Sequence[str]) -> DataFrame:
-    """Fit ``y = a + sum(b_j x_j)`` per unit over complete rows: ``unit, _a, _b0..``."""
+def ols_params(df: DataFrame, unit: str | Sequence[str], y: str, xs: Sequence[str]) -> DataFrame:
+    """Fit ``y = a + sum(b_j x_j)`` per unit (one column or several) over complete rows: ``unit, _a, _b0..``."""
+    unit = [unit] if isinstance(unit, str) else list(unit)
     cond = F.col(y).isNotNull()
     for x in xs:
         cond = cond & F.col(x).isNotNull()
@@ -265,7 +265,7 @@ def _linear(xs: Sequence[str]) -> Column:
     return pred
 
 
-def forecast_ols(context: DataFrame, future: DataFrame, covariates: Sequence[str] | None = None,
+def forecast_ols(context: DataFrame, future: DataFrame | None, covariates: Sequence[str] | None = None,
                  cols: Columns = Columns(), levels: Sequence[float] = DEFAULT_LEVELS,
                  batch_size: int | None = None, quantile_method: str = "exact",
                  target_name: str | None = None, horizon: int | None = None) -> DataFrame:
@@ -275,14 +275,27 @@ def forecast_ols(context: DataFrame, future: DataFrame, covariates: Sequence[str
     covariates, J7).  Parameters are one row per fit unit; they are joined
     back to the context for residual quantiles and to the future rows for
     the predictions (Spark broadcasts them when AQE measures them small).
+
+    A covariate that the future frame lacks is known in the context only:
+    then each step of the horizon is fitted on its own (``forecast_direct``).
+    Without any covariate the series share a pooled autoregression
+    (``forecast_ar``).  Both need ``horizon`` and a dense calendar.
     """
+    from .regress import forecast_ar, forecast_direct
+
     i, t, y = cols.id, cols.time, cols.target
     name = target_name or y
+    ahead = [] if future is None else future.columns
     if covariates is None:
-        covariates = [c for c in future.columns if c in context.columns and c not in (i, t, y)]
+        covariates = [c for c in context.columns if c in ahead and c not in (i, t, y)]
     xs = list(covariates)
-    if not xs:
-        raise ValueError("no covariates shared by context and future frames")
+    if not xs or any(x not in ahead for x in xs):
+        if horizon is None:
+            raise ValueError("horizon is needed where the future frame does not hold every covariate")
+        if not xs:
+            return forecast_ar(context, horizon, cols, levels, batch_size=batch_size, quantile_method=quantile_method, target_name=target_name)
+        return forecast_direct(context, future, horizon, xs, cols, levels, batch_size=batch_size,
+                               quantile_method=quantile_method, target_name=target_name)
     ctx = context.select(i, t, y, *xs).where(F.col(i).isNotNull())
     fut = future.select(i, t, *xs).where(F.col(i).isNotNull())
     if horizon is not None:  # every series that has future rows must have them for the whole horizon

@@ -13,9 +13,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.aggs import first_valid, last_valid
-from ..functions.exprs import UNKNOWN_LABEL, col as order_col, format_ticker
+from ..functions.aggs import first_valid
+from ..functions.exprs import UNKNOWN_LABEL, col as order_col, format_ticker, pack_order_key
 from ..session import ensure_checkpoint_dir
 from .clean import any_not_null
 
@@ -37,17 +38,29 @@ def last_label(df: DataFrame, entity: str, label: str, order: str | Column,
                default: str = UNKNOWN_LABEL, out: str = "label") -> DataFrame:
     """A1 + X3 + J4: last non-null label per entity in ``order``; blank/missing -> default.
 
-    One aggregation keyed by entity with a map-side partial step, so a hot
-    entity costs one buffer per task.  A string value makes it sort-based;
-    it reads only (entity, label, order), so that sort is narrow.
-    ``order`` may be a struct such as ``(time, input order)``.
+    A dictionary aggregate: the highest order of every (entity, label), a
+    number in a hashed buffer with a map-side partial step, then the winner
+    among an entity's distinct labels.  So only the dictionary is ranked, not
+    the rows, and a hot entity costs one buffer per label and task.  Give a
+    numeric order (``time_order``); a struct would sort every row.  Equal
+    orders: the first label by text.
     """
-    return (df.where(F.col(entity).isNotNull())
-            .groupBy(entity)
-            .agg(last_valid(label, order).alias("_raw"))
+    seen = (df.where(F.col(entity).isNotNull()).groupBy(entity, F.col(label).alias("_raw"))
+            .agg(F.max(F.when(F.col(label).isNotNull(), order_col(order))).alias("_o")))
+    best = Window.partitionBy(entity).orderBy(F.col("_o").desc_nulls_last(), "_raw")
+    return (seen.withColumn("_rn", F.row_number().over(best)).where(F.col("_rn") == 1)
             .select(entity, format_ticker("_raw", default).alias(out)))
 
 
+def time_order(df: DataFrame, time: str, order: str | Column) -> Column:
+    """Time, then input order, as one number where the order is one of at most 31 digits (else a struct)."""
+    kind = df.select(order_col(order).alias("o")).schema["o"].dataType
+    if isinstance(kind, (T.IntegralType, T.DecimalType)) and (not isinstance(kind, T.DecimalType) or kind.scale == 0):
+        days = F.datediff(F.col(time), F.lit("0001-01-01").cast("date"))
+        return pack_order_key([(days, 7), (order, 31)])
+    return F.struct(F.col(time), order_col(order))
+
+
 # ------------------------------------------------------------------ first valid
 
 
@@ -125,10 +138,8 @@ def widen(df: DataFrame, entity: str, time: str, fields: Sequence[str], order: s
     # One pass per entity: its label (A1) and its first / last valued day
     # (Q2); the global calendar bounds are reduced from these rows.
     valued_t = F.when(any_not_null(fields), F.col(time))
-    summary = (clean.groupBy(entity)
-               .agg(last_valid(label, F.struct(F.col(time), order_col(order))).alias("_raw"),
-                    F.min(valued_t).alias("_lo"), F.max(valued_t).alias("_hi"))
-               .select(entity, format_ticker("_raw").alias("label"), "_lo", "_hi"))
+    spans = clean.groupBy(entity).agg(F.min(valued_t).alias("_lo"), F.max(valued_t).alias("_hi"))
+    summary = last_label(clean, entity, label, time_order(clean, time, order)).join(spans, entity)
     rows = summary.orderBy(entity).collect()
     los = [r["_lo"] for r in rows if r["_lo"] is not None]
     his = [r["_hi"] for r in rows if r["_hi"] is not None]
@@ -178,7 +189,7 @@ def dense_long(df: DataFrame, entity: str, time: str, fields: Sequence[str], ord
     """
     keyed = df.where(F.col(entity).isNotNull() & F.col(time).isNotNull())
     firsts = first_valid_long(keyed, [entity, time], fields, order)
-    labels = last_label(keyed, entity, label, F.struct(F.col(time), order_col(order)))
+    labels = last_label(keyed, entity, label, time_order(keyed, time, order))
     return (densify(firsts, [entity], time, fields).join(labels, entity, "left")
             .select(entity, "label", time, *fields))
 

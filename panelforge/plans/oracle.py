@@ -181,6 +181,47 @@ FC_SEASONAL_NAIVE = _with(B2, SEASONAL) + f"\nSELECT id, timestamp, target_name,
 FC_COVARIATE_OLS = _with(B2, OLS) + f"\nSELECT id, timestamp, target_name, {_q('p')} FROM ols"
 FC_POOLED_OLS = _with(B2, GROUPS, POOLED) + f"\nSELECT id, timestamp, target_name, {_q('p')} FROM pool"
 
+# Two covariates of a (unit, step) by residuals: z of k days before on x, y on x, then one residual on the other.
+FC_PAST_COVARIATES = _with(B2, """
+dr AS (SELECT a.id, r.k, a.y, a.x, b.z FROM b2_ctx a CROSS JOIN range(1, 8) r(k)
+       LEFT JOIN b2_ctx b ON b.id = a.id AND b.timestamp = CAST(a.timestamp - CAST(r.k AS INTEGER) AS DATE)),
+dc AS (SELECT * FROM dr WHERE y IS NOT NULL AND x IS NOT NULL AND z IS NOT NULL),
+d1 AS (SELECT id, k, regr_slope(z, x) AS zx, regr_intercept(z, x) AS zi, regr_slope(y, x) AS yx, regr_intercept(y, x) AS yi,
+              var_pop(x) AS vx, var_pop(z) AS vz FROM dc GROUP BY id, k),
+d2 AS (SELECT c.id, c.k, regr_slope(c.y - (s.yi + s.yx * c.x), c.z - (s.zi + s.zx * c.x)) AS b1,
+              var_pop(c.z - (s.zi + s.zx * c.x)) AS vr FROM dc c JOIN d1 s USING (id, k) GROUP BY c.id, c.k),
+dp AS (SELECT id, k, yx - b1 * zx AS b0, b1, yi - b1 * zi AS a FROM d1 JOIN d2 USING (id, k) WHERE vx > 0 AND vr > 1e-10 * vz),
+dq AS (SELECT c.id, c.k, quantile_cont(c.y - (p.a + p.b0 * c.x + p.b1 * c.z), [0.1, 0.5, 0.9]) AS q
+       FROM dc c JOIN dp p USING (id, k) GROUP BY c.id, c.k),
+dt AS (SELECT id, max(timestamp) AS T, arg_max(coalesce(z, 'nan'), timestamp) AS z FROM b2_ctx GROUP BY id),
+dg AS (SELECT d.id, r.k, CAST(d.T + CAST(r.k AS INTEGER) AS DATE) AS timestamp, CASE WHEN NOT isnan(d.z) THEN d.z END AS z
+       FROM dt d CROSS JOIN range(1, 8) r(k)),
+df AS (SELECT g.id, g.timestamp, p.a + p.b0 * f.x + p.b1 * g.z AS p, q.q
+       FROM dg g LEFT JOIN b2_fut f USING (id, timestamp) LEFT JOIN dp p USING (id, k) LEFT JOIN dq q USING (id, k))""") + f"""
+SELECT id, timestamp, 'y' AS target_name, {_q('p')} FROM df"""
+
+# Scaled series, lags 1 and 7 pooled per batch, forecast step by step.
+FC_POOLED_AR = _with(B2, GROUPS, """
+ac AS (SELECT id, nullif(avg(abs(y)), 0) AS c, avg(y) AS m, max(timestamp) AS T FROM b2_ctx GROUP BY id),
+al AS (SELECT b.id, g.g AS u, b.y / c.c AS y, lag(b.y / c.c, 1) OVER w AS x, lag(b.y / c.c, 7) OVER w AS z
+       FROM b2_ctx b JOIN ac c USING (id) JOIN grp g USING (id) WINDOW w AS (PARTITION BY b.id ORDER BY b.timestamp)),
+aw AS (SELECT * FROM al WHERE y IS NOT NULL AND x IS NOT NULL AND z IS NOT NULL),
+a1 AS (SELECT u, regr_slope(z, x) AS zx, regr_intercept(z, x) AS zi, regr_slope(y, x) AS yx, regr_intercept(y, x) AS yi,
+              var_pop(x) AS vx, var_pop(z) AS vz FROM aw GROUP BY u),
+a2 AS (SELECT c.u, regr_slope(c.y - (s.yi + s.yx * c.x), c.z - (s.zi + s.zx * c.x)) AS b1,
+              var_pop(c.z - (s.zi + s.zx * c.x)) AS vr FROM aw c JOIN a1 s USING (u) GROUP BY c.u),
+ap AS (SELECT u, yx - b1 * zx AS b0, b1, yi - b1 * zi AS a FROM a1 JOIN a2 USING (u) WHERE vx > 0 AND vr > 1e-10 * vz),
+aq AS (SELECT c.u, quantile_cont(c.y - (p.a + p.b0 * c.x + p.b1 * c.z), [0.1, 0.5, 0.9]) AS q FROM aw c JOIN ap p USING (u) GROUP BY c.u),
+ah AS (SELECT b.id, CAST(b.timestamp - c.T AS INTEGER) AS back, coalesce(b.y, c.m) / c.c AS v FROM b2_ctx b JOIN ac c USING (id)),
+ai AS (SELECT h.id, h.back, h.v, g.g AS u FROM ah h JOIN grp g USING (id) WHERE h.back > -7)""").replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+ar AS (SELECT id, u, 0 AS k, v AS p FROM ai WHERE back = 0
+       UNION ALL
+       SELECT r.id, r.u, r.k + 1, p.a + p.b0 * r.p + p.b1 * h.v
+       FROM ar r LEFT JOIN ap p ON p.u = r.u LEFT JOIN ai h ON h.id = r.id AND h.back = r.k - 6 WHERE r.k < 7)
+SELECT r.id, CAST(c.T + r.k AS DATE) AS timestamp, 'y' AS target_name, {_r('r.p * c.c')} AS predictions,
+       {_r('r.p * c.c + q.q[1] * c.c')} AS q10, {_r('r.p * c.c + q.q[2] * c.c')} AS q50, {_r('r.p * c.c + q.q[3] * c.c')} AS q90
+FROM ar r JOIN ac c USING (id) LEFT JOIN aq q ON q.u = r.u WHERE r.k > 0"""
+
 COMBINED = """
 comb AS (
   SELECT id, timestamp, target_name, p, q, 'no_covariates' AS model FROM sn
@@ -325,6 +366,69 @@ SELECT s.id, s.timestamp, 'y' AS target_name,
        {_q("f.a + f.b * CAST(s.timestamp - DATE '1970-01-01' AS DOUBLE)", 'r.q')}
 FROM u_steps s JOIN fit f USING (id) JOIN res r USING (id)"""
 
+RIDGE_COLUMNS = 12
+
+
+def _solve(source: str, m: int) -> str:
+    """CTEs e1..em, back: the symmetric system a1_1.., b1.. of one row in ``source``, by elimination without pivots."""
+    out, src = [], source
+    cols = lambda f: ", ".join(f(i, j) for i in range(1, m + 1) for j in [*range(1, m + 1), 0])
+    name = lambda i, j: f"a{i}_{j}"
+    for p in range(1, m):
+        out.append(f"e{p} AS MATERIALIZED (SELECT " + cols(lambda i, j: name(i, j) if i <= p else (
+            f"0.0 AS {name(i, j)}" if 0 < j <= p else
+            f"{name(i, j)} - {name(i, p)} / {name(p, p)} * {name(p, j)} AS {name(i, j)}")) + f" FROM {src})")  # noqa: B023
+        src = f"e{p}"
+    for i in range(m, 0, -1):
+        rest = "".join(f" - {name(i, j)} * x{j}" for j in range(i + 1, m + 1))
+        out.append(f"s{i} AS MATERIALIZED (SELECT *, ({name(i, 0)}{rest}) / {name(i, i)} AS x{i} FROM {src})")
+        src = f"s{i}"
+    return ",\n".join(out)
+
+
+_RIDGE = _with(
+    B1, B1_LABEL, B1_FIRST,
+    "rc AS (" + "\nUNION ALL ".join(
+        f"SELECT f.day AS t, CAST(f.permco AS VARCHAR) || '_' || l.label || '_{x}' AS col, f.{x} AS v FROM b1_first f JOIN b1_label l USING (permco) "
+        f"WHERE f.{x} IS NOT NULL" for x in FIELDS) + ")",
+    "rn AS (SELECT '1_' || label || '_dlyvol' AS col FROM b1_label WHERE permco = 1)",
+    "rg AS (SELECT CAST(unnest(generate_series(min(t), max(t), INTERVAL 1 DAY)) AS DATE) AS t FROM rc)",
+    "ry AS (SELECT g.t, c.v AS y FROM rg g LEFT JOIN (SELECT t, v FROM rc WHERE col = (SELECT col FROM rn)) c USING (t))",
+    "rctx AS (SELECT * FROM ry WHERE t BETWEEN DATE '1995-01-01' AND DATE '1999-12-31')",
+    "rval AS (SELECT * FROM ry WHERE t BETWEEN DATE '2000-01-01' AND DATE '2000-12-31')",
+    "rm AS (SELECT avg(y) AS my, count(y) AS ny FROM rctx)",
+    "rx AS (SELECT * FROM rc WHERE col <> (SELECT col FROM rn))",
+    "rb AS (SELECT x.*, y.y - m.my AS yc FROM rx x JOIN rctx y USING (t) CROSS JOIN rm m)",
+    """rs AS (SELECT col, avg(v) AS mu, stddev_pop(v) AS sd FROM rb GROUP BY col HAVING stddev_pop(v) > 0),
+rz AS (SELECT b.t, b.col, (b.v - s.mu) / s.sd AS z, b.yc FROM rb b JOIN rs s USING (col)),
+rr AS (SELECT col, sum(z * yc) AS c FROM rz WHERE yc IS NOT NULL GROUP BY col),
+rk AS (SELECT col, c, row_number() OVER (ORDER BY abs(c) DESC, col) AS r FROM rr QUALIFY r <= """ + str(RIDGE_COLUMNS) + """),
+rzk AS (SELECT z.t, k.r, z.z FROM rz z JOIN rk k USING (col) WHERE z.yc IS NOT NULL),
+rgm AS (SELECT p.r AS i, q.r AS j, sum(p.z * q.z) AS g FROM rzk p JOIN rzk q USING (t) GROUP BY 1, 2)""",
+    "rsys AS MATERIALIZED (SELECT " + ", ".join(
+        (f"coalesce((SELECT g FROM rgm WHERE i = {i} AND j = {j}), 0)" + (" + 0.1 * (SELECT ny FROM rm)" if i == j else "") if j else
+         f"(SELECT c FROM rk WHERE r = {i})") + f" AS a{i}_{j}" for i in range(1, RIDGE_COLUMNS + 1) for j in [*range(1, RIDGE_COLUMNS + 1), 0]) + ")",
+    _solve("rsys", RIDGE_COLUMNS),
+    "rbeta AS (" + "\nUNION ALL ".join(f"SELECT {i} AS r, x{i} AS b FROM s1" for i in range(1, RIDGE_COLUMNS + 1)) + ")",
+    """rfit AS (SELECT x.t, sum(b.b * (x.v - s.mu) / s.sd) AS add FROM rx x JOIN rk k USING (col) JOIN rbeta b USING (r) JOIN rs s USING (col) GROUP BY x.t),
+rp AS (SELECT y.t, y.y, m.my + coalesce(f.add, 0) AS p FROM ry y CROSS JOIN rm m LEFT JOIN rfit f USING (t)),
+rq AS (SELECT quantile_cont(p.y - p.p, [0.1, 0.5, 0.9]) AS q FROM rp p JOIN rctx USING (t)),
+rfut AS (SELECT t FROM rval ORDER BY t LIMIT 120),
+rmq AS (SELECT quantile_cont(y - my, [0.1, 0.5, 0.9]) AS q FROM rctx, rm),
+rall AS (SELECT '1' AS id, t AS timestamp, 'y' AS target_name, p, q, 'with_covariates' AS model FROM rp JOIN rfut USING (t), rq
+         UNION ALL
+         SELECT '1', CAST(T + CAST(k AS INTEGER) AS DATE), 'y', my, q, 'no_covariates'
+         FROM (SELECT max(t) AS T FROM rctx), range(1, 121) r(k), rm, rmq)""")
+
+FC_PANEL_COVARIATES = _RIDGE + f"\nSELECT id, timestamp, target_name, {_q('p')}, model FROM rall"
+
+SCORE_PANEL_COVARIATES = _RIDGE + """,
+rj AS (SELECT a.model, a.p, v.y FROM rall a JOIN rval v ON v.t = a.timestamp)
+SELECT model, count(*) AS n, count(y) AS n_valid, """ + _r("avg((y - p) * (y - p))", 6) + " AS MSE, " + _r("avg(abs(y - p))", 6) + " AS MAE, " \
+    + _r("sqrt(avg((y - p) * (y - p)))", 6) + " AS RMSE, " + _r("avg(abs((y - p) / nullif(y, 0))) * 100", 6) + " AS MAPE, " \
+    + _r("1 - sum((y - p) * (y - p)) / nullif(var_pop(y) * count(y), 0)", 6) + """ AS R2
+FROM rj GROUP BY model"""
+
 MACRO_ASOF = _with(B3, """
 m AS (SELECT date_trunc('month', CAST(o_orderdate AS DATE)) AS mon, round(sum(o_totalprice), 2) AS v
       FROM orders GROUP BY 1),
@@ -492,6 +596,10 @@ ORACLE: dict[str, str] = {
     "fc_seasonal_naive": FC_SEASONAL_NAIVE,
     "fc_covariate_ols": FC_COVARIATE_OLS,
     "fc_pooled_ols": FC_POOLED_OLS,
+    "fc_past_covariates": FC_PAST_COVARIATES,
+    "fc_pooled_ar": FC_POOLED_AR,
+    "fc_panel_covariates": FC_PANEL_COVARIATES,
+    "score_panel_covariates": SCORE_PANEL_COVARIATES,
     "fc_combined": FC_COMBINED,
     "fc_apply_model": FC_APPLY_MODEL,
     "score_by_model": SCORE_BY_MODEL,

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..operators import clean, panel
 from ..operators.forecast import Columns, forecast_ols, forecast_univariate, future_frame
+from ..operators.regress import forecast_ar, forecast_direct, forecast_ridge
 from ..operators.score import combine, score, score_long
 from ..sources.calendars import holiday_calendar
 from ..functions.exprs import stable_round
@@ -58,7 +59,7 @@ def query_panel(long_df: DataFrame, spec: QuerySpec, fields: Sequence[str] = cle
     filter runs on the long rows before the pivot.
     """
     wanted = [spec.target, *spec.covariates]
-    labels = panel.last_label(long_df, "permco", "ticker", F.struct("timestamp", order_col))
+    labels = panel.last_label(long_df, "permco", "ticker", panel.time_order(long_df, "timestamp", order_col))
     keep = labels.where(F.col("label").isin(wanted)).select("permco")
     # No broadcast hint: the number of matching entities is not bounded here;
     # AQE broadcasts it after measuring when it is small.
@@ -86,8 +87,67 @@ def prepare_panel(raw: DataFrame, split: SplitSpec = SplitSpec(), out_dir: str |
     return tagged
 
 
+def query_cells(long_df: DataFrame, spec: QuerySpec, fields: Sequence[str] = clean.PANEL_FIELDS,
+                order_col: str = "ord", entity: str = "permco", time: str = "timestamp") -> tuple[DataFrame, str]:
+    """P16/R1 in long form: ``timestamp, column, value`` of the spec's panel, and the target's column name.
+
+    First valid values per entity and day under the names of the wide panel, ``<entity>_<label>_<field>``.
+    The spec's entities (by key or label; all without covariates) and variables are chosen on the long
+    rows.  Only the target's own name comes to the driver.
+    """
+    labels = panel.last_label(long_df, entity, "ticker", panel.time_order(long_df, time, order_col))
+    key = F.col(entity).cast("string")
+    names = lambda wanted: key.isin(list(wanted)) | F.col("label").isin(list(wanted))
+    target = labels.where(names([spec.target])).select(entity, "label").limit(2).collect()
+    if len(target) != 1:
+        raise ValueError(f"target {spec.target!r} names {'no entity' if not target else 'several entities'}")
+    target_column = f"{target[0][0]}_{target[0][1]}_{spec.target_variable}"
+    if spec.covariates:
+        labels = labels.where(names([spec.target, *spec.covariates]))
+    firsts = panel.first_valid_long(long_df.where(F.col(time).isNotNull()), [entity, time], fields, order_col)
+    chosen = [f for f in fields if not spec.variables or f in spec.variables or f == spec.target_variable]
+    values = F.map_from_arrays(F.array(*[F.lit(f) for f in chosen]), F.array(*[F.col(f).cast("double") for f in chosen]))
+    cells = (firsts.join(labels, entity).select(entity, "label", time, F.explode(values).alias("_field", "value"))
+             .where(F.col("value").isNotNull()))
+    return cells.select(time, F.concat_ws("_", entity, "label", "_field").alias("column"), "value"), target_column
+
+
+def forecast_frames(cells: DataFrame, target_column: str, series_id: str = "1", cols: Columns = Columns()) -> tuple[DataFrame, DataFrame]:
+    """M6: the target on the whole calendar of the cells, and all other columns as cells of the same series."""
+    cells = cells.withColumn(cols.id, F.lit(series_id))
+    days = cells.groupBy(cols.id).agg(F.min(cols.time).alias("lo"), F.max(cols.time).alias("hi"))
+    grid = days.select(cols.id, panel.calendar_days(F.col("lo"), F.col("hi"), name=cols.time))
+    own = cells.where(F.col("column") == target_column).select(cols.id, cols.time, F.col("value").alias(cols.target))
+    return grid.join(own, [cols.id, cols.time], "left"), cells.where(F.col("column") != target_column)
+
+
+def run_query(long_df: DataFrame, query: QuerySpec, split: SplitSpec, specs: Sequence[ForecastSpec],
+              cols: Columns = Columns()) -> tuple[DataFrame, DataFrame]:
+    """(forecasts of every variant, truth) of a query, split and model spec over one panel.
+
+    The panel's cells are written once to the shared folder; every variant reads them there.
+    """
+    cells, target = query_cells(long_df, query)
+    cells = cells.checkpoint(eager=True)
+    frame, others = forecast_frames(cells, target, cols=cols)
+    frame = forecast_input(frame, cols).checkpoint(eager=True)
+    context = panel.select_window(frame, split.windows["context"], cols.time)
+    test = panel.select_window(frame, split.windows["validation"], cols.time)
+    return run_variants(context, test, specs, cols, cells=others), test
+
+
 def run_variant(spec: ForecastSpec, context: DataFrame, future: DataFrame | None,
-                cols: Columns = Columns()) -> DataFrame:
+                cols: Columns = Columns(), cells: DataFrame | None = None) -> DataFrame:
+    if spec.method == "pooled_ar":
+        return forecast_ar(context, spec.horizon, cols, spec.levels, spec.lags, spec.batch_size, spec.step, spec.quantile_method)
+    if spec.method == "direct":
+        return forecast_direct(context, future, spec.horizon, spec.covariates, cols, spec.levels, spec.batch_size,
+                               spec.step, spec.quantile_method)
+    if spec.method == "ridge":
+        if future is None:
+            raise ValueError(f"{spec.name}: covariate methods need known-future rows")
+        return forecast_ridge(context, future, spec.covariates, cols, spec.levels, spec.screen, spec.ridge,
+                              spec.quantile_method, cells=cells, horizon=spec.horizon)
     if spec.method in ("ols", "pooled_ols"):
         if future is None:
             raise ValueError(f"{spec.name}: covariate methods need known-future rows")
@@ -99,12 +159,15 @@ def run_variant(spec: ForecastSpec, context: DataFrame, future: DataFrame | None
 
 
 def run_variants(context: DataFrame, test: DataFrame, specs: Sequence[ForecastSpec] = DEFAULT_VARIANTS,
-                 cols: Columns = Columns()) -> DataFrame:
-    """Every variant over the same context, labelled and stacked."""
+                 cols: Columns = Columns(), cells: DataFrame | None = None) -> DataFrame:
+    """Every variant over the same context, labelled and stacked.
+
+    ``cells`` are the covariates of "ridge" in long form, where the panel has too many for columns.
+    """
     out = {}
     for s in specs:
-        fut = future_frame(test, s.horizon, cols) if s.method in ("ols", "pooled_ols") else None
-        out[s.name] = run_variant(s, context, fut, cols)
+        fut = future_frame(test, s.horizon, cols) if s.method in ("ols", "pooled_ols", "direct", "ridge") else None
+        out[s.name] = run_variant(s, context, fut, cols, cells)
     return combine(out)
 
 

@@ -16,13 +16,15 @@ from ..operators import clean, panel
 from ..operators.forecast import (Columns, apply_model, forecast_ols, forecast_schema,
                                   forecast_univariate, future_frame, weekday_mean_model)
 from ..operators.frame import plot_frame
+from ..operators.regress import forecast_ar
 from ..operators.score import combine, score, score_long
 from ..session import scratch_path
 from ..sources import bindings as B
 from ..sources.calendars import holiday_calendar
 from ..sources.files import read_csv, read_table, write_table
 from ..sources.registry import load, macro_series, series_catalog
-from .pipelines import long_panel, round_doubles, wide_panel
+from .pipelines import long_panel, round_doubles, run_query, wide_panel
+from .specs import ForecastSpec, QuerySpec, SplitSpec
 
 COLS = Columns("id", "timestamp", "y")
 B2_WINDOWS = {"context": ("2024-01-01", B.B2_CONTEXT_END), "test": (B.B2_TEST_START, B.B2_TEST_END)}
@@ -41,7 +43,7 @@ def q_entity_keys(spark, sf):
 
 def q_last_label(spark, sf):
     df = _b1_long(spark, sf)
-    return panel.last_label(df, "permco", "ticker", F.struct("timestamp", "ord"))
+    return panel.last_label(df, "permco", "ticker", panel.time_order(df, "timestamp", "ord"))
 
 
 def q_first_valid_long(spark, sf):
@@ -132,6 +134,38 @@ def q_fc_pooled_ols(spark, sf):
     return round_doubles(_fc_ols(ctx, test, batch_size=100), 4)
 
 
+def q_fc_past_covariates(spark, sf):
+    """Z is known in the context only, x ahead too; one fit per series and step."""
+    ctx, test = _b2_parts(spark, sf)
+    fut = future_frame(test, B.B2_HORIZON, COLS).drop("z")
+    return round_doubles(forecast_ols(ctx, fut, ["x", "z"], COLS, horizon=B.B2_HORIZON), 4)
+
+
+def q_fc_pooled_ar(spark, sf):
+    """Bare series share an autoregression per batch of 100."""
+    ctx, _ = _b2_parts(spark, sf)
+    return round_doubles(forecast_ar(ctx, B.B2_HORIZON, COLS, lags=(1, B.B2_SEASON), batch_size=100), 4)
+
+
+#: One column of the security panel, all other columns as known-future covariates.
+PANEL_QUERY = QuerySpec(target="1", target_variable="dlyvol", dataset="security_lines")
+PANEL_SPLIT = SplitSpec(windows=dict(B.B3_WINDOWS))
+PANEL_VARIANTS = (ForecastSpec("no_covariates", "mean", horizon=120), ForecastSpec("with_covariates", "ridge", horizon=120, screen=12))
+
+
+def _panel_query(spark, sf):
+    return run_query(long_panel(B.PANELS[PANEL_QUERY.dataset](spark, sf)), PANEL_QUERY, PANEL_SPLIT, PANEL_VARIANTS, COLS)
+
+
+def q_fc_panel_covariates(spark, sf):
+    return round_doubles(_panel_query(spark, sf)[0], 4)
+
+
+def q_score_panel_covariates(spark, sf):
+    pred, truth = _panel_query(spark, sf)
+    return round_doubles(score(pred, truth, COLS, "skip"), 6)
+
+
 def _combined(spark, sf):
     ctx, test = _b2_parts(spark, sf)
     comb = combine({"no_covariates": _fc_seasonal(ctx),
@@ -324,6 +358,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fc_seasonal_naive": q_fc_seasonal_naive,
     "fc_covariate_ols": q_fc_covariate_ols,
     "fc_pooled_ols": q_fc_pooled_ols,
+    "fc_past_covariates": q_fc_past_covariates,
+    "fc_pooled_ar": q_fc_pooled_ar,
+    "fc_panel_covariates": q_fc_panel_covariates,
+    "score_panel_covariates": q_score_panel_covariates,
     "fc_combined": q_fc_combined,
     "fc_apply_model": q_fc_apply_model,
     "score_by_model": q_score_by_model,

@@ -29,7 +29,8 @@ class SplitSpec:
 class ForecastSpec:
     """One forecast variant."""
     name: str
-    method: str                       # naive | seasonal_naive | mean | drift | trend | ols | pooled_ols
+    # naive | seasonal_naive | mean | drift | trend | ols | pooled_ols | direct | pooled_ar | ridge
+    method: str
     horizon: int = 30
     levels: tuple[float, ...] = DEFAULT_LEVELS
     season: int = 7
@@ -37,15 +38,23 @@ class ForecastSpec:
     batch_size: int | None = None
     step: str = "day"
     quantile_method: str = "exact"
+    lags: tuple[int, ...] = (1, 7)    # pooled_ar
+    screen: int = 32                  # ridge: columns kept
+    ridge: float = 0.1
 
 
 @dataclass(frozen=True)
 class QuerySpec:
-    """Target entity, covariate entities and variables of a panel query."""
+    """Target entity and variable, covariate entities and variables of a panel query.
+
+    Entities are named by their key or by their label.  Without covariates every
+    other column of the dataset's panel is one.
+    """
     target: str
     covariates: tuple[str, ...] = ()
     variables: tuple[str, ...] = ()
     dataset: str | None = None
+    target_variable: str = "dlyret"
 
 
 # The reference's three comparison variants (names as in its output).

@@ -42,7 +42,7 @@ def security_panel_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"])
     # Input order stand-in: order key, line number, part key.
-    ord_key = pack_order_key([("l_orderkey", 16), ("l_linenumber", 6), ("l_partkey", 16)])
+    ord_key = pack_order_key([("l_orderkey", 14), ("l_linenumber", 4), ("l_partkey", 13)])
     base = li.select(
         F.when(F.col("l_returnflag") != "R", F.concat("l_returnflag", "l_linestatus")).alias("ticker"),
         F.col("l_suppkey").alias("permco"),
@@ -61,6 +61,10 @@ def security_panel_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "dlyprc", "dlycap", "dlyret", "dlyvol", "shrout", "sprtrn", "ord")
 
 
+#: Panel datasets by the name a query spec gives.
+PANELS = {"security_lines": security_panel_raw}
+
+
 def event_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B2 (observed days only): ``id, timestamp, y, x, z`` per user and day.
 
