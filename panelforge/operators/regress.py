@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import add_steps, time_index
+from ..session import ensure_checkpoint_dir
 from .forecast import DEFAULT_LEVELS, Columns, _assemble, _linear, _quantile_offsets, _ship_by_value, ols_params, time_grid
 from .index import batch_groups
 
@@ -109,7 +110,9 @@ def forecast_ar(context: DataFrame, horizon: int, cols: Columns = Columns(), lev
         i, t, "_T", "_c", (F.col("_m") / F.col("_c")).alias("_m"), (F.col("_y") / F.col("_c")).alias("_y"))
     lagged = scaled.select("*", *[F.lag("_y", k).over(series).alias(f"_x{j}") for j, k in enumerate(lags)])
     groups = batch_groups(ctx, i, batch_size, out="_unit") if batch_size else None
-    lagged = _with_unit(lagged, groups, i)
+    # The fit, its residuals and the tails read it: computed once.
+    ensure_checkpoint_dir(context.sparkSession)
+    lagged = _with_unit(lagged, groups, i).checkpoint(eager=True)
     xs = [f"_x{j}" for j in range(len(lags))]
     params = ols_params(lagged, "_unit", "_y", xs)
     offs = (lagged.join(params, "_unit").groupBy("_unit")
@@ -229,7 +232,9 @@ def forecast_ridge(context: DataFrame, future: DataFrame, covariates: Sequence[s
         steps = F.count(F.lit(1)).over(Window.partitionBy(i))
         short = F.raise_error(F.concat(F.lit(f"fewer than {horizon} future rows for series "), F.col(i).cast("string")))
         future = future.withColumn("_n", steps).where(F.when(F.col("_n") < horizon, short.cast("boolean")).otherwise(True)).drop("_n")
-    coef = ridge_coefficients(context.select(i, t, y), before, cols, screen, ridge)
+    # At most ``screen`` rows a series, read for the residuals and for the forecast.
+    ensure_checkpoint_dir(context.sparkSession)
+    coef = ridge_coefficients(context.select(i, t, y), before, cols, screen, ridge).checkpoint(eager=True)
     fitted = _ridge_points(context.select(i, t, y), before, coef, cols)
     offs = fitted.groupBy(i).agg(_quantile_offsets(F.col(y) - F.col("predictions"), levels, quantile_method).alias("_off"))
     points = _ridge_points(future, after, coef, cols).join(offs, i, "left")

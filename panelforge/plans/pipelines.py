@@ -112,9 +112,8 @@ def query_cells(long_df: DataFrame, spec: QuerySpec, fields: Sequence[str] = cle
     return cells.select(time, F.concat_ws("_", entity, "label", "_field").alias("column"), "value"), target_column
 
 
-def forecast_frames(cells: DataFrame, target_column: str, series_id: str = "1", cols: Columns = Columns()) -> tuple[DataFrame, DataFrame]:
-    """M6: the target on the whole calendar of the cells, and all other columns as cells of the same series."""
-    cells = cells.withColumn(cols.id, F.lit(series_id))
+def forecast_frames(cells: DataFrame, target_column: str, cols: Columns = Columns()) -> tuple[DataFrame, DataFrame]:
+    """M6: the target on the whole calendar of the cells of its series, and all other columns as cells."""
     days = cells.groupBy(cols.id).agg(F.min(cols.time).alias("lo"), F.max(cols.time).alias("hi"))
     grid = days.select(cols.id, panel.calendar_days(F.col("lo"), F.col("hi"), name=cols.time))
     own = cells.where(F.col("column") == target_column).select(cols.id, cols.time, F.col("value").alias(cols.target))
@@ -122,14 +121,15 @@ def forecast_frames(cells: DataFrame, target_column: str, series_id: str = "1",
 
 
 def run_query(long_df: DataFrame, query: QuerySpec, split: SplitSpec, specs: Sequence[ForecastSpec],
-              cols: Columns = Columns()) -> tuple[DataFrame, DataFrame]:
+              cols: Columns = Columns(), series_id: str = "1") -> tuple[DataFrame, DataFrame]:
     """(forecasts of every variant, truth) of a query, split and model spec over one panel.
 
     The panel's cells are written once to the shared folder; every variant reads them there.
     """
     cells, target = query_cells(long_df, query)
-    cells = cells.checkpoint(eager=True)
-    frame, others = forecast_frames(cells, target, cols=cols)
+    # The id is written too: a literal would be folded out of every join key and leave nested loops.
+    cells = cells.withColumn(cols.id, F.lit(series_id)).checkpoint(eager=True)
+    frame, others = forecast_frames(cells, target, cols)
     frame = forecast_input(frame, cols).checkpoint(eager=True)
     context = panel.select_window(frame, split.windows["context"], cols.time)
     test = panel.select_window(frame, split.windows["validation"], cols.time)
