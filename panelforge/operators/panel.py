@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.aggs import first_valid
-from ..functions.exprs import UNKNOWN_LABEL, col as order_col, format_ticker, pack_order_key
+from ..functions.exprs import UNKNOWN_LABEL, col as order_col, format_entity, format_ticker, pack_order_key
 from ..session import ensure_checkpoint_dir
 from .clean import any_not_null
+from .index import ordinal_index
 
 STEP_INTERVALS = {"day": "INTERVAL 1 DAY", "week": "INTERVAL 7 DAYS", "hour": "INTERVAL 1 HOUR"}
 
@@ -194,6 +195,55 @@ def dense_long(df: DataFrame, entity: str, time: str, fields: Sequence[str], ord
             .select(entity, "label", time, *fields))
 
 
+def wide_blocks(df: DataFrame, entity: str, time: str, fields: Sequence[str], order: str | Column, label: str,
+                per_block: int = 500, prefix_entity: bool | None = None) -> tuple[DataFrame, DataFrame]:
+    """R1/R2/J6 for any number of entities: the wide panel in blocks of ``per_block`` entities, and its manifest.
+
+    manifest  ``block, position, column_name, entity, field``: every column of the wide panel in its order
+              (entity-major, fields in the given order), names as in ``widen``
+    blocks    ``block, time, cells``: the block's columns of one day, an array of one struct of the fields
+              an entity; days run over the whole calendar
+
+    Blocks are numbered by the entities' sorted position (``index.ordinal_index``), so no entity list
+    reaches the driver; two counts decide whether labels collide.  A (block, day) group holds at most
+    ``per_block`` cells.
+    """
+    keyed = df.where(F.col(entity).isNotNull() & F.col(time).isNotNull())
+    labels = last_label(keyed, entity, label, time_order(keyed, time, order))
+    named = labels.join(ordinal_index(keyed, entity, "_i"), entity).checkpoint(eager=True)
+    if prefix_entity is None:
+        both = named.agg(F.count(F.lit(1)), F.count_distinct("label")).first()
+        prefix_entity = both[0] != both[1]
+    elif not prefix_entity and named.groupBy("label").count().where("count > 1").limit(1).count():
+        raise ValueError("two entities share a label; use prefix_entity=True")
+    stem = F.concat_ws("_", format_entity(entity), "label") if prefix_entity else F.col("label")
+    block, place = F.floor(F.col("_i") / per_block).cast("int"), (F.col("_i") % per_block).cast("int")
+    manifest = named.select(block.alias("block"), place.alias("_p"), F.col(entity).alias("entity"), stem.alias("_stem"),
+                            F.posexplode(F.array(*map(F.lit, fields))).alias("_f", "field")).select(
+        "block", (F.col("_p") * len(fields) + F.col("_f")).alias("position"), F.concat_ws("_", "_stem", "field").alias("column_name"), "entity", "field")
+    firsts = first_valid_long(keyed, [entity, time], fields, order)
+    dense = densify(firsts, [entity], time, fields).join(named.select(entity, block.alias("block"), place.alias("_p")), entity)
+    cells = F.array_sort(F.collect_list(F.struct(F.col("_p"), F.struct(*fields).alias("v"))))
+    blocks = dense.groupBy("block", time).agg(cells.alias("_s")).select("block", time, F.transform("_s", lambda s: s["v"]).alias("cells"))
+    return manifest, blocks
+
+
+def wide_block(blocks: DataFrame, manifest: DataFrame, block: int, time: str, fields: Sequence[str], id_value: object = 1) -> DataFrame:
+    """One block as a wide frame ``id, time, columns``: its names, at most per_block x fields, come from the manifest."""
+    names = [r[0] for r in manifest.where(F.col("block") == block).orderBy("position").select("column_name").collect()]
+    spread = [f"cells[{k // len(fields)}].{_quote(fields[k % len(fields)])} AS {_quote(n)}" for k, n in enumerate(names)]
+    return blocks.where(F.col("block") == block).withColumn("id", F.lit(id_value)).selectExpr("id", _quote(time), *spread)
+
+
+def block_cells(blocks: DataFrame, manifest: DataFrame, time: str, fields: Sequence[str]) -> DataFrame:
+    """The blocks' cells that hold a value, named by the manifest: ``block, position, column_name, time, value``."""
+    at = blocks.select("block", time, F.posexplode("cells").alias("_p", "_c"))
+    each = at.select("block", time, "_p", F.posexplode(F.array(*[F.col(f"_c.{_quote(f)}").cast("double") for f in fields])).alias("_f", "value"))
+    return (each.where(F.col("value").isNotNull()).withColumn("position", F.col("_p") * len(fields) + F.col("_f"))
+            .join(manifest.select("block", "position", "column_name"), ["block", "position"])
+            .select("block", "position", "column_name", time, "value"))
+
+
 # ----------------------------------------------------------------------- densify
 
 

@@ -116,6 +116,19 @@ PANEL_DENSE_LONG = _dense("true") + "\nSELECT * FROM b1_dense"
 PANEL_WIDE_SELECTED = _dense(f"permco IN ({', '.join(map(str, SELECTED_ENTITIES))})") + "\n" + "\nUNION ALL ".join(
     f"SELECT timestamp, CAST(permco AS VARCHAR) || '_' || label || '_{x}' AS column_name, {x} AS value FROM b1_dense" for x in FIELDS)
 
+_BLOCKS = _with(
+    B1, B1_LABEL, B1_FIRST,
+    "bi AS (SELECT permco, CAST(permco AS VARCHAR) || '_' || label AS stem, row_number() OVER (ORDER BY permco) - 1 AS i FROM b1_label)",
+    "bm AS (" + "\nUNION ALL ".join(
+        f"SELECT permco, CAST(i // 40 AS INTEGER) AS block, CAST(i % 40 * {len(FIELDS)} + {k} AS INTEGER) AS position, stem || '_{x}' AS column_name, "
+        f"'{x}' AS field FROM bi" for k, x in enumerate(FIELDS)) + ")")
+
+PANEL_MANIFEST = _BLOCKS + "\nSELECT block, position, column_name, permco AS entity, field FROM bm"
+
+PANEL_BLOCKS = _BLOCKS + "\n" + "\nUNION ALL ".join(
+    f"SELECT m.block, m.position, m.column_name, f.day AS timestamp, {_r('f.' + x, 6)} AS value FROM b1_first f JOIN bm m USING (permco) "
+    f"WHERE m.field = '{x}' AND f.{x} IS NOT NULL" for x in FIELDS)
+
 DUP_AND_NULL_CHECKS = _with(B1, """
 per AS (
   SELECT permco, dlycaldt, count(*) AS r,
@@ -325,6 +338,9 @@ SELECT split, count(*) AS n_rows, count(DISTINCT id) AS n_ids, min(timestamp) AS
        max(timestamp) AS max_ts, count(y) AS n_valued, round(sum(y), 2) AS sum_y
 FROM tagged GROUP BY split"""
 
+ORDERED_EXPORT = _with(B3) + """
+SELECT id, timestamp, y, row_number() OVER (ORDER BY timestamp, id) - 1 AS position FROM b3"""
+
 PROFILE = _with(B3) + """
 SELECT count(*) AS n_rows, count(DISTINCT id) AS n_ids, min(timestamp) AS min_ts, max(timestamp) AS max_ts,
        count(*) FILTER (WHERE y IS NULL) AS n_null_value
@@ -436,6 +452,17 @@ av AS (SELECT CAST(mon + INTERVAL 1 MONTH AS DATE) AS avail, v FROM m)""") + """
 SELECT d.id, d.timestamp, d.y, a.v AS macro_value
 FROM b3 d ASOF LEFT JOIN av a ON d.timestamp >= a.avail"""
 
+MACRO_MIXED = _with(B3, """
+md AS (SELECT id, y, timestamp AS d FROM b3_obs),
+mo AS (
+  SELECT id, 'weekly' AS frequency, y, CAST(d + CAST((12 - isodow(d)) % 7 AS INTEGER) AS DATE) AS e, 5 AS lag FROM md
+  UNION ALL SELECT id, 'monthly', y, last_day(d), 15 FROM md
+  UNION ALL SELECT id, 'quarterly', y, CAST(date_trunc('quarter', d) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE), 30 FROM md),
+mv AS (SELECT id, frequency, CAST(e + lag AS DATE) AS avail, round(sum(y), 2) AS v FROM mo GROUP BY id, frequency, e, lag),
+ml AS (SELECT b.*, f.frequency FROM b3 b, (VALUES ('weekly'), ('monthly'), ('quarterly')) f(frequency))""") + """
+SELECT l.id, l.timestamp, l.y, l.frequency, a.v AS value
+FROM ml l ASOF LEFT JOIN mv a ON l.id = a.id AND l.frequency = a.frequency AND l.timestamp >= a.avail"""
+
 REGISTRY_LOAD = """
 SELECT o.o_orderkey, o.o_custkey, CAST(o.o_orderdate AS DATE) AS o_orderdate, o.o_totalprice,
        o.o_orderstatus, o.o_orderpriority, c.c_nationkey, c.c_mktsegment, n.n_name
@@ -582,12 +609,15 @@ ORACLE: dict[str, str] = {
     "first_valid_long": FIRST_VALID_LONG,
     "panel_dense_long": PANEL_DENSE_LONG,
     "panel_wide_selected": PANEL_WIDE_SELECTED,
+    "panel_manifest": PANEL_MANIFEST,
+    "panel_blocks": PANEL_BLOCKS,
     "dup_and_null_checks": DUP_AND_NULL_CHECKS,
     "csv_roundtrip": CSV_ROUNDTRIP,
     "panel_densified": PANEL_DENSIFIED,
     "panel_splits": PANEL_SPLITS,
     "panel_splits_per_key": PANEL_SPLITS_PER_KEY,
     "split_counts": SPLIT_COUNTS,
+    "ordered_export": ORDERED_EXPORT,
     "profile": PROFILE,
     "fc_naive": FC_NAIVE,
     "fc_mean": FC_MEAN,
@@ -611,5 +641,6 @@ ORACLE: dict[str, str] = {
     "holiday_nyse": HOLIDAY_NYSE,
     "holiday_flags": HOLIDAY_FLAGS,
     "macro_asof": MACRO_ASOF,
+    "macro_mixed": MACRO_MIXED,
     "registry_load": REGISTRY_LOAD,
 }

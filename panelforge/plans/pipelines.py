@@ -19,7 +19,7 @@ from ..operators.regress import forecast_ar, forecast_direct, forecast_ridge
 from ..operators.score import combine, score, score_long
 from ..sources.calendars import holiday_calendar
 from ..functions.exprs import stable_round
-from ..sources.files import write_table
+from ..sources.files import write_ordered
 from .specs import DEFAULT_VARIANTS, ForecastSpec, QuerySpec, SplitSpec
 
 
@@ -83,7 +83,7 @@ def prepare_panel(raw: DataFrame, split: SplitSpec = SplitSpec(), out_dir: str |
     tagged = panel.split_windows(wide, split.windows, "timestamp", split.all_name)
     if out_dir:
         for fmt in formats:
-            write_table(tagged, f"{out_dir}/{fmt}", fmt=fmt, partition_by=["split"])
+            write_ordered(tagged, f"{out_dir}/{fmt}", ["timestamp"], fmt=fmt, partition_by=["split"])
     return tagged
 
 
@@ -188,8 +188,8 @@ def build_holidays(start: str | Column, end: str | Column, out_dir: str | None =
     nyse = cal.select("timestamp", "financialHolidaysNYSE")
     if out_dir:
         for name, df in (("us_holidays", us), ("nyse_holidays", nyse)):
-            write_table(df.coalesce(1), f"{out_dir}/{name}.parquet")
-            write_table(df.coalesce(1), f"{out_dir}/{name}.csv", fmt="csv")
+            write_ordered(df, f"{out_dir}/{name}.parquet", ["timestamp"], partitions=1)
+            write_ordered(df, f"{out_dir}/{name}.csv", ["timestamp"], fmt="csv", partitions=1)
     return us, nyse
 
 

@@ -13,15 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clean, panel
+from ..operators.asof import RELEASE_LAG, asof_join, by_frequency
 from ..operators.forecast import (Columns, apply_model, forecast_ols, forecast_schema,
                                   forecast_univariate, future_frame, weekday_mean_model)
 from ..operators.frame import plot_frame
+from ..operators.index import ordinal_index
 from ..operators.regress import forecast_ar
 from ..operators.score import combine, score, score_long
 from ..session import scratch_path
 from ..sources import bindings as B
 from ..sources.calendars import holiday_calendar
-from ..sources.files import read_csv, read_table, write_table
+from ..sources.files import read_csv, read_table, with_input_order, write_ordered, write_table
 from ..sources.registry import load, macro_series, series_catalog
 from .pipelines import long_panel, round_doubles, run_query, wide_panel
 from .specs import ForecastSpec, QuerySpec, SplitSpec
@@ -69,6 +71,22 @@ def q_panel_wide_selected(spark, sf):
     return panel.melt(wide.drop("id"), ["timestamp"], values, "column_name", "value")
 
 
+def _b1_blocks(spark, sf):
+    long_df = round_doubles(_b1_long(spark, sf), 6).checkpoint(eager=True)
+    return panel.wide_blocks(long_df, "permco", "timestamp", clean.PANEL_FIELDS, "ord", "ticker", per_block=40, prefix_entity=True)
+
+
+def q_panel_manifest(spark, sf):
+    """R2: the wide panel's columns by block and position."""
+    return _b1_blocks(spark, sf)[0]
+
+
+def q_panel_blocks(spark, sf):
+    """The wide panel's values read from its blocks under the manifest's names."""
+    manifest, blocks = _b1_blocks(spark, sf)
+    return panel.block_cells(blocks, manifest, "timestamp", clean.PANEL_FIELDS)
+
+
 def q_dup_and_null_checks(spark, sf):
     raw = B.security_panel_raw(spark, sf)
     return clean.check_counts(raw, ["permco", "dlycaldt"], raw_time_col="dlycaldt")
@@ -262,6 +280,15 @@ def q_profile(spark, sf):
     return panel.profile(_b3_dense(spark, sf), "id", "timestamp", "y")
 
 
+def q_ordered_export(spark, sf):
+    """The panel written in time order as CSV, read back with each row's place in the files."""
+    path = scratch_path(spark, "ordered_export")
+    write_ordered(_b3_dense(spark, sf, materialize=True), path, ["timestamp", "id"], fmt="csv")
+    back = with_input_order(read_csv(spark, path, schema="id long, timestamp date, y double")).checkpoint(eager=True)
+    place = ordinal_index(back, "ord", "position")
+    return back.join(place, "ord").select("id", "timestamp", "y", "position")
+
+
 def _b3_fc(spark, sf, method):
     ctx = panel.select_window(_b3_dense(spark, sf, materialize=True), B.B3_WINDOWS["context"])
     return round_doubles(forecast_univariate(ctx, method, B.B3_HORIZON, COLS), 4)
@@ -323,14 +350,17 @@ def q_macro_asof(spark, sf):
         "seasonal_adjustment": "Not Seasonally Adjusted", "frequency": "Monthly",
         "source": "orders table"}])
     obs = macro_series(monthly, catalog, "monthly").select("series_id", "available", "value")
-    dense = _b3_dense(spark, sf, materialize=True)
-    span = dense.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"))
-    daily = panel.asof_fill(obs, "series_id", "available", "value",
-                            span.select("lo").scalar(), span.select("hi").scalar())
-    # One row per calendar day of one series: bounded by the span.
-    return (dense.join(F.broadcast(daily.select("timestamp", F.col("value").alias("macro_value"))),
-                       "timestamp", "left")
-            .select("id", "timestamp", "y", "macro_value"))
+    dense = _b3_dense(spark, sf, materialize=True).withColumn("series_id", F.lit("ORDTOT"))
+    joined = asof_join(dense, obs, ["series_id"], "timestamp", "available", "value", out="macro_value")
+    return joined.select("id", "timestamp", "y", "macro_value")
+
+
+def q_macro_mixed(spark, sf):
+    """Weekly, monthly and quarterly series of every nation on its daily panel, each from its release on."""
+    obs = (B.nation_series(spark, sf).select("id", F.col("y").alias("v"), by_frequency(F.col("timestamp")).alias("p"))
+           .select("id", "v", "p.*").groupBy("id", "frequency", "period_end", "available").agg(F.round(F.sum("v"), 2).alias("value")))
+    left = _b3_dense(spark, sf, materialize=True).select("*", F.explode(F.array(*map(F.lit, RELEASE_LAG))).alias("frequency"))
+    return asof_join(left, obs, ["id", "frequency"], "timestamp", "available", "value", order="period_end")
 
 
 def q_registry_load(spark, sf):
@@ -344,12 +374,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "panel_wide": q_panel_wide,
     "panel_dense_long": q_panel_dense_long,
     "panel_wide_selected": q_panel_wide_selected,
+    "panel_manifest": q_panel_manifest,
+    "panel_blocks": q_panel_blocks,
     "dup_and_null_checks": q_dup_and_null_checks,
     "csv_roundtrip": q_csv_roundtrip,
     "panel_densified": q_panel_densified,
     "panel_splits": q_panel_splits,
     "panel_splits_per_key": q_panel_splits_per_key,
     "split_counts": q_split_counts,
+    "ordered_export": q_ordered_export,
     "profile": q_profile,
     "fc_naive": q_fc_naive,
     "fc_mean": q_fc_mean,
@@ -373,5 +406,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "holiday_nyse": q_holiday_nyse,
     "holiday_flags": q_holiday_flags,
     "macro_asof": q_macro_asof,
+    "macro_mixed": q_macro_mixed,
     "registry_load": q_registry_load,
 }

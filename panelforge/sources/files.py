@@ -61,21 +61,29 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
 
 
 def with_input_order(df: DataFrame, out: str = "ord") -> DataFrame:
-    """Q5/Q6: an ordering key that follows the rows' position in the input files.
-
-    Must be applied directly on a file scan.  ``(file path, split start,
-    increasing id)``: rows of one split are read in file order, and splits
-    and files are ordered by start offset and path (sorted file names, as a
-    sorted glob would give).  The key is a struct, so ``min_by`` /
-    ``max_by`` over it plan a sort-based aggregation; derive a numeric key
-    from business columns when one exists.
+    """Q5/Q6: a numeric ordering key that follows the rows' position in the input files.
+
+    Must be applied directly on a file scan.  The key packs (number of the file by path, as a
+    sorted glob gives it; start of the split in the file; place of the row in its task) into one
+    ``decimal(38,0)`` of 31 digits.  A split is read in file order by one task, so the key is the
+    same when a task is repeated, and being a number it keeps ``min_by`` / ``max`` on hash
+    aggregates.  The table of file numbers has one row a file and is joined by path.
     """
     from pyspark.sql import functions as F
 
-    key = F.struct(F.col("_metadata.file_path").alias("file"),
-                   F.col("_metadata.file_block_start").alias("block"),
-                   F.monotonically_increasing_id().alias("row"))
-    return df.select("*", key.alias(out))
+    from ..functions.exprs import pack_order_key
+
+    def plain(path):  # scheme:/path and scheme:///path name one file
+        return F.regexp_replace(path, "^([A-Za-z0-9+.-]+):/+", "$1:/")
+
+    spark = df.sparkSession
+    files = spark.createDataFrame([(f, n) for n, f in enumerate(sorted(df.inputFiles()))], "_path string, _file long")
+    # The low 33 bits of the id count the rows of a task.
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = df.select("*", plain(F.col("_metadata.file_path")).alias("_of"), F.col("_metadata.file_block_start").alias("_block"), row.alias("_row"))
+    known = placed.join(files.select(plain(F.col("_path")).alias("_of"), "_file"), "_of", "left")
+    number = F.when(F.col("_file").isNotNull(), F.col("_file")).otherwise(F.raise_error(F.concat(F.lit("not an input file: "), "_of")).cast("long"))
+    return known.select(*[F.col(f"`{c}`") for c in df.columns], pack_order_key([(number, 7), ("_block", 13), ("_row", 11)]).alias(out))
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
@@ -92,6 +100,19 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
         raise ValueError(f"unsupported format {fmt!r}")
 
 
+def write_ordered(df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet", mode: str = "overwrite",
+                  partition_by: Sequence[str] | None = None, partitions: int | None = None, header: bool = True) -> None:
+    """O2: a total-order sink: rows sorted by ``by`` over the files in the order of their names.
+
+    Rows are dealt into ranges of ``by`` (inside the ``partition_by`` folders), each range is sorted by
+    one task and written as one numbered file, so reading a folder's files by name gives the whole order.
+    No task holds more than its range.
+    """
+    keys = [*(partition_by or ()), *by]
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    write_table(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys), path, fmt, mode, partition_by, header)
+
+
 def literal_names(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """Rename internal names (``q10``) to export names (``0.1``) right before a write."""
     return df.select(*[df[f"`{c}`"].alias(mapping.get(c, c)) for c in df.columns])
