@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import add_steps, time_index
-from .index import batch_groups
+from .index import batch_groups, row_groups
 
 
 def _ship_by_value() -> None:
@@ -324,14 +324,18 @@ def forecast_ols(context: DataFrame, future: DataFrame | None, covariates: Seque
 
 def apply_model(context: DataFrame, model: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
                 schema: str | T.StructType, future: DataFrame | None = None,
-                cols: Columns = Columns(), batch_size: int = 100) -> DataFrame:
+                cols: Columns = Columns(), batch_size: int = 100, batch_rows: int | None = None) -> DataFrame:
     """Run any pandas model once per batch of ``batch_size`` sorted series.
 
+    With ``batch_rows`` batches are cut by rows instead: a batch holds less than
+    that many context rows and its last series, so long series do not add up.
+
     The model receives the context rows (and the future rows, possibly
     empty) of one batch and returns forecast rows matching ``schema``.
     Batches bound what one Python worker holds to ``batch_size`` series.
     """
-    groups = batch_groups(context, cols.id, batch_size, out="_batch")
+    groups = (row_groups(context, cols.id, batch_rows, out="_batch") if batch_rows
+              else batch_groups(context, cols.id, batch_size, out="_batch"))
     ctx = context.join(groups, cols.id)
     if future is None:
         future = context.limit(0).drop(cols.target)

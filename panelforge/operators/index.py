@@ -36,6 +36,28 @@ def ordinal_index(df: DataFrame, key: str, out: str = "idx", partitions: int | N
             .select(key, (F.col("_off") + F.col("_rn") - 1).cast("bigint").alias(out)))
 
 
+def row_groups(df: DataFrame, key: str, budget: int, out: str = "group", partitions: int | None = None) -> DataFrame:
+    """``key, group`` with consecutive sorted keys in groups of about ``budget`` rows.
+
+    A key goes to the group in which its first row falls when all rows stand in key order, so a group
+    holds less than ``budget`` rows and its last key.  Row counts are summed per key with partial
+    aggregation, range-partitioned, summed inside each range and offset by the ranges before.
+    """
+    if budget < 1:
+        raise ValueError("budget must be >= 1")
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sizes = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    ranged = sizes.repartitionByRange(n, key).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    offsets = ranged.groupBy("_pid").agg(F.sum("_n").alias("_s")).select("_pid", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_off"))
+    here = Window.partitionBy("_pid").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn("_at", F.coalesce(F.sum("_n").over(here), F.lit(0)))
+    return (local.join(F.broadcast(offsets), "_pid")
+            .select(key, F.floor((F.col("_off") + F.col("_at")) / budget).cast("bigint").alias(out)))
+
+
 def batch_groups(df: DataFrame, key: str, batch_size: int, out: str = "group") -> DataFrame:
     """``key, group`` with consecutive batches of ``batch_size`` sorted keys."""
     if batch_size < 1:

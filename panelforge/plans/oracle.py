@@ -603,6 +603,53 @@ FROM b3 b LEFT JOIN cal c USING (timestamp)""")
 HOLIDAY_FLAGS = _holiday_flags()
 
 
+def _holiday_ctes() -> str:
+    return _holiday_sql("").replace("\nWITH ", "", 1).rstrip()
+
+
+HOLIDAY_CLOSURES = _with(B3) + ",\n" + _holiday_ctes().replace("named AS (", """own AS (
+  SELECT '""" + _NY + """' AS cal, 1000000 AS ord, 'No orders: ' || n.n_name AS name, b.timestamp AS d
+  FROM b3 b JOIN nation n ON n.n_nationkey = b.id WHERE b.y IS NULL AND n.n_regionkey = 0),
+named AS (""").replace("string_agg(name, '; ' ORDER BY ord) AS names FROM inspan", "string_agg(name, '; ' ORDER BY ord, name) AS names FROM (SELECT * FROM inspan UNION ALL SELECT * FROM own)") + "\nSELECT * FROM cal"
+
+FC_HOLIDAY_COVARIATES = _with(B3) + ",\n" + _holiday_ctes() + """,
+hb AS (SELECT b.id, b.timestamp, b.y, CAST(c.publicHolidaysUS IS NOT NULL AS DOUBLE) AS x, CAST(c.financialHolidaysNYSE IS NOT NULL AS DOUBLE) AS z
+       FROM b3 b LEFT JOIN cal c USING (timestamp)),
+hc AS (SELECT * FROM hb WHERE timestamp BETWEEN DATE '1995-01-01' AND DATE '1999-12-31' AND y IS NOT NULL),
+h1 AS (SELECT id, regr_slope(z, x) AS zx, regr_intercept(z, x) AS zi, regr_slope(y, x) AS yx, regr_intercept(y, x) AS yi,
+              var_pop(x) AS vx, var_pop(z) AS vz FROM hc GROUP BY id),
+h2 AS (SELECT c.id, regr_slope(c.y - (s.yi + s.yx * c.x), c.z - (s.zi + s.zx * c.x)) AS b1,
+              var_pop(c.z - (s.zi + s.zx * c.x)) AS vr FROM hc c JOIN h1 s USING (id) GROUP BY c.id),
+hp AS (SELECT id, yx - b1 * zx AS b0, b1, yi - b1 * zi AS a FROM h1 JOIN h2 USING (id) WHERE vx > 0 AND vr > 1e-10 * vz),
+hq AS (SELECT c.id, quantile_cont(c.y - (p.a + p.b0 * c.x + p.b1 * c.z), [0.1, 0.5, 0.9]) AS q FROM hc c JOIN hp p USING (id) GROUP BY c.id),
+hf AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY timestamp) AS rn FROM hb WHERE timestamp BETWEEN DATE '2000-01-01' AND DATE '2000-12-31')
+SELECT f.id, f.timestamp, 'y' AS target_name, """ + _q("p.a + p.b0 * f.x + p.b1 * f.z", "q.q") + """
+FROM hf f LEFT JOIN hp p USING (id) LEFT JOIN hq q USING (id) WHERE f.rn <= 30"""
+
+FC_HOURLY = _with("""
+eo AS (SELECT event_type AS id, date_trunc('hour', ts) AS t, round(sum(value), 6) AS y FROM events
+       WHERE event_type IS NOT NULL AND ts IS NOT NULL GROUP BY 1, 2),
+es AS (SELECT min(t) AS lo, max(t) AS hi FROM eo WHERE y IS NOT NULL),
+eg AS (SELECT i.id, unnest(generate_series(s.lo, s.hi, INTERVAL 1 HOUR)) AS t FROM (SELECT DISTINCT id FROM eo) i, es s),
+ec AS (SELECT g.id, g.t, o.y FROM eg g LEFT JOIN eo o USING (id, t) WHERE g.t < TIMESTAMP '2024-01-24'),
+er AS (SELECT id, quantile_cont(y - ly, [0.1, 0.5, 0.9]) AS q FROM (SELECT id, y, lag(y, 24) OVER (PARTITION BY id ORDER BY t) AS ly FROM ec) GROUP BY id),
+el AS (SELECT id, max(t) AS T FROM ec GROUP BY id)""") + f"""
+SELECT l.id, l.T + to_hours(k) AS timestamp, 'y' AS target_name, {_q('c.y', 'r.q')}
+FROM el l CROSS JOIN range(1, 25) s(k) LEFT JOIN ec c ON c.id = l.id AND c.t = l.T + to_hours(k - 24) LEFT JOIN er r ON r.id = l.id"""
+
+FC_WEEKLY = _with(B3, """
+wo AS (SELECT id, CAST(date_trunc('week', timestamp) AS DATE) AS w, round(sum(y), 2) AS y FROM b3_obs GROUP BY 1, 2),
+wv AS (SELECT id, w, y, CAST(w - DATE '1970-01-01' AS DOUBLE) / 7 AS x FROM wo WHERE w BETWEEN DATE '1995-01-01' AND DATE '1999-12-31' AND y IS NOT NULL),
+ws AS (SELECT max(w) AS T FROM (SELECT CAST(unnest(generate_series(min(w), max(w), INTERVAL 7 DAY)) AS DATE) AS w FROM wo)
+       WHERE w BETWEEN DATE '1995-01-01' AND DATE '1999-12-31'),
+we AS (SELECT id, arg_min(y, x) AS fy, min(x) AS fx, arg_max(y, x) AS ly, max(x) AS lx FROM wv GROUP BY id),
+wf AS (SELECT id, ly, lx, (ly - fy) / nullif(lx - fx, 0) AS b FROM we),
+wr AS (SELECT d.id, quantile_cont((d.y - d.py) - f.b * (d.x - d.px), [0.1, 0.5, 0.9]) AS q FROM (
+         SELECT id, y, x, lag(y) OVER w AS py, lag(x) OVER w AS px FROM wv WINDOW w AS (PARTITION BY id ORDER BY x)) d JOIN wf f USING (id) GROUP BY d.id)""") + f"""
+SELECT f.id, CAST(s.T + CAST(7 * k AS INTEGER) AS DATE) AS timestamp, 'y' AS target_name,
+       {_q("f.ly + f.b * (CAST(s.T - DATE '1970-01-01' AS DOUBLE) / 7 + k - f.lx)", 'r.q')}
+FROM wf f JOIN wr r USING (id) CROSS JOIN ws s CROSS JOIN range(1, 14) g(k)"""
+
 ORACLE: dict[str, str] = {
     "entity_keys": ENTITY_KEYS,
     "last_label": LAST_LABEL,
@@ -636,6 +683,11 @@ ORACLE: dict[str, str] = {
     "score_by_model_skip": SCORE_BY_MODEL_SKIP,
     "score_long": SCORE_LONG,
     "plot_frame": PLOT_FRAME,
+    "fc_apply_model_rows": FC_APPLY_MODEL,
+    "fc_hourly": FC_HOURLY,
+    "fc_weekly": FC_WEEKLY,
+    "fc_holiday_covariates": FC_HOLIDAY_COVARIATES,
+    "holiday_closures": HOLIDAY_CLOSURES,
     "holiday_calendar": HOLIDAY_CALENDAR,
     "holiday_us": HOLIDAY_US,
     "holiday_nyse": HOLIDAY_NYSE,

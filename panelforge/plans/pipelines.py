@@ -80,13 +80,32 @@ def prepare_panel(raw: DataFrame, split: SplitSpec = SplitSpec(), out_dir: str |
         named = clean.require_columns(clean.normalise_headers(raw), clean.RAW_PANEL_COLUMNS)
         clean.validate_panel(named, ["permco", "dlycaldt"], "dlycaldt", raw_time_col="dlycaldt")
     wide = wide_panel(long_panel(raw, order_col), order_col=order_col, prefix_entity=prefix_entity)
-    tagged = panel.split_windows(wide, split.windows, "timestamp", split.all_name)
+    tagged = apply_split(wide, split)
     if out_dir:
         for fmt in formats:
             write_ordered(tagged, f"{out_dir}/{fmt}", ["timestamp"], fmt=fmt, partition_by=["split"])
     return tagged
 
 
+def apply_split(df: DataFrame, spec: SplitSpec, time: str = "timestamp", value: str | None = None) -> DataFrame:
+    """Rows tagged by a split spec: shared windows, or each key's own where the spec partitions.
+
+    A key's span runs over the rows that hold ``value`` (all without it); windows follow each other day by day.
+    """
+    if not spec.partition_by:
+        return panel.split_windows(df, spec.windows, time, spec.all_name)
+    keys = list(spec.partition_by)
+    valued = df if value is None else df.where(F.col(value).isNotNull())
+    span = valued.groupBy(*keys).agg(F.min(time).alias("lo"), F.max(time).alias("hi"))
+    start, wins = F.col("lo"), []
+    for name, share in spec.shares:
+        end = F.date_add("lo", F.floor(F.datediff("hi", "lo") * share).cast("int"))
+        wins.append(F.struct(F.lit(name).alias("split"), start.alias("start"), end.alias("end")))
+        start = F.date_add(end, 1)
+    bounds = span.select(*keys, F.explode(F.array(*wins)).alias("w")).select(*keys, "w.*")
+    return panel.split_per_key(df, bounds, keys, time)
+
+
 def query_cells(long_df: DataFrame, spec: QuerySpec, fields: Sequence[str] = clean.PANEL_FIELDS,
                 order_col: str = "ord", entity: str = "permco", time: str = "timestamp") -> tuple[DataFrame, str]:
     """P16/R1 in long form: ``timestamp, column, value`` of the spec's panel, and the target's column name.

@@ -25,7 +25,7 @@ from ..sources import bindings as B
 from ..sources.calendars import holiday_calendar
 from ..sources.files import read_csv, read_table, with_input_order, write_ordered, write_table
 from ..sources.registry import load, macro_series, series_catalog
-from .pipelines import long_panel, round_doubles, run_query, wide_panel
+from .pipelines import apply_split, long_panel, round_doubles, run_query, wide_panel
 from .specs import ForecastSpec, QuerySpec, SplitSpec
 
 COLS = Columns("id", "timestamp", "y")
@@ -233,6 +233,23 @@ def q_fc_apply_model(spark, sf):
     return round_doubles(out, 6)
 
 
+def q_fc_apply_model_rows(spark, sf):
+    """The model slot with batches cut at a row budget."""
+    ctx, test = _b2_parts(spark, sf)
+    out = apply_model(ctx, weekday_mean_model(B.B2_HORIZON, cols=COLS), forecast_schema(), future_frame(test, B.B2_HORIZON, COLS), COLS,
+                      batch_rows=1000)
+    return round_doubles(out.select(*[F.nanvl(F.col(c), F.lit(None).cast("double")).alias(c) if c in ("predictions", "q10", "q50", "q90")
+                                      else F.col(c) for c in out.columns]), 6)
+
+
+def q_fc_hourly(spark, sf):
+    """Hourly series, a season of one day, 24 hours ahead."""
+    obs = B.hourly_series(spark, sf).checkpoint(eager=True)
+    dense = panel.densify(obs, ["id"], "timestamp", ["y"], step="hour").checkpoint(eager=True)
+    ctx = dense.where(F.col("timestamp") < F.lit(B.B2_TEST_START).cast("timestamp_ntz"))
+    return round_doubles(forecast_univariate(ctx, "seasonal_naive", 24, COLS, season=24, step="hour"), 4)
+
+
 # ---------------------------------------------------------- B3 (orders x customer)
 
 
@@ -252,20 +269,7 @@ def q_panel_splits_per_key(spark, sf):
     (first 70 % context, next 15 % validation, rest test), applied by an
     equi-join on the key plus a range condition."""
     dense = _b3_dense(spark, sf)
-    span = (dense.where(F.col("y").isNotNull()).groupBy("id")
-            .agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")))
-    n = F.datediff("hi", "lo")
-    c_end = F.date_add("lo", F.floor(n * 0.7).cast("int"))
-    v_end = F.date_add("lo", F.floor(n * 0.85).cast("int"))
-
-    def win(name, start, end):
-        return F.struct(F.lit(name).alias("split"), start.alias("start"), end.alias("end"))
-
-    bounds = span.select("id", F.explode(F.array(
-        win("context", F.col("lo"), c_end),
-        win("validation", F.date_add(c_end, 1), v_end),
-        win("test", F.date_add(v_end, 1), F.col("hi")))).alias("w")).select("id", "w.*")
-    return panel.split_per_key(dense, bounds, ["id"])
+    return apply_split(dense, SplitSpec(partition_by=("id",)), value="y")
 
 
 def q_split_counts(spark, sf):
@@ -310,6 +314,38 @@ def q_fc_trend(spark, sf):
     return _b3_fc(spark, sf, "trend")
 
 
+def q_fc_weekly(spark, sf):
+    """Weekly totals from Monday on, 13 weeks ahead."""
+    weekly = (B.nation_series(spark, sf).groupBy("id", F.trunc("timestamp", "week").alias("timestamp"))
+              .agg(F.round(F.sum("y"), 2).alias("y")).checkpoint(eager=True))
+    dense = panel.densify(weekly, ["id"], "timestamp", ["y"], step="week").checkpoint(eager=True)
+    ctx = panel.select_window(dense, B.B3_WINDOWS["context"])
+    return round_doubles(forecast_univariate(ctx, "drift", 13, COLS, step="week"), 4)
+
+
+def q_fc_holiday_covariates(spark, sf):
+    """Holiday flags as known-future covariates of every nation's series."""
+    cal = _order_calendar(spark, sf)
+    flag = lambda c: F.col(c).isNotNull().cast("double")
+    dense = (_b3_dense(spark, sf).join(F.broadcast(cal), "timestamp", "left")
+             .select("id", "timestamp", "y", flag("publicHolidaysUS").alias("us"), flag("financialHolidaysNYSE").alias("nyse"))
+             .checkpoint(eager=True))
+    ctx = panel.select_window(dense, B.B3_WINDOWS["context"])
+    fut = future_frame(panel.select_window(dense, B.B3_WINDOWS["validation"]), B.B3_HORIZON, COLS)
+    return round_doubles(forecast_ols(ctx, fut, ["us", "nyse"], COLS, horizon=B.B3_HORIZON), 4)
+
+
+def q_holiday_closures(spark, sf):
+    """H5: the calendar with a user's own closures, here the days on which a nation of the first region took no order."""
+    span = B.order_span(spark, sf)
+    lo, hi = span.select("start").scalar(), span.select("end").scalar()
+    nations = read_table(spark, sf, "nation", ["n_nationkey", "n_name", "n_regionkey"]).where(F.col("n_regionkey") == 0)
+    quiet = _b3_dense(spark, sf).where(F.col("y").isNull()).join(nations, F.col("id") == F.col("n_nationkey"))
+    closures = quiet.select(F.lit("financialHolidaysNYSE").alias("cal"), F.col("timestamp").alias("date"),
+                            F.concat(F.lit("No orders: "), "n_name").alias("name"), F.lit("orders table").alias("source"))
+    return holiday_calendar(lo, hi, spark=spark, closures=closures)
+
+
 def _order_calendar(spark, sf):
     span = B.order_span(spark, sf)
     return holiday_calendar(span.select("start").scalar(), span.select("end").scalar(), spark=spark)
@@ -401,6 +437,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "score_by_model_skip": q_score_by_model_skip,
     "score_long": q_score_long,
     "plot_frame": q_plot_frame,
+    "fc_apply_model_rows": q_fc_apply_model_rows,
+    "fc_hourly": q_fc_hourly,
+    "fc_weekly": q_fc_weekly,
+    "fc_holiday_covariates": q_fc_holiday_covariates,
+    "holiday_closures": q_holiday_closures,
     "holiday_calendar": q_holiday_calendar,
     "holiday_us": q_holiday_us,
     "holiday_nyse": q_holiday_nyse,

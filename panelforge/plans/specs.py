@@ -19,10 +19,12 @@ DEFAULT_LEVELS = (0.1, 0.5, 0.9)
 
 @dataclass(frozen=True)
 class SplitSpec:
-    """Time windows, optionally per key (``partition_by``)."""
+    """Time windows, or with ``partition_by`` each key's own: ``shares`` gives each window's name and
+    the share of the key's valued span at which it ends."""
     windows: dict = field(default_factory=lambda: dict(DEFAULT_WINDOWS))
     partition_by: tuple[str, ...] = ()
     all_name: str = "all"
+    shares: tuple[tuple[str, float], ...] = (("context", 0.7), ("validation", 0.85), ("test", 1.0))
 
 
 @dataclass(frozen=True)

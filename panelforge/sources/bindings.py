@@ -81,6 +81,14 @@ def event_series(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.count_if(F.col("event_type") == "click").cast("double").alias("z")))
 
 
+def hourly_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``id, timestamp, y``: event value per event type and hour (observed hours only)."""
+    ev = read_table(spark, sf_dir, "events", ["event_type", "ts", "value"])
+    return (ev.where(F.col("event_type").isNotNull() & F.col("ts").isNotNull())
+            .groupBy(F.col("event_type").alias("id"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("timestamp"))
+            .agg(F.round(F.sum("value"), 6).alias("y")))
+
+
 def nation_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B3 (observed days only): ``id, timestamp, y`` = order value per nation and day."""
     orders = read_table(spark, sf_dir, "orders", ["o_custkey", "o_orderdate", "o_totalprice"])

@@ -181,9 +181,13 @@ def _day_keys(d: Column, tag: str) -> Column:
 
 
 def holiday_calendar(start: Column | str, end: Column | str, calendars: dict | None = None,
-                     time: str = "timestamp", spark=None) -> DataFrame:
+                     time: str = "timestamp", spark=None, closures: DataFrame | None = None) -> DataFrame:
     """One row per date that is a holiday in at least one calendar.
 
+    H5: ``closures`` (``cal, date, name, source`` and optionally ``valid_from, valid_to``, the span in
+    which an entry counts) adds one-off closures of the user's own; each needs a source.  They are joined
+    by date, so the table may be of any size, and named behind the rules of their calendar, by name.
+
     ``start``/``end`` are literal dates or columns (e.g. scalar sub-queries
     over the data).  The day grid is bounded by the span; the result holds a
     few rows per year and can be broadcast.
@@ -214,6 +218,16 @@ def holiday_calendar(start: Column | str, end: Column | str, calendars: dict | N
                      .when((tag == "n") & (F.col("observed") == "both"),
                            F.concat(F.col("name"), F.lit(OBSERVED_SUFFIX))).alias("label"))
              .where(F.col("label").isNotNull()))
+    if closures is not None:
+        day = F.col("date").cast("date")
+        own = closures.where(day.between(lo, hi) & F.col("cal").isin(list(cals)))
+        if "valid_from" in closures.columns:
+            own = own.where(F.col("valid_from").isNull() | (day >= F.col("valid_from").cast("date")))
+        if "valid_to" in closures.columns:
+            own = own.where(F.col("valid_to").isNull() | (day <= F.col("valid_to").cast("date")))
+        no_source = F.raise_error(F.concat(F.lit("closure without a source: "), day.cast("string")))
+        label = F.when(F.coalesce(F.trim("source"), F.lit("")) == "", no_source.cast("string")).otherwise(F.col("name"))
+        named = named.unionByName(own.select(day.alias(time), "cal", F.lit(1 << 30).alias("ord"), label.alias("label")))
     # One aggregation per day (a handful of names); the calendars are split
     # out of the sorted list with array functions, in rule order.
     per_day = named.groupBy(time).agg(F.array_sort(F.collect_list(F.struct("cal", "ord", "label"))).alias("_l"))
