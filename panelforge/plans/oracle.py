@@ -300,6 +300,8 @@ FROM b2_test t JOIN (SELECT DISTINCT id, timestamp, model FROM fc) f USING (id,
 UNION ALL
 SELECT id, timestamp, 'forecast', """ + _r("p") + ", " + _r("p + q[1]") + ", " + _r("p + q[3]") + """, model FROM fc"""
 
+PLOT_FRAME_ONE = f"SELECT * FROM ({PLOT_FRAME}) WHERE id = 7"
+
 FC_APPLY_MODEL = _with(B2, """
 am_last AS (SELECT id, max(timestamp) AS T FROM b2_ctx GROUP BY id),
 am_wm AS (SELECT id, isodow(timestamp) AS dw, avg(y) AS m FROM b2_ctx WHERE y IS NOT NULL GROUP BY 1, 2),
@@ -683,6 +685,7 @@ ORACLE: dict[str, str] = {
     "score_by_model_skip": SCORE_BY_MODEL_SKIP,
     "score_long": SCORE_LONG,
     "plot_frame": PLOT_FRAME,
+    "plot_frame_one": PLOT_FRAME_ONE,
     "fc_apply_model_rows": FC_APPLY_MODEL,
     "fc_hourly": FC_HOURLY,
     "fc_weekly": FC_WEEKLY,

@@ -211,16 +211,18 @@ def q_score_long(spark, sf):
     return round_doubles(score_long(score(comb, test, COLS, "propagate")), 6)
 
 
-def q_plot_frame(spark, sf):
+def _plot(spark, sf, ids=None):
     comb, ctx, test = _combined(spark, sf)
-    # Every model's frame reads the forecasts: compute the variants once.
-    comb = comb.checkpoint(eager=True)
-    frames = None
-    for m in ("no_covariates", "with_covariates", "with_covariates_cross_learning"):
-        f = plot_frame(ctx, comb.where(F.col("model") == m), test, COLS, history_length=14)
-        f = f.withColumn("model", F.lit(m))
-        frames = f if frames is None else frames.unionByName(f)
-    return round_doubles(frames, 4)
+    return round_doubles(plot_frame(ctx, comb, test, COLS, history_length=14, by="model", ids=ids), 4)
+
+
+def q_plot_frame(spark, sf):
+    return _plot(spark, sf)
+
+
+def q_plot_frame_one(spark, sf):
+    """the frame of one series, as a chart asks for it."""
+    return _plot(spark, sf, ids=B.PLOT_IDS)
 
 
 def q_fc_apply_model(spark, sf):
@@ -437,6 +439,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "score_by_model_skip": q_score_by_model_skip,
     "score_long": q_score_long,
     "plot_frame": q_plot_frame,
+    "plot_frame_one": q_plot_frame_one,
     "fc_apply_model_rows": q_fc_apply_model_rows,
     "fc_hourly": q_fc_hourly,
     "fc_weekly": q_fc_weekly,

@@ -22,6 +22,7 @@ B2_CONTEXT_END = "2024-01-23"
 B2_TEST_START, B2_TEST_END = "2024-01-24", "2024-01-30"
 B2_HORIZON = 7
 B2_SEASON = 7
+PLOT_IDS = [7]
 B3_WINDOWS = {
     "context": ("1995-01-01", "1999-12-31"),
     "validation": ("2000-01-01", "2000-12-31"),
