@@ -18,7 +18,7 @@ import pyarrow as pa
 
 from .ship import worker_cache
 
-PIECE = 2 << 20
+PIECE = 1 << 20
 _R = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 #: Byte classes: True for bytes that belong to a word.
