@@ -6,7 +6,7 @@ DuckDB has no crc32.  These are tested against brute force in tests/llm.
 
 from __future__ import annotations
 
-from .quality import BITS, MIN_GROUP, RULES as QUALITY_RULES
+from .quality import BITS, PRIOR, RULES as QUALITY_RULES
 from .urls import BIN, CLIP, MODEL_SQL, RULES as URL_RULES
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -18,12 +18,11 @@ def _quality() -> str:
                        f"{QUALITY_RULES[m][1]} END")
     values = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS m, {rounded(f'CAST({ratio(m)} AS BIGINT)')} AS v FROM base WHERE NOT base_failed"
                                 for m in QUALITY_RULES)
-    pick = lambda c: f"CASE WHEN s.total IS NOT NULL THEN s.{c} WHEN l.total IS NOT NULL THEN l.{c} ELSE g.{c} END"
-    ok = []
-    for m, (_, _, _, reach, margin, two) in QUALITY_RULES.items():
-        width = f"({reach} * (q3 - q1) + {margin})"
-        test = f"x <= q2 + {width}" + (f" AND x >= q2 - {width}" if two else "")
-        ok.append(f"WHEN m = '{m}' THEN {test}")
+    width = "CASE m " + " ".join(
+        f"WHEN '{m}' THEN " + (f"{reach} * (q3 - q1)" if spread == "quartiles" else f"CAST(floor({reach} * CAST(dev AS DOUBLE) / n) AS BIGINT)") + f" + {margin}"
+        for m, (_, _, _, spread, reach, margin, _) in QUALITY_RULES.items()) + " END"
+    two = ", ".join(f"'{m}'" for m, rule in QUALITY_RULES.items() if rule[-1])
+    mean = lambda c: f"CAST(floor((o.n * CAST(o.{c} AS DOUBLE) + {PRIOR} * CAST(p.{c} AS DOUBLE)) / (o.n + {PRIOR})) AS BIGINT) AS {c}"
     tests = " UNION ALL ".join(f"SELECT rn, lang, source, '{m}' AS m, {ratio(m)} AS x FROM base" for m in QUALITY_RULES)
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS rn, doc_id, lang, source, coalesce(text, '') AS t,
@@ -40,16 +39,18 @@ counts AS (SELECT d.rn, doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words,
     FROM d JOIN l ON l.rn = d.rn LEFT JOIN hit ON hit.rn = d.rn),
 base AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts),
 v AS ({values}),
-q AS (SELECT grouping(lang) + grouping(source) AS up, lang, source, m, count(*) AS total,
-        quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.5) AS q2, quantile_disc(v, 0.75) AS q3
-    FROM v GROUP BY GROUPING SETS ((lang, source, m), (lang, m), (m))),
+lv AS (SELECT 2 AS level, lang, source, m, v FROM v UNION ALL SELECT 1, lang, NULL, m, v FROM v UNION ALL SELECT 0, NULL, NULL, m, v FROM v),
+q AS (SELECT level, lang, source, m, count(*) AS n, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.5) AS q2, quantile_disc(v, 0.75) AS q3
+    FROM lv GROUP BY level, lang, source, m),
+qd AS (SELECT q.level, q.lang, q.source, q.m, any_value(q.n) AS n, any_value(q1) AS q1, any_value(q2) AS q2, any_value(q3) AS q3, sum(abs(lv.v - q2)) AS dev
+    FROM lv JOIN q ON lv.level = q.level AND lv.m = q.m AND lv.lang IS NOT DISTINCT FROM q.lang AND lv.source IS NOT DISTINCT FROM q.source
+    GROUP BY q.level, q.lang, q.source, q.m),
+own AS (SELECT level, lang, source, m, n, q2 + ({width}) AS hi, q2 - ({width}) AS lo FROM qd),
+fl AS (SELECT o.lang, o.m, {mean('hi')}, {mean('lo')} FROM own o JOIN own p ON p.level = 0 AND p.m = o.m WHERE o.level = 1),
+fs AS (SELECT o.lang, o.source, o.m, {mean('hi')}, {mean('lo')} FROM own o JOIN fl p ON p.m = o.m AND p.lang IS NOT DISTINCT FROM o.lang WHERE o.level = 2),
 x AS ({tests}),
-judged AS (SELECT x.rn, x.m, x.x, {pick('q1')} AS q1, {pick('q2')} AS q2, {pick('q3')} AS q3 FROM x
-    LEFT JOIN (SELECT * FROM q WHERE up = 0 AND total >= {MIN_GROUP}) s
-        ON s.m = x.m AND s.lang IS NOT DISTINCT FROM x.lang AND s.source IS NOT DISTINCT FROM x.source
-    LEFT JOIN (SELECT * FROM q WHERE up = 1 AND total >= {MIN_GROUP}) l ON l.m = x.m AND l.lang IS NOT DISTINCT FROM x.lang
-    LEFT JOIN (SELECT * FROM q WHERE up = 2) g ON g.m = x.m),
-ok AS (SELECT rn, bool_and(coalesce(CASE {' '.join(ok)} END, true)) AS fine FROM judged GROUP BY rn)
+ok AS (SELECT x.rn, bool_and(coalesce(x.x <= fs.hi AND (x.x >= fs.lo OR x.m NOT IN ({two})), true)) AS fine FROM x
+    LEFT JOIN fs ON fs.m = x.m AND fs.lang IS NOT DISTINCT FROM x.lang AND fs.source IS NOT DISTINCT FROM x.source GROUP BY x.rn)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND fine AS kept
 FROM base JOIN ok USING (rn)"""
 

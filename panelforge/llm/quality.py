@@ -4,40 +4,45 @@ Method: every measure is an integer ratio.  A mergeable quantile sketch of a gro
 is the table of counts of its values rounded down to ``BITS`` significant bits
 (relative error at most 2**(1-BITS)); sketches of groups merge by adding counts,
 so the language and corpus sketches come from the (language, source) ones without
-another pass over the texts.  A measure's fence in a group is its median plus
-``reach`` times its interquartile range plus ``margin`` (and the same downwards
-where the rule is two-sided).  A group of fewer than ``min_group`` documents takes
-its language's fences, a small language the corpus'.  The fences are joined to the
-documents, and a document outside any is rejected.
+another pass over the texts.  A measure's own fence in a group is its median plus
+``reach`` times its spread plus ``margin`` (and the same downwards where the rule is
+two-sided).  The spread is read off the sketch: the interquartile range, or, for
+measures that are 0 in most documents and so have quartiles of 0, the mean
+distance of the values from the median.  ``margin`` is a guard where all values of a group are equal.
+
+No size switches between levels: a language's fence is the mean of its own, weighted
+by its number of documents, and the corpus', weighted by ``PRIOR``; a source's is
+the same mean of its own and its language's.  The fences are joined to the documents,
+and a document outside any is rejected.
 
 Defined results: a null or empty text has no words and fails the base rules.  Null
-``lang`` or ``source`` are groups of their own.  Repeated rows are judged alike.
+``lang`` or ``source`` are groups of their own.  Repeated rows are judged alike; a value
+equal to a fence is inside it.  Very long texts are measured whole, in time n log n.
 Tables with no row give no row.  Columns of the input that have the name of an
 output column are replaced.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scratch import written
 
 BITS = 6
-#: measure: (numerator, denominator, scale, reach, margin, two-sided)
+#: measure: (numerator, denominator, scale, spread, reach, margin, two-sided)
 RULES = {
-    "mean_word": ("word_chars", "n_words", 1000, 5, 100, True),
-    "symbols": ("n_symbols", "word_chars", 10000, 5, 200, False),
-    "dup_lines": ("n_dup_lines", "n_lines", 10000, 5, 3400, False),
-    "repeats": ("n_repeat_words", "n_words", 10000, 5, 2000, False),
+    "mean_word": ("word_chars", "n_words", 1000, "quartiles", 5, 100, True),
+    "symbols": ("n_symbols", "word_chars", 10000, "deviation", 2, 50, False),
+    "dup_lines": ("n_dup_lines", "n_lines", 10000, "deviation", 80, 100, False),
+    "repeats": ("n_repeat_words", "n_words", 10000, "deviation", 40, 100, False),
 }
-MIN_GROUP = 200
+#: Documents that the wider group's fence counts for in a narrower group's.
+PRIOR = 200
 #: Fence tables up to this many rows (some 100 bytes each) are broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 50_000
 STATS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 _SPACE = r"[\x20\x09-\x0D]+"
-#: Lookup lists of a text's repeated windows hold about this many entries each.
-_BUCKET = 32
 
 
 def with_stats(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -47,24 +52,17 @@ def with_stats(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     t = F.coalesce(F.col(text), F.lit(""))
     trimmed = F.btrim(t, F.lit(" \t\n\x0b\x0c\r"))
-    df = docs.drop(*[c for c in (*STATS, "base_failed", "__words", "__tri", "__dup", "__lines", "__in") if c != text])
+    df = docs.drop(*[c for c in (*STATS, "base_failed", "__words", "__tri", "__lines", "__in") if c != text])
     df = df.withColumn("__words", F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, _SPACE)))
     df = df.withColumn("__lines", F.filter(F.split(t, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     df = df.withColumn("__tri", F.expr(
         "CASE WHEN size(__words) < 3 THEN CAST(array() AS array<bigint>) ELSE "
         "transform(sequence(0, size(__words) - 3), i -> xxhash64(__words[i], __words[i + 1], __words[i + 2])) END"))
-    df = df.withColumn("__dup", F.expr(
-        "CASE WHEN size(array_distinct(__tri)) = size(__tri) THEN CAST(array() AS array<bigint>) ELSE "
-        "array_distinct(filter(zip_with(sort_array(__tri), slice(sort_array(__tri), 2, size(__tri)), "
-        "(a, b) -> if(a = b, a, NULL)), x -> x IS NOT NULL)) END"))
-    # Positions (from 1) of windows that occur twice or more; the hashes are looked up in short lists.
+    # Positions of windows that occur twice or more: neighbours of equal hash in the order of (hash, position).
     df = df.withColumn("__in", F.expr(
-        f"CASE WHEN size(__dup) = 0 THEN CAST(array() AS array<int>) "
-        f"WHEN size(__dup) <= {_BUCKET} THEN filter(sequence(1, size(__tri)), i -> array_contains(__dup, __tri[i - 1])) "
-        f"ELSE element_at(transform(array(transform(sequence(0, size(__dup) div {_BUCKET}), "
-        f"b -> filter(__dup, x -> pmod(x, size(__dup) div {_BUCKET} + 1) = b))), lists -> "
-        f"filter(sequence(1, size(__tri)), i -> array_contains("
-        f"lists[CAST(pmod(__tri[i - 1], size(__dup) div {_BUCKET} + 1) AS int)], __tri[i - 1]))), 1) END"))
+        "CASE WHEN size(array_distinct(__tri)) = size(__tri) THEN CAST(array() AS array<int>) ELSE "
+        "sort_array(array_distinct(flatten(element_at(transform(array(sort_array(transform(__tri, (h, i) -> struct(h, i)))), o -> "
+        "filter(zip_with(o, slice(o, 2, size(o)), (a, b) -> if(a.h = b.h, array(a.i, b.i), NULL)), x -> x IS NOT NULL)), 1)))) END"))
     n_symbols = F.length(t) - F.length(F.regexp_replace(t, r"[#*$%&|<>]+", ""))
     df = df.select(
         *[c for c in df.columns if not c.startswith("__")],
@@ -98,61 +96,56 @@ def sketches(stats: DataFrame, lang: str = "lang", source: str = "source") -> Da
             .groupBy("grp_lang", "grp_source", "measure", "value").agg(F.count("*").alias("n")))
 
 
-def fences(sketch: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
-    """(level, grp_lang, grp_source, <measure>_lo, <measure>_hi): levels 2 source, 1 language, 0 corpus."""
+def fences(sketch: DataFrame, prior: int = PRIOR) -> DataFrame:
+    """(grp_lang, grp_source, <measure>_lo, <measure>_hi) of every group; a lower fence is null where the rule has none."""
     levels = (sketch.withColumn("level", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
               .select("level", F.when(F.col("level") >= 1, F.col("grp_lang")).alias("grp_lang"),
                       F.when(F.col("level") == 2, F.col("grp_source")).alias("grp_source"), "measure", "value", "n")
               .groupBy("level", "grp_lang", "grp_source", "measure", "value").agg(F.sum("n").alias("n")))
-    levels.createOrReplaceTempView("__quality_levels")
-    cum = levels.sparkSession.sql("""
-        SELECT *, sum(n) OVER (PARTITION BY level, grp_lang, grp_source, measure ORDER BY value) AS upto,
-               sum(n) OVER (PARTITION BY level, grp_lang, grp_source, measure) AS total FROM __quality_levels""")
-    levels.sparkSession.catalog.dropTempView("__quality_levels")
+    group = ["level", "grp_lang", "grp_source", "measure"]
+    cum = levels.withColumns({"upto": F.sum("n").over(Window.partitionBy(*group).orderBy("value")),
+                              "total": F.sum("n").over(Window.partitionBy(*group))})
     q = lambda p: F.min(F.when(F.col("upto") * 4 >= F.col("total") * p, F.col("value")))
-    quart = (cum.groupBy("level", "grp_lang", "grp_source", "measure")
-             .agg(q(1).alias("q1"), q(2).alias("q2"), q(3).alias("q3"), F.max("total").alias("total"))
-             .filter((F.col("total") >= min_group) | (F.col("level") == 0)))
-    out = []
-    for m, (_, _, _, reach, margin, two) in RULES.items():
-        width = reach * (F.col("q3") - F.col("q1")) + margin
+    # A sketch has at most some 2**BITS values a power of two.
+    quart = (cum.groupBy(*group).agg(q(1).alias("q1"), q(2).alias("q2"), q(3).alias("q3"), F.max("total").alias("total"),
+                                     F.collect_list(F.struct("value", "n")).alias("cells"))
+             .withColumn("dev", F.expr("aggregate(cells, 0L, (s, c) -> s + c.n * abs(c.value - q2))")))
+    out = [F.max("total").alias("total")]
+    for m, (_, _, _, spread, reach, margin, two) in RULES.items():
+        width = (reach * (F.col("q3") - F.col("q1")) if spread == "quartiles"
+                 else F.floor(reach * F.col("dev").cast("double") / F.col("total"))) + margin
         here = F.col("measure") == m
-        out += [F.max(F.when(here, F.col("q2") + width)).alias(f"{m}_hi"),
-                F.max(F.when(here, F.col("q2") - width if two else F.lit(None).cast("long"))).alias(f"{m}_lo")]
-    return quart.groupBy("level", "grp_lang", "grp_source").agg(*out)
+        out += [F.max(F.when(here, F.col("q2") + width)).cast("long").alias(f"{m}_hi"),
+                F.max(F.when(here, F.col("q2") - width if two else F.lit(None))).cast("long").alias(f"{m}_lo")]
+    own = written(quart.groupBy("level", "grp_lang", "grp_source").agg(*out), "fences")
+    cols = [c for c in own.columns if c.endswith(("_lo", "_hi"))]
+    top = own.filter("level = 0").first()  # one row; none if no document passes the base rules
+    mean = lambda c: F.floor((F.col("total") * F.col(c).cast("double") + prior * F.col(f"up_{c}").cast("double"))
+                             / (F.col("total") + prior)).cast("long")
+    lang = (own.filter("level = 1").withColumns({f"up_{c}": F.lit(top[c] if top else None).cast("long") for c in cols})
+            .select(F.col("grp_lang").alias("up_lang"), *[mean(c).alias(f"up_{c}") for c in cols]))
+    return (own.filter("level = 2").join(lang, F.col("grp_lang").eqNullSafe(F.col("up_lang")))
+            .select("grp_lang", "grp_source", *[mean(c).alias(c) for c in cols]))
 
 
 def judge(stats: DataFrame, fence: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """Join the fences of each row's level and add ``kept``."""
-    n = fence.count()
+    """Join the fences of each row's group and add ``kept``.  A group without fences has only rows that fail the base rules."""
     df = stats.drop("kept")
     cols = [f"{m}_{s}" for m in RULES for s in ("lo", "hi")]
-    keys = {2: [lang, source], 1: [lang], 0: []}
-    names = {lang: "grp_lang", source: "grp_source"}
-    limits = {c: [] for c in cols}
-    for level, on in keys.items():
-        f = fence.filter(F.col("level") == level).select(
-            *[F.col(names[k]).alias(f"__{level}_{names[k]}") for k in on],
-            *[F.col(c).alias(f"__{level}_{c}") for c in cols], F.lit(True).alias(f"__{level}_has"))
-        if not on:
-            top = f.limit(1).collect()  # one row: the corpus' fences
-            df = df.withColumns({f"__0_{c}": F.lit(top[0][f"__0_{c}"] if top else None).cast("long") for c in cols}
-                                | {"__0_has": F.lit(bool(top))})
-            continue
-        cond = [F.col(k).cast("string").eqNullSafe(F.col(f"__{level}_{names[k]}")) for k in on]
-        df = df.join(F.broadcast(f) if n <= BROADCAST_ROWS else f, cond, "left")
-    for c in cols:
-        limits[c] = F.when(F.col("__2_has"), F.col(f"__2_{c}")).when(F.col("__1_has"), F.col(f"__1_{c}")).otherwise(F.col(f"__0_{c}"))
+    limits = fence.select(F.col("grp_lang").alias("__lang"), F.col("grp_source").alias("__source"), *[F.col(c).alias(f"__{c}") for c in cols])
+    own = df.columns
+    df = df.join(F.broadcast(limits) if limits.count() <= BROADCAST_ROWS else limits,
+                 [F.col(lang).cast("string").eqNullSafe(F.col("__lang")), F.col(source).cast("string").eqNullSafe(F.col("__source"))], "left")
     ok = ~F.col("base_failed")
     for m, rule in RULES.items():
-        ok = ok & F.coalesce(measure(m) <= limits[f"{m}_hi"], F.lit(True))
+        ok = ok & F.coalesce(measure(m) <= F.col(f"__{m}_hi"), F.lit(True))
         if rule[-1]:
-            ok = ok & F.coalesce(measure(m) >= limits[f"{m}_lo"], F.lit(True))
-    return df.withColumn("kept", ok).drop(*[c for c in df.columns if c.startswith("__")])
+            ok = ok & F.coalesce(measure(m) >= F.col(f"__{m}_lo"), F.lit(True))
+    return df.select(*own, ok.alias("kept"))
 
 
 def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
-                  min_group: int = MIN_GROUP, keep: list[str] | None = None) -> DataFrame:
+                  prior: int = PRIOR, keep: list[str] | None = None) -> DataFrame:
     """``keep`` (default: all columns) plus ``STATS``, ``base_failed`` and ``kept`` for every row.
 
     The counts are written once in the shared folder, so texts are measured once.
@@ -162,6 +155,6 @@ def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", sourc
     measured = with_stats(docs.select(*dict.fromkeys([*need, text])), text)
     stats = written(measured.select(*[c for c in need if c in measured.columns and c not in (*STATS, "base_failed")],
                                     *STATS, "base_failed"), "quality")
-    fence = written(fences(sketches(stats, lang, source), min_group), "fences")
+    fence = written(fences(sketches(stats, lang, source), prior), "fences")
     out = judge(stats, fence, lang, source)
     return out.select(*[c for c in keep if c not in (*STATS, "base_failed", "kept")], *STATS, "base_failed", "kept")

@@ -12,13 +12,15 @@ some 5 MB.  Log ratios are integers (millionths), so sums do not depend on order
 
 Defined results: a null URL or one without ``://`` has empty host and path, no rule,
 and is scored as the empty string.  If either class has no example, what no rule
-decides is allowed.  Repeated rows are judged alike.  Output has only the columns
+decides is allowed.  Repeated rows are judged alike; a very long URL takes time in proportion
+to its length; a score in the cut's bin is allowed.  Output has only the columns
 named here and those in ``keep``.
 """
 
 from __future__ import annotations
 
 import string
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,12 +53,13 @@ def with_parts(pages: DataFrame, url: str = "url", rules=RULES) -> DataFrame:
     return df.withColumn("rule", rule).withColumn("__label", verdict)
 
 
-def grams(df: DataFrame) -> DataFrame:
-    """One row a trigram of the padded URL."""
+def grams(parts: DataFrame) -> DataFrame:
+    """(__row, __label, __gram): one row a trigram of the padded URL, which is cut into characters once."""
     padded = F.concat(F.lit("^^"), F.regexp_replace("__rest", OTHER, "*"), F.lit("$"))
-    return (df.withColumn("__s", padded)
-            .withColumn("__gram", F.explode(F.expr("transform(sequence(1, length(__s) - 2), i -> substring(__s, i, 3))")))
-            .drop("__s", "__rest"))
+    return (parts.select("__row", "__label", F.split(padded, "").alias("__c"))
+            .select("__row", "__label", F.explode(F.expr(
+                "slice(zip_with(zip_with(__c, slice(__c, 2, size(__c)), (a, b) -> concat(a, b)), slice(__c, 3, size(__c)), "
+                "(ab, c) -> concat(ab, c)), 1, size(__c) - 2)")).alias("__gram")))
 
 
 MODEL_SQL = f"""
@@ -84,22 +87,24 @@ FROM p2 GROUP BY gram"""
 def judge_urls(pages: DataFrame, url: str = "url", rules=RULES, keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """keep, host, path, rule, verdict, score (mean millionths of a nat; null if the models have no examples)."""
     spark = pages.sparkSession
-    parts = with_parts(pages.select(*dict.fromkeys([*keep, url])).withColumn("__row", F.monotonically_increasing_id()), url, rules)
+    # Written once, so that row numbers hold; the trigrams of a long URL carry its number, not the URL.
+    parts = written(with_parts(pages.select(*dict.fromkeys([*keep, url])).withColumn("__row", F.monotonically_increasing_id()), url, rules), "url-parts")
     exploded = grams(parts)
     counts = written(exploded.groupBy(F.col("__label").alias("label"), F.col("__gram").alias("gram"))
                      .agg(F.count("*").alias("n")), "url-grams")
-    counts.createOrReplaceTempView("__url_counts")
-    model = written(spark.sql(MODEL_SQL.format(counts="__url_counts")), "url-model")
-    spark.catalog.dropTempView("__url_counts")
+    view = f"url_counts_{uuid.uuid4().hex}"
+    counts.createOrReplaceTempView(view)
+    model = written(spark.sql(MODEL_SQL.format(counts=view)), "url-model")
+    spark.catalog.dropTempView(view)
     trained = counts.filter("label IS NOT NULL").select("label").distinct().count() == 2
     own = [c for c in keep if c not in ("host", "path", "rule", "verdict", "score")]
     if not trained:
         return parts.select(*own, "host", "path", "rule", F.coalesce("__label", F.lit("allow")).alias("verdict"),
                             F.lit(None).cast("long").alias("score"))
     scored = (exploded.join(F.broadcast(model), F.col("__gram") == F.col("gram"))
-              .groupBy("__row", *own, "host", "path", "rule", "__label")
-              .agg(F.sum("llr").alias("__sum"), F.count("*").alias("__n"))
-              .withColumn("score", F.expr("CAST(floor(__sum / __n) AS bigint)")))
+              .groupBy("__row").agg(F.sum("llr").alias("__sum"), F.count("*").alias("__n"))
+              .select("__row", F.expr("CAST(floor(__sum / __n) AS bigint)").alias("score")))
+    scored = parts.select("__row", *own, "host", "path", "rule", "__label").join(scored, "__row")
     scored = written(scored.withColumn("__bin", F.expr(f"greatest(-{CLIP}, least({CLIP}, CAST(floor(score / {BIN}) AS int)))")), "url-scores")
     cut = cut_point(scored)
     method = F.when(F.col("__bin") >= cut, "allow").otherwise("block")
