@@ -1,13 +1,17 @@
 """Best-fit packing by length patterns and non-negative least squares (operator 5).
 
 Method (on the histogram of lengths, whose size is the sequence length, not the
-corpus): lengths are grouped to ``UNIT`` tokens, rounded up; patterns are all ways to
-fill a sequence with at most ``DEPTH`` lengths of the groups present; non-negative
-least squares gives each pattern's repeat count, so that the patterns use up the
-histogram; counts are rounded down and limited to what is there.  What is left, and
-the room that rounding left in the patterned sequences, is packed best-fit from the
-longest piece down.  The plan says, for each length and rank among the pieces of
-that length, the sequence and the place in it.
+corpus): lengths are grouped to at most some ``GROUPS`` + ``WIDTHS`` sections, rounded up;
+patterns are all ways to fill at least ``FILL`` of a sequence with up to three
+different groups, each repeated as often as ``REPEATS`` lists, the third being the largest
+that still fits; non-negative least squares by active sets gives the repeat counts,
+so that the patterns use up the histogram (a basic solution: no more patterns than
+groups, so counts are large and rounding loses little); counts are rounded down and
+limited to what is there.  Of a group the longest pieces are taken first, and a
+pattern's last place takes the longest piece left that fits.  What is left, pieces
+below 1 / ``CRUMBS`` of a sequence among it, is packed best-fit from the longest piece down
+into the room left in the patterned sequences and into new ones.  The plan says, for
+each length and rank among the pieces of that length, the sequence and the place in it.
 
 Spark tokenises every text once, counts lengths, numbers the pieces of each length
 (rank = offset of the part of the table + rank in it; parts are small ranges of rows,
@@ -15,18 +19,18 @@ so a frequent length is no single task), and looks each piece up in the plan.  T
 plan has a few ten thousand entries at most, whatever the corpus.
 
 Defined results: a null text is empty and has the end id alone.  Equal or repeated
-rows are separate documents.  An empty table gives no row.
+rows are separate documents.  An empty table gives no row.  Very long texts are cut into full pieces and a rest.
 """
 
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,52 +38,102 @@ from .scratch import written
 from .ship import ship
 from .tokens import UnitTokenizer, with_end
 
-UNIT, DEPTH, STEPS = 8, 3, 400
+GROUPS, WIDTHS, FILL, CRUMBS = 40, 48, 0.98, 64
+#: How often a pattern may hold one of its lengths.
+REPEATS = (1, 2, 3, 4, 8, 16)
 
 
-def patterns(groups: np.ndarray, capacity: int) -> list[tuple[int, ...]]:
-    """All non-increasing tuples of at most DEPTH present groups that sum to ``capacity``."""
-    have = set(groups.tolist())
+def sections(histogram: dict[int, int], capacity: int) -> dict[int, list[int]]:
+    """{longest: its lengths, descending}: sections of at most 1 / GROUPS of the pieces and 1 / WIDTHS of a sequence."""
+    lengths = sorted(n for n in histogram if capacity // CRUMBS <= n <= capacity)
+    share = sum(histogram[n] for n in lengths) / GROUPS
+    out: dict[int, list[int]] = {}
+    own: list[int] = []
+    held = 0
+    for n in reversed(lengths):
+        if own and (own[0] - n > capacity // WIDTHS or held + histogram[n] > share or own[0] == capacity):
+            out[own[0]], own, held = own, [], 0
+        own.append(n)
+        held += histogram[n]
+    if own:
+        out[own[0]] = own
+    return out
+
+
+def patterns(groups: list[int], capacity: int) -> list[tuple[tuple[int, int], ...]]:
+    """((group, repeats), ...), groups descending: all that fill at least FILL of ``capacity`` as the method says."""
+    up = sorted(groups)
+    least = FILL * capacity
     out = []
-    for a in sorted(have, reverse=True):
-        if a == capacity:
-            out.append((a,))
-        if capacity - a in have and capacity - a <= a:
-            out.append((a, capacity - a))
-        for b in have:
-            c = capacity - a - b
-            if b <= a and 0 < c <= b and c in have:
-                out.append((a, b, c))
+    for i in range(len(up) - 1, -1, -1):
+        for m in REPEATS:
+            one = m * up[i]
+            if one > capacity:
+                break
+            if one >= least:
+                out.append(((up[i], m),))
+            for j in range(min(i, bisect_right(up, capacity - one)) - 1, -1, -1):
+                for k in REPEATS:
+                    two = one + k * up[j]
+                    if two > capacity:
+                        break
+                    if two >= least:
+                        out.append(((up[i], m), (up[j], k)))
+                    for r in REPEATS:
+                        at = min(j, bisect_right(up, (capacity - two) // r)) - 1
+                        if at >= 0 and two + r * up[at] >= least:
+                            out.append(((up[i], m), (up[j], k), (up[at], r)))
     return out
 
 
-def nnls(index: np.ndarray, b: np.ndarray, weight: np.ndarray, steps: int = STEPS) -> np.ndarray:
-    """x >= 0 of least weighted squares |A x - b| by accelerated projected gradients.
+def nnls(index: np.ndarray, count: np.ndarray, b: np.ndarray, weight: np.ndarray) -> dict[int, float]:
+    """{column: x > 0} of least weighted squares |A x - b| by active sets.
 
-    Column j of A counts the groups ``index[j]`` (len(b) stands for none), so A is never built.
+    Column j of A holds ``count[j]`` at the rows ``index[j]`` (len(b) stands for none), so A is never built.
     """
     n = len(b)
     w = np.append(weight, 0.0)
-    use = lambda x: np.bincount(index.ravel(), np.repeat(x, index.shape[1]), n + 1) * w
-    back = lambda r: (r * w)[index].sum(1)
     target = np.append(b, 0.0) * w
-    v = np.ones(len(index))
-    for _ in range(30):  # largest eigenvalue
-        v = back(use(v))
-        v /= np.linalg.norm(v)
-    rate = 1 / max(float(np.square(use(v)).sum()) * 1.05, 1e-12)
-    x = y = np.zeros(len(index))
-    t = 1.0
-    for _ in range(steps):
-        nxt = np.maximum(0, y - rate * back(use(y) - target))
-        t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        y = nxt + (t - 1) / t2 * (nxt - x)
-        x, t = nxt, t2
-    return x
+
+    def columns(at: list[int]) -> np.ndarray:
+        a = np.zeros((n + 1, len(at)))
+        for c, j in enumerate(at):
+            np.add.at(a[:, c], index[j], count[j])
+        return a * w[:, None]
+
+    active: list[int] = []
+    x = np.zeros(0)
+    rest = target
+    for _ in range(4 * n):
+        gain = ((rest * w)[index] * count).sum(1)
+        gain[active] = -np.inf
+        j = int(np.argmax(gain))
+        if gain[j] <= 1e-9 * max(1.0, float(np.abs(target).max())):
+            break
+        active, x = [*active, j], np.append(x, 0.0)
+        while active:
+            z = np.linalg.lstsq(columns(active), target, rcond=None)[0]
+            low = z <= 1e-9
+            if not low.any():
+                x = z
+                break
+            step = np.min(x[low] / np.maximum(x[low] - z[low], 1e-300))
+            x = x + min(1.0, step) * (z - x)
+            stay = x > 1e-9
+            if stay.all():  # no further step
+                break
+            active, x = [a for a, s in zip(active, stay.tolist(), strict=True) if s], x[stay]
+        rest = target - (columns(active) @ x if active else 0.0)
+    return dict(zip(active, x.tolist(), strict=True))
 
 
 def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
     """(length, first rank, number, first sequence, offset): pieces rank.. of a length go to sequence.., one each."""
+    return plan_parts(histogram, capacity)[0]
+
+
+def plan_parts(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, int, int, int]], int]:
+    """The plan, and how many of its entries come from patterns (these stand first)."""
     left = {n: c for n, c in histogram.items() if c > 0}
     used: dict[int, int] = defaultdict(int)
     rooms: dict[int, list[tuple[int, int]]] = {}  # free tokens: (first sequence, number)
@@ -99,37 +153,41 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int,
                 insort(free, size)
             rooms[size].append((seq, number))
 
-    unit = max(1, min(UNIT, capacity // 8))
-    members = defaultdict(list)
-    for n in sorted(left, reverse=True):
-        members[-(-n // unit)].append(n)
-    full = capacity // unit
-    groups = np.array(sorted(g for g in members if g <= full), int)
-    pats = patterns(groups, full)
+    members = sections(left, capacity)
+    groups = sorted(members)
+    pats = patterns(groups, capacity)
     if pats:
         at = {g: i for i, g in enumerate(groups)}
-        index = np.array([[at[g] for g in p] + [len(groups)] * (DEPTH - len(p)) for p in pats])
+        none = (len(groups), 0)
+        cells = np.array([[(at[g], m) for g, m in p] + [none] * (3 - len(p)) for p in pats])
         b = np.array([sum(left[n] for n in members[g]) for g in groups], float)
-        x = np.rint(nnls(index, b, groups / full)).astype(np.int64)
-        for j in np.argsort(-x, kind="stable"):
-            p, r = pats[j], int(x[j])
-            need = {g: p.count(g) for g in p}
-            r = min([r] + [sum(left[n] for n in members[g]) // k for g, k in need.items()])
-            # Members of equal exact lengths at a time.
-            while r > 0:
-                take = []
+        fit = nnls(cells[:, :, 0], cells[:, :, 1], b, np.array(groups) / capacity)
+        lengths = sorted(n for g in groups for n in members[g])
+        for j in sorted(fit, key=lambda j: (-fit[j], j)):
+            slots = [g for g, m in pats[j] for _ in range(m)]
+            r = int(fit[j] + 1e-6)
+            while r > 0:  # pieces of equal exact lengths at a time
                 taken: dict[int, int] = defaultdict(int)
-                for g in p:
-                    n = next(n for n in members[g] if left[n] > taken.get(n, 0))
+                take: list[int] = []
+                for i, g in enumerate(slots):
+                    if i + 1 < len(slots) or not take:
+                        n = next((n for n in members[g] if left[n] > taken[n]), None)
+                    else:
+                        n = longest_left(lengths, left, taken, capacity - sum(take))
+                    if n is None:
+                        break
                     taken[n] += 1
                     take.append(n)
-                k = min([r] + [left[n] // c for n, c in taken.items()])
+                if len(take) < len(slots):
+                    break
+                k = min([r] + [left[n] // c for n, c in taken.items() if c])
                 offset = 0
                 for n in take:
                     place(n, k, n_seq, offset)
                     offset += n
                 open_room(capacity - offset, n_seq, k)
                 n_seq, r = n_seq + k, r - k
+    by_pattern = len(out)
     # Best fit of the rest, longest first; equal lengths and equal rooms together.
     for n in sorted(left, reverse=True):
         while left[n]:
@@ -151,7 +209,20 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int,
                 open_room(room, seq + take, k - take)
             place(n, take, seq, capacity - room)
             open_room(room - n, seq, take)
-    return out
+    return out, by_pattern
+
+
+def longest_left(lengths: list[int], left: dict[int, int], taken: dict[int, int], room: int) -> int | None:
+    """The longest of the ascending ``lengths`` that fits in ``room`` and has a piece left; used up ones are taken out."""
+    at = bisect_right(lengths, room) - 1
+    while at >= 0:
+        n = lengths[at]
+        if not left[n]:
+            del lengths[at]
+        elif left[n] > taken[n]:
+            return n
+        at -= 1
+    return None
 
 
 def pieces_of(docs: DataFrame, tokenizer: UnitTokenizer, capacity: int, end: int, key: str = "doc_id", text: str = "text",
@@ -194,14 +265,10 @@ def pack(docs: DataFrame, tokenizer: UnitTokenizer, capacity: int = 4096, end: i
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most ``capacity`` rows
     entries = sorted(plan(histogram, capacity))
     e_len, e_rank, e_num, e_seq, e_off = (np.array(c, np.int64) for c in (zip(*entries, strict=True) if entries else [()] * 5))
-    counts.createOrReplaceTempView("__piece_counts")
-    base = docs.sparkSession.sql("SELECT __part, length, coalesce(sum(n) OVER (PARTITION BY length ORDER BY __part "
-                                 "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS base FROM __piece_counts")
-    docs.sparkSession.catalog.dropTempView("__piece_counts")
-    cut.createOrReplaceTempView("__pieces")
+    before = Window.partitionBy("length").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    base = counts.select("__part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     cols = [c for c in cut.columns if not c.startswith("__")]
-    inner = docs.sparkSession.sql("SELECT *, row_number() OVER (PARTITION BY __part, length ORDER BY __id) - 1 AS nth FROM __pieces")
-    docs.sparkSession.catalog.dropTempView("__pieces")
+    inner = cut.withColumn("nth", F.row_number().over(Window.partitionBy("__part", "length").orderBy("__id")) - 1)
     ranked = inner.join(base, ["__part", "length"]).select(*cols, (F.col("base") + F.col("nth")).cast("long").alias("__rank"))
     # Sorted by (length, rank): one key, as a length is below 2**13 and ranks below 2**50.
     shift = np.int64(1) << 49
