@@ -16,15 +16,13 @@ equal to the texts' weighted Jaccard similarity; a text costs about
 ``BANDS`` bands of ``M / BANDS`` components: a pair of similarity 0.8 shares a band
 with probability 1 - 5e-8.  Pairs are not listed by bucket.  First, each text is
 checked against one leader (the smallest node of its buckets, the one it shares most
-bands with), which resolves groups of copies of any size in linear work.  Then
-bucket-mates that are still in different classes may become a pair if the shingles that
-each shares with any other such text could suffice, and at least ``AGREE`` of the ``M``
-signature bytes agree (at similarity 0.8 fewer do with probability 3e-6): first each
-bucket is dealt into parts of about ``PART`` texts that all ask the part's smallest node,
-so a loose group is joined by links in proportion to its texts; then, in the buckets
-that still hold several classes, the texts outside the bucket's commonest class ask all
-others, once each.  A check compares whole
-multisets exactly.  Classes are the connected components of the pairs
+bands with), which resolves groups of copies of any size in linear work.  Then each
+bucket that holds several classes is dealt into parts of about ``PART`` texts that all ask the part's
+smallest node, if the shingles that each shares with any other such text could suffice, and at least
+``AGREE`` of the ``M`` signature bytes agree, so a loose group is joined by links in proportion to its texts.
+Last, the texts outside the commonest class of one of their buckets ask all texts of open buckets, by an
+exact prefix join on their shingles (see ``_prefix_pairs``), which loses no pair of bucket-mates at or over the threshold.
+A check compares whole multisets exactly.  Classes are the connected components of the pairs
 at or over the threshold.  Equal texts are one node from the start.
 
 Shuffles: hot texts are pre-aggregated by md5; joins on buckets, leaders and md5 are
@@ -49,8 +47,10 @@ from .scratch import written
 from .ship import ship
 
 M, BANDS, WIDTH, AGREE = 128, 32, 5, 82
-#: Rounds in which a text asks a few of its bucket-mates, in parts of about so many, before all pairs still apart are formed.
+#: Rounds in which a text asks a few of its bucket-mates, in parts of about so many, before the join of all that are still apart.
 ROUNDS, PART = 1, 4
+#: Ratio of the bounds of a size class.
+CLASS = 1.05
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
@@ -197,6 +197,37 @@ def _some_mates(rest: DataFrame, salt: int, num: int, den: int) -> DataFrame:
             .select(F.col("y.node").alias("a"), F.col("x.node").alias("b")).distinct())
 
 
+def _size_class(size: str) -> str:
+    """SQL: the size class; sizes of a class differ by a factor below ``CLASS``."""
+    return f"floor(ln({size}) / {np.log(CLASS)})"
+
+
+def _prefix_pairs(rest: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of ``rest`` (node, size, comp, asks) in different classes, one of which asks, that may be at num / den.
+
+    A set-similarity join: shingles are ordered by how many of these texts have them; the first that two similar texts
+    share stands early in both, as at least their overlap stands from there on.  Those of one text only come first and
+    join nothing.  An asker's posting goes to the size classes that its place still allows, so that the common
+    shingles of a loose group, which come late, meet no text of about the asker's size.
+    """
+    items = sets.join(rest.select("node"), "node", "left_semi").select("node", F.explode("items").alias("item"))
+    common = items.groupBy("item").agg(F.count("*").alias("n")).filter("n > 1")
+    early = (items.join(common, "item").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "item"))).alias("by_n"))
+             .join(rest, "node").withColumn("first", F.expr("size - size(by_n)"))
+             .withColumn("early", F.expr(f"slice(by_n, 1, cast(greatest(0, size - ceil({num} * size / {den}) + 1 - first) as int))")))
+    postings = written(early.select("node", "size", "comp", "asks", "first", F.posexplode("early").alias("k", "x"))
+                       .select("node", "size", "comp", "asks", F.expr("first + k").alias("place"), "x.item"), "bag-postings")
+    own = postings.withColumn("class", F.expr(_size_class("size")))
+    least, most = f"ceil({num} * size / {den})", f"floor({num + den} * (size - place) / {num}) - size"
+    asked = (postings.filter("asks").withColumns({"least": F.expr(least), "most": F.expr(most)}).filter("least <= most")
+             .withColumn("class", F.explode(F.expr(f"sequence({_size_class('least')}, {_size_class('most')})"))))
+    side = F.struct("node", "size", "comp", "asks", "place")
+    return (asked.select("item", "class", side.alias("x")).join(own.select("item", "class", side.alias("y")), ["item", "class"])
+            .filter(f"x.comp <> y.comp AND (NOT y.asks OR x.node < y.node) AND {den} * least(x.size, y.size) >= {num} * greatest(x.size, y.size) "
+                    f"AND {num + den} * least(x.size - x.place, y.size - y.place) >= {num} * (x.size + y.size)")
+            .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b) at or over num / den, exactly."""
     one = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
@@ -254,16 +285,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", nu
         links = links.union(found)
         labels = components(links)
         rest = _open(rest.drop("comp"), labels)
-    # Of a bucket's commonest class and itself no pair is formed: the rows of its other classes ask all rows.
+    # Within a bucket's commonest class no pair is missing: a text asks if it is outside that of one of its buckets.
     main = (rest.groupBy("bucket", "comp").agg(F.count("*").alias("n")).groupBy("bucket")
             .agg(F.max_by("comp", F.struct("n", "comp")).alias("main")))
-    rest = written(rest.join(main, "bucket").select("bucket", (F.col("comp") == F.col("main")).alias("in_main"),
-                                                    F.struct("node", "size", "comp", "low", "most").alias("x")), "bag-open")
-    apart = rest.filter("NOT in_main").select("bucket", "x")
-    more = (apart.join(rest.select("bucket", "in_main", F.col("x").alias("y")), "bucket")
-            .filter(f"(in_main OR x.node < y.node) AND {_may_link(num, den)} AND {_alike()}")
-            .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-            .distinct().join(tried, ["a", "b"], "left_anti"))
+    rest = (rest.join(main, "bucket").groupBy("node").agg(F.first("size").alias("size"), F.first("most").alias("most"), F.first("comp").alias("comp"),
+                                                          F.max(F.col("comp") != F.col("main")).alias("asks")))
+    rest = written(rest.filter(f"{den} * most >= {num} * size").drop("most"), "bag-open")
+    more = _prefix_pairs(rest, sets, num, den).join(tried, ["a", "b"], "left_anti")
     more = written(_verified(written(more, "bag-more"), sets, num, den), "bag-links")
     if more.limit(1).count():
         labels = components(links.union(more))
