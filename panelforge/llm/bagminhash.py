@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from .bloom import may_be_in
 from .bytewords import NOT_SPACE, mix, occurrence, pieces, windows, word_hashes
 from .components import components
-from .scratch import written
+from .scratch import own_tables, written
 from .ship import ship
 
 M, BANDS, WIDTH, AGREE = 128, 32, 5, 82
@@ -237,17 +237,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
             .filter(F.expr(f"{den} * same >= {num} * (size(x) + size(y) - same)")).select("a", "b"))
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int = 4, den: int = 5) -> DataFrame:
-    """(key, md5, class_id, n_copies, is_first): one row a row of ``docs``.
-
-    class_id is the least key of the class, n_copies the number of rows with the same text, is_first whether the
-    row's text is the one that has it (one text a class).  num / den is the similarity threshold.
-    """
-    ship()
+def _components_of_texts(docs: DataFrame, key: str, text: str, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Written tables of the rows (key, md5, ...) and of the distinct texts (md5, rep, n_copies, comp)."""
     t = F.coalesce(F.col(text), F.lit(""))
     source = docs.select(F.col(key).alias("key"), F.md5(F.encode(t, "UTF-8")).alias("md5"), t.alias("text"))
     kind = source.schema["key"].dataType.simpleString()
-    feats = written(source.mapInArrow(_features, f"key {kind}, md5 string, size long, bands array<long>, low array<long>"), "bag-bands")
+    feats = written(source.mapInArrow(_features, f"key {kind}, md5 string, size long, bands array<long>, low array<long>"), "bag-bands", keep=True)
     nodes = written(feats.groupBy("md5").agg(F.min("key").alias("rep"), F.count("*").alias("n_copies"), F.first("size").alias("size"),
                                              F.first("bands").alias("bands"), F.first("low").alias("low"))
                     .withColumn("node", F.monotonically_increasing_id()), "bag-nodes")
@@ -296,7 +291,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", nu
     if more.limit(1).count():
         labels = components(links.union(more))
     comps = nodes.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    comps = written(comps.select("md5", "rep", "n_copies", "comp"), "bag-classes")
+    return feats, written(comps.select("md5", "rep", "n_copies", "comp"), "bag-classes", keep=True)
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int = 4, den: int = 5) -> DataFrame:
+    """(key, md5, class_id, n_copies, is_first): one row a row of ``docs``.
+
+    class_id is the least key of the class, n_copies the number of rows with the same text, is_first whether the
+    row's text is the one that has it (one text a class).  num / den is the similarity threshold.
+    """
+    ship()
+    with own_tables():
+        feats, comps = _components_of_texts(docs, key, text, num, den)
     ids = comps.groupBy("comp").agg(F.min(F.struct(F.col("rep").isNull().alias("no"), "rep", "md5")).alias("first"))
     classes = comps.join(ids, "comp").select("md5", F.col("first.rep").alias("class_id"), "n_copies",
                                              (F.col("md5") == F.col("first.md5")).alias("is_first"))

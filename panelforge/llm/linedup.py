@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from .bloom import may_be_in
 from .bytewords import FOLD, NOT_SPACE, hashes, mix, pieces, spans
-from .scratch import discard, written
+from .scratch import discard, own_tables, written
 from .ship import ship
 
 MIN_WORDS, SKETCH, BLOCK = 1, 22, 16
@@ -258,7 +258,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, source: DataFrame, num: int, de
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """All columns of ``docs`` with the text cut, plus n_lines and n_removed (longs; 0 for a null text)."""
-    cut = written(duplicate_lines(docs, key, text, **how), "line-cuts").select(F.col("key").alias("__key"), F.col("th").alias("__h"), "line_nos")
+    with own_tables():
+        cut = written(duplicate_lines(docs, key, text, **how), "line-cuts", keep=True).select(F.col("key").alias("__key"), F.col("th").alias("__h"), "line_nos")
     keep = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     tagged = docs.select(*keep).withColumn("__th", F.when(F.col(text).isNotNull(), F.xxhash64(text)))
     joined = tagged.join(cut, (F.col("__th") == F.col("__h")) & F.col(key).eqNullSafe(F.col("__key")), "left")

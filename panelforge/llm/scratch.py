@@ -4,11 +4,30 @@ from __future__ import annotations
 
 import gc
 import time
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 from panelforge.session import scratch_path
 
+#: The tables of the innermost ``own_tables`` block, as (session, path).
+_OWN: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("own", default=None)
+
+
+@contextmanager
+def own_tables() -> Iterator[None]:
+    """Tables written inside are deleted at the end, also after a failure, unless they were written with ``keep``."""
+    own: list[tuple[SparkSession, str]] = []
+    token = _OWN.set(own)
+    try:
+        yield
+    finally:
+        _OWN.reset(token)
+        for spark, path in own:
+            _delete(spark, path)
+
 
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of finished steps; what a first pass finalises, a second one frees."""
@@ -18,9 +37,11 @@ def release(spark: SparkSession) -> None:
         time.sleep(pause)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
+    ``keep``: the table outlives the ``own_tables`` block that it is written in, as the caller's result reads it.
+
     Cuts lineage like checkpoint(), but columnar and compressed; every executor
     and a restarted one can read it again.  Shuffle files of earlier steps that
     nothing refers to any more are released first.
@@ -28,6 +49,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     release(spark)
     path = scratch_path(spark, name)
+    if not keep and _OWN.get() is not None:
+        _OWN.get().append((spark, path))
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -36,9 +59,12 @@ def discard(df: DataFrame) -> None:
     """Delete the folder of a ``written`` table that nothing will read again."""
     files = df.inputFiles()
     if files:
-        jvm = df.sparkSession.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
-        folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        _delete(df.sparkSession, files[0].rsplit("/", 1)[0])
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
