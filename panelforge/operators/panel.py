@@ -214,8 +214,8 @@ def wide_blocks(df: DataFrame, entity: str, time: str, fields: Sequence[str], or
               an entity; days run over the whole calendar
 
     Blocks are numbered by the entities' sorted position (``index.ordinal_index``), so no entity list
-    reaches the driver; two counts decide whether labels collide.  A (block, day) group holds at most
-    ``per_block`` cells.
+    reaches the driver; the entities are counted there, and two counts decide whether labels collide.
+    A (block, day) group holds at most ``per_block`` cells; a block, observed cells on its days, lies in one task.
     """
     keyed = df.where(F.col(entity).isNotNull() & F.col(time).isNotNull())
     labels = last_label(keyed, entity, label, time_order(keyed, time, order))
@@ -231,9 +231,16 @@ def wide_blocks(df: DataFrame, entity: str, time: str, fields: Sequence[str], or
                             F.posexplode(F.array(*map(F.lit, fields))).alias("_f", "field")).select(
         "block", (F.col("_p") * len(fields) + F.col("_f")).alias("position"), F.concat_ws("_", "_stem", "field").alias("column_name"), "entity", "field")
     firsts = first_valid_long(keyed, [entity, time], fields, order)
-    dense = densify(firsts, [entity], time, fields).join(named.select(entity, block.alias("block"), place.alias("_p")), entity)
+    # Only observed cells are dealt out, by block; a block's missing days and cells are filled in where its rows lie.
+    placed = firsts.join(named.select(entity, block.alias("block"), place.alias("_p")), entity).repartition("block")
     cells = F.array_sort(F.collect_list(F.struct(F.col("_p"), F.struct(*fields).alias("v"))))
-    blocks = dense.groupBy("block", time).agg(cells.alias("_s")).select("block", time, F.transform("_s", lambda s: s["v"]).alias("cells"))
+    days = densify(placed.groupBy("block", time).agg(cells.alias("_s")), ["block"], time, span=valued_span(keyed, time, fields))
+    none = F.struct(*[F.lit(None).cast(df.schema[f].dataType).alias(f) for f in fields])
+    size = F.least(F.lit(per_block), F.lit(named.count()) - F.col("block") * per_block).cast("int")
+    # Every observed cell is followed by the empty ones up to the next.
+    runs = F.transform("_s", lambda x, i: F.concat(F.array(x["v"]), F.array_repeat(none, F.coalesce(F.get("_s", i + 1)["_p"], size) - x["_p"] - 1)))
+    filled = F.concat(F.array_repeat(none, F.get("_s", F.lit(0))["_p"]), F.flatten(runs))
+    blocks = days.select("block", time, F.coalesce(filled, F.array_repeat(none, size)).alias("cells"))
     return manifest, blocks
 
 
@@ -246,11 +253,14 @@ def wide_block(blocks: DataFrame, manifest: DataFrame, block: int, time: str, fi
 
 def block_cells(blocks: DataFrame, manifest: DataFrame, time: str, fields: Sequence[str]) -> DataFrame:
     """The blocks' cells that hold a value, named by the manifest: ``block, position, column_name, time, value``."""
-    at = blocks.select("block", time, F.posexplode("cells").alias("_p", "_c"))
-    each = at.select("block", time, "_p", F.posexplode(F.array(*[F.col(f"_c.{_quote(f)}").cast("double") for f in fields])).alias("_f", "value"))
-    return (each.where(F.col("value").isNotNull()).withColumn("position", F.col("_p") * len(fields) + F.col("_f"))
-            .join(manifest.select("block", "position", "column_name"), ["block", "position"])
-            .select("block", "position", "column_name", time, "value"))
+    at = blocks.select("block", time, F.posexplode("cells").alias("_p", "_c")).where(any_not_null([f"_c.{_quote(f)}" for f in fields]))
+    # An entity's names are one row, joined before its values are dealt out one by one.
+    names = (manifest.groupBy("block", F.floor(F.col("position") / len(fields)).cast("int").alias("_p"))
+             .agg(F.array_sort(F.collect_list(F.struct("position", "column_name"))).alias("_n")))
+    values = F.array(*[F.col(f"_c.{_quote(f)}").cast("double") for f in fields])
+    each = (at.join(names, ["block", "_p"]).select("block", time, values.alias("_v"), F.explode("_n").alias("_n"))
+            .withColumn("value", F.get("_v", (F.col("_n.position") % len(fields)).cast("int"))).where(F.col("value").isNotNull()))
+    return each.select("block", "_n.position", "_n.column_name", time, "value")
 
 
 # ----------------------------------------------------------------------- densify

@@ -49,3 +49,20 @@ def test_dense_panel_joins_and_sorts_no_calendar_rows(spark):
     got = {(r.e, r.t): (r.label, r.v) for r in out.collect()}
     days = [day(n) for n in range(32)]
     assert got == {(e, t): (f"T{e}" if e < 9 else "unknown", seen.get((e, t))) for e in (0, 1, 2, 3, 9) for t in days}
+
+
+def test_blocks_deal_out_observed_cells_only(spark):
+    """Blocks equal a plain loop, also where an entity, a day or a block's end has no value; no grid row is joined or sorted."""
+    rows = [(e, f"T{e % 3}", day(11 * i + e), float(i) if i else None, float(e), 10 * e + i) for e in range(7) for i in range(3)]
+    rows += [(20, "Z", day(500), None, None, 0)]
+    df = spark.createDataFrame(rows, "e long, label string, t date, p double, v double, ord long")
+    manifest, blocks = panel.wide_blocks(df, "e", "t", ["p", "v"], "ord", "label", per_block=3, prefix_entity=True)
+    seen = {(e, t): (p, v) for e, _, t, p, v, _ in rows}
+    entities = [*range(7), 20]
+    got = {(r.block, r.t): [tuple(c) for c in r.cells] for r in blocks.collect()}
+    days = [day(n) for n in range(29)]
+    assert got == {(b, t): [seen.get((e, t), (None, None)) for e in entities[3 * b: 3 * b + 3]] for b in range(3) for t in days}
+    text = plan(blocks)
+    assert not any(x in text[:text.index("Generate")] for x in ("Join", "Sort", "Exchange"))
+    cells = panel.block_cells(blocks, manifest.where("field = 'v'"), "t", ["p", "v"]).collect()
+    assert {(r.column_name, r.t, r.value) for r in cells} == {(f"{e}_{x}_v", t, v) for e, x, t, _, v, _ in rows if v is not None}
