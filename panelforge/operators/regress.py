@@ -142,6 +142,15 @@ def forecast_ar(context: DataFrame, horizon: int, cols: Columns = Columns(), lev
 # ------------------------------------------------------------- many covariates
 
 
+#: Windows and coefficients of up to this many rows are sent to all tasks, so that the cells stay where they are.
+BROADCAST_ROWS = 1_000_000
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """``df``, broadcast where it has few rows; counting them reads it once more."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def cells_of(df: DataFrame, covariates: Sequence[str], cols: Columns = Columns()) -> DataFrame:
     """Wide covariates as long cells ``id, time, column, value``; missing values give no row."""
     named = F.map_from_arrays(F.array(*[F.lit(c) for c in covariates]), F.array(*[F.col(f"`{c}`").cast("double") for c in covariates]))
@@ -158,17 +167,20 @@ def ridge_coefficients(target: DataFrame, cells: DataFrame, cols: Columns = Colu
     in a task; it has one solution however few the days are.
     """
     i, t, y = cols.id, cols.time, cols.target
+    ensure_checkpoint_dir(target.sparkSession)
     my = target.where(F.col(y).isNotNull()).groupBy(i).agg(F.avg(y).alias("_my"), F.count(y).cast("double").alias("_ny"))
     centred = target.where(F.col(y).isNotNull()).join(my, i).select(i, t, (F.col(y) - F.col("_my")).alias("_yc"))
-    both = cells.join(centred, [i, t], "left")
+    both = cells.join(_small(centred), [i, t], "left")
     stats = both.groupBy(i, "column").agg(F.avg("value").alias("_mean"), F.stddev_pop("value").alias("_sd"),
                                           F.sum(F.col("value") * F.col("_yc")).alias("_vy"),
                                           F.sum(F.when(F.col("_yc").isNotNull(), F.col("_yc"))).alias("_sy"))
     cov = ((F.col("_vy") - F.col("_mean") * F.col("_sy")) / F.col("_sd")).alias("_c")
     moving = stats.where((F.col("_sd") > 0) & F.col("_vy").isNotNull()).select(i, "column", "_mean", "_sd", cov)
     best = Window.partitionBy(i).orderBy(F.abs("_c").desc(), "column")
-    chosen = moving.withColumn("_r", F.row_number().over(best) - 1).where(F.col("_r") < screen)
-    z = (both.where(F.col("_yc").isNotNull()).join(chosen, [i, "column"])
+    # Bounded by the row number itself: Spark then keeps ``screen`` rows a series and task before they meet.
+    chosen = (moving.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= screen)
+              .withColumn("_r", F.col("_r") - 1).checkpoint(eager=True))
+    z = (both.where(F.col("_yc").isNotNull()).join(_small(chosen), [i, "column"])
          .select(i, t, "_r", ((F.col("value") - F.col("_mean")) / F.col("_sd")).alias("_z")))
     # At most ``screen`` cells a day; their products add up to Z'Z.
     day = z.groupBy(i, t).agg(F.collect_list(F.struct("_r", "_z")).alias("_d"))
@@ -203,7 +215,7 @@ def ridge_coefficients(target: DataFrame, cells: DataFrame, cols: Columns = Colu
 def _ridge_points(days: DataFrame, cells: DataFrame, coef: DataFrame, cols: Columns) -> DataFrame:
     """Fitted value of every row of ``days``: the mean plus what the day's cells add."""
     i, t = cols.id, cols.time
-    add = (cells.join(coef, [i, "column"]).groupBy(i, t)
+    add = (cells.join(_small(coef), [i, "column"]).groupBy(i, t)
            .agg(F.sum(F.col("_b") * (F.col("value") - F.col("_mean")) / F.col("_sd")).alias("_add")))
     mean = coef.groupBy(i).agg(F.max("_my").alias("_my"))
     return days.join(mean, i, "left").join(add, [i, t], "left").withColumn("predictions", F.col("_my") + F.coalesce("_add", F.lit(0.0)))
@@ -225,8 +237,8 @@ def forecast_ridge(context: DataFrame, future: DataFrame, covariates: Sequence[s
             raise ValueError("no covariates shared by context and future frames")
         before, after = cells_of(context, xs, cols), cells_of(future, xs, cols)
     else:
-        before = cells.join(context.select(i, t), [i, t], "left_semi")
-        after = cells.join(future.select(i, t), [i, t], "left_semi")
+        before = cells.join(_small(context.select(i, t)), [i, t], "left_semi")
+        after = cells.join(_small(future.select(i, t)), [i, t], "left_semi")
     future = future.select(i, t)
     if horizon is not None:
         steps = F.count(F.lit(1)).over(Window.partitionBy(i))

@@ -19,6 +19,7 @@ from ..operators.regress import forecast_ar, forecast_direct, forecast_ridge
 from ..operators.score import combine, score, score_long
 from ..sources.calendars import holiday_calendar
 from ..functions.exprs import stable_round
+from ..session import ensure_checkpoint_dir
 from ..sources.files import write_ordered
 from .specs import DEFAULT_VARIANTS, ForecastSpec, QuerySpec, SplitSpec
 
@@ -107,14 +108,18 @@ def apply_split(df: DataFrame, spec: SplitSpec, time: str = "timestamp", value:
 
 
 def query_cells(long_df: DataFrame, spec: QuerySpec, fields: Sequence[str] = clean.PANEL_FIELDS,
-                order_col: str = "ord", entity: str = "permco", time: str = "timestamp") -> tuple[DataFrame, str]:
+                order_col: str = "ord", entity: str = "permco", time: str = "timestamp", **columns: object) -> tuple[DataFrame, str]:
     """P16/R1 in long form: ``timestamp, column, value`` of the spec's panel, and the target's column name.
 
     First valid values per entity and day under the names of the wide panel, ``<entity>_<label>_<field>``.
     The spec's entities (by key or label; all without covariates) and variables are chosen on the long
     rows.  Only the target's own name comes to the driver.
+
+    One row per entity and day is written to the shared folder, an entity's rows together, so that sums per
+    column combine where they are read; names and cells arise at every read.  ``columns`` are constants to add.
     """
-    labels = panel.last_label(long_df, entity, "ticker", panel.time_order(long_df, time, order_col))
+    ensure_checkpoint_dir(long_df.sparkSession)
+    labels = panel.last_label(long_df, entity, "ticker", panel.time_order(long_df, time, order_col)).checkpoint(eager=True)
     key = F.col(entity).cast("string")
     names = lambda wanted: key.isin(list(wanted)) | F.col("label").isin(list(wanted))
     target = labels.where(names([spec.target])).select(entity, "label").limit(2).collect()
@@ -126,9 +131,11 @@ def query_cells(long_df: DataFrame, spec: QuerySpec, fields: Sequence[str] = cle
     firsts = panel.first_valid_long(long_df.where(F.col(time).isNotNull()), [entity, time], fields, order_col)
     chosen = [f for f in fields if not spec.variables or f in spec.variables or f == spec.target_variable]
     values = F.map_from_arrays(F.array(*[F.lit(f) for f in chosen]), F.array(*[F.col(f).cast("double") for f in chosen]))
-    cells = (firsts.join(labels, entity).select(entity, "label", time, F.explode(values).alias("_field", "value"))
-             .where(F.col("value").isNotNull()))
-    return cells.select(time, F.concat_ws("_", entity, "label", "_field").alias("column"), "value"), target_column
+    # The constants are written too: a literal would be folded out of every join key and leave nested loops.
+    rows = (firsts.repartition(entity).join(labels, entity).select(entity, "label", time, *chosen)
+            .withColumns({c: F.lit(v) for c, v in columns.items()}).checkpoint(eager=True))
+    cells = rows.select(*columns, entity, "label", time, F.explode(values).alias("_field", "value")).where(F.col("value").isNotNull())
+    return cells.select(time, F.concat_ws("_", entity, "label", "_field").alias("column"), "value", *columns), target_column
 
 
 def forecast_frames(cells: DataFrame, target_column: str, cols: Columns = Columns()) -> tuple[DataFrame, DataFrame]:
@@ -143,11 +150,9 @@ def run_query(long_df: DataFrame, query: QuerySpec, split: SplitSpec, specs: Seq
               cols: Columns = Columns(), series_id: str = "1") -> tuple[DataFrame, DataFrame]:
     """(forecasts of every variant, truth) of a query, split and model spec over one panel.
 
-    The panel's cells are written once to the shared folder; every variant reads them there.
+    The panel's rows are written once to the shared folder; every variant reads their cells there.
     """
-    cells, target = query_cells(long_df, query)
-    # The id is written too: a literal would be folded out of every join key and leave nested loops.
-    cells = cells.withColumn(cols.id, F.lit(series_id)).checkpoint(eager=True)
+    cells, target = query_cells(long_df, query, **{cols.id: series_id})
     frame, others = forecast_frames(cells, target, cols)
     frame = forecast_input(frame, cols).checkpoint(eager=True)
     context = panel.select_window(frame, split.windows["context"], cols.time)

@@ -6,7 +6,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from panelforge.operators import panel
+from panelforge.operators import panel, regress
+from panelforge.plans.pipelines import query_cells
+from panelforge.plans.specs import QuerySpec
 
 
 def day(n: int) -> dt.date:
@@ -66,3 +68,36 @@ def test_blocks_deal_out_observed_cells_only(spark):
     assert not any(x in text[:text.index("Generate")] for x in ("Join", "Sort", "Exchange"))
     cells = panel.block_cells(blocks, manifest.where("field = 'v'"), "t", ["p", "v"]).collect()
     assert {(r.column_name, r.t, r.value) for r in cells} == {(f"{e}_{x}_v", t, v) for e, x, t, _, v, _ in rows if v is not None}
+
+
+def test_query_cells_keep_an_entity_together_and_unexploded(spark):
+    rows = [(1, e, f"T{e}", day(i), float(i) if i % 3 else None, float(e), 100 * e + i) for e in range(9) for i in range(12)]
+    df = spark.createDataFrame(rows, "id int, permco long, ticker string, timestamp date, p double, v double, ord long")
+    cells, target = query_cells(df, QuerySpec(target="T4", target_variable="v"), ["p", "v"], sid="s")
+    text = plan(cells)
+    assert "Generate" in text and "Scan ExistingRDD" in text and "Exchange" not in text  # written before the cells arise
+    assert target == "4_T4_v" and {r[0] for r in cells.select("sid").distinct().collect()} == {"s"}
+    want = {(f"{e}_T{e}_{f}", t, x) for _, e, _, t, p, v, _ in rows for f, x in (("p", p), ("v", v)) if x is not None}
+    got = cells.withColumn("part", F.spark_partition_id()).collect()
+    assert {(r["column"], r.timestamp, r.value) for r in got} == want and len(got) == len(want)
+    assert len({(r["column"].split("_")[0], r.part) for r in got}) == 9
+
+
+def test_ridge_sends_small_windows_to_the_cells(spark, monkeypatch):
+    rng = random.Random(5)
+    y = [(s, day(t), rng.random()) for s in "ab" for t in range(30)]
+    cells = spark.createDataFrame([(s, day(t), f"c{j}", rng.random()) for s in "ab" for t in range(30) for j in range(9) if rng.random() < 0.8],
+                                  "id string, timestamp date, column string, value double")
+    frame = spark.createDataFrame(y, "id string, timestamp date, y double")
+    ctx, fut = frame.where(F.col("timestamp") < day(25)), frame.where(F.col("timestamp") >= day(25)).drop("y")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {}
+        for n in (regress.BROADCAST_ROWS, 0):
+            monkeypatch.setattr(regress, "BROADCAST_ROWS", n)
+            out = regress.forecast_ridge(ctx, fut, screen=4, cells=cells, horizon=5)
+            assert ("BroadcastHashJoin" in plan(out)) == (n > 0)
+            got[n] = sorted((r.id, r.timestamp, round(r.predictions, 9), round(r.q10, 9)) for r in out.collect())
+        assert len(got[0]) == 10 and len(set(map(str, got.values()))) == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
