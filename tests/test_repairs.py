@@ -113,3 +113,11 @@ def test_checkpoint_folder_must_be_named_on_a_cluster():
         conf = {}
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(Session())
+
+
+def test_wide_plan_has_no_expression_a_column(spark):
+    df = spark.range(2000).selectExpr("id AS e", "DATE'2024-01-01' AS timestamp", "CAST(id AS double) AS v", "CAST(NULL AS long) AS w", "'t' AS ticker", "id AS ord")
+    wide = panel.widen(df, "e", "timestamp", ["v", "w"], "ord", "ticker")
+    assert wide._jdf.queryExecution().optimizedPlan().nodeName() == "MapInArrow"  # a Project holds an expression a column
+    row = wide.first()
+    assert len(row) == 4002 and row["1999_t_v"] == 1999.0 and row["1999_t_w"] is None and wide.schema["7_t_w"].dataType.simpleString() == "bigint"
