@@ -21,7 +21,11 @@ its equals match it, and they are its node already.
 
 Large groups of similar lines: every node is first checked against the earliest node
 filed under each of its prefix words; only nodes that no such leader removes go on to
-the join of all others, so a group of copies costs linear work.
+the join of all others, so a group of copies costs linear work.  There a node first checks the pairs whose masks
+differ least, one a round, and only what ``ROUNDS`` of these leave checks all its pairs.
+
+The prefix words are dealt out packed: a task sends a bucket of words one row with an array a field, and the pairs
+of a bucket are found on sorted arrays, a word's nodes by size.
 
 Words are compared by 64-bit hash, in the word join by 32 bits of it (more candidates,
 same result).  Defined results: null texts stay null and have no line; rows of the same
@@ -34,7 +38,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bloom import may_be_in
@@ -42,11 +46,15 @@ from .bytewords import FOLD, NOT_SPACE, hashes, mix, pieces, spans
 from .scratch import discard, own_tables, written
 from .ship import ship
 
-MIN_WORDS, SKETCH, BLOCK = 1, 22, 16
+MIN_WORDS, SKETCH, BLOCK = 1, 22, 12
 #: Bits of the mask, and of the second one, which lines of more than NARROW words have.
 BITS, WIDE, NARROW = 96, 512, 120
-#: Sizes and places from here on are not told apart in the word table: such rows skip the filters, not the check.
-LONG = 32_767
+#: A node's place under one of its prefix words, as dealt out; mask2 has the mask's other 32 bits.
+POSTING = {"word": "<u4", "id": "<i8", "n": "<u4", "place": "<u4", "mask": "<u8", "mask2": "<u4", "asks": "u1"}
+#: About so many postings are packed, or pairs compared, at once; a bucket has about so many at most, unless a word has more.
+POSTINGS = 1 << 20
+#: Rounds in which a node checks its likeliest pair alone.
+ROUNDS = 2
 #: Up to this many node ids (8 bytes each) are broadcast.
 BROADCAST_ROWS = 1_000_000
 
@@ -95,47 +103,127 @@ def word_ranks(docs: DataFrame, text: str) -> np.ndarray:
         for batch in batches:
             for _, _, data, offs in pieces(batch.column(0)):
                 s, e, _ = spans(data, offs, NOT_SPACE)
-                u, n = np.unique(hashes(FOLD[data], s, e), return_counts=True)
-                np.add.at(total, (u >> np.uint64(64 - SKETCH)).astype(np.int64), n)
+                np.add.at(total, (hashes(FOLD[data], s, e) >> np.uint64(64 - SKETCH)).astype(np.int64), 1)
         at = np.flatnonzero(total > 1)
+        blocks, first = np.unique(at >> BLOCK, return_index=True)
         if len(at):
-            yield pa.RecordBatch.from_arrays([pa.array(at >> BLOCK, pa.int32()), pa.array(at & ((1 << BLOCK) - 1), pa.int32()), pa.array(total[at])],
-                                             names=["block", "at", "n"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(blocks, pa.int32()), pa.array([v.astype("<u4").tobytes() for v in np.split(at & ((1 << BLOCK) - 1), first[1:])], pa.binary()),
+                 pa.array([v.astype("<i8").tobytes() for v in np.split(total[at], first[1:])], pa.binary())], names=["block", "at", "n"])
 
     def ranks(part: pa.Table) -> pa.Table:
-        out = np.zeros(1 << BLOCK, np.uint8)
-        out[part["at"].to_numpy()] = np.minimum(255, 8 * np.log2(part["n"].to_numpy())).astype(np.uint8)
+        total = np.zeros(1 << BLOCK, np.int64)
+        for at, n in zip(part["at"], part["n"], strict=True):
+            total[np.frombuffer(at.as_py(), "<u4")] += np.frombuffer(n.as_py(), "<i8")
+        out = np.minimum(255, 8 * np.log2(np.maximum(total, 1))).astype(np.uint8)
         return pa.table({"block": part["block"][:1], "ranks": pa.array([out.tobytes()], pa.binary())})
 
-    counts = docs.select(text).mapInArrow(count, "block int, at int, n long").groupBy("block", "at").agg(F.sum("n").alias("n"))
+    counts = docs.select(text).mapInArrow(count, "block int, at binary, n binary")
     table = np.zeros((1 << (SKETCH - BLOCK), 1 << BLOCK), np.uint8)
     for row in counts.groupBy("block").applyInArrow(ranks, "block int, ranks binary").collect():
         table[row["block"]] = np.frombuffer(row["ranks"], np.uint8)
     return table.ravel()
 
 
-def _n(x: str) -> str:
-    """The size in a posting's np: the mask's other 32 bits, 16 bits of size, 16 bits of place."""
-    return f"(shiftright({x}.np, 16) & 65535)"
-
+def _packed(nodes: DataFrame, buckets: int) -> DataFrame:
+    """The prefix words of ``nodes`` (id, n, mask, mask2, asks, prefix) in rows of (bucket, one binary a field of ``POSTING``): a word lies in one bucket."""
+    def pack(held):
+        word, *rest = (np.concatenate(c) for c in zip(*held, strict=True))
+        bucket = word % np.uint32(buckets)
+        order = np.argsort((bucket.astype(np.uint64) << np.uint64(32)) | word, kind="stable")
+        bucket = bucket[order]
+        cut = np.concatenate(([0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)]))
+        fields = [c[order].astype(kind) for c, kind in zip((word, *rest), POSTING.values(), strict=True)]
+        # Bytes of one significance together: the high ones of ids, sizes and places are equal and compress away.
+        return pa.RecordBatch.from_arrays(
+            [pa.array(bucket[cut[:-1]], pa.int32())] +
+            [pa.array([f[lo:hi].view(np.uint8).reshape(hi - lo, -1).T.tobytes() for lo, hi in zip(cut[:-1], cut[1:], strict=True)], pa.binary()) for f in fields],
+            names=["bucket", *POSTING])
 
-def _candidates(num: int, den: int, a: str, b: str) -> str:
-    na, nb, pa_, pb = _n(a), _n(b), f"({a}.np & 65535)", f"({b}.np & 65535)"
-    both = f"({na} + {nb})"
-    differ = f"(bit_count({a}.mask ^ {b}.mask) + bit_count(shiftrightunsigned({a}.np ^ {b}.np, 32)))"
-    return (f"(greatest({na}, {nb}) >= {LONG} OR ({den} * least({na}, {nb}) >= {num} * greatest({na}, {nb}) "
-            f"AND {num + den} * least({na} - {pa_}, {nb} - {pb}) >= {num} * {both} "
-            f"AND {num + den} * ({both} - {differ}) >= {2 * num} * {both}))")
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            node, n, mask, mask2, asks = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            count = np.diff(np.asarray(batch.column(5).offsets))
+            if count.any():
+                place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                held.append((batch.column(5).flatten().to_numpy().view(np.uint32), np.repeat(node, count), np.repeat(n, count), place,
+                             np.repeat(mask.view(np.uint64), count), np.repeat(mask2.view(np.uint64), count), np.repeat(asks, count)))
+                size += len(place)
+            if size >= POSTINGS:
+                yield pack(held)
+                held, size = [], 0
+        if held:
+            yield pack(held)
+
+    kinds = ", ".join(f"{f} binary" for f in POSTING)
+    return nodes.select("id", "n", "mask", "mask2", "asks", "prefix").mapInArrow(run, f"bucket int, {kinds}")
+
+
+def _unpacked(part: pa.Table) -> dict[str, np.ndarray]:
+    def field(name, kind):
+        width = np.dtype(kind).itemsize
+        return np.concatenate([np.ascontiguousarray(np.frombuffer(v.as_py(), np.uint8).reshape(width, -1).T).view(kind).ravel() for v in part[name]])
+    return {name: field(name, kind) for name, kind in POSTING.items()}
+
+
+def _pairs(packed: DataFrame, num: int, den: int, first: bool) -> DataFrame:
+    """The distinct candidates (a, b, far, differ), b before a, that meet in a word.
+
+    ``first``: every node with the word's earliest one; else those that ask with all earlier ones but that, of sizes that fit.
+    differ: bits in which the masks differ.
+    """
+    def candidates(p, x, y):
+        nx, ny = p["n"][x].astype(np.int64), p["n"][y].astype(np.int64)
+        both = nx + ny
+        ok = (den * np.minimum(nx, ny) >= num * np.maximum(nx, ny)) & ((num + den) * np.minimum(nx - p["place"][x], ny - p["place"][y]) >= num * both)
+        x, y, both = x[ok], y[ok], both[ok]
+        differ = (np.bitwise_count(p["mask"][x] ^ p["mask"][y]) + np.bitwise_count(p["mask2"][x] ^ p["mask2"][y])).astype(np.int64)
+        ok = (num + den) * (both - differ) >= 2 * num * both
+        x, y = x[ok], y[ok]
+        return p["id"][x], p["id"][y], np.minimum(p["n"][x], p["n"][y]) > NARROW, differ[ok]
+
+    def run(part: pa.Table) -> pa.Table:
+        p = _unpacked(part)
+        key = (p["word"].astype(np.uint64) << np.uint64(32)) | p["n"]
+        order = np.lexsort((p["id"], key))
+        p, key = {k: v[order] for k, v in p.items()}, key[order]
+        at = np.flatnonzero(np.concatenate(([True], p["word"][1:] != p["word"][:-1])))
+        size = np.diff(np.append(at, len(key)))
+        lead = np.repeat(np.minimum.reduceat(p["id"], at), size)
+        mine = p["id"] == lead
+        found = []
+        if first:
+            x = np.flatnonzero(~mine)
+            found.append(candidates(p, x, np.repeat(np.flatnonzero(mine), size)[x]))
+        else:
+            q = np.flatnonzero(~mine & p["asks"].astype(bool))
+            n, word = p["n"][q].astype(np.int64), p["word"][q].astype(np.uint64) << np.uint64(32)
+            lo = np.searchsorted(key, word | (-(-num * n // den)).astype(np.uint64))
+            hi = np.searchsorted(key, word | np.minimum(den * n // num, (1 << 32) - 1).astype(np.uint64), side="right")
+            upto, s = np.cumsum(hi - lo), 0
+            while s < len(q):
+                e = max(s + 1, int(np.searchsorted(upto, (upto[s - 1] if s else 0) + POSTINGS, side="right")))
+                k = hi[s:e] - lo[s:e]
+                x = np.repeat(q[s:e], k)
+                y = np.arange(len(x)) + np.repeat(lo[s:e] - (np.cumsum(k) - k), k)
+                ok = (p["id"][y] < p["id"][x]) & ~mine[y]
+                found.append(candidates(p, x[ok], y[ok]))
+                s = e
+        a, b, far, differ = (np.concatenate(c) for c in zip(*found, strict=True)) if found else [np.zeros(0, np.int64)] * 4
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "far": pa.array(far.astype(bool)), "differ": pa.array(differ, pa.int32())})
+
+    return packed.groupBy("bucket").applyInArrow(run, "a long, b long, far boolean, differ int").distinct()
 
 
 def _wide(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b, far) that the wide masks of long lines allow; far: both are long."""
+    """The pairs (a, b, differ) of (a, b, far, differ) that the wide masks of long lines allow; far: both are long."""
     own = sets.filter("wide IS NOT NULL").select("id", "n", "wide")
     bits = " + ".join(f"bit_count(x.wide[{i}] ^ y.wide[{i}])" for i in range(WIDE // 64))
     far = (pairs.filter("far").join(own.select(F.col("id").alias("a"), F.struct("n", "wide").alias("x")), "a")
            .join(own.select(F.col("id").alias("b"), F.struct("n", "wide").alias("y")), "b")
-           .filter(f"{num + den} * (x.n + y.n - ({bits})) >= {2 * num} * (x.n + y.n)").select("a", "b"))
-    return far.union(pairs.filter("NOT far").select("a", "b"))
+           .filter(f"{num + den} * (x.n + y.n - ({bits})) >= {2 * num} * (x.n + y.n)").select("a", "b", "differ"))
+    return far.union(pairs.filter("NOT far").select("a", "b", "differ"))
 
 
 def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int = 4, den: int = 5,
@@ -193,38 +281,33 @@ def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", nu
                    .withColumn("id", F.monotonically_increasing_id()), "line-nodes")
     every = written(whole.select("key", "th", "no"), "line-places")
     discard(whole)
-    # Filed by word.  A word of this table is rare in proportion to the corpus, as the frequent ones come last in a
-    # node's order.  Each row gets the word's earliest node, if it may be similar; on to the join of all others go
-    # the rows that are not the word's earliest, where there are two of them.
-    postings = sets.select("id", F.posexplode("prefix").alias("pos", "word"), "n", "mask", "mask2")
-    postings = postings.select("word", "id", F.struct(F.expr(f"shiftleft(mask2, 32) | (least(n, {LONG}) * 65536 + least(pos, {LONG}))").alias("np"), "mask").alias("x"))
-    in_word = Window.partitionBy("word").orderBy("id")
-    filed = (postings.withColumns({"lid": F.first("id").over(in_word), "y": F.first("x").over(in_word),
-                                   "place": F.row_number().over(in_word), "next": F.lead("id").over(in_word)})
-             .select("word", "id", "x.np", "x.mask", F.expr(f"least({_n('x')}, {_n('y')}) > {NARROW}").alias("far"), F.expr(f"CASE WHEN id <> lid AND {_candidates(num, den, 'x', 'y')} THEN lid END").alias("lid"),
-                     F.expr("place > 2 OR (place = 2 AND next IS NOT NULL)").alias("more")))
-    filed = written(filed.filter("lid IS NOT NULL OR more"), "line-postings")
-    first = written(filed.filter("lid IS NOT NULL").select(F.col("id").alias("a"), F.col("lid").alias("b"), "far").distinct(), "line-pairs")
+    # Dealt out by word, packed.  Each node with the word's earliest, if it may be similar; then those that no such one
+    # removes with all others.
+    total = sets.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    buckets = max(parts, -(-total // POSTINGS))
+    first = written(_pairs(_packed(sets.withColumn("asks", F.lit(True)), buckets), num, den, True), "line-pairs")
     first = written(_wide(first, sets, num, den), "line-pairs")
-    gone = written(_verified(first, sets, source, num, den).select("a").distinct(), "line-gone")
-    # Both sides read one exchange; the removed nodes are sent to all only if few enough.
-    by_word = filed.filter("more").select("word", "id", "np", "mask").repartition(parts, "word")
+    gone = written(_similar(first, _words(first, sets, source), num, den).select("a").distinct(), "line-gone")
     few = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
-    x = by_word.join(few.withColumnRenamed("a", "id"), "id", "left_anti").select("word", F.struct("id", "np", "mask").alias("x"))
-    y = by_word.select("word", F.struct("id", "np", "mask").alias("y"))
-    rest = (x.join(y, "word").filter("y.id < x.id AND " + _candidates(num, den, "x", "y"))
-            .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.expr(f"least({_n('x')}, {_n('y')}) > {NARROW}").alias("far")).distinct())
-    rest = written(rest, "line-pairs")
-    discard(filed)
-    gone = gone.union(_verified(written(_wide(rest, sets, num, den), "line-pairs"), sets, source, num, den).select("a").distinct())
+    asks = sets.join(few.select(F.col("a").alias("id"), F.lit(True).alias("out")), "id", "left").withColumn("asks", F.col("out").isNull())
+    rest = written(_pairs(_packed(asks, buckets), num, den, False), "line-pairs")
+    words = _words(rest, sets, source)
+    # The likeliest of a node's pairs go first; those that they do not remove check the others.
+    for _ in range(ROUNDS):
+        best = rest.groupBy("a").agg(F.min_by("b", F.struct("differ", "b")).alias("b"))
+        found = written(_similar(best, words, num, den).select("a"), "line-gone")
+        gone = gone.union(found)
+        rest = written(rest.join(found, "a", "left_anti").join(best, ["a", "b"], "left_anti"), "line-pairs")
+    rest = written(_wide(rest, sets, num, den), "line-pairs")
+    gone = gone.union(_similar(rest, words, num, den).select("a").distinct())
     kept = sets.select("id", "key", "th", "no").join(gone.withColumnRenamed("a", "id"), "id", "left_anti")
     removed = every.select("key", "th", "no").alias("e").join(
         kept.alias("k"), F.expr("e.key <=> k.key AND e.th = k.th AND e.no = k.no"), "left_anti")
     return removed.groupBy("key", "th").agg(F.collect_set("no").alias("line_nos"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, source: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose whole sets are similar."""
+def _words(pairs: DataFrame, sets: DataFrame, source: DataFrame) -> DataFrame:
+    """(id, words): the whole sets of the nodes of ``pairs``."""
     ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
     wanted = written(sets.select("id", "key", "th", "no").join(ends, "id", "left_semi").groupBy("key", "th")
                      .agg(F.collect_list(F.struct("id", "no")).alias("want")), "line-wanted")
@@ -249,7 +332,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, source: DataFrame, num: int, de
                     pa.array(cut), pa.array(np.concatenate(words) if words else np.zeros(0, np.int64)))], names=["id", "words"])
 
     whole = texts.mapInArrow(run, "id long, words array<long>").dropDuplicates(["id"])
-    whole = written(whole, "line-words")
+    return written(whole, "line-words")
+
+
+def _similar(pairs: DataFrame, whole: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose whole sets are similar."""
     one = whole.select(F.col("id").alias("a"), F.col("words").alias("x"))
     two = whole.select(F.col("id").alias("b"), F.col("words").alias("y"))
     return (pairs.join(one, "a").join(two, "b").withColumn("same", F.size(F.array_intersect("x", "y")))

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import random
 
-from panelforge.llm import bagminhash
+import pyarrow as pa
+
+from panelforge.llm import bagminhash, linedup
 
 from . import brute
 
@@ -46,3 +48,33 @@ def test_prefix_pairs_hold_every_similar_pair_and_no_square(spark):
     similar = {(a, b) for a, b in every if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
     assert similar and similar <= got
     assert len(got) < len(every) / 3
+
+
+def test_lines_of_a_loose_group_match_brute_force_and_no_row_a_word_is_written(spark, monkeypatch):
+    rows = list(enumerate(loose_texts(200, 60, (1, 9), 5) + loose_texts(60, 200, (5, 30), 6) + loose_texts(30, 5, (0, 1), 7)))
+    sizes, keep = [], linedup.written
+
+    def spy(df, name, **how):
+        out = keep(df, name, **how)
+        sizes.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(linedup, "written", spy)
+    out = {r.doc_id: r.n_removed for r in linedup.dedup_lines(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    want = brute.removed_lines(rows, lambda r: r[0])
+    assert out == {k: len(want.get((k, t), ())) for k, t in rows} and 20 < sum(out.values()) < len(rows)
+    assert max(n for name, n in sizes if name != "line-pairs") <= len(rows)
+    # The likeliest pairs go first, so few are left at the end.
+    pairs = [n for name, n in sizes if name == "line-pairs"]
+    assert pairs[-1] < max(pairs)
+
+
+def test_packed_postings_come_back_whole(spark):
+    rows = [(i << 33, 40 + i, -1 - i, i * 7, i % 2 == 0, [i - 3, -5, 2 ** 31 - 1]) for i in range(20)] + [(7, 2, 0, 0, True, [])]
+    nodes = spark.createDataFrame(rows, "id long, n int, mask long, mask2 long, asks boolean, prefix array<int>").repartition(3)
+    got = []
+    for r in linedup._packed(nodes, 4).toArrow().to_batches():
+        p = linedup._unpacked(pa.Table.from_batches([r]))
+        got += zip(*(p[k].tolist() for k in linedup.POSTING), strict=True)
+    want = [(w % 2 ** 32, i, n, k, m % 2 ** 64, m2, int(a)) for i, n, m, m2, a, words in rows for k, w in enumerate(words)]
+    assert sorted(got) == sorted(want)
