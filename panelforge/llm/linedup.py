@@ -50,9 +50,9 @@ MIN_WORDS, SKETCH, BLOCK = 1, 22, 12
 #: Bits of the mask, and of the second one, which lines of more than NARROW words have.
 BITS, WIDE, NARROW = 96, 512, 120
 #: A node's place under one of its prefix words, as dealt out; mask2 has the mask's other 32 bits.
-POSTING = {"word": "<u4", "id": "<i8", "n": "<u4", "place": "<u4", "mask": "<u8", "mask2": "<u4", "asks": "u1"}
+POSTING = {"word": "<u4", "place": "<u4", "id": "<i8", "n": "<u4", "mask": "<u8", "mask2": "<u4", "asks": "u1"}
 #: About so many postings are packed, or pairs compared, at once; a bucket has about so many at most, unless a word has more.
-POSTINGS = 1 << 20
+POSTINGS = 1 << 18
 #: Rounds in which a node checks its likeliest pair alone.
 ROUNDS = 2
 #: Up to this many node ids (8 bytes each) are broadcast.
@@ -133,7 +133,7 @@ def _packed(nodes: DataFrame, buckets: int) -> DataFrame:
         order = np.argsort((bucket.astype(np.uint64) << np.uint64(32)) | word, kind="stable")
         bucket = bucket[order]
         cut = np.concatenate(([0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)]))
-        fields = [c[order].astype(kind) for c, kind in zip((word, *rest), POSTING.values(), strict=True)]
+        fields = [c[order] for c in (word, *rest)]
         # Bytes of one significance together: the high ones of ids, sizes and places are equal and compress away.
         return pa.RecordBatch.from_arrays(
             [pa.array(bucket[cut[:-1]], pa.int32())] +
@@ -147,8 +147,8 @@ def _packed(nodes: DataFrame, buckets: int) -> DataFrame:
             count = np.diff(np.asarray(batch.column(5).offsets))
             if count.any():
                 place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                held.append((batch.column(5).flatten().to_numpy().view(np.uint32), np.repeat(node, count), np.repeat(n, count), place,
-                             np.repeat(mask.view(np.uint64), count), np.repeat(mask2.view(np.uint64), count), np.repeat(asks, count)))
+                held.append((batch.column(5).flatten().to_numpy().view(np.uint32), place.astype(POSTING["place"]),
+                             *[np.repeat(v.astype(POSTING[name]), count) for name, v in (("id", node), ("n", n), ("mask", mask), ("mask2", mask2), ("asks", asks))]))
                 size += len(place)
             if size >= POSTINGS:
                 yield pack(held)

@@ -76,5 +76,5 @@ def test_packed_postings_come_back_whole(spark):
     for r in linedup._packed(nodes, 4).toArrow().to_batches():
         p = linedup._unpacked(pa.Table.from_batches([r]))
         got += zip(*(p[k].tolist() for k in linedup.POSTING), strict=True)
-    want = [(w % 2 ** 32, i, n, k, m % 2 ** 64, m2, int(a)) for i, n, m, m2, a, words in rows for k, w in enumerate(words)]
+    want = [(w % 2 ** 32, k, i, n, m % 2 ** 64, m2, int(a)) for i, n, m, m2, a, words in rows for k, w in enumerate(words)]
     assert sorted(got) == sorted(want)
