@@ -40,6 +40,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _TABLE = mix(np.arange(1, 257, dtype=np.uint64) * _R)
+_FOLDED = _TABLE[FOLD]
 
 
 def _powers(size: int) -> list[np.ndarray]:
@@ -78,37 +79,37 @@ def pieces(column: pa.Array | pa.ChunkedArray, limit: int = PIECE) -> Iterator[t
         lo = hi
 
 
-def spans(data: np.ndarray, offs: np.ndarray, word: np.ndarray, breaks: np.ndarray | None = None):
-    """Starts, ends and row of every word: maximal runs of ``word`` bytes, cut at rows and at ``breaks``."""
+def bounds(data: np.ndarray, offs: np.ndarray, word: np.ndarray, breaks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of every word: maximal runs of ``word`` bytes, cut at rows and at ``breaks``."""
     n = len(data)
-    if not n:
-        z = np.zeros(0, np.int64)
-        return z, z, z
-    mark = word[data]
-    cut = np.zeros(n + 1, bool)
-    cut[offs] = True
-    if breaks is not None:
-        cut[breaks] = True
-    cut[0] = cut[n] = True
-    prev = np.empty(n, bool)
-    prev[0] = False
-    prev[1:] = mark[:-1]
-    starts = np.flatnonzero(mark & (~prev | cut[:n]))
-    nxt = np.empty(n, bool)
-    nxt[-1] = False
-    nxt[:-1] = mark[1:]
-    ends = np.flatnonzero(mark & (~nxt | cut[1:])) + 1
+    mark = np.zeros(n + 2, bool)
+    np.take(word, data, out=mark[1:-1])
+    turns = np.flatnonzero(mark[1:] != mark[:-1])
+    starts, ends = turns[::2], turns[1::2]
+    cut = offs if breaks is None else np.concatenate((offs, breaks))
+    cut = cut[(cut > 0) & (cut < n)]
+    inside = np.unique(cut[mark[cut] & mark[cut + 1]])
+    if len(inside):
+        starts, ends = np.sort(np.concatenate((starts, inside))), np.sort(np.concatenate((ends, inside)))
+    return starts, ends
+
+
+def spans(data: np.ndarray, offs: np.ndarray, word: np.ndarray, breaks: np.ndarray | None = None):
+    """``bounds`` and the row of every word."""
+    starts, ends = bounds(data, offs, word, breaks)
     return starts, ends, np.searchsorted(offs, starts, side="right") - 1
 
 
-def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte range."""
+def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = False) -> np.ndarray:
+    """64-bit hash of each byte range; with ``fold`` A-Z count as a-z."""
     size = max(len(data), 1)
     size = 1 << (size - 1).bit_length()
     up, down = _powers(max(size, PIECE))
     acc = np.empty(len(data) + 1, np.uint64)
     acc[0] = 0
-    np.cumsum(_TABLE[data] * up[: len(data)], out=acc[1:])
+    np.take(_FOLDED if fold else _TABLE, data, out=acc[1:])
+    acc[1:] *= up[: len(data)]
+    np.cumsum(acc[1:], out=acc[1:])
     h = (acc[ends] - acc[starts]) * down[starts]
     return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 

@@ -12,9 +12,9 @@ sketch of ``2**SKETCH`` counters (words that share a counter count together), th
 words, so it never changes the result.  Two sets can only be
 similar if their first n - ceil(num/den n) + 1 words meet, so these are joined on the
 word; a row stays a candidate if the sizes fit, if the places of the word leave enough
-words behind it, and if the sets' masks differ in few enough bits (each differing
-bit is a word they do not share).  A mask has ``BITS`` bits for every third word hash, so that it is not full for long
-lines; lines of more than ``NARROW`` words have a second, wider mask.  Candidates are verified on whole sets.
+words behind it, and if the sets' masks differ in few enough bits.  A bit of a mask is the parity of the words that fall on
+it, so words of both sets cancel out and each differing bit stands for one that they do not share, however long the lines are.
+A mask has ``BITS`` bits; lines of more than ``NARROW`` words have a second, wider one.  Candidates are verified on whole sets.
 
 A set so small that no other size and no other set of its size can be similar (below 4 words at 4/5) has no prefix: only
 its equals match it, and they are its node already.
@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bloom import may_be_in
-from .bytewords import FOLD, NOT_SPACE, hashes, mix, pieces, spans
+from .bytewords import NOT_SPACE, bounds, hashes, mix, pieces
 from .scratch import discard, own_tables, written
 from .ship import ship
 
@@ -51,12 +51,16 @@ MIN_WORDS, SKETCH, BLOCK = 1, 22, 12
 BITS, WIDE, NARROW = 96, 512, 120
 #: A node's place under one of its prefix words, as dealt out; mask2 has the mask's other 32 bits.
 POSTING = {"word": "<u4", "place": "<u4", "id": "<i8", "n": "<u4", "mask": "<u8", "mask2": "<u4", "asks": "u1"}
+#: Bytes of text that are cut into words at once: their arrays stay in the processor's cache.
+TEXT = 1 << 18
 #: About so many postings are packed, or pairs compared, at once; a bucket has about so many at most, unless a word has more.
 POSTINGS = 1 << 18
 #: Rounds in which a node checks its likeliest pair alone.
 ROUNDS = 2
 #: Up to this many node ids (8 bytes each) are broadcast.
 BROADCAST_ROWS = 1_000_000
+#: Up to this many nodes are broadcast with their documents, to fetch their words.
+BROADCAST_NODES = 250_000
 
 
 def sorted_by(line: np.ndarray, n_lines: int, h: np.ndarray, rank: np.ndarray | None = None) -> np.ndarray:
@@ -71,20 +75,21 @@ def sorted_by(line: np.ndarray, n_lines: int, h: np.ndarray, rank: np.ndarray |
     return order
 
 
-def line_sets(data: np.ndarray, offs: np.ndarray):
-    """Distinct words of every line: (word hash, line) sorted by line, and of each line its row, number and words."""
+def line_sets(data: np.ndarray, offs: np.ndarray, rank_of: np.ndarray | None = None):
+    """Distinct words of every line: (word hash, line) sorted by line, rank if given, and hash, and of each line its row, number and words."""
     nl = np.flatnonzero(data == 10)
     # Lines: each row has one more than it has line feeds; in order of row, then place.
     begins = np.concatenate((offs[:-1], nl + 1))
     line_row = np.concatenate((np.arange(len(offs) - 1), np.searchsorted(offs, nl, side="right") - 1))
     order = np.lexsort((begins, line_row))
     begins, line_row = begins[order], line_row[order]
-    starts, ends, _ = spans(data, offs, NOT_SPACE)
-    h = hashes(FOLD[data], starts, ends)
+    starts, ends = bounds(data, offs, NOT_SPACE)
+    h = hashes(data, starts, ends, fold=True)
     # Empty lines may begin where the next does: a word belongs to the last that begins at or before it.
-    line = np.searchsorted(begins, starts, side="right") - 1
-    n_words = np.bincount(line, minlength=len(begins))
-    order = sorted_by(line, len(begins), h)
+    upto = np.searchsorted(starts, begins)
+    n_words = np.diff(np.append(upto, len(starts)))
+    line = np.repeat(np.arange(len(begins)), n_words)
+    order = sorted_by(line, len(begins), h, None if rank_of is None else rank_of[(h >> np.uint64(64 - SKETCH)).astype(np.int64)])
     h, line = h[order], line[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
@@ -95,30 +100,33 @@ def line_sets(data: np.ndarray, offs: np.ndarray):
 def word_ranks(docs: DataFrame, text: str) -> np.ndarray:
     """For every counter of the sketch (a word's is the top ``SKETCH`` bits of its hash), eight times the log2 of its count.
 
-    Counts cover all rows; a task leaves out counters that it met once, which are as good as new to the order.  The
+    Counts cover all rows, however they are dealt out; a task sends counters that it met once as one bit each.  The
     sketch has a fixed size; it comes to the driver as ranks, a byte a counter.
     """
     def count(batches):
         total = np.zeros(1 << SKETCH, np.int64)
         for batch in batches:
-            for _, _, data, offs in pieces(batch.column(0)):
-                s, e, _ = spans(data, offs, NOT_SPACE)
-                np.add.at(total, (hashes(FOLD[data], s, e) >> np.uint64(64 - SKETCH)).astype(np.int64), 1)
-        at = np.flatnonzero(total > 1)
-        blocks, first = np.unique(at >> BLOCK, return_index=True)
-        if len(at):
+            for _, _, data, offs in pieces(batch.column(0), TEXT):
+                s, e = bounds(data, offs, NOT_SPACE)
+                np.add.at(total, (hashes(data, s, e, fold=True) >> np.uint64(64 - SKETCH)).astype(np.int64), 1)
+        total = total.reshape(-1, 1 << BLOCK)
+        blocks = np.flatnonzero(total.any(1))
+        if len(blocks):
+            once = [np.packbits(total[b] == 1).tobytes() for b in blocks]
+            at = [np.flatnonzero(total[b] > 1) for b in blocks]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(blocks, pa.int32()), pa.array([v.astype("<u4").tobytes() for v in np.split(at & ((1 << BLOCK) - 1), first[1:])], pa.binary()),
-                 pa.array([v.astype("<i8").tobytes() for v in np.split(total[at], first[1:])], pa.binary())], names=["block", "at", "n"])
+                [pa.array(blocks, pa.int32()), pa.array(once, pa.binary()), pa.array([v.astype("<u4").tobytes() for v in at], pa.binary()),
+                 pa.array([total[b, v].astype("<i8").tobytes() for b, v in zip(blocks, at, strict=True)], pa.binary())], names=["block", "once", "at", "n"])
 
     def ranks(part: pa.Table) -> pa.Table:
         total = np.zeros(1 << BLOCK, np.int64)
-        for at, n in zip(part["at"], part["n"], strict=True):
+        for once, at, n in zip(part["once"], part["at"], part["n"], strict=True):
+            total += np.unpackbits(np.frombuffer(once.as_py(), np.uint8))
             total[np.frombuffer(at.as_py(), "<u4")] += np.frombuffer(n.as_py(), "<i8")
         out = np.minimum(255, 8 * np.log2(np.maximum(total, 1))).astype(np.uint8)
         return pa.table({"block": part["block"][:1], "ranks": pa.array([out.tobytes()], pa.binary())})
 
-    counts = docs.select(text).mapInArrow(count, "block int, at binary, n binary")
+    counts = docs.select(text).mapInArrow(count, "block int, once binary, at binary, n binary")
     table = np.zeros((1 << (SKETCH - BLOCK), 1 << BLOCK), np.uint8)
     for row in counts.groupBy("block").applyInArrow(ranks, "block int, ranks binary").collect():
         table[row["block"]] = np.frombuffer(row["ranks"], np.uint8)
@@ -126,11 +134,14 @@ def word_ranks(docs: DataFrame, text: str) -> np.ndarray:
 
 
 def _packed(nodes: DataFrame, buckets: int) -> DataFrame:
-    """The prefix words of ``nodes`` (id, n, mask, mask2, asks, prefix) in rows of (bucket, one binary a field of ``POSTING``): a word lies in one bucket."""
+    """The prefix words of ``nodes`` (id, n, mask, mask2, asks, prefix) in rows of (bucket, one binary a field of ``POSTING``): a word lies in one bucket.
+
+    prefix: an array<int>, or its little-endian bytes, which pass through the plan's steps at less cost.
+    """
     def pack(held):
         word, *rest = (np.concatenate(c) for c in zip(*held, strict=True))
         bucket = word % np.uint32(buckets)
-        order = np.argsort((bucket.astype(np.uint64) << np.uint64(32)) | word, kind="stable")
+        order = np.argsort((bucket.astype(np.uint64) << np.uint64(32)) | word)
         bucket = bucket[order]
         cut = np.concatenate(([0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)]))
         fields = [c[order] for c in (word, *rest)]
@@ -144,10 +155,16 @@ def _packed(nodes: DataFrame, buckets: int) -> DataFrame:
         held, size = [], 0
         for batch in batches:
             node, n, mask, mask2, asks = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
-            count = np.diff(np.asarray(batch.column(5).offsets))
+            prefix = batch.column(5)
+            if pa.types.is_binary(prefix.type):
+                at = np.frombuffer(prefix.buffers()[1], np.int32)[prefix.offset: prefix.offset + len(prefix) + 1]
+                count = np.diff(at) // 4
+                word = np.frombuffer(prefix.buffers()[2] or b"", np.uint8)[at[0]: at[-1]].copy().view("<u4")
+            else:
+                count, word = np.diff(np.asarray(prefix.offsets)), prefix.flatten().to_numpy().view(np.uint32)
             if count.any():
                 place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                held.append((batch.column(5).flatten().to_numpy().view(np.uint32), place.astype(POSTING["place"]),
+                held.append((word, place.astype(POSTING["place"]),
                              *[np.repeat(v.astype(POSTING[name]), count) for name, v in (("id", node), ("n", n), ("mask", mask), ("mask2", mask2), ("asks", asks))]))
                 size += len(place)
             if size >= POSTINGS:
@@ -186,7 +203,7 @@ def _pairs(packed: DataFrame, num: int, den: int, first: bool) -> DataFrame:
     def run(part: pa.Table) -> pa.Table:
         p = _unpacked(part)
         key = (p["word"].astype(np.uint64) << np.uint64(32)) | p["n"]
-        order = np.lexsort((p["id"], key))
+        order = np.argsort(key)
         p, key = {k: v[order] for k, v in p.items()}, key[order]
         at = np.flatnonzero(np.concatenate(([True], p["word"][1:] != p["word"][:-1])))
         size = np.diff(np.append(at, len(key)))
@@ -236,8 +253,8 @@ def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", nu
 
     def lines(batches):
         for batch in batches:
-            for lo, _hi, data, offs in pieces(batch.column(2)):
-                h, line, row, no, n_words = line_sets(data, offs)
+            for lo, _hi, data, offs in pieces(batch.column(2), TEXT):
+                h, line, row, no, n_words = line_sets(data, offs, rank_of)
                 ok = np.flatnonzero(n_words >= min_words)
                 if not len(ok):
                     continue
@@ -248,30 +265,29 @@ def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", nu
                 size = np.diff(np.append(at, len(line)))
                 with np.errstate(over="ignore"):
                     set_hash = mix(np.add.reduceat(mix(h + np.uint64(1)), at) + size.astype(np.uint64))
-                bit = h % np.uint64(3 * BITS)
+                bit = h % np.uint64(BITS)
                 one = np.uint64(1) << (bit & np.uint64(63))
-                mask = np.bitwise_or.reduceat(np.where(bit < 64, one, np.uint64(0)), at)
-                mask2 = np.bitwise_or.reduceat(np.where((bit >= 64) & (bit < BITS), one, np.uint64(0)), at)
+                mask = np.bitwise_xor.reduceat(np.where(bit < 64, one, np.uint64(0)), at)
+                mask2 = np.bitwise_xor.reduceat(np.where(bit >= 64, one, np.uint64(0)), at)
                 has = size > NARROW
                 long = np.repeat(has, size)
-                wide = np.zeros((int(has.sum()), WIDE), bool)
-                wide[np.repeat(np.arange(len(wide)), size[has]), ((h[long] >> np.uint64(6)) & np.uint64(WIDE - 1)).astype(np.int64)] = True
+                wide = np.repeat(np.arange(has.sum()), size[has]) * WIDE + ((h[long] >> np.uint64(6)) & np.uint64(WIDE - 1)).astype(np.int64)
+                wide = np.bincount(wide, minlength=int(has.sum()) * WIDE) & 1
                 wat = np.concatenate(([0], np.cumsum(np.where(has, WIDE // 64, 0)))).astype(np.int32)
-                wide = pa.ListArray.from_arrays(pa.array(wat), pa.array(np.packbits(wide, axis=1, bitorder="little").ravel().view(np.int64)),
+                wide = pa.ListArray.from_arrays(pa.array(wat), pa.array(np.packbits(wide.astype(bool), bitorder="little").view(np.int64)),
                                                 mask=pa.array(~has))
-                order = sorted_by(line, len(ok), h, rank_of[(h >> np.uint64(64 - SKETCH)).astype(np.int64)])
-                short = (h[order] >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 least = -(-num * size // den)
                 prefix = np.where((least < size) | (den * size // num > size), size - least + 1, 0)
                 take = np.arange(len(h)) - np.repeat(at, size) < np.repeat(prefix, size)
-                cut = np.concatenate(([0], np.cumsum(prefix))).astype(np.int32)
+                cut = np.concatenate(([0], np.cumsum(4 * prefix))).astype(np.int32)
+                first = (h[take] >> np.uint64(32)).astype("<u4")
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(lo + row[ok])), batch.column(1).take(pa.array(lo + row[ok])), pa.array(no[ok], pa.int32()),
                      pa.array(set_hash.view(np.int64)), pa.array(size, pa.int32()), pa.array(mask.view(np.int64)), pa.array(mask2.view(np.int64)),
-                     wide, pa.ListArray.from_arrays(pa.array(cut), pa.array(short[take]))],
+                     wide, pa.BinaryArray.from_buffers(pa.binary(), len(ok), [None, pa.py_buffer(cut), pa.py_buffer(first)])],
                     names=["key", "th", "no", "set_hash", "n", "mask", "mask2", "wide", "prefix"])
 
-    whole = written(source.mapInArrow(lines, f"key {kind}, th long, no int, set_hash long, n int, mask long, mask2 long, wide array<long>, prefix array<int>"), "lines")
+    whole = written(source.mapInArrow(lines, f"key {kind}, th long, no int, set_hash long, n int, mask long, mask2 long, wide array<long>, prefix binary"), "lines")
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     sets = (whole.groupBy("set_hash").agg(F.min(F.struct("key", "th", "no")).alias("at"), F.first("n").alias("n"),
                                           F.first("mask").alias("mask"), F.first("mask2").alias("mask2"), F.first("wide").alias("wide"), F.first("prefix").alias("prefix"))
@@ -283,7 +299,7 @@ def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", nu
     discard(whole)
     # Dealt out by word, packed.  Each node with the word's earliest, if it may be similar; then those that no such one
     # removes with all others.
-    total = sets.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    total = (sets.agg(F.sum(F.length("prefix"))).first()[0] or 0) // 4
     buckets = max(parts, -(-total // POSTINGS))
     first = written(_pairs(_packed(sets.withColumn("asks", F.lit(True)), buckets), num, den, True), "line-pairs")
     first = written(_wide(first, sets, num, den), "line-pairs")
@@ -291,6 +307,7 @@ def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", nu
     few = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
     asks = sets.join(few.select(F.col("a").alias("id"), F.lit(True).alias("out")), "id", "left").withColumn("asks", F.col("out").isNull())
     rest = written(_pairs(_packed(asks, buckets), num, den, False), "line-pairs")
+    rest = written(_wide(rest, sets, num, den), "line-pairs")
     words = _words(rest, sets, source)
     # The likeliest of a node's pairs go first; those that they do not remove check the others.
     for _ in range(ROUNDS):
@@ -298,7 +315,6 @@ def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", nu
         found = written(_similar(best, words, num, den).select("a"), "line-gone")
         gone = gone.union(found)
         rest = written(rest.join(found, "a", "left_anti").join(best, ["a", "b"], "left_anti"), "line-pairs")
-    rest = written(_wide(rest, sets, num, den), "line-pairs")
     gone = gone.union(_similar(rest, words, num, den).select("a").distinct())
     kept = sets.select("id", "key", "th", "no").join(gone.withColumnRenamed("a", "id"), "id", "left_anti")
     removed = every.select("key", "th", "no").alias("e").join(
@@ -311,25 +327,25 @@ def _words(pairs: DataFrame, sets: DataFrame, source: DataFrame) -> DataFrame:
     ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
     wanted = written(sets.select("id", "key", "th", "no").join(ends, "id", "left_semi").groupBy("key", "th")
                      .agg(F.collect_list(F.struct("id", "no")).alias("want")), "line-wanted")
-    near = source.filter(may_be_in(F.col("th"), wanted.select("th"))).alias("s")
-    texts = near.join(wanted.alias("w"), F.expr("s.key <=> w.key AND s.th = w.th")).select("s.text", "w.want")
+    few = (wanted.agg(F.sum(F.size("want"))).first()[0] or 0) <= BROADCAST_NODES
+    near = (source if few else source.filter(may_be_in(F.col("th"), wanted.select("th")))).alias("s")
+    texts = near.join((F.broadcast(wanted) if few else wanted).alias("w"), F.expr("s.key <=> w.key AND s.th = w.th")).select("s.text", "w.want")
 
     def run(batches):
         for batch in batches:
-            want = batch.column(1).to_pylist()
-            for lo, hi, data, offs in pieces(batch.column(0)):
+            want, each = batch.column(1).flatten(), np.diff(np.asarray(batch.column(1).offsets))
+            node, no = (want.field(i).to_numpy() for i in range(2))
+            of, upto = np.repeat(np.arange(len(each)), each), np.concatenate(([0], np.cumsum(each)))
+            for lo, hi, data, offs in pieces(batch.column(0), TEXT):
                 h, line, row, _, _ = line_sets(data, offs)
                 at = np.searchsorted(line, np.arange(len(row) + 1))
-                first = np.searchsorted(row, np.arange(hi - lo + 1))
-                ids, words = [], []
-                for i in range(hi - lo):
-                    for w in want[lo + i]:
-                        k = first[i] + w["no"]
-                        ids.append(w["id"])
-                        words.append(h[at[k]: at[k + 1]].view(np.int64))
-                cut = np.concatenate(([0], np.cumsum([len(v) for v in words]))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(
-                    pa.array(cut), pa.array(np.concatenate(words) if words else np.zeros(0, np.int64)))], names=["id", "words"])
+                mine = slice(upto[lo], upto[hi])
+                k = np.searchsorted(row, of[mine] - lo) + no[mine]
+                size = at[k + 1] - at[k]
+                cut = np.concatenate(([0], np.cumsum(size)))
+                words = h[np.arange(cut[-1]) + np.repeat(at[k] - cut[:-1], size)]
+                yield pa.RecordBatch.from_arrays([pa.array(node[mine], pa.int64()), pa.ListArray.from_arrays(
+                    pa.array(cut.astype(np.int32)), pa.array(words.view(np.int64)))], names=["id", "words"])
 
     whole = texts.mapInArrow(run, "id long, words array<long>").dropDuplicates(["id"])
     return written(whole, "line-words")
@@ -351,8 +367,9 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", **how)
     tagged = docs.select(*keep).withColumn("__th", F.when(F.col(text).isNotNull(), F.xxhash64(text)))
     joined = tagged.join(cut, (F.col("__th") == F.col("__h")) & F.col(key).eqNullSafe(F.col("__key")), "left")
     lines = F.split(F.col(text), "\n", -1)
+    n_lines = F.octet_length(text) - F.octet_length(F.replace(F.col(text), F.lit("\n"))) + 1
     new = F.when(F.col("line_nos").isNull(), F.col(text)).otherwise(
         F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(F.col("line_nos"), i)), "\n"))
     return joined.select(*[new.alias(c) if c == text else F.col(c) for c in keep],
-                         F.coalesce(F.when(F.col(text).isNotNull(), F.size(lines)), F.lit(0)).cast("long").alias("n_lines"),
+                         F.coalesce(n_lines, F.lit(0)).cast("long").alias("n_lines"),
                          F.when(F.col("line_nos").isNull(), 0).otherwise(F.size("line_nos")).cast("long").alias("n_removed"))

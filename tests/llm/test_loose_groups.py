@@ -7,6 +7,7 @@ import random
 import pyarrow as pa
 
 from panelforge.llm import bagminhash, linedup
+from panelforge.llm.ship import ship
 
 from . import brute
 
@@ -78,3 +79,41 @@ def test_packed_postings_come_back_whole(spark):
         got += zip(*(p[k].tolist() for k in linedup.POSTING), strict=True)
     want = [(w % 2 ** 32, k, i, n, m % 2 ** 64, m2, int(a)) for i, n, m, m2, a, words in rows for k, w in enumerate(words)]
     assert sorted(got) == sorted(want)
+
+
+def test_masks_keep_most_pairs_of_a_loose_group_out(spark, monkeypatch):
+    rows = list(enumerate(loose_texts(250, 45, (3, 9), 8)))
+    pairs, keep = [], linedup.written
+
+    def spy(df, name, **how):
+        out = keep(df, name, **how)
+        pairs.extend([out.count()] if name == "line-pairs" else [])
+        return out
+
+    monkeypatch.setattr(linedup, "written", spy)
+    out = {r.doc_id: r.n_removed for r in linedup.dedup_lines(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    want = brute.removed_lines(rows, lambda r: r[0])
+    assert out == {k: len(want.get((k, t), ())) for k, t in rows} and sum(out.values())
+    words = [set(t.split()) for _, t in rows]
+    similar = sum(5 * len(words[a] & words[b]) >= 4 * len(words[a] | words[b]) for b in range(len(words)) for a in range(b))
+    assert max(pairs) < 3 * similar
+
+
+def test_word_ranks_do_not_depend_on_how_rows_are_dealt_out(spark):
+    ship()
+    texts = spark.createDataFrame([(f"Often x{i} twice{i // 2} thrice{i // 3}",) for i in range(24)], "text string")
+    few, many = (linedup.word_ranks(texts.repartition(n), "text") for n in (1, 24))
+    assert (few == many).all()
+    assert sorted(few[few > 0].tolist()) == [8] * 12 + [12] * 8 + [36]
+
+
+def test_words_fetched_through_the_filter_are_the_same(spark, monkeypatch):
+    ship()
+    rows = [(i, f"one w{i}\n\n {i} Two {i}\nthree") for i in range(40)] * 2
+    source = spark.createDataFrame(rows, "key int, text string").selectExpr("key", "xxhash64(text) AS th", "text")
+    sets = source.distinct().selectExpr("key", "th", "explode(array(0, 2, 3)) AS no").selectExpr("key * 4L + no AS id", "key", "th", "no")
+    pairs = spark.createDataFrame([(i * 4 + 2, i * 4 - 4) for i in range(1, 30)], "a long, b long")
+    few = linedup._words(pairs, sets, source).collect()
+    monkeypatch.setattr(linedup, "BROADCAST_NODES", 0)
+    assert sorted(few) == sorted(linedup._words(pairs, sets, source).collect())
+    assert {r.id: len(r.words) for r in few} == {i * 4 + 2: 2 for i in range(1, 30)} | {i * 4 - 4: 2 for i in range(1, 30)}
