@@ -1,7 +1,8 @@
 """Corpus pipeline: five operators in a row over ``documents``.
 
 Each stage takes the rows that its predecessor kept and decides on all of them; the
-result is written as Parquet in the shared folder and read again for the next.  All
+result is written as Parquet in the shared folder and read again for the next; when it is
+written, what the stage read and the tables it made on the way are deleted.  All
 stages but the last return the columns of documents.
 
 Defined results: an empty table gives an empty plan.  A null or empty text fails the quality rules
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from panelforge.llm import bagminhash, decontam, linedup, packing, quality
 from panelforge.llm.queries import tokenizer_path
-from panelforge.llm.scratch import table, written
+from panelforge.llm.scratch import discard, own_tables, table, written
 from panelforge.llm.tokens import UnitTokenizer
 from panelforge.session import ensure_checkpoint_dir
 
@@ -69,8 +70,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
     docs = table(spark, sf_dir, "documents")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = written(docs, f"pipeline-{name}")
-    return docs
+    for i, (name, stage) in enumerate(STAGES[:-1]):
+        with own_tables():
+            kept = written(stage(spark, docs, sf_dir), f"pipeline-{name}", keep=True)
+        if i:
+            discard(docs)
+        docs = kept
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from .bloom import may_be_in
 from .bytewords import NOT_SPACE, mix, occurrence, pieces, windows, word_hashes
 from .components import components
-from .scratch import own_tables, written
+from .scratch import own_tables, small_batches, written
 from .ship import ship
 
 M, BANDS, WIDTH, AGREE = 128, 32, 5, 82
@@ -301,7 +301,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", nu
     row's text is the one that has it (one text a class).  num / den is the similarity threshold.
     """
     ship()
-    with own_tables():
+    with own_tables(), small_batches(docs.sparkSession):
         feats, comps = _components_of_texts(docs, key, text, num, den)
     ids = comps.groupBy("comp").agg(F.min(F.struct(F.col("rep").isNull().alias("no"), "rep", "md5")).alias("first"))
     classes = comps.join(ids, "comp").select("md5", F.col("first.rep").alias("class_id"), "n_copies",

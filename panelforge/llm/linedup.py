@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from .bloom import may_be_in
 from .bytewords import NOT_SPACE, bounds, hashes, mix, pieces
-from .scratch import discard, own_tables, written
+from .scratch import discard, own_tables, small_batches, written
 from .ship import ship
 
 MIN_WORDS, SKETCH, BLOCK = 1, 22, 12
@@ -361,7 +361,7 @@ def _similar(pairs: DataFrame, whole: DataFrame, num: int, den: int) -> DataFram
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """All columns of ``docs`` with the text cut, plus n_lines and n_removed (longs; 0 for a null text)."""
-    with own_tables():
+    with own_tables(), small_batches(docs.sparkSession):
         cut = written(duplicate_lines(docs, key, text, **how), "line-cuts", keep=True).select(F.col("key").alias("__key"), F.col("th").alias("__h"), "line_nos")
     keep = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     tagged = docs.select(*keep).withColumn("__th", F.when(F.col(text).isNotNull(), F.xxhash64(text)))

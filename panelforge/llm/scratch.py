@@ -12,15 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from panelforge.session import scratch_path
 
-#: The tables of the innermost ``own_tables`` block, as (session, path).
-_OWN: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("own", default=None)
+#: The tables of the ``own_tables`` blocks, outermost first, as (session, path).
+_OWN: ContextVar[tuple[list[tuple[SparkSession, str]], ...]] = ContextVar("own", default=())
 
 
 @contextmanager
 def own_tables() -> Iterator[None]:
-    """Tables written inside are deleted at the end, also after a failure, unless they were written with ``keep``."""
+    """Tables written inside are deleted at the end, also after a failure; those written with ``keep`` at the end of the block around it, if any."""
     own: list[tuple[SparkSession, str]] = []
-    token = _OWN.set(own)
+    token = _OWN.set((*_OWN.get(), own))
     try:
         yield
     finally:
@@ -29,6 +29,18 @@ def own_tables() -> Iterator[None]:
             _delete(spark, path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
+    """Steps that run inside hand Python batches of about ``size``, which a task holds on both sides."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of finished steps; what a first pass finalises, a second one frees."""
     for pause in (0.2, 0.1):
@@ -49,8 +61,9 @@ def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     spark = df.sparkSession
     release(spark)
     path = scratch_path(spark, name)
-    if not keep and _OWN.get() is not None:
-        _OWN.get().append((spark, path))
+    blocks = _OWN.get()[:-1] if keep else _OWN.get()
+    if blocks:
+        blocks[-1].append((spark, path))
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
