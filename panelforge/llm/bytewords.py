@@ -83,15 +83,14 @@ def bounds(data: np.ndarray, offs: np.ndarray, word: np.ndarray, breaks: np.ndar
     """Starts and ends of every word: maximal runs of ``word`` bytes, cut at rows and at ``breaks``."""
     n = len(data)
     mark = np.zeros(n + 2, bool)
-    np.take(word, data, out=mark[1:-1])
+    mark[1:-1] = np.frombuffer(data.tobytes().translate(word.tobytes()), bool)
     turns = np.flatnonzero(mark[1:] != mark[:-1])
-    starts, ends = turns[::2], turns[1::2]
     cut = offs if breaks is None else np.concatenate((offs, breaks))
     cut = cut[(cut > 0) & (cut < n)]
     inside = np.unique(cut[mark[cut] & mark[cut + 1]])
-    if len(inside):
-        starts, ends = np.sort(np.concatenate((starts, inside))), np.sort(np.concatenate((ends, inside)))
-    return starts, ends
+    if len(inside):  # a word ends there and the next begins
+        turns = np.insert(turns, np.repeat(np.searchsorted(turns, inside), 2), np.repeat(inside, 2))
+    return turns[::2], turns[1::2]
 
 
 def spans(data: np.ndarray, offs: np.ndarray, word: np.ndarray, breaks: np.ndarray | None = None):
@@ -107,7 +106,7 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool =
     up, down = _powers(max(size, PIECE))
     acc = np.empty(len(data) + 1, np.uint64)
     acc[0] = 0
-    np.take(_FOLDED if fold else _TABLE, data, out=acc[1:])
+    np.take(_FOLDED if fold else _TABLE, data, out=acc[1:], mode="clip")  # bytes are in range; with a mode, out is not buffered
     acc[1:] *= up[: len(data)]
     np.cumsum(acc[1:], out=acc[1:])
     h = (acc[ends] - acc[starts]) * down[starts]

@@ -304,8 +304,7 @@ def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", nu
     first = written(_pairs(_packed(sets.withColumn("asks", F.lit(True)), buckets), num, den, True), "line-pairs")
     first = written(_wide(first, sets, num, den), "line-pairs")
     gone = written(_similar(first, _words(first, sets, source), num, den).select("a").distinct(), "line-gone")
-    few = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
-    asks = sets.join(few.select(F.col("a").alias("id"), F.lit(True).alias("out")), "id", "left").withColumn("asks", F.col("out").isNull())
+    asks = sets.join(_if_few(gone).select(F.col("a").alias("id"), F.lit(True).alias("out")), "id", "left").withColumn("asks", F.col("out").isNull())
     rest = written(_pairs(_packed(asks, buckets), num, den, False), "line-pairs")
     rest = written(_wide(rest, sets, num, den), "line-pairs")
     words = _words(rest, sets, source)
@@ -315,17 +314,27 @@ def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", nu
         found = written(_similar(best, words, num, den).select("a"), "line-gone")
         gone = gone.union(found)
         rest = written(rest.join(found, "a", "left_anti").join(best, ["a", "b"], "left_anti"), "line-pairs")
-    gone = gone.union(_similar(rest, words, num, den).select("a").distinct())
-    kept = sets.select("id", "key", "th", "no").join(gone.withColumnRenamed("a", "id"), "id", "left_anti")
-    removed = every.select("key", "th", "no").alias("e").join(
-        kept.alias("k"), F.expr("e.key <=> k.key AND e.th = k.th AND e.no = k.no"), "left_anti")
-    return removed.groupBy("key", "th").agg(F.collect_set("no").alias("line_nos"))
+    gone = written(gone.union(_similar(rest, words, num, den).select("a")).distinct(), "line-gone")
+    kept = sets.select("id", "key", "th", "no").join(_if_few(gone.select(F.col("a").alias("id"))), "id", "left_anti")
+    # A document's lines are bits, 64 a row: lines that are there and not kept, told by one sum and no join.
+    bit = F.expr("shiftleft(1L, no & 63)")
+    row = ["key", "th", F.shiftright("no", 6).alias("block")]
+    bits = every.select(*row, bit.alias("here"), F.lit(0).cast("long").alias("kept")).union(
+        kept.select(*row, F.lit(0).cast("long"), bit))
+    removed = (bits.groupBy("key", "th", "block").agg(F.expr("bit_or(here) & ~bit_or(kept)").alias("out")).filter("out <> 0")
+               .withColumn("nos", F.expr("transform(filter(sequence(0, 63), i -> bit_get(out, i) = 1), i -> 64 * block + i)")))
+    return removed.groupBy("key", "th").agg(F.flatten(F.collect_list("nos")).alias("line_nos"))
+
+
+def _if_few(ids: DataFrame) -> DataFrame:
+    """A written table of ids, to be broadcast if it has up to ``BROADCAST_ROWS``."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
 
 
 def _words(pairs: DataFrame, sets: DataFrame, source: DataFrame) -> DataFrame:
     """(id, words): the whole sets of the nodes of ``pairs``."""
-    ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    wanted = written(sets.select("id", "key", "th", "no").join(ends, "id", "left_semi").groupBy("key", "th")
+    ends = written(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "line-ends")
+    wanted = written(sets.select("id", "key", "th", "no").join(_if_few(ends), "id", "left_semi").groupBy("key", "th")
                      .agg(F.collect_list(F.struct("id", "no")).alias("want")), "line-wanted")
     few = (wanted.agg(F.sum(F.size("want"))).first()[0] or 0) <= BROADCAST_NODES
     near = (source if few else source.filter(may_be_in(F.col("th"), wanted.select("th")))).alias("s")
