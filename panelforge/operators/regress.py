@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -144,6 +145,8 @@ def forecast_ar(context: DataFrame, horizon: int, cols: Columns = Columns(), lev
 
 #: Windows and coefficients of up to this many rows are sent to all tasks, so that the cells stay where they are.
 BROADCAST_ROWS = 1_000_000
+#: Cells (at least) that a task multiplies at once, and numbers in a piece of the sum of products.
+BLOCK_CELLS, PIECE = 1_000_000, 8192
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -157,25 +160,32 @@ def cells_of(df: DataFrame, covariates: Sequence[str], cols: Columns = Columns()
     return df.select(cols.id, cols.time, F.explode(named).alias("column", "value")).where(F.col("value").isNotNull())
 
 
-def ridge_coefficients(target: DataFrame, cells: DataFrame, cols: Columns = Columns(), screen: int = 32, ridge: float = 0.1) -> DataFrame:
-    """``id, column, _mean, _sd, _b, _my``: ridge least squares of the target on the screened columns of its series.
+def ridge_coefficients(target: DataFrame, cells: DataFrame, cols: Columns = Columns(), screen: int | None = None, ridge: float = 0.1) -> DataFrame:
+    """``id, column, _mean, _sd, _b, _my``: ridge least squares of the target on the columns of its series.
 
     Columns are scaled to mean 0 and deviation 1 over their own values, a missing value counting as 0
-    (the mean), so the statistics are sums over the cells that exist.  The ``screen`` columns with the
-    largest |sum of z * (y - mean y)| over valued days are kept (ties: by name).  With n valued days,
-    (Z'Z + ridge * n * I) b = Z'(y - mean y), at most ``screen`` rows and columns a series, is solved
-    in a task; it has one solution however few the days are.
+    (the mean), so the statistics are sums over the cells that exist.  With n valued days,
+    (Z'Z + ridge * n * I) b = Z'(y - mean y); it has one solution however few the days are.  All columns
+    that move take part (``_whole``).  ``screen`` is a caller's own choice of a smaller model: the
+    ``screen`` columns with the largest |sum of z * (y - mean y)| over valued days (ties: by name), whose
+    system, at most ``screen`` rows and columns a series, is solved in a task.
     """
     i, t, y = cols.id, cols.time, cols.target
     ensure_checkpoint_dir(target.sparkSession)
     my = target.where(F.col(y).isNotNull()).groupBy(i).agg(F.avg(y).alias("_my"), F.count(y).cast("double").alias("_ny"))
     centred = target.where(F.col(y).isNotNull()).join(my, i).select(i, t, (F.col(y) - F.col("_my")).alias("_yc"))
+    if screen is None:
+        centred = centred.withColumn("_k", F.row_number().over(Window.partitionBy(i).orderBy(t)) - 1)
     both = cells.join(_small(centred), [i, t], "left")
     stats = both.groupBy(i, "column").agg(F.avg("value").alias("_mean"), F.stddev_pop("value").alias("_sd"),
                                           F.sum(F.col("value") * F.col("_yc")).alias("_vy"),
-                                          F.sum(F.when(F.col("_yc").isNotNull(), F.col("_yc"))).alias("_sy"))
+                                          F.sum(F.when(F.col("_yc").isNotNull(), F.col("_yc"))).alias("_sy"),
+                                          F.count("_yc").alias("_m"))
     cov = ((F.col("_vy") - F.col("_mean") * F.col("_sy")) / F.col("_sd")).alias("_c")
-    moving = stats.where((F.col("_sd") > 0) & F.col("_vy").isNotNull()).select(i, "column", "_mean", "_sd", cov)
+    moving = stats.where((F.col("_sd") > 0) & F.col("_vy").isNotNull()).select(i, "column", "_mean", "_sd", cov, "_m")
+    if screen is None:
+        return _whole(both, centred, moving, my, cols, ridge).join(my.select(i, "_my"), i)
+    moving = moving.drop("_m")
     best = Window.partitionBy(i).orderBy(F.abs("_c").desc(), "column")
     # Bounded by the row number itself: Spark then keeps ``screen`` rows a series and task before they meet.
     chosen = (moving.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= screen)
@@ -212,6 +222,81 @@ def ridge_coefficients(target: DataFrame, cells: DataFrame, cols: Columns = Colu
     return chosen.join(solved, [i, "_r"]).join(my.select(i, "_my"), i).select(i, "column", "_mean", "_sd", "_b", "_my")
 
 
+def _whole(both: DataFrame, centred: DataFrame, moving: DataFrame, my: DataFrame, cols: Columns, ridge: float) -> DataFrame:
+    """``id, column, _mean, _sd, _b`` of all ``moving`` columns: the fit of ``ridge_coefficients`` without a screen.
+
+    The system stands on the shorter side of Z (valued days by columns): Z'Z where a series has no more
+    columns than valued days, else (ZZ' + ridge * n * I) w = y - mean y over the days, and b = Z'w, which is
+    the same solution.  The products are summed over blocks of the longer side, block by block in tasks and
+    then piece by piece, so that only the shorter side squared has to fit in a task.
+    """
+    i, t = cols.id, cols.time
+    columns = moving.withColumn("_r", F.monotonically_increasing_id()).checkpoint(eager=True)
+    sizes = (columns.groupBy(i).agg(F.count(F.lit(1)).alias("_p"), F.sum("_m").alias("_cells")).join(my.select(i, "_ny"), i)
+             .withColumn("_side", F.least(F.col("_p"), F.col("_ny").cast("bigint"))))
+    blocks = F.ceil(F.col("_cells") / F.greatest(F.lit(BLOCK_CELLS), F.col("_side") * F.col("_side") / 8))
+    sizes = sizes.withColumn("_blocks", F.greatest(blocks, F.lit(1)))
+    sized = columns.join(sizes, i)
+    # Only few columns, no more than days, are numbered; a NULL number stands for the system over days.
+    few = sized.where(F.col("_p") <= F.col("_ny")).withColumn("_q", F.row_number().over(Window.partitionBy(i).orderBy("column")) - 1)
+    many = sized.where(F.col("_p") > F.col("_ny")).withColumn("_q", F.lit(None).cast("int"))
+    columns = few.unionByName(many).select(i, "column", "_mean", "_sd", "_c", "_r", "_side", "_blocks", "_q").checkpoint(eager=True)
+    by_day = F.col("_q").isNull()
+    z = (both.where(F.col("_yc").isNotNull()).join(_small(columns.drop("_c")), [i, "column"])
+         .select(i, "_side", F.coalesce("_q", "_k").alias("_s"), F.when(by_day, F.col("_r")).otherwise(F.col("_k")).alias("_l"),
+                 "_blocks", ((F.col("value") - F.col("_mean")) / F.col("_sd")).alias("_z"))
+         .withColumn("_block", F.pmod(F.xxhash64("_l"), F.col("_blocks"))).drop("_blocks"))
+
+    def products(key, table):
+        m = key[1].as_py()
+        short, z = table.column("_s").to_numpy(), table.column("_z").to_numpy()
+        lines, place = np.unique(table.column("_l").to_numpy(), return_inverse=True)
+        order = np.argsort(place, kind="stable")
+        short, z, place = short[order], z[order], place[order]
+        gram, step = np.zeros((m, m)), max(1, 2_000_000 // m)
+        for lo in range(0, len(lines), step):
+            a, b = np.searchsorted(place, [lo, lo + step])
+            dense = np.bincount((place[a:b] - lo) * m + short[a:b], z[a:b], step * m).reshape(step, m)
+            gram += dense.T @ dense
+        packed = gram[np.tril_indices(m)]
+        pieces = [packed[at:at + PIECE].tobytes() for at in range(0, len(packed), PIECE)]
+        head = [pa.array([k.as_py()] * len(pieces), k.type) for k in key[:2]]
+        return pa.Table.from_arrays([*head, pa.array(range(len(pieces)), pa.int32()), pa.array(pieces, pa.binary())], names=[i, "_side", "_piece", "_v"])
+
+    def total(key, table):
+        v = sum(np.frombuffer(x.as_buffer()) for x in table.column("_v"))
+        return pa.Table.from_arrays([*[pa.array([k.as_py()], k.type) for k in key], pa.array([v.tobytes()], pa.binary())], names=[i, "_side", "_piece", "_v"])
+
+    def solve(key, pieces, right):
+        m = right.num_rows
+        at = right.column("_s").to_numpy()
+        packed = pieces.sort_by("_piece").column("_v")
+        a, b = np.zeros((m, m)), np.zeros(m)
+        a[np.tril_indices(m)] = np.concatenate([np.frombuffer(x.as_buffer()) for x in packed])
+        a += np.tril(a, -1).T
+        a[np.diag_indices(m)] += ridge * right.column("_ny")[0].as_py()
+        b[at] = right.column("_y").to_numpy()
+        return pa.Table.from_arrays([right.column(i), right.column("_s"), pa.array(np.linalg.solve(a, b)[at])], names=[i, "_s", "_w"])
+
+    _ship_by_value()
+    kind = columns.schema[i].dataType.simpleString()
+    piece = f"`{i}` {kind}, _side bigint, _piece int, _v binary"
+    sums = z.groupBy(i, "_side", "_block").applyInArrow(products, piece).groupBy(i, "_side", "_piece").applyInArrow(total, piece)
+    days = centred.join(sizes.where(F.col("_p") > F.col("_ny")), i).select(i, F.col("_k").alias("_s"), F.col("_yc").alias("_y"), "_ny")
+    own = columns.where(~by_day).join(my, i).select(i, F.col("_q").alias("_s"), F.col("_c").alias("_y"), "_ny")
+    # Read for its size and for the fit.
+    solved = (sums.groupBy(i).cogroup(days.unionByName(own).groupBy(i))
+              .applyInArrow(solve, f"`{i}` {kind}, _s int, _w double").checkpoint(eager=True))
+    weights = centred.join(solved, (centred[i] == solved[i]) & (centred["_k"] == solved["_s"])).select(centred[i], t, "_w")
+    out = [i, "column", "_mean", "_sd", "_b"]
+    spread = (both.drop("_yc", "_k").join(_small(weights), [i, t]).groupBy(i, "column")
+              .agg(F.sum(F.col("value") * F.col("_w")).alias("_vw"), F.sum("_w").alias("_sw")))
+    over_days = (columns.where(by_day).join(spread, [i, "column"])
+                 .withColumn("_b", (F.col("_vw") - F.col("_mean") * F.col("_sw")) / F.col("_sd")).select(*out))
+    direct = columns.where(~by_day).withColumn("_s", F.col("_q")).join(solved, [i, "_s"]).withColumnRenamed("_w", "_b").select(*out)
+    return over_days.unionByName(direct)
+
+
 def _ridge_points(days: DataFrame, cells: DataFrame, coef: DataFrame, cols: Columns) -> DataFrame:
     """Fitted value of every row of ``days``: the mean plus what the day's cells add."""
     i, t = cols.id, cols.time
@@ -222,7 +307,7 @@ def _ridge_points(days: DataFrame, cells: DataFrame, coef: DataFrame, cols: Colu
 
 
 def forecast_ridge(context: DataFrame, future: DataFrame, covariates: Sequence[str] | None = None, cols: Columns = Columns(),
-                   levels: Sequence[float] = DEFAULT_LEVELS, screen: int = 32, ridge: float = 0.1, quantile_method: str = "exact",
+                   levels: Sequence[float] = DEFAULT_LEVELS, screen: int | None = None, ridge: float = 0.1, quantile_method: str = "exact",
                    target_name: str | None = None, cells: DataFrame | None = None, horizon: int | None = None) -> DataFrame:
     """T2/P16 with any number of covariates: all columns that context and future share, or long ``cells``.
 
@@ -244,7 +329,7 @@ def forecast_ridge(context: DataFrame, future: DataFrame, covariates: Sequence[s
         steps = F.count(F.lit(1)).over(Window.partitionBy(i))
         short = F.raise_error(F.concat(F.lit(f"fewer than {horizon} future rows for series "), F.col(i).cast("string")))
         future = future.withColumn("_n", steps).where(F.when(F.col("_n") < horizon, short.cast("boolean")).otherwise(True)).drop("_n")
-    # At most ``screen`` rows a series, read for the residuals and for the forecast.
+    # A row a column of the fit, read for the residuals and for the forecast.
     ensure_checkpoint_dir(context.sparkSession)
     coef = ridge_coefficients(context.select(i, t, y), before, cols, screen, ridge).checkpoint(eager=True)
     fitted = _ridge_points(context.select(i, t, y), before, coef, cols)

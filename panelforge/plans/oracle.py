@@ -404,7 +404,7 @@ def _solve(source: str, m: int) -> str:
     return ",\n".join(out)
 
 
-_RIDGE = _with(
+_RIDGE_BASE = [
     B1, B1_LABEL, B1_FIRST,
     "rc AS (" + "\nUNION ALL ".join(
         f"SELECT f.day AS t, CAST(f.permco AS VARCHAR) || '_' || l.label || '_{x}' AS col, f.{x} AS v FROM b1_first f JOIN b1_label l USING (permco) "
@@ -418,8 +418,20 @@ _RIDGE = _with(
     "rx AS (SELECT * FROM rc WHERE col <> (SELECT col FROM rn))",
     "rb AS (SELECT x.*, y.y - m.my AS yc FROM rx x JOIN rctx y USING (t) CROSS JOIN rm m)",
     """rs AS (SELECT col, avg(v) AS mu, stddev_pop(v) AS sd FROM rb GROUP BY col HAVING stddev_pop(v) > 0),
-rz AS (SELECT b.t, b.col, (b.v - s.mu) / s.sd AS z, b.yc FROM rb b JOIN rs s USING (col)),
-rr AS (SELECT col, sum(z * yc) AS c FROM rz WHERE yc IS NOT NULL GROUP BY col),
+rz AS (SELECT b.t, b.col, (b.v - s.mu) / s.sd AS z, b.yc FROM rb b JOIN rs s USING (col))"""]
+
+_RIDGE_ALL = """rp AS (SELECT y.t, y.y, m.my + coalesce(f.add, 0) AS p FROM ry y CROSS JOIN rm m LEFT JOIN rfit f USING (t)),
+rq AS (SELECT quantile_cont(p.y - p.p, [0.1, 0.5, 0.9]) AS q FROM rp p JOIN rctx USING (t)),
+rfut AS (SELECT t FROM rval ORDER BY t LIMIT 120),
+rmq AS (SELECT quantile_cont(y - my, [0.1, 0.5, 0.9]) AS q FROM rctx, rm),
+rall AS (SELECT '1' AS id, t AS timestamp, 'y' AS target_name, p, q, 'with_covariates' AS model FROM rp JOIN rfut USING (t), rq
+         UNION ALL
+         SELECT '1', CAST(T + CAST(k AS INTEGER) AS DATE), 'y', my, q, 'no_covariates'
+         FROM (SELECT max(t) AS T FROM rctx), range(1, 121) r(k), rm, rmq)"""
+
+_RIDGE = _with(
+    *_RIDGE_BASE,
+    """rr AS (SELECT col, sum(z * yc) AS c FROM rz WHERE yc IS NOT NULL GROUP BY col),
 rk AS (SELECT col, c, row_number() OVER (ORDER BY abs(c) DESC, col) AS r FROM rr QUALIFY r <= """ + str(RIDGE_COLUMNS) + """),
 rzk AS (SELECT z.t, k.r, z.z FROM rz z JOIN rk k USING (col) WHERE z.yc IS NOT NULL),
 rgm AS (SELECT p.r AS i, q.r AS j, sum(p.z * q.z) AS g FROM rzk p JOIN rzk q USING (t) GROUP BY 1, 2)""",
@@ -429,18 +441,31 @@ rgm AS (SELECT p.r AS i, q.r AS j, sum(p.z * q.z) AS g FROM rzk p JOIN rzk q USI
     _solve("rsys", RIDGE_COLUMNS),
     "rbeta AS (" + "\nUNION ALL ".join(f"SELECT {i} AS r, x{i} AS b FROM s1" for i in range(1, RIDGE_COLUMNS + 1)) + ")",
     """rfit AS (SELECT x.t, sum(b.b * (x.v - s.mu) / s.sd) AS add FROM rx x JOIN rk k USING (col) JOIN rbeta b USING (r) JOIN rs s USING (col) GROUP BY x.t),
-rp AS (SELECT y.t, y.y, m.my + coalesce(f.add, 0) AS p FROM ry y CROSS JOIN rm m LEFT JOIN rfit f USING (t)),
-rq AS (SELECT quantile_cont(p.y - p.p, [0.1, 0.5, 0.9]) AS q FROM rp p JOIN rctx USING (t)),
-rfut AS (SELECT t FROM rval ORDER BY t LIMIT 120),
-rmq AS (SELECT quantile_cont(y - my, [0.1, 0.5, 0.9]) AS q FROM rctx, rm),
-rall AS (SELECT '1' AS id, t AS timestamp, 'y' AS target_name, p, q, 'with_covariates' AS model FROM rp JOIN rfut USING (t), rq
-         UNION ALL
-         SELECT '1', CAST(T + CAST(k AS INTEGER) AS DATE), 'y', my, q, 'no_covariates'
-         FROM (SELECT max(t) AS T FROM rctx), range(1, 121) r(k), rm, rmq)""")
+""" + _RIDGE_ALL)
+
+# All columns: (ZZ' + 0.1 n I) w = y - mean y over the valued days, reduced day by day, and b = Z'w.
+_RIDGE_WHOLE = _with(
+    *_RIDGE_BASE,
+    """rd AS MATERIALIZED (SELECT t, y - my AS yc, row_number() OVER (ORDER BY t) AS i FROM rctx, rm WHERE y IS NOT NULL),
+rzd AS MATERIALIZED (SELECT d.i, z.col, z.z FROM rz z JOIN rd d USING (t)),
+rgm AS (SELECT p.i, q.i AS j, sum(p.z * q.z) AS g FROM rzd p JOIN rzd q USING (col) GROUP BY 1, 2),
+rsys AS MATERIALIZED (
+  SELECT p.i, list(coalesce(g.g, 0) + CASE WHEN p.i = q.i THEN 0.1 * m.ny ELSE 0 END ORDER BY q.i) || [any_value(p.yc)] AS a
+  FROM rd p CROSS JOIN rd q CROSS JOIN rm m LEFT JOIN rgm g ON g.i = p.i AND g.j = q.i GROUP BY p.i),
+re AS (
+  SELECT CAST(0 AS BIGINT) AS k, i, a FROM rsys
+  UNION ALL
+  SELECT r.k + 1, r.i, CASE WHEN r.i = p.i THEN list_transform(r.a[2:], lambda x: x / r.a[1])
+                            ELSE list_transform(list_zip(r.a[2:], p.a[2:]), lambda x: x[1] - x[2] * (r.a[1] / p.a[1])) END
+  FROM re r JOIN re p ON p.i = p.k + 1),
+rw AS MATERIALIZED (SELECT i, a[1] AS w FROM re WHERE len(a) = 1),
+rbeta AS (SELECT col, sum(z.z * w.w) AS b FROM rzd z JOIN rw w USING (i) GROUP BY col),
+rfit AS (SELECT x.t, sum(b.b * (x.v - s.mu) / s.sd) AS add FROM rx x JOIN rbeta b USING (col) JOIN rs s USING (col) GROUP BY x.t),
+""" + _RIDGE_ALL).replace("WITH", "WITH RECURSIVE", 1)
 
 FC_PANEL_COVARIATES = _RIDGE + f"\nSELECT id, timestamp, target_name, {_q('p')}, model FROM rall"
 
-SCORE_PANEL_COVARIATES = _RIDGE + """,
+SCORE_PANEL_COVARIATES = _RIDGE_WHOLE + """,
 rj AS (SELECT a.model, a.p, v.y FROM rall a JOIN rval v ON v.t = a.timestamp)
 SELECT model, count(*) AS n, count(y) AS n_valid, """ + _r("avg((y - p) * (y - p))", 6) + " AS MSE, " + _r("avg(abs(y - p))", 6) + " AS MAE, " \
     + _r("sqrt(avg((y - p) * (y - p)))", 6) + " AS RMSE, " + _r("avg(abs((y - p) / nullif(y, 0))) * 100", 6) + " AS MAPE, " \

@@ -41,7 +41,7 @@ class ForecastSpec:
     step: str = "day"
     quantile_method: str = "exact"
     lags: tuple[int, ...] = (1, 7)    # pooled_ar
-    screen: int = 32                  # ridge: columns kept
+    screen: int | None = None         # ridge: columns kept, None: all
     ridge: float = 0.1
 
 

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelforge.operators import panel
+from panelforge.operators import panel, regress
 from panelforge.operators.asof import asof_join, validity_intervals
 from panelforge.operators.forecast import Columns, forecast_ols
 from panelforge.operators.index import row_groups
@@ -249,3 +249,48 @@ def test_closures_of_the_user(spark):
     assert got == plain | {dt.date(2001, 3, 1): "Flood", dt.date(2001, 7, 4): "Independence Day; Again"}
     with pytest.raises(Exception, match="without a source"):
         holiday_calendar("2001-01-01", "2001-12-31", spark=spark, closures=own.withColumn("source", F.lit(" "))).collect()
+
+
+@pytest.mark.parametrize("few_cells,broadcast", [(False, True), (True, True), (True, False)])
+def test_ridge_without_a_screen_fits_all_columns(spark, monkeypatch, few_cells, broadcast):
+    """Every moving column counts, with more columns than days and with fewer, in one block and in many."""
+    if few_cells:
+        monkeypatch.setattr(regress, "BLOCK_CELLS", 40)
+        monkeypatch.setattr(regress, "PIECE", 7)
+    if not broadcast:
+        monkeypatch.setattr(regress, "BROADCAST_ROWS", 0)
+    rng = np.random.default_rng(11)
+    shapes = {"wide": (90, 24), "tall": (5, 40)}
+    data, rows, cells = {}, [], []
+    for s, (p, n) in shapes.items():
+        x = rng.normal(size=(n + 4, p)) * rng.uniform(0.5, 20, p) + rng.uniform(-5, 5, p)
+        x[rng.random(x.shape) < 0.3] = np.nan
+        x[:, 2] = 4.0  # never moves
+        y = np.nan_to_num(x) @ rng.normal(size=p) + rng.normal(size=n + 4)
+        data[s] = x, y
+        rows += [(s, day(t), float(y[t]) if t % 6 else None) for t in range(n + 4)]
+        cells += [(s, day(t), f"c{j}", float(x[t, j])) for t in range(n + 4) for j in range(p) if not np.isnan(x[t, j])]
+    rows += [(None, day(0), 1.0), ("bare", day(0), 1.0), ("bare", day(30), None)]
+    df = spark.createDataFrame(rows, "id string, timestamp date, y double")
+    cells = spark.createDataFrame(cells, "id string, timestamp date, column string, value double")
+    ends = F.create_map(*[F.lit(v) for s, (_, n) in shapes.items() for v in (s, day(n))])
+    end = F.coalesce(ends[F.col("id")], F.lit(day(24)))
+    ctx, fut = df.where(F.col("timestamp") < end), df.where(F.col("timestamp") >= end).drop("y")
+    got = {(r.id, r.timestamp): r for r in forecast_ridge(ctx, fut, None, COLS, ridge=0.2, cells=cells).collect()}
+    assert len(got) == 9 and got["bare", day(30)].predictions is None
+    for s, (p, n) in shapes.items():
+        x, y = data[s]
+        have = np.array([t % 6 != 0 for t in range(n)])
+        mu, sd = np.nanmean(x[:n], 0), np.nanstd(x[:n], 0)
+        z = np.nan_to_num((x - mu) / np.where(sd > 0, sd, 1))[:, sd > 0]
+        zz, my = z[:n][have], y[:n][have].mean()
+        beta = np.linalg.solve(zz.T @ zz + 0.2 * have.sum() * np.eye(zz.shape[1]), zz.T @ (y[:n][have] - my))
+        low = np.quantile((y[:n] - my - z[:n] @ beta)[have], 0.1)
+        for t in range(n, n + 4):
+            want = my + z[t] @ beta
+            assert got[s, day(t)].predictions == pytest.approx(want, rel=1e-8) and got[s, day(t)].q10 == pytest.approx(want + low, rel=1e-8)
+
+
+def test_score_panel_covariates_fits_every_covariate():
+    from panelforge.plans import queries
+    assert {v.method: v.screen for v in queries.WHOLE_VARIANTS} == {"mean": None, "ridge": None}
