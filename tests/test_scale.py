@@ -70,6 +70,27 @@ def test_blocks_deal_out_observed_cells_only(spark):
     assert {(r.column_name, r.t, r.value) for r in cells} == {(f"{e}_{x}_v", t, v) for e, x, t, _, v, _ in rows if v is not None}
 
 
+def test_wide_panel_moves_observed_cells_only(spark, monkeypatch):
+    """The wide frame equals a plain loop; before the wide step a day holds its observed cells, in no more tasks than run at once."""
+    rows = [(e, f"T{e}", day(11 * i + e), float(i) if i else None, f"n{e}", 10 * e + i) for e in range(7) for i in range(3)]
+    rows += [(20, "Z", day(500), None, None, 0), (None, "N", day(1), 1.0, "x", 1), (3, "T3", None, 1.0, "x", 2), (5, "T5", day(9), None, None, 3)]
+    df = spark.createDataFrame(rows, "e long, label string, t date, p double, s string, ord long").repartition(40)
+    given, spread = [], panel._spread
+    monkeypatch.setattr(panel, "_spread", lambda cells, names, kinds: given.append(cells) or spread(cells, names, kinds))
+    monkeypatch.setattr(panel, "BATCH_CELLS", 48)  # three days
+    out = panel.widen(df, "e", "t", ["p", "s"], "ord", "label")
+    entities = [(e, f"T{e}") for e in range(7)] + [(20, "Z")]
+    assert out.columns == ["id", "t", *[f"{x}_{f}" for _, x in entities for f in "ps"]]
+    assert dict(out.dtypes)["T1_p"] == "double" and dict(out.dtypes)["T1_s"] == "string"
+    seen = {(e, t): (p, s) for e, _, t, p, s, _ in rows if e is not None and t is not None}
+    days = [day(n) for n in range(29)]
+    want = {t: [v for e, _ in entities for v in seen.get((e, t), (None, None))] for t in days}
+    assert {r.t: list(r)[2:] for r in out.collect()} == want and out.count() == 29
+    held = {r.t: len(r._a) for r in given[0].collect()}
+    assert held == {t: sum(v != (None, None) for (_, d), v in seen.items() if d == t) for t in days}
+    assert given[0].rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+
+
 def test_query_cells_keep_an_entity_together_and_unexploded(spark):
     rows = [(1, e, f"T{e}", day(i), float(i) if i % 3 else None, float(e), 100 * e + i) for e in range(9) for i in range(12)]
     df = spark.createDataFrame(rows, "id int, permco long, ticker string, timestamp date, p double, v double, ord long")
